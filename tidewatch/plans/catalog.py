@@ -65,3 +65,249 @@ def combined_table(spark: SparkSession, d: str, mode: str = "script") -> DataFra
                              "R7", "R9", "J1", "P5", "P6", "R11", "E2", "J4", "C1", "C3"])
 def q_combine_weekly(spark: SparkSession, d: str) -> DataFrame:
     return finish(combined_table(spark, d, "script"))
+
+
+# ---------------------------------------------------------------------------
+# calendar (C1-C9, C14, U3)
+# ---------------------------------------------------------------------------
+
+from ..functions import calendar as cal  # noqa: E402
+from ..functions import scalar as scl  # noqa: E402
+from ..operators import aggregates as agg  # noqa: E402
+from ..operators import dedup as dd  # noqa: E402
+from ..operators import filters as flt  # noqa: E402
+from ..operators import reshape as rs  # noqa: E402
+from ..schemas import DETAIL_DOC, OBSERVATION_DOC, SUMMARY_DOC, THRESHOLDS  # noqa: E402
+from ..sources import files as fs  # noqa: E402
+
+
+@register("calendar_labels", ["C3", "C4", "C5", "C6", "C7", "C8", "C9", "C14"])
+def q_calendar_labels(spark: SparkSession, d: str) -> DataFrame:
+    o = sup.table(spark, d, "orders")
+    days = o.select(cal.to_utc_timestamp_col("o_orderdate").alias("ts")).distinct()
+    out = days.select(
+        F.col("ts").cast("date").alias("day"),
+        cal.iso_year("ts").alias("iso_year"), cal.iso_week("ts").alias("iso_week"),
+        cal.year_week_label(cal.iso_year("ts"), cal.iso_week("ts"), "_").alias("label_underscore"),
+        cal.year_week_label(F.year("ts"), cal.iso_week("ts"), "-").alias("label_dash"),
+        cal.week_ending_sunday("ts").alias("week_end"),
+        cal.monday_sunday_first(F.year("ts"), cal.iso_week("ts")).alias("monday_u"),
+        cal.monday_monday_first(F.year("ts"), cal.iso_week("ts")).alias("monday_w"),
+        scl.as_text(F.dayofyear("ts")).alias("doy_text"))
+    return finish(out)
+
+
+@register("week_spine", ["C1", "C2", "U3"])
+def q_week_spine(spark: SparkSession, d: str) -> DataFrame:
+    """C1 spine for every report year plus the C2 trailing spine as of each year's last order day."""
+    o = sup.table(spark, d, "orders")
+    ts = cal.to_utc_timestamp_col("o_orderdate")
+    last = o.groupBy(F.year(ts).alias("as_of_year")).agg(F.max(ts).cast("date").alias("as_of"))
+    trailing = last.select("as_of", F.posexplode(cal.trailing_weeks("as_of")).alias("pos", "wk")) \
+        .select(F.lit("trailing").alias("kind"), "as_of", "pos", F.col("wk.year").alias("year"),
+                F.col("wk.week").alias("week"))
+    years = last.select(F.col("as_of_year").alias("year"), "as_of")
+    calendar = cal.weeks_of_years(years.select("year")).join(years, "year") \
+        .select(F.lit("calendar").alias("kind"), "as_of", (F.col("week") - 1).alias("pos"), "year", "week")
+    return finish(trailing.unionByName(calendar))
+
+
+# ---------------------------------------------------------------------------
+# landed documents
+# ---------------------------------------------------------------------------
+
+@register("summary_flatten", ["S1", "P1", "U1", "P4", "C3", "E1", "P11"])
+def q_summary_flatten(spark: SparkSession, d: str) -> DataFrame:
+    """Weekly summary documents rebuilt from the reports (pages of at most 1000 localities),
+    landed as JSON text, parsed with the declared schema and flattened back (E1)."""
+    fish = sup.fish_table(spark, d)
+    camel = {f.name.lower(): f.name for f in SUMMARY_DOC["localities"].dataType.elementType.fields}
+    loc_struct = F.struct(*[F.col(k).alias(v) for k, v in camel.items()])
+    docs = (fish.groupBy("year", "week", F.floor(F.col("localityweekid") / 1000).alias("page"))
+            .agg(F.collect_list(loc_struct).alias("localities")))
+    landed = rs.json_text(docs, ["year", "week", "localities"])
+    parsed = rs.parse_json_text(landed, SUMMARY_DOC)
+    return finish(pl.year_summary(parsed))
+
+
+@register("detail_extract", ["S2", "P2", "P4"])
+def q_detail_extract(spark: SparkSession, d: str) -> DataFrame:
+    rep = sup.lice_reports(spark, d)
+    docs = rep.select("municipalityno", "year", "week", F.to_json(F.struct(
+        F.col("municipalityno").cast("long").alias("localityNo"), "year", "week",
+        F.col("localityname").alias("localityName"),
+        F.struct(F.col("avgadultfemalelice").alias("avgAdultFemaleLice"),
+                 F.col("avgmobilelice").alias("avgMobileLice"),
+                 F.col("avgstationarylice").alias("avgStationaryLice"),
+                 F.col("seatemperature").alias("seaTemperature")).alias("localityWeek"),
+        F.struct(F.col("specieslist").alias("speciesList")).alias("aquaCultureRegister"))).alias("json"))
+    parsed = rs.parse_json_text(docs, DETAIL_DOC)
+    flat = rs.lower_columns(rs.extract_detail(parsed, ["localityNo", "year", "week"]))
+    return finish(flat.withColumn("specieslist", scl.join_text("specieslist")))
+
+
+@register("observations_flatten", ["S3", "P3", "U2", "C8", "P6"])
+def q_observations_flatten(spark: SparkSession, d: str) -> DataFrame:
+    obs = sup.observations(spark, d)
+    per_source = (obs.groupBy("municipalityno", "sourceid", "referencetime")
+                  .agg(F.collect_list(F.struct(F.col("elementid").alias("elementId"), "value", "unit",
+                                               F.col("timeoffset").alias("timeOffset"))).alias("observations")))
+    docs = (per_source.groupBy("municipalityno", "referencetime")
+            .agg(F.collect_list(F.struct(
+                F.col("sourceid").alias("sourceId"),
+                F.date_format("referencetime", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("referenceTime"),
+                "observations")).alias("data")))
+    landed = docs.select("municipalityno", F.to_json(F.struct("data")).alias("json"))
+    parsed = landed.select("municipalityno", F.from_json("json", OBSERVATION_DOC).alias("doc")) \
+        .select("municipalityno", "doc.*")
+    return finish(rs.flatten_observations(parsed, ["municipalityno"]))
+
+
+@register("lice_counts", ["E2", "J4", "C1", "C3", "P2", "P4", "P8"])
+def q_lice_counts(spark: SparkSession, d: str) -> DataFrame:
+    lice = rs.drop_all_null_columns(lice_table(spark, d))
+    return finish(lice.withColumn("specieslist", scl.join_text("specieslist")))
+
+
+@register("lice_null_counts", ["A14"])
+def q_lice_null_counts(spark: SparkSession, d: str) -> DataFrame:
+    lice = lice_table(spark, d)
+    return agg.null_counts(lice, ["avgadultfemalelice", "avgmobilelice", "avgstationarylice", "seatemperature",
+                                  "localityname", "specieslist", "year_week", "week", "year"])
+
+
+# ---------------------------------------------------------------------------
+# weekly national / regional series
+# ---------------------------------------------------------------------------
+
+def _labelled_fish(spark: SparkSession, d: str) -> DataFrame:
+    fish = sup.fish_table(spark, d)
+    return fish.withColumn("year_week", cal.year_week_label("year", "week", "-"))
+
+
+@register("weekly_lice_mean", ["A3", "C7", "C4", "V6"])
+def q_weekly_lice_mean(spark: SparkSession, d: str) -> DataFrame:
+    fish = _labelled_fish(spark, d)
+    m = agg.group_mean(fish, ["year_week", "year", "week"], ["avgadultfemalelice"],
+                       {"avgadultfemalelice": "avg_adult_female_lice"})
+    return finish(m.select("year_week", "avg_adult_female_lice",
+                           cal.monday_monday_first("year", "week").alias("date")))
+
+
+@register("weekly_disease_share", ["A4", "C4", "V6"])
+def q_weekly_disease_share(spark: SparkSession, d: str) -> DataFrame:
+    fish = _labelled_fish(spark, d)
+    m = agg.group_mean(fish, ["year_week", "year", "week"], ["haspd", "hasila"], drop_all_null=True)
+    return finish(m.select("year_week", "haspd", "hasila", cal.monday_monday_first("year", "week").alias("date")))
+
+
+@register("region_weekly_lice", ["A5", "C10", "C4", "V6"])
+def q_region_weekly_lice(spark: SparkSession, d: str) -> DataFrame:
+    fish = _labelled_fish(spark, d).withColumn("region", scl.region_of_latitude("lat"))
+    m = agg.group_mean(fish, ["region", "year_week", "year", "week"], ["avgadultfemalelice"], drop_all_null=True)
+    return finish(m.select("region", "year_week", "avgadultfemalelice",
+                           cal.monday_monday_first("year", "week").alias("date")))
+
+
+# ---------------------------------------------------------------------------
+# dashboard datasets
+# ---------------------------------------------------------------------------
+
+@register("metric_over_time_bool", ["A9", "V3"])
+def q_metric_over_time_bool(spark: SparkSession, d: str) -> DataFrame:
+    return finish(agg.metric_over_time(sup.fish_table(spark, d), "haspd"))
+
+
+@register("metric_over_time_numeric", ["A9", "V3", "W10"])
+def q_metric_over_time_numeric(spark: SparkSession, d: str) -> DataFrame:
+    return finish(agg.metric_over_time(sup.fish_table(spark, d), "avgadultfemalelice"))
+
+
+@register("disease_share", ["A10", "A11", "R1", "V2"])
+def q_disease_share(spark: SparkSession, d: str) -> DataFrame:
+    fish = flt.select_name(sup.fish_table(spark, d), flt.ALL)
+    return finish(agg.with_share(agg.value_counts(fish, "haspd")))
+
+
+@register("disease_share_by_locality", ["A10", "A11", "R1", "V2"])
+def q_disease_share_by_locality(spark: SparkSession, d: str) -> DataFrame:
+    fish = sup.fish_table(spark, d)
+    return finish(agg.with_share(agg.value_counts(fish, "haspd", by=["name"]), by=["name"]))
+
+
+@register("locality_points", ["D2", "D7", "P10", "R12", "D4", "V1", "P6"])
+def q_locality_points(spark: SparkSession, d: str) -> DataFrame:
+    fish = sup.fish_table(spark, d)
+    first = dd.keep_first(fish, ["name"], ["year", "week", "localityweekid"], ["lat", "lon", "haspd", "localityno"])
+    marked = dd.mark_selected(first.select("name", "lat", "lon"), selected=3, order_by=["name"])
+    return finish(marked.withColumn("key", F.col("ordinal").cast("string")))
+
+
+@register("first_report_per_locality", ["D1", "R2", "R3"])
+def q_first_report_per_locality(spark: SparkSession, d: str) -> DataFrame:
+    fish = sup.fish_table(spark, d)
+    return finish(flt.lookup_first_bulk(fish, "localityno", ["name", "lat", "lon", "localityweekid"],
+                                        ["localityweekid"]))
+
+
+@register("combined_alerts", ["A12", "A13", "W9", "W10", "V4"])
+def q_combined_alerts(spark: SparkSession, d: str) -> DataFrame:
+    comb = combined_table(spark, d)
+    return finish(agg.threshold_alerts(comb, THRESHOLDS, by=["municipalityno"], ts_col="referencetime"))
+
+
+@register("fish_table_shape", ["A20"])
+def q_fish_table_shape(spark: SparkSession, d: str) -> DataFrame:
+    return agg.shape(sup.fish_table(spark, d))
+
+
+@register("element_catalog", ["A19"])
+def q_element_catalog(spark: SparkSession, d: str) -> DataFrame:
+    return agg.distinct_values(sup.observations(spark, d), "elementid")
+
+
+@register("element_series_year", ["R5", "R6", "R8"])
+def q_element_series_year(spark: SparkSession, d: str) -> DataFrame:
+    """Daily precipitation per station for one calendar year (the year is the request parameter)."""
+    year = 1997
+    assert flt.year_is_valid(year, lo=1990, hi=2022)
+    obs = flt.date_range(sup.observations(spark, d), "referencetime", year=year)
+    return finish(flt.element_series(obs, "sum(precipitation_amount P1D)", keys=["sourceid"]))
+
+
+# ---------------------------------------------------------------------------
+# demo roster
+# ---------------------------------------------------------------------------
+
+ROSTER_MIN = {"length_cm": 25, "weight_g": 300}
+
+
+@register("roster_metrics", ["R4", "A15", "A16", "C11", "C12", "C13", "V5"])
+def q_roster_metrics(spark: SparkSession, d: str) -> DataFrame:
+    return finish(agg.roster_metrics(flt.at_least(sup.roster(spark, d), ROSTER_MIN)))
+
+
+@register("roster_role_counts", ["A17", "V5"])
+def q_roster_role_counts(spark: SparkSession, d: str) -> DataFrame:
+    return agg.count_by(flt.at_least(sup.roster(spark, d), ROSTER_MIN), "role")
+
+
+@register("roster_role_means", ["A18", "V5"])
+def q_roster_role_means(spark: SparkSession, d: str) -> DataFrame:
+    return finish(agg.means_by(flt.at_least(sup.roster(spark, d), ROSTER_MIN), "role", ["length_cm", "weight_g"]))
+
+
+# ---------------------------------------------------------------------------
+# keyed upsert
+# ---------------------------------------------------------------------------
+
+@register("upsert_reports", ["S8", "S7"])
+def q_upsert_reports(spark: SparkSession, d: str) -> DataFrame:
+    """Open orders are re-reported in a second batch with a corrected lice count; per key the
+    newer batch wins and keeps its whole row."""
+    fish = sup.fish_table(spark, d)
+    existing = fish.select("localityweekid", "localityno", "year", "week", "avgadultfemalelice")
+    batch = fish.where(~F.col("isfallow") & F.col("hasila")) \
+        .select("localityweekid", "localityno", "year", "week",
+                (F.col("avgadultfemalelice") + F.lit(0.01)).alias("avgadultfemalelice"))
+    return finish(fs.upsert(existing, batch, ["localityweekid"]))

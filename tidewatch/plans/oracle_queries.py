@@ -14,3 +14,176 @@ _COMBINED_SELECT = """SELECT municipalityno, CAST(referencetime AS DATE) AS refe
 FROM combined"""
 
 SQL["combine_weekly"] = with_ctes(_COMBINED_SELECT, "combine")
+
+
+def monday_u(y: str, w: str) -> str:
+    """C3 in SQL: %U Monday of (year, week)."""
+    j = f"make_date(CAST({y} AS INTEGER), 1, 1)"
+    return f"CAST({j} + CAST(((6 - (isodow({j}) - 1)) % 7 + 7) % 7 + 7 * ({w} - 1) + 1 AS INTEGER) AS DATE)"
+
+
+def monday_w(y: str, w: str) -> str:
+    """C4 in SQL: %W Monday of (year, week)."""
+    j = f"make_date(CAST({y} AS INTEGER), 1, 1)"
+    return f"CAST({j} + CAST(((7 - (isodow({j}) - 1)) % 7 + 7) % 7 + 7 * ({w} - 1) AS INTEGER) AS DATE)"
+
+
+def rnd(col: str, alias: str | None = None, digits: int = 6) -> str:
+    return f"round({col}, {digits}) AS {alias or col.split('.')[-1]}"
+
+
+SQL["calendar_labels"] = f"""
+SELECT DISTINCT CAST(o_orderdate AS DATE) AS day,
+  CAST(isoyear(o_orderdate) AS INTEGER) AS iso_year, CAST(weekofyear(o_orderdate) AS INTEGER) AS iso_week,
+  CAST(isoyear(o_orderdate) AS VARCHAR) || '_' || CAST(weekofyear(o_orderdate) AS VARCHAR) AS label_underscore,
+  CAST(year(o_orderdate) AS VARCHAR) || '-' || CAST(weekofyear(o_orderdate) AS VARCHAR) AS label_dash,
+  CAST(date_trunc('week', o_orderdate) + INTERVAL 6 DAY AS DATE) AS week_end,
+  {monday_u('year(o_orderdate)', 'weekofyear(o_orderdate)')} AS monday_u,
+  {monday_w('year(o_orderdate)', 'weekofyear(o_orderdate)')} AS monday_w,
+  CAST(dayofyear(o_orderdate) AS VARCHAR) AS doy_text
+FROM orders"""
+
+SQL["week_spine"] = """
+WITH last AS (SELECT CAST(year(o_orderdate) AS INTEGER) AS as_of_year, CAST(max(o_orderdate) AS DATE) AS as_of
+              FROM orders GROUP BY 1),
+tw AS (SELECT as_of, CAST((dayofyear(as_of) - 1) // 7 + 1 AS INTEGER) AS w, CAST(year(as_of) AS INTEGER) AS y FROM last),
+prev AS (SELECT as_of, w, y, unnest(generate_series(w + 1, 52)) AS k FROM tw),
+cur AS (SELECT as_of, w, y, unnest(generate_series(1, w)) AS k FROM tw),
+cal AS (SELECT as_of, as_of_year, unnest(generate_series(1, 52)) AS k FROM last)
+SELECT 'trailing' AS kind, as_of, CAST(k - (w + 1) AS INTEGER) AS pos, y - 1 AS year, CAST(k AS INTEGER) AS week FROM prev
+UNION ALL
+SELECT 'trailing', as_of, CAST(greatest(52 - w, 0) + k - 1 AS INTEGER), y, CAST(k AS INTEGER) FROM cur
+UNION ALL
+SELECT 'calendar', as_of, CAST(k - 1 AS INTEGER), as_of_year, CAST(k AS INTEGER) FROM cal"""
+
+_FISH_COLS = ("localityno, localityweekid, name, hasreportedlice, isfallow, round(avgadultfemalelice, 6) AS avgadultfemalelice, "
+              "hascleanerfishdeployed, hasmechanicalremoval, hassubstancetreatments, haspd, hasila, municipalityno, "
+              "municipality, round(lat, 6) AS lat, round(lon, 6) AS lon, isonland, infilteredselection, hassalmonoids, "
+              "isslaughterholdingcage, year, week, date")
+
+SQL["summary_flatten"] = with_ctes(f"SELECT {_FISH_COLS} FROM fish", "fish")
+
+SQL["detail_extract"] = with_ctes("""
+SELECT CAST(municipalityno AS BIGINT) AS localityno, year, week,
+  round(avgadultfemalelice, 6) AS avgadultfemalelice, round(avgmobilelice, 6) AS avgmobilelice,
+  round(avgstationarylice, 6) AS avgstationarylice, round(seatemperature, 6) AS seatemperature,
+  localityname, array_to_string(specieslist, ',') AS specieslist
+FROM repn""", "repn")
+
+SQL["observations_flatten"] = with_ctes("""
+SELECT municipalityno, sourceid, CAST(referencetime AS DATE) AS referencetime, elementid,
+  round(value, 6) AS value, unit, timeoffset FROM obs""", "obs")
+
+SQL["lice_counts"] = with_ctes("""
+SELECT municipalityno, localityname, year, week, round(avgadultfemalelice, 6) AS avgadultfemalelice,
+  round(avgmobilelice, 6) AS avgmobilelice, round(avgstationarylice, 6) AS avgstationarylice,
+  round(seatemperature, 6) AS seatemperature, array_to_string(specieslist, ',') AS specieslist, year_week
+FROM lice""", "lice")
+
+SQL["lice_null_counts"] = with_ctes("""
+SELECT count(*) - count(avgadultfemalelice) AS avgadultfemalelice, count(*) - count(avgmobilelice) AS avgmobilelice,
+  count(*) - count(avgstationarylice) AS avgstationarylice, count(*) - count(seatemperature) AS seatemperature,
+  count(*) - count(localityname) AS localityname, count(*) - count(specieslist) AS specieslist,
+  count(*) - count(year_week) AS year_week, count(*) - count(week) AS week, count(*) - count(year) AS year
+FROM lice""", "lice")
+
+SQL["weekly_lice_mean"] = with_ctes(f"""
+SELECT year_week, round(avg(avgadultfemalelice), 6) AS avg_adult_female_lice, {monday_w('year', 'week')} AS date
+FROM (SELECT *, CAST(year AS VARCHAR) || '-' || CAST(week AS VARCHAR) AS year_week FROM fish)
+GROUP BY year_week, year, week""", "fish")
+
+SQL["weekly_disease_share"] = with_ctes(f"""
+SELECT year_week, round(avg(CAST(haspd AS DOUBLE)), 6) AS haspd, round(avg(CAST(hasila AS DOUBLE)), 6) AS hasila,
+  {monday_w('year', 'week')} AS date
+FROM (SELECT *, CAST(year AS VARCHAR) || '-' || CAST(week AS VARCHAR) AS year_week FROM fish)
+GROUP BY year_week, year, week
+HAVING avg(CAST(haspd AS DOUBLE)) IS NOT NULL OR avg(CAST(hasila AS DOUBLE)) IS NOT NULL""", "fish")
+
+_REGION = ("CASE WHEN lat < 63.81 THEN 'South' WHEN lat <= 68.85 THEN 'Middle' WHEN lat > 68.85 THEN 'North' "
+           "ELSE 'NaN' END")
+
+SQL["region_weekly_lice"] = with_ctes(f"""
+SELECT region, year_week, round(avg(avgadultfemalelice), 6) AS avgadultfemalelice, {monday_w('year', 'week')} AS date
+FROM (SELECT *, {_REGION} AS region, CAST(year AS VARCHAR) || '-' || CAST(week AS VARCHAR) AS year_week FROM fish)
+GROUP BY region, year_week, year, week
+HAVING avg(avgadultfemalelice) IS NOT NULL""", "fish")
+
+SQL["metric_over_time_bool"] = with_ctes(
+    "SELECT date, round(avg(CAST(haspd AS DOUBLE)), 6) AS haspd FROM fish GROUP BY date", "fish")
+
+SQL["metric_over_time_numeric"] = with_ctes(
+    "SELECT date, round(avgadultfemalelice, 6) AS avgadultfemalelice FROM fish", "fish")
+
+SQL["disease_share"] = with_ctes("""
+SELECT haspd, count, round(round(count * 100.0 / sum(count) OVER (), 1), 6) AS share_pct
+FROM (SELECT haspd, count(*) AS count FROM fish WHERE haspd IS NOT NULL GROUP BY haspd)""", "fish")
+
+SQL["disease_share_by_locality"] = with_ctes("""
+SELECT name, haspd, count, round(round(count * 100.0 / sum(count) OVER (PARTITION BY name), 1), 6) AS share_pct
+FROM (SELECT name, haspd, count(*) AS count FROM fish WHERE haspd IS NOT NULL GROUP BY name, haspd)""", "fish")
+
+SQL["locality_points"] = with_ctes("""
+SELECT name, round(lat, 6) AS lat, round(lon, 6) AS lon, ordinal,
+  CASE WHEN ordinal = 3 THEN 20 ELSE 10 END AS size, CAST(ordinal AS VARCHAR) AS key
+FROM (SELECT name, lat, lon, row_number() OVER (ORDER BY name) - 1 AS ordinal
+      FROM (SELECT name, lat, lon, row_number() OVER (PARTITION BY name ORDER BY year, week, localityweekid) AS rn
+            FROM fish) WHERE rn = 1)""", "fish")
+
+SQL["first_report_per_locality"] = with_ctes("""
+SELECT localityno, name, round(lat, 6) AS lat, round(lon, 6) AS lon, localityweekid
+FROM (SELECT *, row_number() OVER (PARTITION BY localityno ORDER BY localityweekid) AS rn FROM fish) WHERE rn = 1""",
+                                             "fish")
+
+
+def _alerts_sql() -> str:
+    from ..schemas import THRESHOLDS
+    aggs = ", ".join(
+        f"coalesce(bool_or({m} > {t}), false) AS h_{m}, coalesce(bool_or({m} IS NULL), false) AS m_{m}"
+        for m, t in THRESHOLDS.items())
+    parts = [f"SELECT municipalityno, CAST(first_time AS DATE) AS first_time, CAST(last_time AS DATE) AS last_time, "
+             f"'{m}' AS metric, CAST({t} AS DOUBLE) AS threshold, h_{m} AS too_high, m_{m} AS missing FROM a"
+             for m, t in THRESHOLDS.items()]
+    body = (f", a AS (SELECT municipalityno, min(referencetime) AS first_time, max(referencetime) AS last_time, {aggs} "
+            f"FROM combined GROUP BY municipalityno)\n" + "\nUNION ALL\n".join(parts))
+    return body
+
+
+_alerts = with_ctes("SELECT 1", "combine")
+SQL["combined_alerts"] = _alerts[:-len("SELECT 1")].rstrip() + _alerts_sql()
+
+SQL["fish_table_shape"] = with_ctes("SELECT count(*) AS n_rows, CAST(22 AS BIGINT) AS n_cols FROM fish", "fish")
+
+SQL["element_catalog"] = with_ctes("SELECT DISTINCT elementid FROM obs", "obs")
+
+SQL["element_series_year"] = with_ctes("""
+SELECT sourceid, CAST(referencetime AS DATE) AS referencetime, round(value, 6) AS value FROM obs
+WHERE elementid = 'sum(precipitation_amount P1D)'
+  AND CAST(referencetime AS DATE) BETWEEN DATE '1997-01-01' AND DATE '1997-12-31'""", "obs")
+
+_ROSTER_WHERE = "WHERE length_cm >= 25 AND weight_g >= 300"
+
+SQL["roster_metrics"] = with_ctes(f"""
+SELECT average_weight, average_length, average_bmi, diversity,
+  '+Acceptable' AS average_weight_note, '+Acceptable' AS average_length_note,
+  CASE WHEN average_bmi >= 5.2 THEN '-Overweight' ELSE '+Acceptable' END AS average_bmi_note,
+  CASE WHEN diversity < 0.8 THEN '-Not diverse' ELSE '+Acceptable' END AS diversity_note
+FROM (SELECT round_even(avg(weight_g), 0) AS average_weight, round_even(avg(length_cm), 0) AS average_length,
+        round_even(avg((weight_g / 1000.0) / ((length_cm / 100.0) * (length_cm / 100.0))), 2) AS average_bmi,
+        round_even(count(DISTINCT feather_color) / count(*), 2) AS diversity
+      FROM roster {_ROSTER_WHERE})""", "roster")
+
+SQL["roster_role_counts"] = with_ctes(f"SELECT role, count(*) AS count FROM roster {_ROSTER_WHERE} GROUP BY role",
+                                      "roster")
+
+SQL["roster_role_means"] = with_ctes(f"""
+SELECT role, round(avg(length_cm), 6) AS length_cm, round(avg(weight_g), 6) AS weight_g
+FROM roster {_ROSTER_WHERE} GROUP BY role""", "roster")
+
+SQL["upsert_reports"] = with_ctes("""
+SELECT localityweekid, localityno, year, week, round(avgadultfemalelice, 6) AS avgadultfemalelice
+FROM (SELECT *, row_number() OVER (PARTITION BY localityweekid ORDER BY seq DESC) AS rn
+      FROM (SELECT localityweekid, localityno, year, week, avgadultfemalelice, 0 AS seq FROM fish
+            UNION ALL
+            SELECT localityweekid, localityno, year, week, avgadultfemalelice + 0.01, 1 FROM fish
+            WHERE NOT isfallow AND hasila))
+WHERE rn = 1""", "fish")
