@@ -311,3 +311,103 @@ def q_upsert_reports(spark: SparkSession, d: str) -> DataFrame:
         .select("localityweekid", "localityno", "year", "week",
                 (F.col("avgadultfemalelice") + F.lit(0.01)).alias("avgadultfemalelice"))
     return finish(fs.upsert(existing, batch, ["localityweekid"]))
+
+
+# ---------------------------------------------------------------------------
+# ordered series (W1-W8) on the weekly lice table / weekly panel, per municipality
+# ---------------------------------------------------------------------------
+
+from ..operators import joins as jn  # noqa: E402
+from ..operators import robust as rb  # noqa: E402
+from ..operators import series as ser  # noqa: E402
+from ..schemas import COMBINED_METRICS, LICE_COLUMNS  # noqa: E402
+
+BY_MUN = ["municipalityno"]
+LAGS = [0, 1, 2, 3, 4]
+
+
+@register("lagged_correlation", ["W1", "W3", "R10", "P7"])
+def q_lagged_correlation(spark: SparkSession, d: str) -> DataFrame:
+    lice = rs.drop_columns(lice_table(spark, d), ["localityname", "specieslist", "week", "year"])
+    return finish(ser.lagged_correlation(lice, "avgadultfemalelice", "seatemperature", LAGS, BY_MUN, ["year_week"]))
+
+
+@register("sliding_correlation", ["W4", "W5"])
+def q_sliding_correlation(spark: SparkSession, d: str) -> DataFrame:
+    lice = lice_table(spark, d).select("municipalityno", "year_week", "seatemperature", "avgadultfemalelice")
+    swc = ser.sliding_correlation(lice, "seatemperature", "avgadultfemalelice", 5, BY_MUN, ["year_week"])
+    framed = ser.highlight_frame(swc, center=10, window=5, by=BY_MUN, order_by=["year_week"])
+    return finish(framed.select("municipalityno", "year_week", "swc", "in_frame"))
+
+
+@register("densify_lag_backfill", ["W6", "W2", "P7", "C8", "E5"])
+def q_densify_lag_backfill(spark: SparkSession, d: str) -> DataFrame:
+    comb = rs.drop_columns(combined_table(spark, d), ["localityname"])
+    dense = ser.densify_weekly(comb, "referencetime", BY_MUN)
+    return finish(ser.lag_backfill(dense, COMBINED_METRICS, BY_MUN, ["referencetime"]))
+
+
+@register("gaussian_smoothing", ["W7", "W10", "E4"])
+def q_gaussian_smoothing(spark: SparkSession, d: str) -> DataFrame:
+    lice = lice_table(spark, d).select("municipalityno", "year_week", *LICE_COLUMNS)
+    sm = ser.gaussian_smooth(lice, LICE_COLUMNS, BY_MUN, ["year_week"], sigma=1.0)
+    return finish(sm.select("municipalityno", "year_week", *[f"{c}_smooth" for c in LICE_COLUMNS]))
+
+
+@register("lice_proportions", ["W8"])
+def q_lice_proportions(spark: SparkSession, d: str) -> DataFrame:
+    lice = lice_table(spark, d).select("municipalityno", "year_week", *LICE_COLUMNS)
+    return finish(ser.lice_proportions(lice, LICE_COLUMNS).drop(*LICE_COLUMNS))
+
+
+@register("top_precipitation_weeks", ["D5", "D4"])
+def q_top_precipitation_weeks(spark: SparkSession, d: str) -> DataFrame:
+    """Top-10 report: the wettest weeks of the weekly panel (the limit is the feature)."""
+    comb = combined_table(spark, d).select("municipalityno", "referencetime", "sum_precipitation_amount")
+    return finish(dd.head(comb, 10, [F.desc("sum_precipitation_amount"), "municipalityno", "referencetime"]))
+
+
+@register("sample_members", ["D6"])
+def q_sample_members(spark: SparkSession, d: str) -> DataFrame:
+    s = dd.sample_rows(sup.roster(spark, d), 3, seed=7, key="name")
+    return s.select("key", F.to_json("record").alias("record"))
+
+
+# ---------------------------------------------------------------------------
+# joins: k nearest stations
+# ---------------------------------------------------------------------------
+
+@register("nearest_stations", ["J5", "S4", "R7"])
+def q_nearest_stations(spark: SparkSession, d: str) -> DataFrame:
+    near = jn.nearest_stations(sup.localities(spark, d), sup.stations(spark, d), k=5)
+    return finish(near)
+
+
+# ---------------------------------------------------------------------------
+# process control
+# ---------------------------------------------------------------------------
+
+def _chartable(spark: SparkSession, d: str) -> DataFrame:
+    """Complete lice rows of the municipalities with enough weeks for a non-singular chart (n > p + 1)."""
+    lice = lice_table(spark, d).select("municipalityno", "year_week", *LICE_COLUMNS).dropna(subset=LICE_COLUMNS)
+    enough = lice.groupBy("municipalityno").agg(F.count(F.lit(1)).alias("_k")) \
+        .where(F.col("_k") > len(LICE_COLUMNS) + 1).select("municipalityno")
+    return lice.join(enough, "municipalityno", "left_semi")
+
+
+CHART_COLUMNS = ["avgstationarylice", "avgmobilelice", "avgadultfemalelice"]
+
+
+@register("hotelling_t2", ["M2"])
+def q_hotelling_t2(spark: SparkSession, d: str) -> DataFrame:
+    t2 = rb.hotelling_t2(_chartable(spark, d), CHART_COLUMNS, BY_MUN, alpha=0.0027)
+    return finish(t2.select("municipalityno", "year_week", "t2", "f_stat"))
+
+
+@register("control_chart", ["M1", "M2", "M3", "E4"])
+def q_control_chart(spark: SparkSession, d: str) -> DataFrame:
+    data = _chartable(spark, d)
+    center = rb.min_cov_det(data, CHART_COLUMNS, BY_MUN, n_trials=30, n_best=10, seed=0)
+    chart = rb.hotelling_t2(data, CHART_COLUMNS, BY_MUN, center=center, n=None, alpha=0.0027)
+    return finish(chart.select("municipalityno", "year_week", "t2", "f_stat", "p_value", "t2_limit",
+                               "t2_exceeds", "p_exceeds"))

@@ -187,3 +187,131 @@ FROM (SELECT *, row_number() OVER (PARTITION BY localityweekid ORDER BY seq DESC
             SELECT localityweekid, localityno, year, week, avgadultfemalelice + 0.01, 1 FROM fish
             WHERE NOT isfallow AND hasila))
 WHERE rn = 1""", "fish")
+
+
+# --- ordered series -------------------------------------------------------------------
+
+_LAG_COLS = ", ".join(f"lag(avgadultfemalelice, {k}) OVER w AS x{k}" if k else "avgadultfemalelice AS x0"
+                      for k in range(5))
+_LAG_UNION = "\nUNION ALL\n".join(f"SELECT municipalityno, {k} AS lag, y, x{k} AS xl FROM l" for k in range(5))
+
+SQL["lagged_correlation"] = with_ctes(f"""
+, l AS (SELECT municipalityno, seatemperature AS y, {_LAG_COLS}
+        FROM lice WINDOW w AS (PARTITION BY municipalityno ORDER BY year_week)),
+u AS ({_LAG_UNION}),
+v AS (SELECT municipalityno, lag, CASE WHEN xl IS NOT NULL AND y IS NOT NULL THEN xl END AS xv,
+             CASE WHEN xl IS NOT NULL AND y IS NOT NULL THEN y END AS yv FROM u)
+SELECT municipalityno, lag, count(xv) AS n_pairs,
+  round(CASE WHEN stddev_pop(xv) * stddev_pop(yv) = 0 THEN NULL
+             ELSE covar_pop(xv, yv) / (stddev_pop(xv) * stddev_pop(yv)) END, 6) AS corr
+FROM v GROUP BY municipalityno, lag""", "lice")
+
+SQL["sliding_correlation"] = with_ctes("""
+, b AS (SELECT municipalityno, year_week,
+          CASE WHEN seatemperature IS NOT NULL AND avgadultfemalelice IS NOT NULL THEN seatemperature END AS xv,
+          CASE WHEN seatemperature IS NOT NULL AND avgadultfemalelice IS NOT NULL THEN avgadultfemalelice END AS yv,
+          row_number() OVER (PARTITION BY municipalityno ORDER BY year_week) - 1 AS idx
+        FROM lice)
+SELECT municipalityno, year_week,
+  round(CASE WHEN count(xv) OVER f = 5 THEN
+          CASE WHEN (stddev_pop(xv) OVER f) * (stddev_pop(yv) OVER f) = 0 THEN NULL
+               ELSE (covar_pop(xv, yv) OVER f) / ((stddev_pop(xv) OVER f) * (stddev_pop(yv) OVER f)) END
+        END, 6) AS swc,
+  (idx >= 8 AND idx < 12) AS in_frame
+FROM b
+WINDOW f AS (PARTITION BY municipalityno ORDER BY year_week ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING)""", "lice")
+
+
+_METRICS = ["mean_air_temperature", "mean_relative_humidity", "mean_wind_speed", "sum_precipitation_amount",
+            "avgadultfemalelice", "avgmobilelice", "avgstationarylice", "seatemperature"]
+_LAGGED = ", ".join(f"lag({m}, 1) OVER w AS {m}_lag0" for m in _METRICS)
+_BFILL = ", ".join(f"round(first_value({m}_lag0 IGNORE NULLS) OVER fw, 6) AS {m}_lag" for m in _METRICS)
+_RAW = ", ".join(f"round({m}, 6) AS {m}" for m in _METRICS)
+
+SQL["densify_lag_backfill"] = with_ctes(f"""
+, bounds AS (SELECT municipalityno, min(referencetime) AS lo, max(referencetime) AS hi FROM combined GROUP BY 1),
+grid AS (SELECT municipalityno, unnest(generate_series(lo, hi, INTERVAL 7 DAY)) AS referencetime FROM bounds),
+dense AS (SELECT g.municipalityno, g.referencetime, {", ".join("c." + m for m in _METRICS)}
+          FROM grid g LEFT JOIN combined c ON c.municipalityno = g.municipalityno AND c.referencetime = g.referencetime),
+lagged AS (SELECT *, {_LAGGED} FROM dense WINDOW w AS (PARTITION BY municipalityno ORDER BY referencetime))
+SELECT municipalityno, CAST(referencetime AS DATE) AS referencetime, {_RAW}, {_BFILL}
+FROM lagged
+WINDOW fw AS (PARTITION BY municipalityno ORDER BY referencetime ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)""",
+                                        "combine")
+
+
+def _gauss_sql() -> str:
+    from ..operators.series import gaussian_weights
+    wts = gaussian_weights(1.0)
+    r = (len(wts) - 1) // 2
+    values = ", ".join(f"({k - r}, {w!r})" for k, w in enumerate(wts))
+    cols = ["avgadultfemalelice", "avgmobilelice", "avgstationarylice"]
+    sums = ", ".join(f"round(CASE WHEN count(x.{c}) = {len(wts)} THEN sum(s.w * x.{c}) END, 6) AS {c}_smooth"
+                     for c in cols)
+    return f"""
+, b AS (SELECT municipalityno, year_week, {", ".join(cols)},
+          row_number() OVER (PARTITION BY municipalityno ORDER BY year_week) - 1 AS i,
+          count(*) OVER (PARTITION BY municipalityno) AS n FROM lice),
+k AS (SELECT * FROM (VALUES {values}) kk(k, w)),
+src AS (SELECT b.municipalityno, b.year_week, b.n, k.w, (((b.i + k.k) % (2 * b.n)) + 2 * b.n) % (2 * b.n) AS j0
+        FROM b, k),
+src2 AS (SELECT *, CASE WHEN j0 >= n THEN 2 * n - 1 - j0 ELSE j0 END AS j FROM src)
+SELECT s.municipalityno, s.year_week, {sums}
+FROM src2 s JOIN b x ON x.municipalityno = s.municipalityno AND x.i = s.j
+GROUP BY s.municipalityno, s.year_week"""
+
+
+SQL["gaussian_smoothing"] = with_ctes(_gauss_sql(), "lice")
+
+SQL["lice_proportions"] = with_ctes("""
+SELECT municipalityno, year_week, round(total, 6) AS total,
+  round(CASE WHEN total = 0 THEN NULL ELSE avgadultfemalelice / total END, 6) AS avgadultfemalelice_proportion,
+  round(CASE WHEN total = 0 THEN NULL ELSE avgmobilelice / total END, 6) AS avgmobilelice_proportion,
+  round(CASE WHEN total = 0 THEN NULL ELSE avgstationarylice / total END, 6) AS avgstationarylice_proportion
+FROM (SELECT *, avgadultfemalelice + avgmobilelice + avgstationarylice AS total FROM lice)""", "lice")
+
+SQL["top_precipitation_weeks"] = with_ctes("""
+SELECT municipalityno, CAST(referencetime AS DATE) AS referencetime,
+  round(sum_precipitation_amount, 6) AS sum_precipitation_amount
+FROM combined ORDER BY sum_precipitation_amount DESC, municipalityno, referencetime LIMIT 10""", "combine")
+
+SQL["nearest_stations"] = with_ctes("""
+SELECT localityno, CAST(rank AS INTEGER) AS rank, sourceid, round(distance_km, 6) AS distance_km
+FROM (SELECT l.localityno, s.sourceid, d.distance_km,
+             row_number() OVER (PARTITION BY l.localityno ORDER BY d.distance_km, s.sourceid) AS rank
+      FROM loc l, st s,
+           LATERAL (SELECT 2 * 6371.0088 * asin(least(1.0, sqrt(
+               pow(sin((radians(s.lat) - radians(l.lat)) / 2), 2)
+               + cos(radians(l.lat)) * cos(radians(s.lat)) * pow(sin((radians(s.lon) - radians(l.lon)) / 2), 2)
+           ))) AS distance_km) d)
+WHERE rank <= 5""", "loc", "st")
+
+_PAIRS = [(0, 0), (0, 1), (0, 2), (1, 1), (1, 2), (2, 2)]
+_CH = ["avgstationarylice", "avgmobilelice", "avgadultfemalelice"]
+
+
+def _t2_sql() -> str:
+    cov = ", ".join(f"covar_samp({_CH[i]}, {_CH[j]}) AS c{i}{j}" for i, j in _PAIRS)
+    means = ", ".join(f"avg({c}) AS m{i}" for i, c in enumerate(_CH))
+    det = "(c00 * (c11 * c22 - c12 * c12) - c01 * (c01 * c22 - c12 * c02) + c02 * (c01 * c12 - c11 * c02))"
+    inv = {
+        "i00": "(c11 * c22 - c12 * c12)", "i01": "(c02 * c12 - c01 * c22)", "i02": "(c01 * c12 - c02 * c11)",
+        "i11": "(c00 * c22 - c02 * c02)", "i12": "(c01 * c02 - c00 * c12)", "i22": "(c00 * c11 - c01 * c01)",
+    }
+    inv_sql = ", ".join(f"{v} / det AS {k}" for k, v in inv.items())
+    dev = [f"(x.{c} - m.m{i})" for i, c in enumerate(_CH)]
+    terms = " + ".join(f"{'' if i == j else '2 * '}{dev[i]} * {dev[j]} * m.i{i}{j}" for i, j in _PAIRS)
+    return f"""
+, comp AS (SELECT municipalityno, year_week, {", ".join(_CH)} FROM lice
+           WHERE {" AND ".join(c + " IS NOT NULL" for c in _CH)}),
+ok AS (SELECT municipalityno FROM comp GROUP BY municipalityno HAVING count(*) > 4),
+c AS (SELECT * FROM comp WHERE municipalityno IN (SELECT municipalityno FROM ok)),
+mom AS (SELECT municipalityno, count(*) AS n, {means}, {cov} FROM c GROUP BY municipalityno),
+mom2 AS (SELECT *, {det} AS det FROM mom),
+m AS (SELECT municipalityno, n, m0, m1, m2, {inv_sql} FROM mom2)
+SELECT x.municipalityno, x.year_week, round({terms}, 6) AS t2,
+  round((m.n - 3.0) / (3.0 * (m.n - 1.0)) * ({terms}), 6) AS f_stat
+FROM c x JOIN m ON m.municipalityno = x.municipalityno"""
+
+
+SQL["hotelling_t2"] = with_ctes(_t2_sql(), "lice")
