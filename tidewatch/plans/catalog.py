@@ -411,3 +411,52 @@ def q_control_chart(spark: SparkSession, d: str) -> DataFrame:
     chart = rb.hotelling_t2(data, CHART_COLUMNS, BY_MUN, center=center, n=None, alpha=0.0027)
     return finish(chart.select("municipalityno", "year_week", "t2", "f_stat", "p_value", "t2_limit",
                                "t2_exceeds", "p_exceeds"))
+
+
+# ---------------------------------------------------------------------------
+# forecasting study (M4-M7, E5)
+# ---------------------------------------------------------------------------
+
+from ..operators import arimax as ax  # noqa: E402
+
+M4_REGRESSORS = ["avgadultfemalelice", "avgmobilelice", "avgstationarylice", "mean_air_temperature",
+                 "mean_relative_humidity", "mean_wind_speed", "sum_precipitation_amount"]
+M5_REGRESSORS = M4_REGRESSORS + ["avgmobilelice_lag", "avgadultfemalelice_lag", "avgstationarylice_lag",
+                                 "mean_air_temperature_lag", "mean_wind_speed_lag", "mean_relative_humidity_lag",
+                                 "sum_precipitation_amount_lag"]
+DASHBOARD_REGRESSORS = ["seatemperature", "mean_air_temperature", "mean_relative_humidity", "mean_wind_speed",
+                        "sum_precipitation_amount"]
+
+
+def weekly_panel_dense(spark: SparkSession, d: str) -> DataFrame:
+    """E5 input: weekly panel per municipality, densified to every Sunday, lag-1 back-filled columns."""
+    comb = rs.drop_columns(combined_table(spark, d), ["localityname"])
+    dense = ser.densify_weekly(comb, "referencetime", BY_MUN)
+    return ser.lag_backfill(dense, COMBINED_METRICS, BY_MUN, ["referencetime"])
+
+
+@register("arimax_fit", ["M4", "M7", "E5"])
+def q_arimax_fit(spark: SparkSession, d: str) -> DataFrame:
+    coefs, _ = ax.arimax_fit(weekly_panel_dense(spark, d), "seatemperature", M4_REGRESSORS, BY_MUN, ["referencetime"])
+    return finish(coefs)
+
+
+@register("arimax_select_refit", ["M5", "M6", "M7", "E5"])
+def q_arimax_select_refit(spark: SparkSession, d: str) -> DataFrame:
+    """14-regressor model, regressors with p > 0.4 removed per municipality, refit; AIC of both."""
+    panel = weekly_panel_dense(spark, d)
+    coefs, fit_full = ax.arimax_fit(panel, "seatemperature", M5_REGRESSORS, BY_MUN, ["referencetime"])
+    active = ax.select_by_pvalue(coefs, M5_REGRESSORS, BY_MUN, 0.4)
+    _, fit_reduced = ax.arimax_fit(panel, "seatemperature", M5_REGRESSORS, BY_MUN, ["referencetime"], active=active)
+    both = fit_full.withColumn("model", F.lit("full")).unionByName(fit_reduced.withColumn("model", F.lit("reduced")))
+    return finish(both)
+
+
+@register("dashboard_model", ["M4", "M7", "V4"])
+def q_dashboard_model(spark: SparkSession, d: str) -> DataFrame:
+    """The dashboard fit: the chosen lice column on sea temperature and the four weather means/sums."""
+    lice_choice = "avgadultfemalelice"
+    if lice_choice not in LICE_COLUMNS:
+        raise ValueError("Choose lice type")
+    coefs, _ = ax.arimax_fit(combined_table(spark, d), lice_choice, DASHBOARD_REGRESSORS, BY_MUN, ["referencetime"])
+    return finish(coefs)

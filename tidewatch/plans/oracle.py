@@ -31,9 +31,9 @@ _OBS = """obs AS (
 _REP = """rep AS (
   SELECT c.c_nationkey AS municipalityno, CAST(isoyear(o.o_orderdate) AS INTEGER) AS year,
          CAST(weekofyear(o.o_orderdate) AS INTEGER) AS week,
-         avg(CASE WHEN o.o_orderstatus <> 'P' THEN o.o_totalprice / 250000.0 END) AS avgadultfemalelice,
+         avg(CASE WHEN o.o_orderstatus <> 'P' THEN o.o_totalprice / 250000.0 ELSE 0.0 END) AS avgadultfemalelice,
          avg(o.o_totalprice) / 100000.0 AS avgmobilelice,
-         avg(CASE WHEN o.o_orderpriority IN ('1-URGENT', '2-HIGH') THEN o.o_totalprice / 500000.0 END) AS avgstationarylice,
+         avg(CASE WHEN o.o_orderpriority IN ('1-URGENT', '2-HIGH') THEN o.o_totalprice / 500000.0 ELSE 0.0 END) AS avgstationarylice,
          avg(CAST(substr(o.o_orderpriority, 1, 1) AS INTEGER)) * 3.0 + 2.0 AS seatemperature,
          list_sort(list_distinct(list(CASE o.o_orderstatus WHEN 'F' THEN 'Laks' WHEN 'O' THEN 'Ørret'
                                       WHEN 'P' THEN 'Regnbueørret' END))) AS specieslist

@@ -137,10 +137,11 @@ def lice_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
                     cal.iso_week(od).alias("week"), "o_totalprice", "o_orderstatus", "o_orderpriority"))
     prio = F.substring("o_orderpriority", 1, 1).cast("int")
     agg = (base.groupBy("municipalityno", "year", "week")
-           .agg(F.avg(F.when(F.col("o_orderstatus") != "P", F.col("o_totalprice") / 250000.0)).alias("avgadultfemalelice"),
+           .agg(F.avg(F.when(F.col("o_orderstatus") != "P", F.col("o_totalprice") / 250000.0).otherwise(0.0))
+                .alias("avgadultfemalelice"),
                 (F.avg("o_totalprice") / 100000.0).alias("avgmobilelice"),
                 F.avg(F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"),
-                             F.col("o_totalprice") / 500000.0)).alias("avgstationarylice"),
+                             F.col("o_totalprice") / 500000.0).otherwise(0.0)).alias("avgstationarylice"),
                 (F.avg(prio) * 3.0 + 2.0).alias("seatemperature"),
                 F.array_sort(F.collect_set(species[F.col("o_orderstatus")])).alias("specieslist")))
     return agg.join(n.select(F.col("n_nationkey").alias("municipalityno"), F.col("n_name").alias("localityname")),
