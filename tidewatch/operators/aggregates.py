@@ -40,19 +40,24 @@ def group_mean(df: DataFrame, keys: Sequence[str], values: Sequence[str],
 
 def weekly_resample(df: DataFrame, ts_col: str, by: Sequence[str] = (), mean_cols: Sequence[str] = (),
                     sum_cols: Sequence[str] = (), label_col: str | None = None,
-                    label_alias: str = "week", out_ts: str | None = None) -> DataFrame:
+                    label_alias: str = "week", out_ts: str | None = None,
+                    sunday_flag: str | None = None) -> DataFrame:
     """A7 + A8 + J3 (+ J6): Monday..Sunday bins labelled by the Sunday, in one aggregation.
 
     * means skip nulls (all-null week -> null),
     * sums of an all-null week are 0.0 (pandas ``resample().sum()``),
     * ``label_col`` of the row stamped exactly on the Sunday 00:00 (index alignment);
-      no such row -> null.
+      no such row -> null. When the label is a function of the timestamp, pass
+      ``sunday_flag`` instead: a boolean "a row is stamped on the Sunday" column
+      keeps the aggregation hash-based (a text maximum forces a sort-based one).
     """
     we = cal.week_ending_timestamp(ts_col)
     aggs: list[Column] = [F.avg(c).alias(c) for c in mean_cols]
     aggs += [F.coalesce(F.sum(c), F.lit(0.0)).alias(c) for c in sum_cols]
     if label_col:
         aggs.append(F.max(F.when(F.col(ts_col) == we, F.col(label_col))).alias(label_alias))
+    if sunday_flag:
+        aggs.append(F.coalesce(F.max(F.col(ts_col) == we), F.lit(False)).alias(sunday_flag))
     return df.groupBy(*by, we.alias(out_ts or ts_col)).agg(*aggs)
 
 

@@ -39,7 +39,7 @@ def ols(df: DataFrame, y: str, xs: Sequence[str], by: Sequence[str], active: Dat
         intercept: bool = True) -> DataFrame:
     """Per-key OLS of ``y`` on ``xs`` (+ constant) over complete rows.
 
-    Returns one row per key: ``nobs, k, rss, sigma2`` and for every term
+    Returns one row per key: ``nobs, n_terms, rss, sigma2`` and for every term
     ``b__<term>``, ``se__<term>`` (inactive terms get coefficient 0 and null se).
     ``active`` = (by..., term, active boolean) switches terms off per key.
     """
@@ -61,7 +61,7 @@ def ols(df: DataFrame, y: str, xs: Sequence[str], by: Sequence[str], active: Dat
         mom = mom.join(flags, list(by), "left")
     key_fields = [f for f in mom.schema.fields if f.name in by]
     out_schema = T.StructType(key_fields + [
-        T.StructField("nobs", T.LongType()), T.StructField("k", T.IntegerType()),
+        T.StructField("nobs", T.LongType()), T.StructField("n_terms", T.IntegerType()),
         T.StructField("rss", T.DoubleType()), T.StructField("sigma2", T.DoubleType())]
         + [T.StructField(f"b__{_safe(t)}", T.DoubleType()) for t in terms]
         + [T.StructField(f"se__{_safe(t)}", T.DoubleType()) for t in terms])
@@ -111,7 +111,7 @@ def ols(df: DataFrame, y: str, xs: Sequence[str], by: Sequence[str], active: Dat
                 se[r] = sev
             out = pdf[[f.name for f in key_fields]].copy()
             out["nobs"] = n.astype("int64")
-            out["k"] = kk.astype("int32")
+            out["n_terms"] = kk.astype("int32")
             out["rss"] = rss
             out["sigma2"] = s2
             for i, t in enumerate(terms):
@@ -187,7 +187,7 @@ def arimax_fit(df: DataFrame, y: str, xs: Sequence[str], by: Sequence[str], orde
     s2_mle = F.col("rss") / n
     llf = -n / 2.0 * (F.log(F.lit(2 * math.pi) * s2_mle) + 1.0)
     # stage 3 has k = 2a + 3 terms for a active regressors; the model has const, a betas, phi, theta, sigma2
-    n_params = (F.col("k") - 3) / 2 + 4
+    n_params = (F.col("n_terms") - 3) / 2 + 4
     fit = c2.select(*by, "nobs", s2_mle.alias("sigma2"), llf.alias("llf"),
                     (-2.0 * llf + 2.0 * n_params).alias("aic"),
                     (-2.0 * llf + n_params * F.log(n)).alias("bic"))

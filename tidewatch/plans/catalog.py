@@ -48,9 +48,7 @@ def finish(df: DataFrame, digits: int = 6) -> DataFrame:
 
 def lice_table(spark: SparkSession, d: str) -> DataFrame:
     """E2 output on the supplied tables: municipality x year x week 1..52 with the reports."""
-    reports = sup.lice_reports(spark, d)
-    series = reports.select("municipalityno", "year", "localityname").distinct()
-    return pl.lice_counts(reports, series, by=("municipalityno",))
+    return pl.lice_counts(sup.lice_reports(spark, d), by=("municipalityno",), descriptors=("localityname",))
 
 
 def combined_table(spark: SparkSession, d: str, mode: str = "script") -> DataFrame:

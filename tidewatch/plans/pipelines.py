@@ -27,36 +27,50 @@ COMBINED_COLUMNS = ["referencetime", "mean_air_temperature", "mean_relative_humi
 def daily_wide(observations: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """E3 first half: long observations -> one row per (by, day) with the four elements as columns.
 
-    C5/C6 ISO labels, A1 mean over time offsets, D3 smallest (unit, sourceid)
-    wins, A6 pivot — two aggregations, the second keyed by (by, day) only.
+    A1 mean over time offsets, D3 smallest (unit, sourceid) wins, A6 pivot — two
+    aggregations, the second keyed by (by, day) only. The ISO labels (C5/C6)
+    are functions of the day, so they are computed after aggregating instead of
+    being carried as grouping keys through the hot shuffle.
     """
     obs = flt.restrict_sources(observations)
-    ts = F.col("referencetime")
-    labelled = obs.withColumns({"week": cal.iso_week(ts), "year": cal.iso_year(ts)}) \
-        .withColumn("year_week", cal.year_week_label("year", "week", "_"))
-    keys = [*by, "referencetime", "elementid", "week", "year", "unit", "sourceid", "year_week"]
-    daily = agg.mean_by(labelled, keys, "value")
-    return rs.pivot_first(daily, [*by, "referencetime", "year_week"], "elementid", ELEMENTS,
+    keys = [*by, "referencetime", "elementid", "unit", "sourceid"]
+    daily = agg.mean_by(obs, keys, "value")
+    wide = rs.pivot_first(daily, [*by, "referencetime"], "elementid", ELEMENTS,
                           value_col="value", order_cols=["unit", "sourceid"])
+    ts = F.col("referencetime")
+    return wide.withColumn("year_week", cal.year_week_label(cal.iso_year(ts), cal.iso_week(ts), "_"))
 
 
 def weekly_weather(observations: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """E3 middle: A7 means, A8 zero-filled sum, J3 Sunday label, R9 complete weeks only."""
     wide = daily_wide(observations, by)
     weekly = agg.weekly_resample(wide, "referencetime", by, mean_cols=MEAN_ELEMENTS, sum_cols=SUM_ELEMENTS,
-                                 label_col="year_week", label_alias="week")
-    return flt.drop_any_null(weekly, [*MEAN_ELEMENTS, *SUM_ELEMENTS, "week"])
+                                 sunday_flag="_has_sunday")
+    # The label is the ISO label of the row stamped on the Sunday itself, i.e. of the Sunday
+    ts = F.col("referencetime")
+    weekly = weekly.withColumn("week", F.when(F.col("_has_sunday"),
+                                              cal.year_week_label(cal.iso_year(ts), cal.iso_week(ts), "_")))
+    return flt.drop_any_null(weekly, [*MEAN_ELEMENTS, *SUM_ELEMENTS, "week"]).drop("_has_sunday")
 
 
-def lice_counts(reports: DataFrame, series: DataFrame, by: Sequence[str] = ("municipalityno",)) -> DataFrame:
-    """Every (series, year) gets weeks 1..52 (J4/C1); each week takes its report (S2/P2) or nulls;
-    ``year_week`` is the %U Monday (C3); columns lower-cased (P4).
+def lice_counts(reports: DataFrame, by: Sequence[str] = ("municipalityno",),
+                descriptors: Sequence[str] = ("localityname",), n_weeks: int = 52) -> DataFrame:
+    """Every (series, year) with a report gets weeks 1..52 (J4/C1); each week takes its report
+    (S2/P2) or nulls; ``year_week`` is the %U Monday (C3); columns lower-cased (P4).
 
-    ``series`` holds one row per (by..., year[, descriptors]) to fan out.
+    One aggregation per (series, year) builds a week -> report map (at most 53
+    entries: bounded by the calendar, not by the data), and the spine is
+    generated from it — no second scan of the reports and no join.
     """
-    spine = jn.site_weeks(series, None)
-    rep = reports.drop(*[c for c in series.columns if c not in (*by, "year")])
-    out = spine.join(rep, [*by, "year", "week"], "left")
+    keys = [*by, "year"]
+    measures = [c for c in reports.columns if c not in (*keys, "week", *descriptors)]
+    per_year = reports.groupBy(*keys).agg(
+        *[F.first(d, ignorenulls=True).alias(d) for d in descriptors],
+        F.map_from_entries(F.collect_list(F.struct(F.col("week"), F.struct(*measures)))).alias("_weeks"))
+    spine = per_year.select(*keys, *descriptors, "_weeks",
+                            F.explode(F.sequence(F.lit(1), F.lit(int(n_weeks)))).alias("week"))
+    rep = F.element_at(F.col("_weeks"), F.col("week"))
+    out = spine.select(*keys, *descriptors, "week", *[rep[m].alias(m) for m in measures])
     out = out.withColumn("year_week", cal.monday_sunday_first("year", "week"))
     return rs.lower_columns(out)
 

@@ -30,6 +30,9 @@ def build_session(master: str | None = None, app: str = "tidewatch",
     if master:
         b = b.master(master)
     conf = dict(_BASE_CONF)
+    if master and master.startswith("local"):
+        # local mode runs everything in the driver JVM: give it the machine's memory budget
+        conf["spark.driver.memory"] = os.environ.get("TIDEWATCH_DRIVER_MEMORY", "12g")
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
