@@ -8,7 +8,8 @@ from tidewatch.operators import series as ser
 
 
 def _seq(spark, a, b=None):
-    rows = [(i, a[i], None if b is None else b[i]) for i in range(len(a))]
+    f = lambda v: None if v is None else float(v)
+    rows = [(i, f(a[i]), None if b is None else f(b[i])) for i in range(len(a))]
     return spark.createDataFrame(rows, "i int, a double, b double")
 
 

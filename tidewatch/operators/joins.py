@@ -58,12 +58,6 @@ def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colu
     return F.lit(2 * EARTH_RADIUS_KM) * F.asin(F.least(F.lit(1.0), F.sqrt(a)))
 
 
-def _ring_offsets(r: int) -> list[tuple[int, int]]:
-    if r == 0:
-        return [(0, 0)]
-    return [(di, dj) for di in range(-r, r + 1) for dj in range(-r, r + 1) if max(abs(di), abs(dj)) == r]
-
-
 def _outside_block_km(lat: Column, lon: Column, ci: Column, cj: Column, r: int, cell: float) -> Column:
     """Lower bound of the distance from (lat, lon) to any point outside the (2r+1)^2 cell block."""
     south = (ci - r) * cell
@@ -104,12 +98,15 @@ def nearest_stations(sites: DataFrame, stations: DataFrame, k: int = 5, site_key
     kept = None  # best candidates so far of the pending sites
     done: list[DataFrame] = []
     rank_w = Window.partitionBy("_key").orderBy("_dist", "_sid")
-    r = 0
+    inner, r = -1, 0  # search radius in cells doubles each round: 0, 1, 2, 4, 8, ...
     while True:
-        offs = F.array(*[F.struct(F.lit(a).alias("di"), F.lit(b).alias("dj")) for a, b in _ring_offsets(r)])
-        probes = pending.select("_key", "_lat", "_lon", "_ci", "_cj", F.inline(offs)) \
-            .select("_key", "_lat", "_lon", "_ci", "_cj",
-                    (F.col("_ci") + F.col("di")).alias("_pci"), (F.col("_cj") + F.col("dj")).alias("_pcj"))
+        # probe only the annulus inner < max(|di|, |dj|) <= r (cells not searched before)
+        span = F.sequence(F.lit(-r), F.lit(r))
+        probes = pending.select("_key", "_lat", "_lon", "_ci", "_cj", F.explode(span).alias("di")) \
+            .select("*", F.explode(span).alias("dj")) \
+            .where(F.greatest(F.abs("di"), F.abs("dj")) > inner) \
+            .select("_key", "_lat", "_lon", (F.col("_ci") + F.col("di")).alias("_pci"),
+                    (F.col("_cj") + F.col("dj")).alias("_pcj"))
         cand = probes.join(st, (probes._pci == st._ci) & (probes._pcj == st._cj), "inner") \
             .select("_key", "_sid", haversine_km(F.col("_lat"), F.col("_lon"), F.col("_slat"), F.col("_slon")).alias("_dist"))
         pool = cand if kept is None else kept.unionByName(cand)
@@ -127,9 +124,9 @@ def nearest_stations(sites: DataFrame, stations: DataFrame, k: int = 5, site_key
         still = status.where(~F.col("_settled")).select("_key")
         if still.isEmpty():
             break
-        pending = cut_lineage(pending.join(still, "_key", "left_semi"))
+        pending = pending.join(still, "_key", "left_semi")
         kept = top.where(~F.col("_settled")).select("_key", "_sid", "_dist")
-        r += 1
+        inner, r = r, max(1, 2 * r)
     out = done[0]
     for d in done[1:]:
         out = out.unionByName(d)

@@ -112,41 +112,34 @@ def gaussian_smooth(df: DataFrame, cols: Sequence[str], by: Sequence[str], order
                     sigma: float = 1.0, suffix: str = "_smooth") -> DataFrame:
     """1-D Gaussian filter with mirrored edges (``d c b a | a b c d | d c b a``).
 
-    One window pass: in-range neighbours come from ``lag``/``lead``; a neighbour
-    beyond an edge is mirrored back onto one of the first or last ``r + 1`` rows,
-    fetched with ``nth_value`` over the whole series. A null anywhere in the
-    neighbourhood makes the result null (NaN spreads, as in the reference).
+    Each row is also emitted at the mirrored positions it occupies in the
+    padded series ``[-r, n - 1 + r]`` (a few copies near the edges; more wraps
+    only when the series is shorter than the radius). One window over the
+    padded positions then takes the weighted sum of the ``2r + 1`` neighbours
+    with ``lag``/``lead``; the original positions ``0..n-1`` are kept. A null
+    in the neighbourhood makes the result null (NaN spreads, as in the reference).
     """
     weights = gaussian_weights(sigma)
     r = (len(weights) - 1) // 2
-    w = _w(by, order_by)
-    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    rev = (Window.partitionBy(*by) if by else Window).orderBy(*[F.col(c).desc() for c in order_by]) \
-        .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    out = df.withColumn("_i", F.row_number().over(w) - 1).withColumn("_n", F.count(F.lit(1)).over(whole))
+    ordered = df.withColumn("_j", F.row_number().over(_w(by, order_by)) - 1) \
+        .withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*by) if by else Window.partitionBy()))
+    j, n = F.col("_j"), F.col("_n")
+    wraps = F.ceil(F.lit(float(r)) / (n * 2)).cast("int") + 1
+    copies = F.flatten(F.transform(F.sequence(-wraps, wraps),
+                                   lambda t: F.array(j + n * 2 * t, F.lit(-1) - j + n * 2 * t)))
+    copies = F.array_distinct(F.filter(copies, lambda p: (p >= -r) & (p <= n - 1 + r)))
+    padded = ordered.withColumn("_p", F.explode(copies))
+    wp = _w(by, ["_p"])
+    sums = {}
     for c in cols:
-        heads = {j: F.nth_value(c, j + 1).over(whole) for j in range(r + 1)}
-        tails = {t: F.nth_value(c, t + 1).over(rev) for t in range(r + 1)}  # x[n-1-t]
-        helper = {f"_h{j}": e for j, e in heads.items()} | {f"_t{t}": e for t, e in tails.items()}
-        helper |= {f"_k{k}": (F.lag(c, -k) if k < 0 else F.lead(c, k)).over(w) if k else F.col(c)
-                   for k in range(-r, r + 1)}
-        out = out.withColumns(helper)
         total = None
         for k, wk in zip(range(-r, r + 1), weights):
-            s = F.col("_i") + F.lit(k)
-            two_n = F.col("_n") * 2
-            j = F.pmod(s, two_n)
-            m = F.when(j >= F.col("_n"), two_n - 1 - j).otherwise(j)
-            mirrored = F.lit(None).cast("double")
-            for jj in range(r + 1):
-                mirrored = F.when(m == F.lit(jj), F.col(f"_h{jj}")).otherwise(mirrored)
-            for t in range(r + 1):
-                mirrored = F.when(m == F.col("_n") - 1 - F.lit(t), F.col(f"_t{t}")).otherwise(mirrored)
-            inside = (s >= 0) & (s < F.col("_n"))
-            term = F.when(inside, F.col(f"_k{k}")).otherwise(mirrored).cast("double") * F.lit(wk)
+            nb = F.col(c) if k == 0 else (F.lead(c, k) if k > 0 else F.lag(c, -k)).over(wp)
+            term = nb.cast("double") * F.lit(wk)
             total = term if total is None else total + term
-        out = out.withColumn(f"{c}{suffix}", total).drop(*helper.keys())
-    return out.drop("_i", "_n")
+        sums[f"{c}{suffix}"] = total
+    out = padded.withColumns(sums).where((F.col("_p") >= 0) & (F.col("_p") < F.col("_n")))
+    return out.drop("_j", "_n", "_p")
 
 
 def lice_proportions(df: DataFrame, cols: Sequence[str], total: str = "total") -> DataFrame:

@@ -458,3 +458,9 @@ def q_dashboard_model(spark: SparkSession, d: str) -> DataFrame:
         raise ValueError("Choose lice type")
     coefs, _ = ax.arimax_fit(combined_table(spark, d), lice_choice, DASHBOARD_REGRESSORS, BY_MUN, ["referencetime"])
     return finish(coefs)
+
+
+@register("combine_weekly_notebook", ["E3", "J2", "A6", "A7", "A8", "J3", "R9"])
+def q_combine_weekly_notebook(spark: SparkSession, d: str) -> DataFrame:
+    """Notebook variant of the flagship: inner join (J2), first week kept."""
+    return finish(combined_table(spark, d, "notebook"))

@@ -315,3 +315,13 @@ FROM c x JOIN m ON m.municipalityno = x.municipalityno"""
 
 
 SQL["hotelling_t2"] = with_ctes(_t2_sql(), "lice")
+
+SQL["combine_weekly_notebook"] = with_ctes("""
+SELECT w.municipalityno, CAST(w.referencetime AS DATE) AS referencetime,
+  round(w.mean_air_temperature, 6) AS mean_air_temperature, round(w.mean_relative_humidity, 6) AS mean_relative_humidity,
+  round(w.mean_wind_speed, 6) AS mean_wind_speed, round(w.sum_precipitation_amount, 6) AS sum_precipitation_amount,
+  round(l.avgadultfemalelice, 6) AS avgadultfemalelice, round(l.avgmobilelice, 6) AS avgmobilelice,
+  round(l.avgstationarylice, 6) AS avgstationarylice, round(l.seatemperature, 6) AS seatemperature, l.localityname
+FROM weekly_ok w JOIN lice l
+  ON l.municipalityno = w.municipalityno AND CAST(l.year AS VARCHAR) || '_' || CAST(l.week AS VARCHAR) = w.wk""",
+                                             "weekly", "lice")
