@@ -29,7 +29,7 @@ def flatten_localities(docs: DataFrame, array_col: str = "localities",
     elem_type = docs.schema[array_col].dataType.elementType
     elem_fields = [f.name for f in elem_type.fields]
     elem_lower = {f.lower() for f in elem_fields}
-    keep_parent = [p for p in parent_cols if p.lower() not in elem_lower]
+    keep_parent = [p for p in parent_cols if p in docs.columns and p.lower() not in elem_lower]
     exploded = docs.select(*keep_parent, F.explode(array_col).alias("_el"))
     return exploded.select(*keep_parent, *[F.col(f"_el.{f}").alias(f) for f in elem_fields])
 
