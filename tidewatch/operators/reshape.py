@@ -121,7 +121,7 @@ def pivot_first(df: DataFrame, keys: Sequence[str], pivot_col: str, values: Sequ
             cell = F.min_by(F.col(value_col), F.when(is_v, F.struct(*[F.col(c) for c in order_cols])))
         else:
             cell = F.first(F.when(is_v, F.col(value_col)), ignorenulls=True)
-        aggs.append(cell.alias(names.get(v, v)))
+        aggs.append(cell.alias(str(names.get(v, v))))
     return df.groupBy(*keys).agg(*aggs)
 
 

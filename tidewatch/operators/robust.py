@@ -129,10 +129,11 @@ def hotelling_t2(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), cen
     """
     p = len(cols)
     complete = df.dropna(subset=list(cols))
-    mom = center if center is not None else moments(complete, cols, by, ddof=1)
-    inv = invert(mom.drop("_n") if "_n" in mom.columns else mom, p)
-    rows_per_key = complete.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
-    inv = _attach(inv, rows_per_key, by)
+    if center is None:  # classical estimates; the moment pass also counts the rows
+        inv = invert(moments(complete, cols, by, ddof=1), p)
+    else:
+        inv = invert(center.drop("_n") if "_n" in center.columns else center, p)
+        inv = _attach(inv, complete.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")), by)
     n_col = F.lit(float(n)) if n is not None else F.col("_n").cast("double")
     inv = inv.withColumn("_nn", n_col).withColumn("t2_limit", _limit_udf(alpha, p)(F.col("_nn")))
     keep = [f"_m{i}" for i in range(p)] + [f"_i{i}_{j}" for i, j in _pairs(p)] + ["_nn", "t2_limit"]
@@ -202,16 +203,19 @@ def chi2_isf(q: float, dof: int) -> float:
 
 def _c_step(rows: DataFrame, sel: DataFrame, cols: Sequence[str], keys: Sequence[str], p: int) -> tuple[DataFrame, DataFrame]:
     """One concentration step for all (key, trial) pairs: moments of the selected rows ->
-    distances of every row -> the h nearest become the new selection."""
+    distances of every row -> the h nearest become the new selection.
+
+    The per-(key, trial) inverse table is small and used twice (join + objective),
+    so it is persisted; only the new selection is checkpointed (one job per step).
+    """
     mom = moments(sel, cols, keys, ddof=0)
     inv = invert(mom, p).select(*keys, "_logdet", *[f"_m{i}" for i in range(p)],
-                                *[f"_i{i}_{j}" for i, j in _pairs(p)])
+                                *[f"_i{i}_{j}" for i, j in _pairs(p)]).persist()
     d = rows.join(inv, list(keys), "inner").withColumn("_d2", quad_form(cols))
     w = Window.partitionBy(*keys).orderBy("_d2", "_rid")
     ranked = d.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= F.col("_h"))
     new_sel = cut_lineage(ranked.select(*keys, "_rid", *cols))
-    obj = cut_lineage(inv.select(*keys, "_logdet"))
-    return new_sel, obj
+    return new_sel, inv.select(*keys, "_logdet")
 
 
 def min_cov_det(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), n_trials: int = 30,
@@ -256,6 +260,7 @@ def min_cov_det(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), n_tr
         if prev is not None and cur is not None and abs(cur - prev) <= 1e-12 * max(1.0, abs(prev)):
             break
         prev = cur
+    obj = cut_lineage(obj)
     win = obj.withColumn("_b", F.row_number().over(wb)).where(F.col("_b") == 1).select(*keys)
     support = sel.join(win, keys, "left_semi").drop("_trial")
     raw = moments(support, cols, by, ddof=0)

@@ -91,13 +91,28 @@ def highlight_frame(df: DataFrame, center: int, window: int, by: Sequence[str],
 
 def densify_weekly(df: DataFrame, ts_col: str, by: Sequence[str] = ()) -> DataFrame:
     """Reindex each series to every Sunday from its first to its last week (``asfreq('W')``);
-    missing weeks -> null rows, rows off the Sunday grid vanish."""
-    bounds = df.groupBy(*by).agg(F.min(ts_col).alias("_lo"), F.max(ts_col).alias("_hi"))
-    grid = bounds.select(*by, F.explode(F.sequence(
-        cal.week_ending_sunday(F.col("_lo")), F.col("_hi").cast("date"),
-        F.expr("INTERVAL 7 DAYS"))).alias("_d"))
-    grid = grid.select(*by, F.col("_d").cast("timestamp").alias(ts_col))
-    return grid.join(df, [*by, ts_col], "left")
+    missing weeks -> null rows, rows off the Sunday grid vanish.
+
+    One window pass, no self-join: every row keeps itself when it sits on the
+    Sunday-midnight grid and emits the grid Sundays strictly between its own
+    time and the next row's time as all-null rows.
+    """
+    w = _w(by, [ts_col])
+    ts = F.col(ts_col)
+    df = df.withColumn("_next", F.lead(ts_col, 1).over(w))
+    nxt = F.col("_next")
+    sunday = cal.week_ending_timestamp(ts)
+    first_after = F.when(sunday > ts, sunday).otherwise(sunday + F.expr("INTERVAL 7 DAYS"))
+    gaps = F.when(nxt.isNotNull() & (first_after < nxt),
+                  F.sequence(first_after, nxt - F.expr("INTERVAL 1 SECOND"), F.expr("INTERVAL 7 DAYS")))
+    gaps = F.coalesce(gaps, F.array().cast(f"array<{df.schema[ts_col].dataType.simpleString()}>"))
+    me = F.when(ts == sunday, F.array(F.struct(ts.alias("_t"), F.lit(True).alias("_own"))))
+    me = F.coalesce(me, F.array().cast(f"array<struct<_t:{df.schema[ts_col].dataType.simpleString()},_own:boolean>>"))
+    items = F.concat(me, F.transform(gaps, lambda g: F.struct(g.alias("_t"), F.lit(False).alias("_own"))))
+    values = [c for c in df.columns if c not in (*by, ts_col, "_next")]
+    out = df.select(*by, *values, F.explode(items).alias("_it"))
+    return out.select(*by, F.col("_it._t").alias(ts_col),
+                      *[F.when(F.col("_it._own"), F.col(c)).alias(c) for c in values])
 
 
 def gaussian_weights(sigma: float = 1.0, truncate: float = 4.0) -> list[float]:

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import cut_lineage
 from ..sources import supplied as sup
 from . import pipelines as pl
 
@@ -398,13 +399,13 @@ CHART_COLUMNS = ["avgstationarylice", "avgmobilelice", "avgadultfemalelice"]
 
 @register("hotelling_t2", ["M2"])
 def q_hotelling_t2(spark: SparkSession, d: str) -> DataFrame:
-    t2 = rb.hotelling_t2(_chartable(spark, d), CHART_COLUMNS, BY_MUN, alpha=0.0027)
+    t2 = rb.hotelling_t2(cut_lineage(_chartable(spark, d)), CHART_COLUMNS, BY_MUN, alpha=0.0027)
     return finish(t2.select("municipalityno", "year_week", "t2", "f_stat"))
 
 
 @register("control_chart", ["M1", "M2", "M3", "E4"])
 def q_control_chart(spark: SparkSession, d: str) -> DataFrame:
-    data = _chartable(spark, d)
+    data = cut_lineage(_chartable(spark, d))
     center = rb.min_cov_det(data, CHART_COLUMNS, BY_MUN, n_trials=30, n_best=10, seed=0)
     chart = rb.hotelling_t2(data, CHART_COLUMNS, BY_MUN, center=center, n=None, alpha=0.0027)
     return finish(chart.select("municipalityno", "year_week", "t2", "f_stat", "p_value", "t2_limit",
@@ -435,14 +436,15 @@ def weekly_panel_dense(spark: SparkSession, d: str) -> DataFrame:
 
 @register("arimax_fit", ["M4", "M7", "E5"])
 def q_arimax_fit(spark: SparkSession, d: str) -> DataFrame:
-    coefs, _ = ax.arimax_fit(weekly_panel_dense(spark, d), "seatemperature", M4_REGRESSORS, BY_MUN, ["referencetime"])
+    panel = cut_lineage(weekly_panel_dense(spark, d))
+    coefs, _ = ax.arimax_fit(panel, "seatemperature", M4_REGRESSORS, BY_MUN, ["referencetime"])
     return finish(coefs)
 
 
 @register("arimax_select_refit", ["M5", "M6", "M7", "E5"])
 def q_arimax_select_refit(spark: SparkSession, d: str) -> DataFrame:
     """14-regressor model, regressors with p > 0.4 removed per municipality, refit; AIC of both."""
-    panel = weekly_panel_dense(spark, d)
+    panel = cut_lineage(weekly_panel_dense(spark, d))  # materialised once, read by both fits
     coefs, fit_full = ax.arimax_fit(panel, "seatemperature", M5_REGRESSORS, BY_MUN, ["referencetime"])
     active = ax.select_by_pvalue(coefs, M5_REGRESSORS, BY_MUN, 0.4)
     _, fit_reduced = ax.arimax_fit(panel, "seatemperature", M5_REGRESSORS, BY_MUN, ["referencetime"], active=active)
