@@ -61,8 +61,12 @@ def _inverse_schema(mom: DataFrame, p: int) -> T.StructType:
     return T.StructType(fields)
 
 
-def invert(mom: DataFrame, p: int) -> DataFrame:
-    """Add the inverse ``_i{i}_{j}`` and ``log|S|`` of every key's covariance (batched numpy)."""
+def invert(mom: DataFrame, p: int, pseudo: bool = False) -> DataFrame:
+    """Add the inverse ``_i{i}_{j}`` and ``log|S|`` of every key's covariance (batched numpy).
+
+    A singular covariance gives a null inverse, or with ``pseudo=True`` its
+    Moore-Penrose pseudo-inverse and ``log|S| = -inf`` (an exact fit, as in C-steps).
+    """
     pairs = _pairs(p)
 
     def run(batches):
@@ -83,6 +87,10 @@ def invert(mom: DataFrame, p: int) -> DataFrame:
                 if len(idx):
                     inv[idx] = np.linalg.inv(s[idx])
                     logdet[idx] = ld[good]
+                bad = np.flatnonzero(finite)[~good]
+                if pseudo and len(bad):
+                    inv[bad] = np.linalg.pinv(s[bad], hermitian=True)
+                    logdet[bad] = -np.inf
             out = pdf.copy()
             for i, j in pairs:
                 out[f"_i{i}_{j}"] = inv[:, i, j]
@@ -209,12 +217,16 @@ def _c_step(rows: DataFrame, sel: DataFrame, cols: Sequence[str], keys: Sequence
     so it is persisted; only the new selection is checkpointed (one job per step).
     """
     mom = moments(sel, cols, keys, ddof=0)
-    inv = invert(mom, p).select(*keys, "_logdet", *[f"_m{i}" for i in range(p)],
+    inv = invert(mom, p, pseudo=True).select(*keys, "_logdet", *[f"_m{i}" for i in range(p)],
                                 *[f"_i{i}_{j}" for i, j in _pairs(p)]).persist()
-    d = rows.join(inv, list(keys), "inner").withColumn("_d2", quad_form(cols))
+    # a trial that reached an exact fit (det = 0, the minimum) keeps its subset
+    exact = F.col("_logdet") == F.lit(float("-inf"))
+    moving = inv.where(~exact)
+    d = rows.join(moving, list(keys), "inner").withColumn("_d2", quad_form(cols))
     w = Window.partitionBy(*keys).orderBy("_d2", "_rid")
     ranked = d.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= F.col("_h"))
-    new_sel = cut_lineage(ranked.select(*keys, "_rid", *cols))
+    frozen = sel.join(inv.where(exact).select(*keys), list(keys), "left_semi")
+    new_sel = cut_lineage(ranked.select(*keys, "_rid", *cols).unionByName(frozen.select(*keys, "_rid", *cols)))
     return new_sel, inv.select(*keys, "_logdet")
 
 
@@ -253,18 +265,22 @@ def min_cov_det(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), n_tr
     best = cut_lineage(obj.withColumn("_b", F.row_number().over(wb)).where(F.col("_b") <= n_best).select(*keys))
     rows = cut_lineage(rows.join(best, keys, "left_semi"))
     sel = sel.join(best, keys, "left_semi")
-    prev = None
+    # iterate until every (key, trial) determinant is unchanged within allclose tolerances
+    # (rtol 1e-5, atol 1e-8 on det); exact fits (det = 0) are frozen inside the step
+    prev_obj = obj
     for _ in range(max_iter):
         sel, obj = _c_step(rows, sel, cols, keys, p)
-        cur = obj.agg(F.sum(F.coalesce(F.col("_logdet"), F.lit(0.0))).alias("s")).first()["s"]
-        if prev is not None and cur is not None and abs(cur - prev) <= 1e-12 * max(1.0, abs(prev)):
+        det_new, det_old = F.exp(F.col("_logdet")), F.exp(F.col("_old"))  # exp(-inf) = 0: exact fit
+        moved = obj.join(prev_obj.withColumnRenamed("_logdet", "_old"), keys, "inner") \
+            .where(F.abs(det_new - det_old) > F.lit(1e-8) + F.lit(1e-5) * F.abs(det_old)).limit(1).count()
+        if moved == 0:
             break
-        prev = cur
+        prev_obj = obj
     obj = cut_lineage(obj)
     win = obj.withColumn("_b", F.row_number().over(wb)).where(F.col("_b") == 1).select(*keys)
     support = sel.join(win, keys, "left_semi").drop("_trial")
     raw = moments(support, cols, by, ddof=0)
-    raw = invert(raw, p)
+    raw = invert(raw, p, pseudo=True)
     # consistency correction: median of d² over all rows / chi2_p median
     q50, q975 = chi2_isf(0.5, p), chi2_isf(0.025, p)
     rawcols = [f"_m{i}" for i in range(p)] + [f"_c{i}_{j}" for i, j in _pairs(p)] + \
