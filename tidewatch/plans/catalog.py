@@ -13,7 +13,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import calendar as cal
+from ..functions import scalar as scl
+from ..operators import aggregates as agg
+from ..operators import arimax as ax
+from ..operators import dedup as dd
+from ..operators import filters as flt
+from ..operators import joins as jn
+from ..operators import reshape as rs
+from ..operators import robust as rb
+from ..operators import series as ser
+from ..schemas import COMBINED_METRICS, LICE_COLUMNS
+from ..schemas import DETAIL_DOC, OBSERVATION_DOC, SUMMARY_DOC, THRESHOLDS
 from ..session import cut_lineage
+from ..sources import files as fs
 from ..sources import supplied as sup
 from . import pipelines as pl
 
@@ -70,15 +83,6 @@ def q_combine_weekly(spark: SparkSession, d: str) -> DataFrame:
 # calendar (C1-C9, C14, U3)
 # ---------------------------------------------------------------------------
 
-from ..functions import calendar as cal  # noqa: E402
-from ..functions import scalar as scl  # noqa: E402
-from ..operators import aggregates as agg  # noqa: E402
-from ..operators import dedup as dd  # noqa: E402
-from ..operators import filters as flt  # noqa: E402
-from ..operators import reshape as rs  # noqa: E402
-from ..schemas import DETAIL_DOC, OBSERVATION_DOC, SUMMARY_DOC, THRESHOLDS  # noqa: E402
-from ..sources import files as fs  # noqa: E402
-
 
 @register("calendar_labels", ["C3", "C4", "C5", "C6", "C7", "C8", "C9", "C14"])
 def q_calendar_labels(spark: SparkSession, d: str) -> DataFrame:
@@ -316,10 +320,6 @@ def q_upsert_reports(spark: SparkSession, d: str) -> DataFrame:
 # ordered series (W1-W8) on the weekly lice table / weekly panel, per municipality
 # ---------------------------------------------------------------------------
 
-from ..operators import joins as jn  # noqa: E402
-from ..operators import robust as rb  # noqa: E402
-from ..operators import series as ser  # noqa: E402
-from ..schemas import COMBINED_METRICS, LICE_COLUMNS  # noqa: E402
 
 BY_MUN = ["municipalityno"]
 LAGS = [0, 1, 2, 3, 4]
@@ -416,7 +416,6 @@ def q_control_chart(spark: SparkSession, d: str) -> DataFrame:
 # forecasting study (M4-M7, E5)
 # ---------------------------------------------------------------------------
 
-from ..operators import arimax as ax  # noqa: E402
 
 M4_REGRESSORS = ["avgadultfemalelice", "avgmobilelice", "avgstationarylice", "mean_air_temperature",
                  "mean_relative_humidity", "mean_wind_speed", "sum_precipitation_amount"]
