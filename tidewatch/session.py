@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,9 +42,36 @@ def build_session(master: str | None = None, app: str = "tidewatch",
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark, allow_local_default=True)
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tidewatch`` importable in the Python workers (pandas UDFs / mapInPandas refer to it).
+
+    The package's .py files are zipped once per application and registered with
+    ``SparkContext.addPyFile``, which distributes them to every executor.
+    """
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    out_dir = tempfile.mkdtemp(prefix="tidewatch-pyfiles-")
+    zpath = os.path.join(out_dir, "tidewatch.zip")
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _dirs, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
+    sc.addPyFile(zpath)
+    _SHIPPED.add(app)
+
+
 def ensure_checkpoint_dir(spark: SparkSession, allow_local_default: bool = False) -> str:
     """Return the reliable checkpoint folder, taken from the session.
 
