@@ -151,16 +151,22 @@ def q_detail_extract(spark: SparkSession, d: str) -> DataFrame:
 
 @register("observations_flatten", ["S3", "P3", "U2", "C8", "P6"])
 def q_observations_flatten(spark: SparkSession, d: str) -> DataFrame:
+    """Observation documents per (municipality, day) rebuilt from the observations in one
+    aggregation (stations grouped inside the array), landed as JSON, parsed and flattened (S3/P3)."""
     obs = sup.observations(spark, d)
-    per_source = (obs.groupBy("municipalityno", "sourceid", "referencetime")
-                  .agg(F.collect_list(F.struct(F.col("elementid").alias("elementId"), "value", "unit",
-                                               F.col("timeoffset").alias("timeOffset"))).alias("observations")))
-    docs = (per_source.groupBy("municipalityno", "referencetime")
-            .agg(F.collect_list(F.struct(
-                F.col("sourceid").alias("sourceId"),
-                F.date_format("referencetime", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("referenceTime"),
-                "observations")).alias("data")))
-    landed = docs.select("municipalityno", F.to_json(F.struct("data")).alias("json"))
+    per_day = (obs.groupBy("municipalityno", "referencetime")
+               .agg(F.collect_list(F.struct("sourceid", F.col("elementid").alias("elementId"), "value", "unit",
+                                            F.col("timeoffset").alias("timeOffset"))).alias("_obs")))
+    stamp = F.date_format("referencetime", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+    data = F.transform(
+        F.array_distinct(F.transform("_obs", lambda o: o["sourceid"])),
+        lambda sid: F.struct(sid.alias("sourceId"), stamp.alias("referenceTime"),
+                             F.transform(F.filter("_obs", lambda o: o["sourceid"] == sid),
+                                         lambda o: F.struct(o["elementId"].alias("elementId"),
+                                                            o["value"].alias("value"), o["unit"].alias("unit"),
+                                                            o["timeOffset"].alias("timeOffset"))
+                                         ).alias("observations")))
+    landed = per_day.select("municipalityno", F.to_json(F.struct(data.alias("data"))).alias("json"))
     parsed = landed.select("municipalityno", F.from_json("json", OBSERVATION_DOC).alias("doc")) \
         .select("municipalityno", "doc.*")
     return finish(rs.flatten_observations(parsed, ["municipalityno"]))
