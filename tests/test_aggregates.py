@@ -1,6 +1,5 @@
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from tidewatch.operators import aggregates as agg
 from tidewatch.schemas import THRESHOLDS

@@ -1,7 +1,6 @@
 import datetime as dt
 import json
 
-from pyspark.sql import functions as F
 
 from tidewatch.operators import reshape as rs
 from tidewatch.plans import pipelines as pl

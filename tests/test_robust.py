@@ -1,5 +1,4 @@
 import numpy as np
-from pyspark.sql import functions as F
 
 from tidewatch.functions.fdist import f_isf, f_sf, t2_limit
 from tidewatch.operators import robust as rb

@@ -1,8 +1,6 @@
 import datetime as dt
-import math
 
 import numpy as np
-from pyspark.sql import functions as F
 
 from tidewatch.operators import series as ser
 

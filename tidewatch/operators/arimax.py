@@ -27,7 +27,6 @@ from pyspark.sql import types as T
 
 from ..session import cut_lineage
 
-_erfc = np.vectorize(math.erfc, otypes=[float])
 CONST = "const"
 
 

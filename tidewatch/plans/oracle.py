@@ -156,7 +156,3 @@ def with_ctes(body: str, *names: str) -> str:
     for n in names:
         visit(n)
     return "WITH " + ",\n".join(CTES[n] for n in order) + "\n" + body
-
-
-def r6(expr: str, alias: str) -> str:
-    return f"round({expr}, 6) AS {alias}"

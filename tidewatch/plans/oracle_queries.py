@@ -28,10 +28,6 @@ def monday_w(y: str, w: str) -> str:
     return f"CAST({j} + CAST(((7 - (isodow({j}) - 1)) % 7 + 7) % 7 + 7 * ({w} - 1) AS INTEGER) AS DATE)"
 
 
-def rnd(col: str, alias: str | None = None, digits: int = 6) -> str:
-    return f"round({col}, {digits}) AS {alias or col.split('.')[-1]}"
-
-
 SQL["calendar_labels"] = f"""
 SELECT DISTINCT CAST(o_orderdate AS DATE) AS day,
   CAST(isoyear(o_orderdate) AS INTEGER) AS iso_year, CAST(weekofyear(o_orderdate) AS INTEGER) AS iso_week,
