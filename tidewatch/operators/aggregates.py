@@ -82,12 +82,11 @@ def with_share(counts: DataFrame, by: Sequence[str] = (), count_col: str = "coun
     The group total comes from a grouped sum joined back, not from an
     unpartitioned window, so the counts never funnel into one task.
     """
-    totals = counts.groupBy(*by).agg(F.sum(count_col).alias("_total"))
     if by:
+        totals = counts.groupBy(*by).agg(F.sum(count_col).alias("_total"))
         joined = counts.join(totals, list(by), "inner")
-    else:  # one total row: attach it through a constant key (bounded to one row)
-        joined = (counts.withColumn("_one", F.lit(1))
-                  .join(F.broadcast(totals.withColumn("_one", F.lit(1))), "_one").drop("_one"))
+    else:  # one grand total: a scalar subquery, no join
+        joined = counts.withColumn("_total", counts.agg(F.sum(count_col)).scalar())
     return (joined.withColumn(alias, F.round(F.col(count_col) * 100.0 / F.col("_total"), digits))
             .drop("_total"))
 
