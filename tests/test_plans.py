@@ -39,3 +39,8 @@ def test_flagship_scan_is_column_pruned(plans):
     for s in schemas:
         for unused in ("l_orderkey", "l_partkey", "l_returnflag", "l_linestatus"):
             assert unused not in s
+
+
+def test_no_row_at_a_time_python_udfs(plans):
+    for name, text in plans.items():
+        assert "BatchEvalPython" not in text, name
