@@ -54,3 +54,14 @@ def test_streaming_ingest_upserts(spark, scratch):
     q.awaitTermination(120)
     cur = {r.localityweekid: r.name for r in wi.read_current(spark, f"{scratch}/table").collect()}
     assert cur == {10: "A2", 11: "B"}
+
+
+def test_upsert_sink_replay_is_a_no_op(spark, scratch):
+    root = f"{scratch}/keyed"
+    sink = wi.upsert_sink(root, ["k"])
+    first = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    sink(first, 0)
+    sink(spark.createDataFrame([(1, "replayed")], "k int, v string"), 0)   # same epoch again
+    assert {r.k: r.v for r in wi.read_current(spark, root).collect()} == {1: "a", 2: "b"}
+    sink(spark.createDataFrame([(2, "c")], "k int, v string"), 1)
+    assert {r.k: r.v for r in wi.read_current(spark, root).collect()} == {1: "a", 2: "c"}
