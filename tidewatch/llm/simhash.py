@@ -100,6 +100,10 @@ def _ball(value: Column, width: int, radius: int) -> Column:
     return out
 
 
+def _tagged(values: Column, tag: int) -> Column:
+    return F.transform(values, lambda v: v + tag)
+
+
 def links(fps: DataFrame, max_distance: int = MAX_DISTANCE, segments: int = SEGMENTS) -> DataFrame:
     """(a, b) with a < b: all pairs of distinct fingerprints at ``max_distance`` or fewer differing bits.
 
@@ -113,9 +117,9 @@ def links(fps: DataFrame, max_distance: int = MAX_DISTANCE, segments: int = SEGM
         if radius < 0:
             continue
         value = F.shiftrightunsigned("fp", low).bitwiseAND(F.lit((1 << width) - 1))
-        tag = F.lit(k << 56).cast("long")
-        index.append((value + tag).alias("key"))
-        probes.append(F.transform(_ball(value, width, radius), lambda v, t=tag: v + t))
+        # the segment's number in the highest byte
+        index.append(value + (k << 56))
+        probes.append(_tagged(_ball(value, width, radius), k << 56))
     table = fps.select(F.col("fp").alias("b"), F.explode(F.array(*index)).alias("key"))
     asked = fps.select(F.col("fp").alias("a"), F.explode(F.concat(*probes)).alias("key"))
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_distance
