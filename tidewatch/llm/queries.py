@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, langid, packing, quality, simhash, winnow
+from . import decontam, html_extract, langid, license_scan, line_dedup, packing, quality, secret_scan, simhash, winnow
 from .common import id_fold, prepare, table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -43,6 +43,27 @@ def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(documents, profiles).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First scan of a ledger: every document is one version of the path that its id names."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    entries = secret_scan.scan(documents)
+    return secret_scan.digest(secret_scan.findings_by_path(documents, entries, ["doc_id"]))
+
+
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: lines, removed lines (their numbers from 0) and the SHA-256 of what is left."""
+    found = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id", F.size("removed").cast("long").alias("n_removed"),
+        F.array_join(F.col("removed").cast("array<string>"), ",").alias("removed"),
+        F.char_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_chars"),
+        F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("text_sha256"))
+
+
+def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.main_text(table(spark, sf_dir, "pages"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), near=2)
 
@@ -52,6 +73,18 @@ def op9_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnow.edited_likeness(table(spark, sf_dir, "documents"), buckets)
 
 
+#: Path of a document in a made-up tree: source / ten thousands / thousands / name. Ids that 100 divides
+#: are licence files of the upper directory, others that 10 divides of the lower one.
+DOC_PATH = """concat(coalesce(source, 'none'), '/', coalesce(doc_id, 0) div 10000, '/',
+    case when doc_id % 100 = 0 then '' else concat((coalesce(doc_id, 0) div 1000) % 10, '/') end,
+    case when doc_id % 10 = 0 then 'LICENSE-' else 'doc-' end, coalesce(doc_id, -1), '.txt')"""
+
+
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return license_scan.scan(documents.select(F.expr(DOC_PATH).alias("path"), "text"))
+
+
 def _prepared(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         prepare(spark)
@@ -61,6 +94,7 @@ def _prepared(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSe
 
 
 REGISTRY = {fn.__name__: _prepared(fn) for fn in (
-    op1_quality, op2_simhash, op3_packing, op4_langid, op8_decontamination, op9_winnowing)}
+    op1_quality, op2_simhash, op3_packing, op4_langid, op5_secrets, op6_line_dedup, op7_html, op8_decontamination,
+    op9_winnowing, op10_licenses)}
 
 SQL: dict[str, str] = {}
