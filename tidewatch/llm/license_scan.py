@@ -53,8 +53,8 @@ STOP_WORDS = frozenset("a an and any are as at be by can for found from in into
 
 THRESHOLD = 0.75
 
-#: words of lower-cased text: letters and digits, with + and -, and dots before a digit
-SEPARATOR = r"[^a-z0-9.+-]+|\.(?![0-9])"
+#: between the words of lower-cased text; words are letters, digits, + and -, and dots inside
+SEPARATOR = r"\.*[^a-z0-9.+-]+\.*|\.+$"
 LICENSE_FILE = r"(?i)^(licen[sc]e|copying|unlicense|notice)"
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from . import decontam, html_extract, langid, license_scan, line_dedup, packing, quality, secret_scan, simhash, winnow
 from .common import id_fold, prepare, table
+from .oracle import SQL
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -97,4 +98,4 @@ REGISTRY = {fn.__name__: _prepared(fn) for fn in (
     op1_quality, op2_simhash, op3_packing, op4_langid, op5_secrets, op6_line_dedup, op7_html, op8_decontamination,
     op9_winnowing, op10_licenses)}
 
-SQL: dict[str, str] = {}
+__all__ = ["REGISTRY", "SQL"]
