@@ -1,10 +1,9 @@
 """Line deduplication by an exact set-similarity join, in DataFrame functions only.
 
-A line's tokens are its distinct shingles of ``shingle`` words (white space separated; fewer words: the whole
-line). A line is removed when an earlier line, by (doc_id, line number), has a Jaccard similarity of
+A line's tokens are its distinct shingles of ``shingle`` words (fewer words: the whole line). A line is removed when an earlier line, by (doc_id, line number), has a Jaccard similarity of
 ``threshold`` or more; equal lines have similarity 1. Lines of fewer than ``min_words`` words stay.
 
-Equal lines are first merged into one, which is all that copies cost. Tokens are ordered by rarity:
+Equal lines are merged into one before they are paired. Tokens are ordered by rarity:
 how often their hash bucket occurs in all lines, then by hash. Two lines that are similar
 enough share a token among the first n - ceil(t n) + 1 of each (prefix filter), have lengths
 within a factor t (length filter) and enough tokens left behind the shared one (positional
@@ -28,41 +27,46 @@ RARITY_BUCKETS = 1 << 16
 # Generators below are outer ones: for the others Spark adds a filter on the array's size, which would
 # compute the array twice. No array here is empty.
 
+#: lines whose texts are fetched by a broadcast of their hashes (16 bytes each); beyond, by a shuffle
+BROADCAST_ROWS = 200_000
+
 #: rounding guard of t * n
 _EPS = 1e-9
 
 
-def words_of(line: Column) -> Column:
-    return F.array_remove(F.split(F.translate(line, "\t\r\f\v", "    "), " ", -1), "")
-
-
-def with_shingles(df: DataFrame, line: str, out: str, size: int) -> DataFrame:
-    """Add ``out``: distinct 64-bit hashes of the runs of ``size`` words; of a shorter line, one of all its words."""
-    # a column of its own, so that the words are hashed once and not for each run
-    words = df.withColumn("_words", F.transform(F.split(line, " ", -1), lambda w: F.xxhash64(w)))
-    runs = F.transform(F.slice("_words", F.lit(1), F.size("_words") - (size - 1)), lambda x, i: F.xxhash64(
-        x, *[F.get("_words", i + k) for k in range(1, size)]))
-    return words.withColumn(out, F.array_distinct(
-        F.when(F.size("_words") >= size, runs).otherwise(F.array(F.xxhash64("_words"))))).drop("_words")
-
-
 def line_table(documents: DataFrame, min_words: int) -> DataFrame:
-    """(doc_id, line_no, line, h1, h2) of every line with enough words; h1, h2 identify its words."""
+    """(doc_id, line_no, line, h1, h2) of every trimmed line with enough words; h1, h2 identify the line.
+
+    Words are what spaces separate.
+    """
     rows = documents.select(F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("doc_id"),
                             F.posexplode_outer(F.split(F.col("text").cast("string"), "\n", -1)).alias("line_no", "line"))
-    words = rows.withColumn("words", words_of(F.col("line"))).where(F.size("words") >= min_words)
-    text = F.array_join("words", " ")
-    return words.select("doc_id", "line_no", text.alias("line")).select(
+    lines = rows.withColumn("line", F.trim("line"))
+    spaces = F.char_length("line") - F.char_length(F.replace("line", F.lit(" "), F.lit("")))
+    return lines.where(spaces >= min_words - 1).select(
         "doc_id", "line_no", "line", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"))
 
 
+def runs_of_words(df: DataFrame, line: str, out: str, size: int) -> DataFrame:
+    """Add ``out``: the runs of ``size`` words as an array of structs; of a shorter line, one run filled with nulls."""
+    words = df.withColumn("_words", F.split(line, " ", -1))
+    last = F.greatest(F.size("_words") - (size - 1), F.lit(1))
+    return words.withColumn(out, F.arrays_zip(*[F.slice("_words", F.lit(k + 1), last).alias(f"w{k}") for k in range(size)])).drop("_words")
+
+
+def with_shingles(df: DataFrame, line: str, out: str, size: int) -> DataFrame:
+    """Add ``out``: the distinct 64-bit hashes of the line's runs of ``size`` words."""
+    runs = runs_of_words(df, line, "_runs", size)
+    return runs.withColumn(out, F.array_distinct(F.transform("_runs", lambda run: F.xxhash64(run)))).drop("_runs")
+
+
 def rarity(lines: DataFrame, shingle: int, buckets: int) -> bytes:
     """For each hash bucket of tokens, the binary logarithm of how many tokens of all lines fall into it.
 
     The driver receives ``buckets`` numbers at most, whatever the size of the table.
     """
-    tokens = with_shingles(lines.select("line"), "line", "tokens", shingle).select(F.explode_outer("tokens").alias("token"))
-    counted = tokens.groupBy(F.pmod("token", F.lit(buckets)).cast("int").alias("bucket")).agg(
+    tokens = runs_of_words(lines.select("line"), "line", "runs", shingle).select(F.explode_outer("runs").alias("run"))
+    counted = tokens.groupBy(F.pmod(F.xxhash64("run"), F.lit(buckets)).cast("int").alias("bucket")).agg(
         F.ceil(F.log2(1 + F.count("*"))).cast("int").alias("size"))
     sizes = bytearray([0]) * buckets
     for row in counted.collect():
@@ -74,34 +78,45 @@ def _at_least(threshold: float, n: Column) -> Column:
     return F.ceil(F.lit(threshold) * n - _EPS)
 
 
-def similar_lines(distinct: DataFrame, sizes: bytes, shingle: int, threshold: float) -> DataFrame:
-    """(h1, h2) of the lines that come after a similar line; ``distinct`` is (h1, h2, first: doc_id, line_no, line).
+def candidate_pairs(lines: DataFrame, sizes: bytes, shingle: int, threshold: float) -> DataFrame:
+    """(a1, a2, b1, b2): pairs of different lines that pass the prefix, length and positional filters.
 
     ``sizes`` is the result of ``rarity``.
     """
-    lines = with_shingles(distinct.select("h1", "h2", F.col("first.line").alias("line")), "line", "tokens", shingle)
+    sets = with_shingles(lines.select("h1", "h2", "line"), "line", "tokens", shingle)
     table = F.lit(bytearray(sizes))
     size_of = lambda t: F.ascii(F.substring(table, F.pmod(t, F.lit(len(sizes))).cast("int") + 1, F.lit(1)).cast("string"))
-    # 6 bits of rarity above 58 bits of the hash: one number to sort by and to compare
+    # 6 bits of rarity above 57 bits of the hash: one number to sort by and to compare
     ranked = F.sort_array(F.transform("tokens", lambda t: size_of(t).cast("long") * F.lit(1 << 57) + F.shiftrightunsigned(t, 7)))
     n = F.size("tokens")
     prefix = F.posexplode_outer(F.slice(ranked, F.lit(1), (n - _at_least(threshold, n) + 1).cast("int")))
-    postings = lines.select("h1", "h2", n.alias("n"), prefix.alias("at", "token"))
+    # copies of a line meet in the partial aggregation before the shuffle
+    postings = sets.select("h1", "h2", n.alias("n"), prefix.alias("at", "token")).distinct()
     a = postings.select("token", F.col("h1").alias("a1"), F.col("h2").alias("a2"), F.col("n").alias("an"), F.col("at").alias("aat"))
     b = postings.select("token", F.col("h1").alias("b1"), F.col("h2").alias("b2"), F.col("n").alias("bn"), F.col("at").alias("bat"))
     overlap = F.ceil(F.lit(threshold / (1 + threshold)) * (F.col("an") + F.col("bn")) - _EPS)
-    pairs = a.join(b, "token").where(
+    return a.join(b, "token").where(
         ((F.col("a1") < F.col("b1")) | (F.col("a1") == F.col("b1")) & (F.col("a2") < F.col("b2")))
         & (F.least("an", "bn") >= _at_least(threshold, F.greatest("an", "bn")))
         & (F.least(F.col("an") - F.col("aat"), F.col("bn") - F.col("bat")) >= overlap)).select("a1", "a2", "b1", "b2").distinct()
-    left = distinct.select(F.col("h1").alias("a1"), F.col("h2").alias("a2"), F.col("first").alias("x"))
-    right = distinct.select(F.col("h1").alias("b1"), F.col("h2").alias("b2"), F.col("first").alias("y"))
-    both = pairs.join(left, ["a1", "a2"]).join(right, ["b1", "b2"])
-    sets = both.select("a1", "a2", "b1", "b2", "x.doc_id", "x.line_no", F.col("x.line").alias("x_line"),
-                       F.col("y.doc_id").alias("y_id"), F.col("y.line_no").alias("y_no"), F.col("y.line").alias("y_line"))
+
+
+def similar_lines(lines: DataFrame, sizes: bytes, shingle: int, threshold: float) -> DataFrame:
+    """(h1, h2) of the lines whose first copy comes after that of a similar line."""
+    pairs = cut_lineage(candidate_pairs(lines, sizes, shingle, threshold))
+    wanted = cut_lineage(pairs.select(F.col("a1").alias("h1"), F.col("a2").alias("h2"))
+                         .union(pairs.select(F.col("b1").alias("h1"), F.col("b2").alias("h2"))).distinct())
+    few = wanted.count() <= BROADCAST_ROWS
+    first = cut_lineage(lines.join(F.broadcast(wanted) if few else wanted, ["h1", "h2"])
+                        .groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "line_no", "line")).alias("first")))
+    left = first.select(F.col("h1").alias("a1"), F.col("h2").alias("a2"), F.col("first").alias("x"))
+    right = first.select(F.col("h1").alias("b1"), F.col("h2").alias("b2"), F.col("first").alias("y"))
+    sets = pairs.join(left, ["a1", "a2"]).join(right, ["b1", "b2"]).select(
+        "a1", "a2", "b1", "b2", "x.doc_id", "x.line_no", F.col("x.line").alias("x_line"),
+        F.col("y.doc_id").alias("y_id"), F.col("y.line_no").alias("y_no"), F.col("y.line").alias("y_line"))
     sets = with_shingles(with_shingles(sets, "x_line", "s", shingle), "y_line", "t", shingle)
-    common = F.size(F.array_intersect("s", "t"))
-    jaccard = common / (F.size("s") + F.size("t") - common)
+    sets = sets.withColumn("common", F.size(F.array_intersect("s", "t")))
+    jaccard = F.col("common") / (F.size("s") + F.size("t") - F.col("common"))
     later = (F.col("doc_id") > F.col("y_id")) | (F.col("doc_id") == F.col("y_id")) & (F.col("line_no") > F.col("y_no"))
     return sets.where(jaccard >= threshold - _EPS).select(
         F.when(later, F.col("a1")).otherwise(F.col("b1")).alias("h1"), F.when(later, F.col("a2")).otherwise(F.col("b2")).alias("h2")).distinct()
@@ -115,12 +130,12 @@ def removed_lines(documents: DataFrame, shingle: int = SHINGLE, threshold: float
     id here is the largest long. Null and empty texts have no lines to remove.
     """
     lines = line_table(documents, min_words)
-    distinct = lines.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "line_no", "line")).alias("first"))
-    later = similar_lines(distinct, rarity(lines, shingle, buckets), shingle, threshold).withColumn("later", F.lit(True))
-    verdict = cut_lineage(distinct.select("h1", "h2", F.col("first.doc_id").alias("first_id"), F.col("first.line_no").alias("first_no"))
-                          .join(later, ["h1", "h2"], "left"))
-    kept = (F.col("doc_id") == F.col("first_id")) & (F.col("line_no") == F.col("first_no")) & F.col("later").isNull()
-    return lines.select("doc_id", "line_no", "h1", "h2").join(verdict, ["h1", "h2"]).where(~kept).select("doc_id", "line_no").distinct()
+    later = similar_lines(lines, rarity(lines, shingle, buckets), shingle, threshold).withColumn("later", F.lit(True))
+    places = cut_lineage(lines.select("doc_id", "line_no", "h1", "h2"))
+    first = places.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "line_no")).alias("first"))
+    verdict = cut_lineage(first.join(later, ["h1", "h2"], "left"))
+    kept = (F.struct("doc_id", "line_no") == F.col("first")) & F.col("later").isNull()
+    return places.join(verdict, ["h1", "h2"]).where(~kept).select("doc_id", "line_no").distinct()
 
 
 def dedup_lines(documents: DataFrame, shingle: int = SHINGLE, threshold: float = THRESHOLD, min_words: int = MIN_WORDS,

@@ -36,9 +36,8 @@ FROM d LEFT JOIN a USING (doc_id)"""
 _LINES = """
 WITH l AS (SELECT doc_id, unnest(generate_series(0, len(ls) - 1)) AS no, ls FROM
         (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL)),
-w AS (SELECT doc_id, no, ls[no + 1] AS line, list_filter(string_split(
-        translate(ls[no + 1], chr(9) || chr(13) || chr(12) || chr(11), '    '), ' '), lambda x: x <> '') AS ws FROM l),
-i AS (SELECT doc_id, no, ws, array_to_string(ws, ' ') AS norm FROM w WHERE len(ws) >= 5),
+w AS (SELECT doc_id, no, ls[no + 1] AS line, string_split(trim(ls[no + 1]), ' ') AS ws FROM l),
+i AS (SELECT doc_id, no, ws, trim(line) AS norm FROM w WHERE len(ws) >= 5),
 f AS (SELECT *, row_number() OVER (ORDER BY doc_id, no) AS lid FROM
         (SELECT *, row_number() OVER (PARTITION BY norm ORDER BY doc_id, no) AS copy FROM i) WHERE copy = 1),
 s AS (SELECT DISTINCT lid, unnest(list_transform(generate_series(1, len(ws) - 4), lambda j: array_to_string(ws[j:j + 4], ' '))) AS s FROM f),
