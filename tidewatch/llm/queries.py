@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from . import decontam, html_extract, langid, license_scan, line_dedup, packing, quality, secret_scan, simhash, winnow
 from .common import id_fold, prepare, table
 from .oracle import SQL
@@ -47,7 +48,7 @@ def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First scan of a ledger: every document is one version of the path that its id names."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    entries = secret_scan.scan(documents)
+    entries = cut_lineage(secret_scan.scan(documents))  # the stored ledger
     return secret_scan.digest(secret_scan.findings_by_path(documents, entries, ["doc_id"]))
 
 
