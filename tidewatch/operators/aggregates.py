@@ -20,19 +20,31 @@ def _num(c: str, dtype: T.DataType) -> Column:
     return F.col(c).cast("double") if isinstance(dtype, T.BooleanType) else F.col(c)
 
 
-def mean_by(df: DataFrame, keys: Sequence[str], value: str = "value", alias: str | None = None) -> DataFrame:
-    """A1: mean of ``value`` per key tuple; rows with a null key are dropped (pandas groupby)."""
-    return df.dropna(subset=list(keys)).groupBy(*keys).agg(F.avg(value).alias(alias or value))
+# Sums of doubles depend on the order of rows, so on the partitioning. Measurements have few decimals: as
+# decimals of 8 places they add up exactly, and their mean is a decimal of 12 places.
+EXACT = "decimal(20,8)"
+
+
+def mean_by(df: DataFrame, keys: Sequence[str], value: str = "value", alias: str | None = None,
+            exact: bool = False) -> DataFrame:
+    """A1: mean of ``value`` per key tuple; rows with a null key are dropped (pandas groupby).
+
+    ``exact``: add the values up as decimals; the mean is a decimal of 12 places.
+    """
+    v = F.col(value).cast(EXACT) if exact else F.col(value)
+    return df.dropna(subset=list(keys)).groupBy(*keys).agg(F.avg(v).alias(alias or value))
 
 
 def group_mean(df: DataFrame, keys: Sequence[str], values: Sequence[str],
-               aliases: Mapping[str, str] | None = None, drop_all_null: bool = False) -> DataFrame:
+               aliases: Mapping[str, str] | None = None, drop_all_null: bool = False,
+               exact: bool = False) -> DataFrame:
     """A3 (``drop_all_null=False``: all-null groups kept as null) and A4/A5 (pivot-table mean:
-    booleans averaged as proportions, groups whose values are all null dropped)."""
+    booleans averaged as proportions, groups whose values are all null dropped). ``exact`` as in ``mean_by``."""
     aliases = aliases or {}
     types = {f.name: f.dataType for f in df.schema.fields}
     out = df.dropna(subset=list(keys)).groupBy(*keys).agg(
-        *[F.avg(_num(v, types[v])).alias(aliases.get(v, v)) for v in values])
+        *[(F.avg(_num(v, types[v]).cast(EXACT)).cast("double") if exact else F.avg(_num(v, types[v])))
+          .alias(aliases.get(v, v)) for v in values])
     if drop_all_null:
         out = out.dropna(how="all", subset=[aliases.get(v, v) for v in values])
     return out
@@ -46,14 +58,15 @@ def weekly_resample(df: DataFrame, ts_col: str, by: Sequence[str] = (), mean_col
 
     * means skip nulls (all-null week -> null),
     * sums of an all-null week are 0.0 (pandas ``resample().sum()``),
+    * decimal columns are added up exactly; results are doubles either way,
     * ``label_col`` of the row stamped exactly on the Sunday 00:00 (index alignment);
       no such row -> null. When the label is a function of the timestamp, pass
       ``sunday_flag`` instead: a boolean "a row is stamped on the Sunday" column
       keeps the aggregation hash-based (a text maximum forces a sort-based one).
     """
     we = cal.week_ending_timestamp(ts_col)
-    aggs: list[Column] = [F.avg(c).alias(c) for c in mean_cols]
-    aggs += [F.coalesce(F.sum(c), F.lit(0.0)).alias(c) for c in sum_cols]
+    aggs: list[Column] = [F.avg(c).cast("double").alias(c) for c in mean_cols]
+    aggs += [F.coalesce(F.sum(c).cast("double"), F.lit(0.0)).alias(c) for c in sum_cols]
     if label_col:
         aggs.append(F.max(F.when(F.col(ts_col) == we, F.col(label_col))).alias(label_alias))
     if sunday_flag:

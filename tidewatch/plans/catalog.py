@@ -44,12 +44,15 @@ def register(name: str, ids: list[str]):
 
 
 def finish(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Round doubles, timestamps -> dates (comparison-friendly, same on the SQL side)."""
+    """Round doubles, timestamps -> dates (comparison-friendly, same on the SQL side).
+
+    Doubles are rounded as decimals, so halves go up whatever the last bit of the double.
+    """
     cols = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            c = F.round(c, digits)
+            c = F.round(c.try_cast("decimal(38,10)"), digits).cast("double")
         elif isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
             c = c.cast("date")
         cols.append(c.alias(f.name))
@@ -198,7 +201,7 @@ def _labelled_fish(spark: SparkSession, d: str) -> DataFrame:
 def q_weekly_lice_mean(spark: SparkSession, d: str) -> DataFrame:
     fish = _labelled_fish(spark, d)
     m = agg.group_mean(fish, ["year_week", "year", "week"], ["avgadultfemalelice"],
-                       {"avgadultfemalelice": "avg_adult_female_lice"})
+                       {"avgadultfemalelice": "avg_adult_female_lice"}, exact=True)
     return finish(m.select("year_week", "avg_adult_female_lice",
                            cal.monday_monday_first("year", "week").alias("date")))
 
@@ -213,7 +216,8 @@ def q_weekly_disease_share(spark: SparkSession, d: str) -> DataFrame:
 @register("region_weekly_lice", ["A5", "C10", "C4", "V6"])
 def q_region_weekly_lice(spark: SparkSession, d: str) -> DataFrame:
     fish = _labelled_fish(spark, d).withColumn("region", scl.region_of_latitude("lat"))
-    m = agg.group_mean(fish, ["region", "year_week", "year", "week"], ["avgadultfemalelice"], drop_all_null=True)
+    m = agg.group_mean(fish, ["region", "year_week", "year", "week"], ["avgadultfemalelice"], drop_all_null=True,
+                       exact=True)
     return finish(m.select("region", "year_week", "avgadultfemalelice",
                            cal.monday_monday_first("year", "week").alias("date")))
 

@@ -31,9 +31,11 @@ _OBS = """obs AS (
 _REP = """rep AS (
   SELECT c.c_nationkey AS municipalityno, CAST(isoyear(o.o_orderdate) AS INTEGER) AS year,
          CAST(weekofyear(o.o_orderdate) AS INTEGER) AS week,
-         avg(CASE WHEN o.o_orderstatus <> 'P' THEN o.o_totalprice / 250000.0 ELSE 0.0 END) AS avgadultfemalelice,
-         avg(o.o_totalprice) / 100000.0 AS avgmobilelice,
-         avg(CASE WHEN o.o_orderpriority IN ('1-URGENT', '2-HIGH') THEN o.o_totalprice / 500000.0 ELSE 0.0 END) AS avgstationarylice,
+         CAST(sum(CASE WHEN o.o_orderstatus <> 'P' THEN CAST(o.o_totalprice AS DECIMAL(18,2)) ELSE 0 END) AS DOUBLE)
+           / count(CASE WHEN o.o_orderstatus <> 'P' THEN o.o_totalprice ELSE 0 END) / 250000.0 AS avgadultfemalelice,
+         CAST(sum(CAST(o.o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / count(o.o_totalprice) / 100000.0 AS avgmobilelice,
+         CAST(sum(CASE WHEN o.o_orderpriority IN ('1-URGENT', '2-HIGH') THEN CAST(o.o_totalprice AS DECIMAL(18,2)) ELSE 0 END) AS DOUBLE)
+           / count(CASE WHEN o.o_orderpriority IN ('1-URGENT', '2-HIGH') THEN o.o_totalprice ELSE 0 END) / 500000.0 AS avgstationarylice,
          avg(CAST(substr(o.o_orderpriority, 1, 1) AS INTEGER)) * 3.0 + 2.0 AS seatemperature,
          list_sort(list_distinct(list(CASE o.o_orderstatus WHEN 'F' THEN 'Laks' WHEN 'O' THEN 'Ørret'
                                       WHEN 'P' THEN 'Regnbueørret' END))) AS specieslist
@@ -70,7 +72,7 @@ _FISH = """fish AS (
   SELECT l.localityno, o.o_orderkey AS localityweekid, l.name,
          o.o_orderstatus <> 'P' AS hasreportedlice,
          o.o_orderstatus = 'P' AS isfallow,
-         CASE WHEN o.o_orderstatus <> 'P' THEN round(o.o_totalprice / 250000.0, 2) END AS avgadultfemalelice,
+         CASE WHEN o.o_orderstatus <> 'P' THEN (CAST(CAST(o.o_totalprice AS DECIMAL(18,2)) * 100 AS BIGINT) + 125000) // 250000 / 100.0::DOUBLE END AS avgadultfemalelice,
          o.o_orderpriority = '3-MEDIUM' AS hascleanerfishdeployed,
          o.o_orderpriority = '4-NOT SPECIFIED' AS hasmechanicalremoval,
          o.o_orderpriority = '5-LOW' AS hassubstancetreatments,
@@ -96,7 +98,7 @@ _ROSTER = """roster AS (
 _DAILY = """a1 AS (
   SELECT municipalityno, referencetime, elementid, unit, sourceid,
          CAST(isoyear(referencetime) AS VARCHAR) || '_' || CAST(weekofyear(referencetime) AS VARCHAR) AS year_week,
-         avg(value) AS value
+         CAST(avg(CAST(value AS DECIMAL(20,8))) AS DECIMAL(24,12)) AS value
   FROM obs GROUP BY ALL),
 d3 AS (
   SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY municipalityno, referencetime, elementid
@@ -114,7 +116,7 @@ _WEEKLY = """weekly AS (
          avg(mean_air_temperature) AS mean_air_temperature,
          avg(mean_relative_humidity) AS mean_relative_humidity,
          avg(mean_wind_speed) AS mean_wind_speed,
-         coalesce(sum(sum_precipitation_amount), 0.0) AS sum_precipitation_amount,
+         coalesce(CAST(sum(sum_precipitation_amount) AS DOUBLE), 0.0) AS sum_precipitation_amount,
          max(CASE WHEN referencetime = date_trunc('week', referencetime) + INTERVAL 6 DAY THEN year_week END) AS wk
   FROM wide GROUP BY 1, 2),
 weekly_ok AS (
@@ -143,6 +145,23 @@ _DEPS = {
 }
 
 
+def settled(sql: str) -> str:
+    """Every ``round(x, 6)`` as a rounding of decimals, like ``catalog.finish``."""
+    out, at = "", 0
+    while (start := sql.find("round(", at)) >= 0:
+        depth, end = 1, start + len("round(")
+        while depth:
+            depth += {"(": 1, ")": -1}.get(sql[end], 0)
+            end += 1
+        body = sql[start + len("round("):end - 1]
+        if body.endswith(", 6)") or not body.endswith(", 6"):
+            out, at = out + sql[at:start + len("round(")], start + len("round(")
+            continue
+        out += f"{sql[at:start]}CAST(round(TRY_CAST({settled(body[:-3])} AS DECIMAL(38,10)), 6) AS DOUBLE)"
+        at = end
+    return out + sql[at:]
+
+
 def with_ctes(body: str, *names: str) -> str:
     """Prefix ``body`` with the named CTEs and everything they depend on, in dependency order."""
     order: list[str] = []

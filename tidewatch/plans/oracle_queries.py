@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .oracle import with_ctes
+from .oracle import settled, with_ctes
 
 SQL: dict[str, str] = {}
 
@@ -84,7 +84,7 @@ SELECT count(*) - count(avgadultfemalelice) AS avgadultfemalelice, count(*) - co
 FROM lice""", "lice")
 
 SQL["weekly_lice_mean"] = with_ctes(f"""
-SELECT year_week, round(avg(avgadultfemalelice), 6) AS avg_adult_female_lice, {monday_w('year', 'week')} AS date
+SELECT year_week, round(avg(CAST(avgadultfemalelice AS DECIMAL(20,8))), 6) AS avg_adult_female_lice, {monday_w('year', 'week')} AS date
 FROM (SELECT *, CAST(year AS VARCHAR) || '-' || CAST(week AS VARCHAR) AS year_week FROM fish)
 GROUP BY year_week, year, week""", "fish")
 
@@ -99,7 +99,7 @@ _REGION = ("CASE WHEN lat < 63.81 THEN 'South' WHEN lat <= 68.85 THEN 'Middle' W
            "ELSE 'NaN' END")
 
 SQL["region_weekly_lice"] = with_ctes(f"""
-SELECT region, year_week, round(avg(avgadultfemalelice), 6) AS avgadultfemalelice, {monday_w('year', 'week')} AS date
+SELECT region, year_week, round(avg(CAST(avgadultfemalelice AS DECIMAL(20,8))), 6) AS avgadultfemalelice, {monday_w('year', 'week')} AS date
 FROM (SELECT *, {_REGION} AS region, CAST(year AS VARCHAR) || '-' || CAST(week AS VARCHAR) AS year_week FROM fish)
 GROUP BY region, year_week, year, week
 HAVING avg(avgadultfemalelice) IS NOT NULL""", "fish")
@@ -321,3 +321,5 @@ SELECT w.municipalityno, CAST(w.referencetime AS DATE) AS referencetime,
 FROM weekly_ok w JOIN lice l
   ON l.municipalityno = w.municipalityno AND CAST(l.year AS VARCHAR) || '_' || CAST(l.week AS VARCHAR) = w.wk""",
                                              "weekly", "lice")
+
+SQL = {name: settled(text) for name, text in SQL.items()}

@@ -37,7 +37,7 @@ def daily_wide(observations: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     code = F.array_position(F.array(*[F.lit(e) for e in ELEMENTS]), F.col("elementid")).cast("byte")
     obs = obs.withColumn("_element", code)
     keys = [*by, "referencetime", "_element", "unit", "sourceid"]
-    daily = agg.mean_by(obs, keys, "value")
+    daily = agg.mean_by(obs, keys, "value", exact=True)
     codes = list(range(1, len(ELEMENTS) + 1))
     wide = rs.pivot_first(daily, [*by, "referencetime"], "_element", codes, value_col="value",
                           order_cols=["unit", "sourceid"], names=dict(zip(codes, ELEMENTS)))

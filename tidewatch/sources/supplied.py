@@ -48,6 +48,16 @@ def _lon_of(nationkey, key) -> F.Column:
     return F.lit(4.0) + nationkey.cast("double") * F.lit(0.5) + F.pmod(key, F.lit(10)).cast("double") / F.lit(10.0)
 
 
+def _price(column: str) -> F.Column:
+    """Money as an exact decimal, so that sums do not depend on the order of rows."""
+    return F.col(column).cast("decimal(18,2)")
+
+
+def _mean_price(amount: F.Column, unit: float) -> F.Column:
+    """Mean of exact amounts in ``unit``s."""
+    return F.sum(amount).cast("double") / F.nullif(F.count(amount), F.lit(0)) / F.lit(unit)
+
+
 def localities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Site catalogue: localityno, name, lat, lon, municipalityno, municipality."""
     c = table(spark, sf_dir, "customer")
@@ -83,7 +93,9 @@ def fish_table(spark: SparkSession, sf_dir: str) -> DataFrame:
                 F.col("name"),
                 (~pending).alias("hasreportedlice"),
                 pending.alias("isfallow"),
-                F.when(~pending, F.round(F.col("o_totalprice") / 250000.0, 2)).alias("avgadultfemalelice"),
+                # hundredths of 250000, halves up, in whole cents
+                F.when(~pending, F.expr("(cast(cast(o_totalprice as decimal(18,2)) * 100 as bigint) + 125000) div 250000 / 100.0D"))
+                .alias("avgadultfemalelice"),
                 (pr == F.lit("3-MEDIUM")).alias("hascleanerfishdeployed"),
                 (pr == F.lit("4-NOT SPECIFIED")).alias("hasmechanicalremoval"),
                 (pr == F.lit("5-LOW")).alias("hassubstancetreatments"),
@@ -137,11 +149,11 @@ def lice_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
                     cal.iso_week(od).alias("week"), "o_totalprice", "o_orderstatus", "o_orderpriority"))
     prio = F.substring("o_orderpriority", 1, 1).cast("int")
     agg = (base.groupBy("municipalityno", "year", "week")
-           .agg(F.avg(F.when(F.col("o_orderstatus") != "P", F.col("o_totalprice") / 250000.0).otherwise(0.0))
+           .agg(_mean_price(F.when(F.col("o_orderstatus") != "P", _price("o_totalprice")).otherwise(0), 250000.0)
                 .alias("avgadultfemalelice"),
-                (F.avg("o_totalprice") / 100000.0).alias("avgmobilelice"),
-                F.avg(F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"),
-                             F.col("o_totalprice") / 500000.0).otherwise(0.0)).alias("avgstationarylice"),
+                _mean_price(_price("o_totalprice"), 100000.0).alias("avgmobilelice"),
+                _mean_price(F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), _price("o_totalprice"))
+                            .otherwise(0), 500000.0).alias("avgstationarylice"),
                 (F.avg(prio) * 3.0 + 2.0).alias("seatemperature"),
                 F.array_sort(F.collect_set(species[F.col("o_orderstatus")])).alias("specieslist")))
     return agg.join(n.select(F.col("n_nationkey").alias("municipalityno"), F.col("n_name").alias("localityname")),
