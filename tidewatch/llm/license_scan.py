@@ -16,6 +16,8 @@ from collections import Counter
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 #: Customary notices of common licences, by SPDX name.
 TEMPLATES = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0"),
@@ -76,17 +78,25 @@ def _terms(text: Column) -> Column:
     return F.split(F.lower(text), SEPARATOR, -1)
 
 
-def scores(files: DataFrame, index: TemplateIndex, stop: frozenset[str] = STOP_WORDS) -> DataFrame:
-    """(path, unit, license, score): best template of each unit that shares a term with one.
+def scores(files: DataFrame, index: TemplateIndex, threshold: float, stop: frozenset[str] = STOP_WORDS) -> DataFrame:
+    """(path, unit, license, score): best template of each unit with a score of ``threshold`` or more.
 
     Unit 0 is the whole file, unit i its i-th line. Files that share a path count as one file.
+
+    A unit with a words of the templates and b different others has a cosine of at most sqrt(a² / (a² + b)): the
+    former weigh no more than a times the largest idf together, the latter at least that idf each.
+    Units that cannot reach the threshold are left out before their terms are counted.
     """
     vocabulary = F.array(*[F.lit(t) for t in index.idf])
     rows = files.select("path", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     rows = rows.where(F.arrays_overlap(_terms(F.col("text")), vocabulary))
     units = rows.select("path", F.posexplode(F.concat(F.array("text"), F.split("text", "\n", -1))).alias("unit", "line"))
-    terms = units.select("path", "unit", _terms(F.col("line")).alias("terms")).where(F.arrays_overlap("terms", vocabulary))
-    counted = (terms.select("path", "unit", F.explode("terms").alias("term"))
+    terms = units.select("path", "unit", _terms(F.col("line")).alias("terms"))
+    other = F.array(*[F.lit(t) for t in ["", *index.idf, *sorted(stop)]])
+    inside = F.size(F.filter("terms", lambda t: t.isin(*index.idf)))
+    terms = terms.withColumn("a", inside).where(F.col("a") > 0)
+    terms = terms.where(F.size(F.array_except("terms", other)) <= F.col("a") * F.col("a") * (1 / threshold ** 2 - 1) + 1e-9)
+    counted = (terms.select("path", "unit", F.explode_outer("terms").alias("term"))
                .where((F.col("term") != "") & ~F.col("term").isin(*sorted(stop)))
                .groupBy("path", "unit", "term").agg(F.count("*").alias("tf")))
     # one row for each term of the templates, a fixed list
@@ -100,7 +110,7 @@ def scores(files: DataFrame, index: TemplateIndex, stop: frozenset[str] = STOP_W
     best = F.array_max(F.array(*[F.struct(F.round(F.col(f"d{k}") / F.col("norm"), 9).alias("score"), F.lit(-k).alias("k"))
                                  for k in range(len(index.names))]))
     name = F.element_at(F.array(*[F.lit(n) for n in index.names]), 1 - F.col("best.k"))
-    return sums.select("path", "unit", best.alias("best")).select("path", "unit", name.alias("license"), F.col("best.score").alias("score"))
+    return sums.select("path", "unit", best.alias("best")).select("path", "unit", name.alias("license"), F.col("best.score").alias("score")).where(F.col("score") >= threshold)
 
 
 def directory(path: Column) -> Column:
@@ -126,11 +136,11 @@ def scan(files: DataFrame, index: TemplateIndex | None = None, threshold: float
     """
     index = index or TemplateIndex()
     files = files.select(F.coalesce(F.col("path").cast("string"), F.lit("")).alias("path"), "text")
-    found = scores(files, index).where(F.col("score") >= threshold)
+    found = scores(files, index, threshold)
     own = found.groupBy("path").agg(
         F.max(F.struct((F.col("unit") == 0).alias("whole"), "score", (-F.col("unit")).alias("unit"), "license")).alias("m"))
-    own = own.select("path", F.col("m.license").alias("license"), F.when(F.col("m.whole"), "file").otherwise("header").alias("basis"),
-                     F.col("m.score").alias("score"))
+    own = cut_lineage(own.select("path", F.col("m.license").alias("license"), F.when(F.col("m.whole"), "file").otherwise("header").alias("basis"),
+                                 F.col("m.score").alias("score")))
     named = own.where(F.regexp_like(F.element_at(F.split("path", "/", -1), -1), F.lit(LICENSE_FILE)))
     of_folder = named.groupBy(directory(F.col("path")).alias("above")).agg(
         F.min(F.struct((-F.col("score")).alias("s"), "path", "license")).alias("f"))
