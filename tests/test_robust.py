@@ -44,9 +44,61 @@ def test_mcd_resists_contamination(spark):
     data = np.vstack([clean, outliers])
     df = spark.createDataFrame([(0, i, *map(float, r)) for i, r in enumerate(data)],
                                "g int, rid long, a double, b double, c double")
-    est = rb.min_cov_det(df, ["a", "b", "c"], ["g"], n_trials=12, n_best=4, row_id="rid").first()
+    est = rb.min_cov_det(df, ["a", "b", "c"], ["g"], n_trials=12, n_best=4).first()
     loc = np.array([est._m0, est._m1, est._m2])
     assert np.all(np.abs(loc) < 0.6), loc          # classical mean would be near 2.4
     cov = np.array([[est._c0_0, est._c0_1, est._c0_2], [est._c0_1, est._c1_1, est._c1_2],
                     [est._c0_2, est._c1_2, est._c2_2]])
     assert np.all(np.diag(cov) < 2.5) and np.all(np.diag(cov) > 0.3)
+
+
+def _mcd(spark, data, trials=12):
+    df = spark.createDataFrame([(0, *map(float, r)) for r in data], "g int, a double, b double, c double")
+    return rb.min_cov_det(df, ["a", "b", "c"], ["g"], n_trials=trials, n_best=4).first()
+
+
+def _numpy_mcd(data, trials=200, seed=3):
+    """Smallest log determinant over independent random starts of h rows, concentrated to the end."""
+    rng, (n, p) = np.random.default_rng(seed), data.shape
+    h, best = int(np.ceil((n + p + 1) / 2)), np.inf
+    for _ in range(trials):
+        pick = rng.permutation(n)[:h]
+        for _ in range(50):
+            m, s = data[pick].mean(0), np.cov(data[pick].T, ddof=0)
+            d = data - m
+            new = np.argsort(np.einsum("ij,jk,ik->i", d, np.linalg.pinv(s), d), kind="stable")[:h]
+            if set(new) == set(pick):
+                break
+            pick = new
+        sign, logdet = np.linalg.slogdet(np.cov(data[pick].T, ddof=0))
+        best = min(best, logdet if sign > 0 else -np.inf)
+    return h, best
+
+
+def test_mcd_with_many_duplicates_keeps_a_support_of_h_rows(spark):
+    rng = np.random.default_rng(8)
+    values = rng.normal(size=(23, 3))
+    data = np.vstack([values, values[[0, 0, 0, 5, 5]]])
+    h, best = _numpy_mcd(data)
+    est = _mcd(spark, data, trials=30)
+    assert est.h == est.n_support == h and est.converged
+    assert est.raw_logdet <= best + 0.35
+
+
+def test_mcd_on_zero_inflated_rows(spark):
+    data = np.vstack([np.random.default_rng(2).normal(loc=5, size=(70, 3)), np.zeros((30, 3))])
+    h, best = _numpy_mcd(data)
+    est = _mcd(spark, data)
+    assert est.n_support == h == 52
+    assert abs(est.raw_logdet - best) < 0.5
+
+
+def test_small_keys_come_back_with_nulls(spark):
+    rows = [(0, float(i), float(i * i % 7), float(i % 3)) for i in range(12)] + [(1, 1.0, 2.0, 3.0), (1, 2.0, 1.0, 0.0)]
+    df = spark.createDataFrame(rows, "g int, a double, b double, c double")
+    found = {r.g: r for r in rb.min_cov_det(df, ["a", "b", "c"], ["g"], n_trials=5, n_best=2).collect()}
+    assert found[1].n_rows == 2 and found[1]._m0 is None and found[1].n_support is None
+    chart = rb.hotelling_t2(df, ["a", "b", "c"], ["g"]).collect()
+    assert len(chart) == 14
+    assert all(r.t2 is None and r.t2_limit is None and r.p_value is None for r in chart if r.g == 1)
+    assert all(r.t2 is not None for r in chart if r.g == 0)

@@ -29,10 +29,10 @@ from ..session import cut_lineage
 
 
 def _attach(df: DataFrame, small: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Join a per-key table; with no key the (one-row) table is attached through a constant key."""
+    """Left join of a per-key table, so that no row is lost; with no key the one row is attached through a constant."""
     if by:
-        return df.join(small, list(by), "inner")
-    return df.withColumn("_one", F.lit(1)).join(small.withColumn("_one", F.lit(1)), "_one").drop("_one")
+        return df.join(small, list(by), "left")
+    return df.withColumn("_one", F.lit(1)).join(small.withColumn("_one", F.lit(1)), "_one", "left").drop("_one")
 
 
 def _pairs(p: int) -> list[tuple[int, int]]:
@@ -133,22 +133,23 @@ def hotelling_t2(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), cen
     ``center`` is a per-key location/covariance table (``_m*``, ``_c*``; e.g. from
     :func:`min_cov_det`); by default the classical sample estimates of the
     complete rows. ``n=None`` uses each key's row count (pass 52 to mimic a
-    fixed-size chart).
+    fixed-size chart). Every complete row is returned; keys of at most p + 1 rows, and keys without a
+    (regular) covariance, have null T², F, P, limit and flags.
     """
     p = len(cols)
     complete = df.dropna(subset=list(cols))
     if center is None:  # classical estimates; the moment pass also counts the rows
         inv = invert(moments(complete, cols, by, ddof=1), p)
     else:
-        inv = invert(center.drop("_n") if "_n" in center.columns else center, p)
+        inv = invert(center.select(*by, *[f"_m{i}" for i in range(p)], *[f"_c{i}_{j}" for i, j in _pairs(p)]), p)
         inv = _attach(inv, complete.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")), by)
     n_col = F.lit(float(n)) if n is not None else F.col("_n").cast("double")
     inv = inv.withColumn("_nn", n_col).withColumn("t2_limit", _limit_udf(alpha, p)(F.col("_nn")))
     keep = [f"_m{i}" for i in range(p)] + [f"_i{i}_{j}" for i, j in _pairs(p)] + ["_nn", "t2_limit"]
     joined = _attach(complete, inv.select(*by, *keep), by)
-    t2 = quad_form(cols)
-    out = joined.withColumn("t2", t2)
-    out = out.withColumn("f_stat", (F.col("_nn") - p) / (F.lit(float(p)) * (F.col("_nn") - 1)) * F.col("t2"))
+    enough = F.col("_nn") > p + 1
+    out = joined.withColumn("t2", F.when(enough, quad_form(cols))).withColumn("t2_limit", F.when(enough, F.col("t2_limit")))
+    out = out.withColumn("f_stat", F.when(enough, F.col("_nn") - p) / (F.lit(float(p)) * (F.col("_nn") - 1)) * F.col("t2"))
     out = out.withColumn("p_value", f_sf_col(F.col("f_stat"), F.lit(float(p)), F.col("_nn") - p))
     out = out.withColumn("t2_exceeds", F.col("t2") > F.col("t2_limit")) \
         .withColumn("p_exceeds", F.col("p_value") < F.lit(alpha))
@@ -213,13 +214,13 @@ def _c_step(rows: DataFrame, sel: DataFrame, cols: Sequence[str], keys: Sequence
     """One concentration step for all (key, trial) pairs: moments of the selected rows ->
     distances of every row -> the h nearest become the new selection.
 
-    The per-(key, trial) inverse table is small and used twice (join + objective),
-    so it is persisted; only the new selection is checkpointed (one job per step).
+    The per-(key, trial) inverse table is small and used twice (join + objective), so it is
+    persisted until the new selection and the objective are checkpointed.
     """
     mom = moments(sel, cols, keys, ddof=0)
     inv = invert(mom, p, pseudo=True).select(*keys, "_logdet", *[f"_m{i}" for i in range(p)],
                                 *[f"_i{i}_{j}" for i, j in _pairs(p)]).persist()
-    # a trial that reached an exact fit (det = 0, the minimum) keeps its subset
+    # a trial that reached an exact fit (det = 0 for h rows, the minimum) keeps its subset
     exact = F.col("_logdet") == F.lit(float("-inf"))
     moving = inv.where(~exact)
     d = rows.join(moving, list(keys), "inner").withColumn("_d2", quad_form(cols))
@@ -227,34 +228,40 @@ def _c_step(rows: DataFrame, sel: DataFrame, cols: Sequence[str], keys: Sequence
     ranked = d.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= F.col("_h"))
     frozen = sel.join(inv.where(exact).select(*keys), list(keys), "left_semi")
     new_sel = cut_lineage(ranked.select(*keys, "_rid", *cols).unionByName(frozen.select(*keys, "_rid", *cols)))
-    return new_sel, inv.select(*keys, "_logdet")
+    objective = cut_lineage(inv.select(*keys, "_logdet"))
+    inv.unpersist()
+    return new_sel, objective
 
 
 def min_cov_det(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), n_trials: int = 30,
-                n_best: int = 10, max_iter: int = 30, seed: int = 0, row_id: str | None = None) -> DataFrame:
+                n_best: int = 10, max_iter: int = 30, seed: int = 0) -> DataFrame:
     """M1: robust location ``_m{i}`` and covariance ``_c{i}_{j}`` per key (reweighted MCD), plus
-    ``_n`` (rows used), raw estimates ``raw_m{i}`` and the support size.
-
-    h = ceil((n + p + 1) / 2); ``n_trials`` random (p+1)-subsets per key, two
-    C-steps each, the ``n_best`` lowest determinants iterated to convergence;
-    consistency factor median(d²)/χ²_p(0.5); reweighting with d² < χ²_p(0.975).
+    ``_n`` (rows used), raw location ``raw_m{i}``, ``raw_logdet``, ``n_rows``, ``h``, the number of rows of the raw
+    support ``n_support`` (always h) and ``converged``.
+
+    h = ceil((n + p + 1) / 2); ``n_trials`` random h-subsets per key, two C-steps each, the
+    ``n_best`` lowest determinants iterated until none changes or ``max_iter`` steps are done
+    (``converged`` tells which); consistency factor median(d²)/χ²_p(0.5); reweighting with
+    d² < χ²_p(0.975). Rows are told apart by their values and a number among equal ones, so equal rows are drawn
+    independently. A key of at most p rows has no estimate: it is returned with nulls.
     """
     p = len(cols)
     by = list(by)
-    base = df.select(*by, *cols, *([row_id] if row_id else [])).dropna(subset=list(cols))
-    rid = F.col(row_id).cast("long") if row_id else F.xxhash64(*[F.col(c) for c in (*by, *cols)])
-    base = base.withColumn("_rid", rid)
+    base = df.select(*by, *cols).dropna(subset=list(cols))
+    equal = Window.partitionBy(*by, *cols).orderBy(F.lit(0))
+    base = base.withColumn("_rid", F.xxhash64(*by, *cols, F.row_number().over(equal)))
     counts = base.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")) if by else \
         base.agg(F.count(F.lit(1)).alias("_n"))
     counts = counts.withColumn("_h", F.ceil((F.col("_n") + p + 1) / 2.0).cast("long"))
+    counts = cut_lineage(counts)
     base = cut_lineage(_attach(base, counts, by).where(F.col("_n") > p))
     keys = [*by, "_trial"]
     trials = F.explode(F.sequence(F.lit(0), F.lit(n_trials - 1))).alias("_trial")
     rows = cut_lineage(base.select("*", trials))
-    # random (p+1)-subsets: hash of (row, trial, seed) ranked within (key, trial)
+    # random h-subsets: hash of (row, trial, seed) ranked within (key, trial)
     u = F.xxhash64(F.col("_rid"), F.col("_trial"), F.lit(seed))
     w0 = Window.partitionBy(*keys).orderBy(u, "_rid")
-    sel = cut_lineage(rows.withColumn("_r", F.row_number().over(w0)).where(F.col("_r") <= p + 1)
+    sel = cut_lineage(rows.withColumn("_r", F.row_number().over(w0)).where(F.col("_r") <= F.col("_h"))
                       .select(*keys, "_rid", *cols))
     obj = None
     for _ in range(2):
@@ -271,13 +278,13 @@ def min_cov_det(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), n_tr
     for _ in range(max_iter):
         sel, obj = _c_step(rows, sel, cols, keys, p)
         det_new, det_old = F.exp(F.col("_logdet")), F.exp(F.col("_old"))  # exp(-inf) = 0: exact fit
-        moved = obj.join(prev_obj.withColumnRenamed("_logdet", "_old"), keys, "inner") \
-            .where(F.abs(det_new - det_old) > F.lit(1e-8) + F.lit(1e-5) * F.abs(det_old)).limit(1).count()
+        settled = F.abs(det_new - det_old) <= F.lit(1e-8) + F.lit(1e-5) * F.abs(det_old)
+        steps = obj.join(prev_obj.withColumnRenamed("_logdet", "_old"), keys, "inner").withColumn("converged", settled)
+        moved = steps.where(~F.col("converged")).limit(1).count()
         if moved == 0:
             break
         prev_obj = obj
-    obj = cut_lineage(obj)
-    win = obj.withColumn("_b", F.row_number().over(wb)).where(F.col("_b") == 1).select(*keys)
+    win = cut_lineage(steps.withColumn("_b", F.row_number().over(wb)).where(F.col("_b") == 1).select(*keys, "converged"))
     support = sel.join(win, keys, "left_semi").drop("_trial")
     raw = moments(support, cols, by, ddof=0)
     raw = invert(raw, p, pseudo=True)
@@ -291,5 +298,7 @@ def min_cov_det(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), n_tr
     flagged = _attach(d_all, med, by) \
         .withColumn("_keep", F.col("_d2") * F.lit(q50) / F.col("_med") < F.lit(q975))
     rew = moments(flagged, cols, by, ddof=0, weight=F.col("_keep"))
-    raw_loc = raw.select(*by, *[F.col(f"_m{i}").alias(f"raw_m{i}") for i in range(p)])
-    return _attach(rew, raw_loc, by)
+    raw_loc = raw.select(*by, *[F.col(f"_m{i}").alias(f"raw_m{i}") for i in range(p)], F.col("_logdet").alias("raw_logdet"),
+                         F.col("_n").alias("n_support"))
+    every = counts.select(*by, F.col("_n").alias("n_rows"), F.col("_h").alias("h"))
+    return _attach(_attach(_attach(every, rew, by), raw_loc, by), win.drop("_trial"), by)

