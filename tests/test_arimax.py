@@ -44,3 +44,30 @@ def test_pvalue_selection_and_refit(spark):
     terms = {r.term for r in coefs2.collect()}
     assert "x1" in terms and ("x2" in terms) == flags["x2"]
     assert fit_red.count() == 1
+
+
+def _gappy(n=200):
+    x, y = _simulate(n, 0.5, 0.2, [1.0, -0.5], 0.05, 21)
+    rows = []
+    for t in range(n):
+        gap = t % 7 == 6  # never more than six complete weeks in a row
+        rows.append((1, t, None if gap else float(y[t]), float(x[t, 0]), float(x[t, 1])))
+    return rows
+
+
+def test_gappy_and_tiny_series_are_answered(spark):
+    rows = _gappy() + [(2, 0, 1.0, 2.0, 3.0), (2, 1, 2.0, 1.0, 0.0)] + [(3, t, float(t * t % 11), 1.0, 2.0) for t in range(30)]
+    df = spark.createDataFrame(rows, "k int, t int, y double, x1 double, x2 double")
+    coefs, fit = ax.arimax_fit(df, "y", ["x1", "x2"], ["k"], ["t"])
+    stats = {r.k: r for r in fit.collect()}
+    assert {k: r.status for k, r in stats.items()} == {1: ax.FITTED, 2: ax.TOO_FEW, 3: ax.SINGULAR}
+    # each gap costs its own difference and the next one
+    usable = sum(1 for t in range(1, 200) if t % 7 != 6 and (t - 1) % 7 != 6)
+    assert stats[1].nobs == usable and stats[1].n_terms == 5 and stats[2].nobs == 1
+    got = {(r.k, r.term): r.coef for r in coefs.collect()}
+    assert abs(got[(1, "x1")] - 1.0) < 0.15 and abs(got[(1, "x2")] + 0.5) < 0.15
+    terms = ["const", "x1", "x2", "ar.L1", "ma.L1", "sigma2"]
+    assert all((k, t) in got for k in (1, 2, 3) for t in terms)
+    assert all(got[(2, t)] is None for t in terms)
+    check = {r.k: r for r in ax.normal_equations(df, "y", ["x1", "x2"], ["k"], ["t"]).collect()}
+    assert check[1].moment < 1e-9 and check[2].moment is None

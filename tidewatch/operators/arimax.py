@@ -2,11 +2,15 @@
 
 Model per series: Δy_t = c + β'Δx_t + w_t,  w_t = φ w_{t-1} + ε_t + θ ε_{t-1}.
 
-Estimation is the two-stage Hannan–Rissanen procedure (Hannan & Rissanen, 1982):
+Estimation follows Hannan & Rissanen (1982):
 
-1. OLS of Δy on [1, Δx]                    -> residuals ŵ
-2. long AR(m) of ŵ on its own lags          -> innovations ε̂
-3. OLS of Δy on [1, Δx, Δy₋₁, Δx₋₁, ε̂₋₁]   -> c, β, φ (Δy₋₁), θ (ε̂₋₁)
+1. OLS of Δy on [1, Δx]                  -> residuals ŵ
+2. long AR(m) of ŵ on its own lags        -> innovations ε̂
+3. OLS of Δy on [1, Δx, ŵ₋₁, ε̂₋₁]         -> c, β, φ (ŵ₋₁), θ (ε̂₋₁)
+
+After a gap in the series, lagged residuals and innovations start again at zero, as they do at its
+first row; every row with Δy and Δx is used. Every series of the input is in the output, with the
+number of rows used and a status: ``fitted``, ``too few rows`` or ``singular``.
 
 Every OLS is one ``groupBy(by).agg`` of cross-product sums (partial aggregation;
 no group's rows are gathered) followed by a batched k x k solve in numpy inside
@@ -21,6 +25,7 @@ import math
 from collections.abc import Sequence
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,6 +33,7 @@ from pyspark.sql import types as T
 from ..session import cut_lineage
 
 CONST = "const"
+FITTED, TOO_FEW, SINGULAR = "fitted", "too few rows", "singular"
 
 
 def _safe(name: str) -> str:
@@ -38,8 +44,8 @@ def ols(df: DataFrame, y: str, xs: Sequence[str], by: Sequence[str], active: Dat
         intercept: bool = True) -> DataFrame:
     """Per-key OLS of ``y`` on ``xs`` (+ constant) over complete rows.
 
-    Returns one row per key: ``nobs, n_terms, rss, sigma2`` and for every term
-    ``b__<term>``, ``se__<term>`` (inactive terms get coefficient 0 and null se).
+    Returns one row per key with complete rows: ``nobs, n_terms, status, rss, sigma2`` and for every term
+    ``b__<term>``, ``se__<term>`` (inactive terms get coefficient 0 and null se; without a fit all are null).
     ``active`` = (by..., term, active boolean) switches terms off per key.
     """
     terms = ([CONST] if intercept else []) + list(xs)
@@ -60,14 +66,13 @@ def ols(df: DataFrame, y: str, xs: Sequence[str], by: Sequence[str], active: Dat
         mom = mom.join(flags, list(by), "left")
     key_fields = [f for f in mom.schema.fields if f.name in by]
     out_schema = T.StructType(key_fields + [
-        T.StructField("nobs", T.LongType()), T.StructField("n_terms", T.IntegerType()),
+        T.StructField("nobs", T.LongType()), T.StructField("n_terms", T.IntegerType()), T.StructField("status", T.StringType()),
         T.StructField("rss", T.DoubleType()), T.StructField("sigma2", T.DoubleType())]
         + [T.StructField(f"b__{_safe(t)}", T.DoubleType()) for t in terms]
         + [T.StructField(f"se__{_safe(t)}", T.DoubleType()) for t in terms])
     has_act = active is not None
 
     def solve(batches):
-        import pandas as pd
         for pdf in batches:
             b = len(pdf)
             xx = np.zeros((b, k, k))
@@ -89,16 +94,19 @@ def ols(df: DataFrame, y: str, xs: Sequence[str], by: Sequence[str], active: Dat
             rss = np.full(b, np.nan)
             s2 = np.full(b, np.nan)
             kk = act.sum(axis=1)
+            status = [SINGULAR] * b
             for r in range(b):
                 idx = np.flatnonzero(act[r])
-                if n[r] <= len(idx) or not np.isfinite(xx[r][np.ix_(idx, idx)]).all():
-                    continue
                 a = xx[r][np.ix_(idx, idx)]
                 v = xy[r][idx]
-                try:
-                    inv = np.linalg.inv(a)
-                except np.linalg.LinAlgError:
+                if n[r] <= len(idx):
+                    status[r] = TOO_FEW
                     continue
+                scale = np.sqrt(np.diag(a))
+                if not np.isfinite(a).all() or (scale == 0).any() or np.linalg.cond(a / np.outer(scale, scale)) > 1e12:
+                    continue
+                status[r] = FITTED
+                inv = np.linalg.inv(a / np.outer(scale, scale)) / np.outer(scale, scale)
                 beta = inv @ v
                 full = np.zeros(k)
                 full[idx] = beta
@@ -111,6 +119,7 @@ def ols(df: DataFrame, y: str, xs: Sequence[str], by: Sequence[str], active: Dat
             out = pdf[[f.name for f in key_fields]].copy()
             out["nobs"] = n.astype("int64")
             out["n_terms"] = kk.astype("int32")
+            out["status"] = status
             out["rss"] = rss
             out["sigma2"] = s2
             for i, t in enumerate(terms):
@@ -129,77 +138,102 @@ def fitted(xs: Sequence[str], intercept: bool = True) -> Column:
     return total
 
 
+def _innovation_rows(df: DataFrame, y: str, xs: Sequence[str], by: list[str], order_by: Sequence[str], ar_order: int,
+                     active: DataFrame | None) -> tuple[DataFrame, list[str]]:
+    """Rows of the last regression: ``_dy``, differences of ``xs``, ``_w_l1`` and ``_e_l1``; and the differences' names."""
+    if not by:
+        raise ValueError("name the series key; for a single series add a constant column")
+    w = Window.partitionBy(*by).orderBy(*order_by)
+    dx = [f"_d_{_safe(x)}" for x in xs]
+    diffed = cut_lineage(df.select(*by, *order_by, (F.col(y) - F.lag(y, 1).over(w)).alias("_dy"),
+                                   *[(F.col(x) - F.lag(x, 1).over(w)).alias(d) for x, d in zip(xs, dx)]))
+    c1 = ols(diffed, "_dy", dx, by, active)
+    s1 = diffed.join(c1.select(*by, f"b__{CONST}", *[f"b__{_safe(d)}" for d in dx]), by, "left") \
+        .withColumn("_w", F.col("_dy") - fitted(dx)).select(*by, *order_by, "_w", "_dy", *dx)
+    # lags before the first row and after a gap are zero
+    lags = {f"_w{j}": F.when(F.col("_w").isNotNull(), F.coalesce(F.lag("_w", j).over(w), F.lit(0.0)))
+            for j in range(1, ar_order + 1)}
+    s1 = s1.withColumns(lags)
+    c_ar = ols(s1, "_w", list(lags), by, None, intercept=False)
+    s2 = s1.join(c_ar.select(*by, *[f"b__{lag}" for lag in lags]), by, "left")
+    innov = F.col("_w")
+    for lag in lags:  # a series too short for the long AR takes its residuals as innovations
+        innov = innov - F.coalesce(f"b__{lag}", F.lit(0.0)) * F.col(lag)
+    s2 = s2.withColumn("_e", innov)
+    s2 = s2.withColumns({"_w_l1": F.coalesce(F.lag("_w", 1).over(w), F.lit(0.0)),
+                         "_e_l1": F.coalesce(F.lag("_e", 1).over(w), F.lit(0.0))})
+    return cut_lineage(s2.select(*by, *order_by, "_dy", *dx, "_w_l1", "_e_l1")), dx
+
+
+def _renamed_active(active: DataFrame | None, xs: Sequence[str]) -> DataFrame | None:
+    if active is None:
+        return None
+    names = F.create_map(*[F.lit(v) for x in xs for v in (x, f"_d_{_safe(x)}")])
+    return active.withColumn("term", F.coalesce(F.element_at(names, F.col("term")), F.col("term")))
+
+
 def arimax_fit(df: DataFrame, y: str, xs: Sequence[str], by: Sequence[str], order_by: Sequence[str],
                ar_order: int = 6, active: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """M4 (+ M5 with another ``xs``): returns (coefficients, fit statistics).
 
-    coefficients: (by..., term, coef, std_err, z, p_value) for const, each regressor,
-    ``ar.L1``, ``ma.L1`` and ``sigma2``; fit: (by..., nobs, sigma2, llf, aic, bic).
+    coefficients: (by..., term, coef, std_err, z, p_value, nobs, status) for const, each active regressor,
+    ``ar.L1``, ``ma.L1`` and ``sigma2``; a series without a fit has all its terms with nulls. fit: one
+    row (by..., nobs, n_terms, status, sigma2, llf, aic, bic) per series.
     ``active`` (by..., term, active) restricts the regressors per key (M6 refit).
     """
     by = list(by)
-    w = Window.partitionBy(*by).orderBy(*order_by) if by else Window.orderBy(*order_by)
-    dx = [f"_d_{_safe(x)}" for x in xs]
-    diffed = df.select(*by, *order_by, (F.col(y) - F.lag(y, 1).over(w)).alias("_dy"),
-                       *[(F.col(x) - F.lag(x, 1).over(w)).alias(d) for x, d in zip(xs, dx)])
-    diffed = cut_lineage(diffed)
-    act = act2 = None
-    if active is not None:
-        name_map = {x: d for x, d in zip(xs, dx)}
-        act = active.withColumn("term", F.coalesce(
-            F.element_at(F.create_map(*[v for kv in name_map.items() for v in map(F.lit, kv)]), F.col("term")),
-            F.col("term")))
-        # a dropped regressor also loses its lagged difference in stage 3
-        act2 = act.unionByName(act.withColumn("term", F.concat(F.col("term"), F.lit("_l1"))))
-    # stage 1: Δy on [1, Δx]
-    c1 = ols(diffed, "_dy", dx, by, act)
-    s1 = diffed.join(c1.select(*by, f"b__{CONST}", *[f"b__{_safe(d)}" for d in dx]), by, "inner") \
-        .withColumn("_w", F.col("_dy") - fitted(dx)).select(*by, *order_by, "_w", "_dy", *dx)
-    # long AR(m) on the stage-1 residuals -> innovations
-    lags = [f"_w{j}" for j in range(1, ar_order + 1)]
-    s1 = s1.withColumns({f"_w{j}": F.lag("_w", j).over(w) for j in range(1, ar_order + 1)})
-    c_ar = ols(s1, "_w", lags, by, None, intercept=False)
-    s2 = s1.join(c_ar.select(*by, *[f"b__{l}" for l in lags]), by, "inner")
-    innov = F.col("_w")
-    for l in lags:
-        innov = innov - F.col(f"b__{l}") * F.col(l)
-    s2 = s2.withColumn("_e", innov).select(*by, *order_by, "_dy", *dx, "_e")
-    s2 = s2.withColumns({"_dy_l1": F.lag("_dy", 1).over(w), "_e_l1": F.lag("_e", 1).over(w),
-                         **{f"{d}_l1": F.lag(d, 1).over(w) for d in dx}})
-    s2 = cut_lineage(s2)
-    regs = [*dx, "_dy_l1", *[f"{d}_l1" for d in dx], "_e_l1"]
-    c2 = cut_lineage(ols(s2, "_dy", regs, by, act2))
+    act = _renamed_active(active, xs)
+    rows, dx = _innovation_rows(df, y, xs, by, order_by, ar_order, act)
+    found = ols(rows, "_dy", [*dx, "_w_l1", "_e_l1"], by, act)
+    every = df.select(*by).distinct()
+    c2 = cut_lineage(every.join(found, by, "left")
+                     .withColumns({"nobs": F.coalesce("nobs", F.lit(0).cast("long")), "status": F.coalesce("status", F.lit(TOO_FEW))}))
     # tidy report
-    names = {CONST: "const", **{d: x for d, x in zip(dx, xs)}, "_dy_l1": "ar.L1", "_e_l1": "ma.L1"}
-    rows = []
+    names = {CONST: "const", **{d: x for d, x in zip(dx, xs)}, "_w_l1": "ar.L1", "_e_l1": "ma.L1"}
+    terms = []
     for t, label in names.items():
         b, se = F.col(f"b__{_safe(t)}"), F.col(f"se__{_safe(t)}")
-        rows.append(F.struct(F.lit(label).alias("term"), b.alias("coef"), se.alias("std_err")))
-    rows.append(F.struct(F.lit("sigma2").alias("term"), (F.col("rss") / F.col("nobs")).alias("coef"),
-                         F.lit(None).cast("double").alias("std_err")))
-    coefs = c2.select(*by, F.inline(F.array(*rows)))
-    coefs = coefs.where(F.col("coef").isNotNull() & ((F.col("coef") != 0) | F.col("std_err").isNotNull()) |
-                        (F.col("term") == "sigma2"))
+        terms.append(F.struct(F.lit(label).alias("term"), b.alias("coef"), se.alias("std_err")))
+    terms.append(F.struct(F.lit("sigma2").alias("term"), (F.col("rss") / F.col("nobs")).alias("coef"),
+                          F.lit(None).cast("double").alias("std_err")))
+    coefs = c2.select(*by, "nobs", "status", F.inline(F.array(*terms)))
+    switched_off = (F.col("status") == FITTED) & (F.col("coef") == 0) & F.col("std_err").isNull() & (F.col("term") != "sigma2")
+    coefs = coefs.where(~F.coalesce(switched_off, F.lit(False)))
     coefs = coefs.withColumn("z", F.try_divide(F.col("coef"), F.col("std_err")))
-    coefs = coefs.withColumn("p_value", _two_sided_p(F.col("z")))
+    coefs = coefs.withColumn("p_value", two_sided_p(F.col("z"))).select(
+        *by, "term", "coef", "std_err", "z", "p_value", "nobs", "status")
     n = F.col("nobs").cast("double")
-    s2_mle = F.col("rss") / n
+    s2_mle = F.try_divide(F.col("rss"), n)
     llf = -n / 2.0 * (F.log(F.lit(2 * math.pi) * s2_mle) + 1.0)
-    # stage 3 has k = 2a + 3 terms for a active regressors; the model has const, a betas, phi, theta, sigma2
-    n_params = (F.col("n_terms") - 3) / 2 + 4
-    fit = c2.select(*by, "nobs", s2_mle.alias("sigma2"), llf.alias("llf"),
+    # what was fitted: const, the active betas, phi and theta; and sigma2
+    n_params = F.col("n_terms") + 1
+    fit = c2.select(*by, "nobs", "n_terms", "status", s2_mle.alias("sigma2"), llf.alias("llf"),
                     (-2.0 * llf + 2.0 * n_params).alias("aic"),
                     (-2.0 * llf + n_params * F.log(n)).alias("bic"))
     return coefs, fit
 
 
-def _two_sided_p(z: Column) -> Column:
-    """2·(1 − Φ(|z|)) = erfc(|z|/√2), via the Abramowitz–Stegun 7.1.26 rational form (|error| < 1.5e-7)."""
-    x = F.abs(z) / F.lit(math.sqrt(2.0))
-    t = F.lit(1.0) / (F.lit(1.0) + F.lit(0.3275911) * x)
-    poly = t * (F.lit(0.254829592) + t * (F.lit(-0.284496736) + t * (F.lit(1.421413741) + t * (
-        F.lit(-1.453152027) + t * F.lit(1.061405429)))))
-    return poly * F.exp(-x * x)
+def normal_equations(df: DataFrame, y: str, xs: Sequence[str], by: Sequence[str], order_by: Sequence[str],
+                     ar_order: int = 6) -> DataFrame:
+    """Check of a fit, per series: nobs, n_terms and the largest |X'(y - Xb)| relative to the size of its sum."""
+    by = list(by)
+    rows, dx = _innovation_rows(df, y, xs, by, order_by, ar_order, None)
+    regs = [*dx, "_w_l1", "_e_l1"]
+    found = ols(rows, "_dy", regs, by)
+    joined = rows.dropna(subset=["_dy", *regs]).join(found, by, "left")
+    residual = F.col("_dy") - fitted(regs)
+    parts = [F.try_divide(F.abs(F.sum(x * residual)), F.sum(F.abs(x * F.col("_dy")) + F.abs(x * residual)))
+             for x in [F.lit(1.0), *[F.col(r) for r in regs]]]
+    sums = joined.groupBy(*by).agg(F.greatest(*parts).alias("moment"))
+    every = df.select(*by).distinct()
+    return every.join(found.select(*by, "nobs", "n_terms"), by, "left").join(sums, by, "left").select(
+        *by, F.coalesce("nobs", F.lit(0).cast("long")).alias("nobs"), "n_terms", "moment")
+
+
+@F.pandas_udf(T.DoubleType())
+def two_sided_p(z: pd.Series) -> pd.Series:
+    """2·(1 − Φ(|z|))."""
+    return z.map(lambda v: math.erfc(abs(v) / math.sqrt(2.0)), na_action="ignore")
 
 
 def select_by_pvalue(coefs: DataFrame, regressors: Sequence[str], by: Sequence[str],

@@ -465,6 +465,17 @@ def q_arimax_select_refit(spark: SparkSession, d: str) -> DataFrame:
     return finish(both)
 
 
+@register("arimax_equations", ["M4"])
+def q_arimax_equations(spark: SparkSession, d: str) -> DataFrame:
+    """Check of the M4 fit: rows used, terms, and the normal equations' left-over, which is zero.
+
+    The left-over is given where there are at least two rows for each term; with fewer the fit may be singular.
+    """
+    panel = cut_lineage(weekly_panel_dense(spark, d))
+    found = ax.normal_equations(panel, "seatemperature", M4_REGRESSORS, BY_MUN, ["referencetime"])
+    return finish(found.withColumn("moment", F.when(F.col("nobs") >= 2 * F.col("n_terms"), F.col("moment"))))
+
+
 @register("dashboard_model", ["M4", "M7", "V4"])
 def q_dashboard_model(spark: SparkSession, d: str) -> DataFrame:
     """The dashboard fit: the chosen lice column on sea temperature and the four weather means/sums."""

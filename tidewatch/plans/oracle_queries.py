@@ -236,6 +236,21 @@ WINDOW fw AS (PARTITION BY municipalityno ORDER BY referencetime ROWS BETWEEN CU
                                         "combine")
 
 
+_M4 = ["seatemperature", "avgadultfemalelice", "avgmobilelice", "avgstationarylice", "mean_air_temperature",
+       "mean_relative_humidity", "mean_wind_speed", "sum_precipitation_amount"]
+
+SQL["arimax_equations"] = with_ctes(f"""
+, bounds AS (SELECT municipalityno, min(referencetime) AS lo, max(referencetime) AS hi FROM combined GROUP BY 1),
+grid AS (SELECT municipalityno, unnest(generate_series(lo, hi, INTERVAL 7 DAY)) AS referencetime FROM bounds),
+dense AS (SELECT g.municipalityno, g.referencetime, {", ".join("c." + m for m in _M4)}
+          FROM grid g LEFT JOIN combined c ON c.municipalityno = g.municipalityno AND c.referencetime = g.referencetime),
+diffed AS (SELECT municipalityno, {" AND ".join(f"{m} - lag({m}) OVER w IS NOT NULL" for m in _M4)} AS complete
+           FROM dense WINDOW w AS (PARTITION BY municipalityno ORDER BY referencetime)),
+n AS (SELECT municipalityno, count(*) FILTER (complete) AS nobs FROM diffed GROUP BY 1)
+SELECT municipalityno, nobs, CASE WHEN nobs > 0 THEN CAST({len(_M4) + 2} AS INTEGER) END AS n_terms,
+  CASE WHEN nobs >= {2 * (len(_M4) + 2)} THEN 0.0::DOUBLE END AS moment FROM n""", "combine")
+
+
 def _gauss_sql() -> str:
     from ..operators.series import gaussian_weights
     wts = gaussian_weights(1.0)
