@@ -40,12 +40,6 @@ def test_knn_hot_cell_and_fewer_stations_than_k(spark):
     _check_knn(spark, sites[:3], far[:3], 5)
 
 
-def test_site_weeks_fanout(spark):
-    sites = spark.createDataFrame([(1,), (2,)], "localityno int")
-    out = jn.site_weeks(sites, [2020, 2021])
-    assert out.count() == 2 * 2 * 52 and out.agg(F.max("week")).first()[0] == 52
-
-
 def test_join_weekly_left_and_inner(spark):
     weekly = spark.createDataFrame([(1, "2020_2", 6.75), (1, "2020_53", 1.0)], "m int, week string, air double")
     lice = spark.createDataFrame([(1, "2020_2", 0.4)], "m int, year_week string, lice double")

@@ -65,3 +65,39 @@ def test_upsert_sink_replay_is_a_no_op(spark, scratch):
     assert {r.k: r.v for r in wi.read_current(spark, root).collect()} == {1: "a", 2: "b"}
     sink(spark.createDataFrame([(2, "c")], "k int, v string"), 1)
     assert {r.k: r.v for r in wi.read_current(spark, root).collect()} == {1: "a", 2: "c"}
+
+
+def test_upsert_ties_in_a_batch_have_one_winner(spark):
+    rows = [(1, "b", 1.0), (1, "c", None), (1, "a", 9.0)]
+    for n in (1, 3):
+        batch = spark.createDataFrame(rows, "k int, v string, x double").repartition(n)
+        assert [tuple(r) for r in fs.upsert(None, batch, ["k"]).collect()] == [(1, "c", None)]
+
+
+def test_published_version_is_found_and_the_old_one_stays(spark, scratch):
+    root = f"{scratch}/published"
+    first = fs.publish(spark.range(3).toDF("id"), root)
+    table = fs.read_published(spark, root)
+    fs.publish(table.where("id > 0"), root)
+    assert fs.read_published(spark, root).count() == 2 and spark.read.parquet(first).count() == 3
+
+
+def test_landed_documents_are_read_by_their_schemas(spark, scratch):
+    def landed(*texts):
+        return fs.land(spark.createDataFrame([(t,) for t in texts], "json string"), scratch)
+    s = fs.read_summaries(spark, landed('{"year": 2020, "week": 3, "localities": [{"localityNo": 7, "name": "A"}]}'), multiline=False).first()
+    assert (s.year, s.week, s.localities[0].localityNo, s.localities[0].lat) == (2020, 3, 7, None)
+    d = fs.read_details(spark, landed('{"localityName": "A", "localityWeek": {"avgMobileLice": 0.5}}'), multiline=False).first()
+    assert d.localityName == "A" and d.localityWeek.avgMobileLice == 0.5
+    o = fs.read_observations(spark, landed('{"data": [{"sourceId": "SN1", "referenceTime": "2020-01-01T00:00:00.000Z", "observations": []}]}'),
+                             multiline=False).first()
+    assert o.data[0].sourceId == "SN1"
+    with open(f"{scratch}/pretty.json", "w") as fh:
+        fh.write('{"year": 2021,\n "week": 4,\n "localities": []}')
+    assert fs.read_summaries(spark, f"{scratch}/pretty.json").first().week == 4
+
+
+def test_list_text_of_csv_cells(spark):
+    cells = ["['Laks', 'Ørret']", '["Laks"]', "[]", None, "Laks"]
+    df = spark.createDataFrame([(c,) for c in cells], "c string")
+    assert [r[0] for r in df.select(fs.parse_list_text(F.col("c"))).collect()] == [["Laks", "Ørret"], ["Laks"], [], None, []]

@@ -56,12 +56,6 @@ def year_week_label(year: ColumnOrName, week: ColumnOrName, sep: str = "_") -> C
     return F.concat_ws(sep, _c(year).cast("string"), _c(week).cast("string"))
 
 
-def parse_utc(ts: ColumnOrName) -> Column:
-    """ISO-8601 text or ``timestamp_ntz`` -> timestamp; session time zone is UTC."""
-    c = _c(ts)
-    return F.to_timestamp(c) if isinstance(ts, str) else c.cast("timestamp")
-
-
 def to_utc_timestamp_col(ts: ColumnOrName) -> Column:
     """Boundary cast for supplied ``timestamp_ntz`` columns (UTC wall clock)."""
     return _c(ts).cast("timestamp")

@@ -62,8 +62,3 @@ def join_text(cols, sep: str = ",") -> Column:
     if isinstance(cols, (list, tuple)):
         return F.concat_ws(sep, *[_c(c).cast("string") for c in cols])
     return F.array_join(_c(cols), sep)
-
-
-def safe_share(part, total) -> Column:
-    """W8 building block: part/total, null on 0/0 or a null operand (no DIVIDE_BY_ZERO under ANSI)."""
-    return F.try_divide(_c(part), _c(total))

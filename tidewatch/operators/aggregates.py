@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from ..functions import calendar as cal
 from ..functions import scalar as sc
+from ..session import cut_lineage
 
 
 def _num(c: str, dtype: T.DataType) -> Column:
@@ -82,26 +83,27 @@ def metric_over_time(df: DataFrame, metric: str, date_col: str = "date", by: Seq
     return df.select(*by, date_col, metric)
 
 
-def value_counts(df: DataFrame, col: str, by: Sequence[str] = ()) -> DataFrame:
-    """A10: counts per value, nulls excluded, descending."""
-    return (df.where(F.col(col).isNotNull()).groupBy(*by, col).agg(F.count(F.lit(1)).alias("count"))
-            .orderBy(*by, F.desc("count")))
+def value_counts(df: DataFrame, col: str, by: Sequence[str] = (), ordered: bool = True) -> DataFrame:
+    """A10: counts per value, nulls excluded, descending (unless what follows sorts anyway: ``ordered=False``)."""
+    counts = df.where(F.col(col).isNotNull()).groupBy(*by, col).agg(F.count(F.lit(1)).alias("count"))
+    return counts.orderBy(*by, F.desc("count"), col) if ordered else counts
 
 
 def with_share(counts: DataFrame, by: Sequence[str] = (), count_col: str = "count",
                alias: str = "share_pct", digits: int = 1) -> DataFrame:
-    """Share of each row in its ``by`` group, in percent with ``digits`` decimals.
+    """Share of each row in its ``by`` group, in percent with ``digits`` decimals; largest count first.
 
-    The group total comes from a grouped sum joined back, not from an
-    unpartitioned window, so the counts never funnel into one task.
+    The rows behind the counts are read once: a group's total is a window over its counts, the grand
+    total a scalar subquery over the counts, which are checkpointed for it.
     """
     if by:
-        totals = counts.groupBy(*by).agg(F.sum(count_col).alias("_total"))
-        joined = counts.join(totals, list(by), "inner")
-    else:  # one grand total: a scalar subquery, no join
-        joined = counts.withColumn("_total", counts.agg(F.sum(count_col)).scalar())
-    return (joined.withColumn(alias, F.round(F.col(count_col) * 100.0 / F.col("_total"), digits))
-            .drop("_total"))
+        total = F.sum(count_col).over(Window.partitionBy(*by))
+    else:
+        counts = cut_lineage(counts)
+        total = counts.agg(F.sum(count_col)).scalar()
+    share = counts.withColumn("_total", total).withColumn(alias, F.round(F.col(count_col) * 100.0 / F.col("_total"), digits))
+    value = [c for c in counts.columns if c not in (*by, count_col)]
+    return share.drop("_total").orderBy(*by, F.desc(count_col), *value)
 
 
 def threshold_alerts(df: DataFrame, thresholds: Mapping[str, float], by: Sequence[str] = (),
@@ -169,8 +171,3 @@ def distinct_values(df: DataFrame, col: str) -> DataFrame:
 def shape(df: DataFrame) -> DataFrame:
     """(rows, columns) as a one-row DataFrame."""
     return df.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("n_cols", F.lit(len(df.columns)).cast("long"))
-
-
-def proportion_by_window(df: DataFrame, count_col: str, by: Sequence[str]) -> Column:
-    """Share within a partitioned window (use only when ``by`` is non-empty)."""
-    return F.col(count_col) / F.sum(count_col).over(Window.partitionBy(*by))

@@ -35,13 +35,13 @@ def head(df: DataFrame, n: int, order_by: Sequence[str]) -> DataFrame:
 
 
 def sample_rows(df: DataFrame, n: int, seed: int, key: str = "name") -> DataFrame:
-    """Uniform sample of ``n`` rows as (key, record) pairs.
+    """Sample of ``n`` rows as (key, record) pairs, the same on any cluster.
 
-    ``rand(seed)`` is evaluated per row and the smallest ``n`` kept with a
-    distributed top-n (each partition keeps ``n`` candidates) — the sample size
-    is the feature, not a cap.
+    Rows are ranked by a hash of key and seed and the smallest ``n`` kept with a distributed top-n (each
+    partition keeps ``n`` candidates) — the sample size is the feature, not a cap.
     """
-    picked = df.withColumn("_r", F.rand(seed)).orderBy("_r").limit(int(n)).drop("_r")
+    rank = F.md5(F.concat(F.col(key).cast("string"), F.lit(str(seed))).cast("binary"))
+    picked = df.withColumn("_r", rank).orderBy("_r", key).limit(int(n)).drop("_r")
     return picked.select(F.col(key).alias("key"), F.struct(*picked.columns).alias("record"))
 
 

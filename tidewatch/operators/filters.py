@@ -88,11 +88,6 @@ def drop_any_null(df: DataFrame, subset: Sequence[str] | None = None) -> DataFra
     return df.dropna(how="any", subset=list(subset) if subset else None)
 
 
-def pairwise_complete(df: DataFrame, a: str, b: str) -> DataFrame:
-    """Both values present."""
-    return df.where(F.col(a).isNotNull() & F.col(b).isNotNull())
-
-
 def drop_first_row(df: DataFrame, by: Sequence[str], order_by: Sequence[str]) -> DataFrame:
     """Drop the earliest row of every ``by`` group (``iloc[1:]`` per series)."""
     w = Window.partitionBy(*by).orderBy(*order_by) if by else Window.orderBy(*order_by)

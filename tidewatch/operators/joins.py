@@ -32,23 +32,6 @@ def join_weekly(weekly: DataFrame, reports: DataFrame, by: Sequence[str] = (),
     return out
 
 
-def site_weeks(sites: DataFrame, years: Sequence[int] | Column | None = None, n_weeks: int = 52,
-               year_col: str = "year") -> DataFrame:
-    """J4 + C1: one row per (site, year, week 1..n_weeks).
-
-    ``years`` is a list of years, or ``None`` when ``sites`` already carries a
-    ``year`` column (one row per site-year). Generated per row, so the fan-out
-    never materialises a cross product through a join.
-    """
-    if years is None:
-        base = sites
-    elif isinstance(years, Column):
-        base = sites.withColumn(year_col, F.explode(years))
-    else:
-        base = sites.withColumn(year_col, F.explode(F.array(*[F.lit(int(y)) for y in years])))
-    return base.withColumn("week", F.explode(F.sequence(F.lit(1), F.lit(int(n_weeks)))))
-
-
 def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
     """Great-circle distance in km."""
     p1, p2 = F.radians(lat1), F.radians(lat2)

@@ -66,11 +66,6 @@ def rename_columns(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
     return df.withColumnsRenamed(present) if present else df
 
 
-def keep_columns(df: DataFrame, cols: Iterable[str]) -> DataFrame:
-    """P6."""
-    return df.select(*cols)
-
-
 def drop_columns(df: DataFrame, cols: Iterable[str]) -> DataFrame:
     """P7."""
     return df.drop(*cols)
@@ -125,14 +120,6 @@ def pivot_first(df: DataFrame, keys: Sequence[str], pivot_col: str, values: Sequ
     return df.groupBy(*keys).agg(*aggs)
 
 
-def assert_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Raise (at execution) when ``keys`` repeat — the pandas ``pivot`` duplicate-entry error."""
-    dup = df.groupBy(*keys).count().where(F.col("count") > 1).limit(1).collect()
-    if dup:
-        raise ValueError(f"Index contains duplicate entries, cannot reshape: {dup[0].asDict()}")
-    return df
-
-
 def json_text(df: DataFrame, cols: Sequence[str] | None = None, name: str = "json") -> DataFrame:
     """Serialise each row (or ``cols``) to one JSON text column — the landed-document form."""
     cols = list(cols or df.columns)

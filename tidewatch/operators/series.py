@@ -31,12 +31,13 @@ def shift(df: DataFrame, col: str, k: int, by: Sequence[str], order_by: Sequence
 
 def lag_backfill(df: DataFrame, cols: Sequence[str], by: Sequence[str], order_by: Sequence[str],
                  suffix: str = "_lag") -> DataFrame:
-    """``shift(1).bfill()`` — lag by one row, then fill each gap with the next non-null value."""
-    w = _w(by, order_by)
-    fwd = w.rowsBetween(0, Window.unboundedFollowing)
-    lagged = df.withColumns({f"{c}{suffix}": F.lag(c, 1).over(w) for c in cols})
-    return lagged.withColumns({f"{c}{suffix}": F.first(f"{c}{suffix}", ignorenulls=True).over(fwd)
-                               for c in cols})
+    """``shift(1).bfill()`` — lag by one row, then fill each gap with the next non-null value.
+
+    In descending order the next value is the last one seen: a running frame, so one pass over the series.
+    """
+    lagged = df.withColumns({f"{c}{suffix}": F.lag(c, 1).over(_w(by, order_by)) for c in cols})
+    later = Window.partitionBy(*by).orderBy(*[F.col(c).desc() for c in order_by]).rowsBetween(Window.unboundedPreceding, 0)
+    return lagged.withColumns({f"{c}{suffix}": F.last(f"{c}{suffix}", ignorenulls=True).over(later) for c in cols})
 
 
 def _guarded_corr(x: Column, y: Column) -> tuple[Column, Column, Column]:
@@ -45,12 +46,6 @@ def _guarded_corr(x: Column, y: Column) -> tuple[Column, Column, Column]:
     return xv, yv, both
 
 
-def corr_expr(x: Column, y: Column) -> Column:
-    """Pearson correlation over pairwise-complete rows as an aggregate; null on < 2 rows or zero variance."""
-    xv, yv, _ = _guarded_corr(x, y)
-    return F.try_divide(F.covar_pop(xv, yv), F.stddev_pop(xv) * F.stddev_pop(yv))
-
-
 def lagged_correlation(df: DataFrame, x: str, y: str, lags: Sequence[int], by: Sequence[str],
                        order_by: Sequence[str]) -> DataFrame:
     """corr(y, x.shift(lag)) for every lag at once: one window pass builds all lagged

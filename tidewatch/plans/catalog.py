@@ -24,8 +24,8 @@ from ..operators import reshape as rs
 from ..operators import robust as rb
 from ..operators import series as ser
 from ..schemas import COMBINED_METRICS, LICE_COLUMNS
-from ..schemas import DETAIL_DOC, OBSERVATION_DOC, SUMMARY_DOC, THRESHOLDS
-from ..session import cut_lineage
+from ..schemas import SUMMARY_DOC, THRESHOLDS
+from ..session import cut_lineage, ensure_checkpoint_dir
 from ..sources import files as fs
 from ..sources import supplied as sup
 from . import pipelines as pl
@@ -125,21 +125,20 @@ def q_week_spine(spark: SparkSession, d: str) -> DataFrame:
 @register("summary_flatten", ["S1", "P1", "U1", "P4", "C3", "E1", "P11"])
 def q_summary_flatten(spark: SparkSession, d: str) -> DataFrame:
     """Weekly summary documents rebuilt from the reports (pages of at most 1000 localities),
-    landed as JSON text, parsed with the declared schema and flattened back (E1)."""
+    landed as JSON files, read with the declared schema and flattened back (E1)."""
     fish = sup.fish_table(spark, d)
     camel = {f.name.lower(): f.name for f in SUMMARY_DOC["localities"].dataType.elementType.fields}
     loc_struct = F.struct(*[F.col(k).alias(v) for k, v in camel.items()])
     docs = (fish.groupBy("year", "week", F.floor(F.col("localityweekid") / 1000).alias("page"))
             .agg(F.collect_list(loc_struct).alias("localities")))
-    landed = rs.json_text(docs, ["year", "week", "localities"])
-    parsed = rs.parse_json_text(landed, SUMMARY_DOC)
-    return finish(pl.year_summary(parsed))
+    path = fs.land(rs.json_text(docs, ["year", "week", "localities"]), ensure_checkpoint_dir(spark))
+    return finish(pl.year_summary(fs.read_summaries(spark, path, multiline=False)))
 
 
 @register("detail_extract", ["S2", "P2", "P4"])
 def q_detail_extract(spark: SparkSession, d: str) -> DataFrame:
     rep = sup.lice_reports(spark, d)
-    docs = rep.select("municipalityno", "year", "week", F.to_json(F.struct(
+    docs = rep.select(F.to_json(F.struct(
         F.col("municipalityno").cast("long").alias("localityNo"), "year", "week",
         F.col("localityname").alias("localityName"),
         F.struct(F.col("avgadultfemalelice").alias("avgAdultFemaleLice"),
@@ -147,31 +146,29 @@ def q_detail_extract(spark: SparkSession, d: str) -> DataFrame:
                  F.col("avgstationarylice").alias("avgStationaryLice"),
                  F.col("seatemperature").alias("seaTemperature")).alias("localityWeek"),
         F.struct(F.col("specieslist").alias("speciesList")).alias("aquaCultureRegister"))).alias("json"))
-    parsed = rs.parse_json_text(docs, DETAIL_DOC)
+    parsed = fs.read_details(spark, fs.land(docs, ensure_checkpoint_dir(spark)), multiline=False)
     flat = rs.lower_columns(rs.extract_detail(parsed, ["localityNo", "year", "week"]))
     return finish(flat.withColumn("specieslist", scl.join_text("specieslist")))
 
 
+#: pages of a station's day in the landed observation documents
+OBSERVATION_PAGES = 4
+
+
 @register("observations_flatten", ["S3", "P3", "U2", "C8", "P6"])
 def q_observations_flatten(spark: SparkSession, d: str) -> DataFrame:
-    """Observation documents per (municipality, day) rebuilt from the observations in one
-    aggregation (stations grouped inside the array), landed as JSON, parsed and flattened (S3/P3)."""
+    """Observation documents rebuilt from the observations, landed as JSON files in a folder for each
+    municipality, read and flattened (S3/P3). A document has one page of a station's day: a day's
+    observations are split by a hash, so that documents stay small however dense a station reports."""
     obs = sup.observations(spark, d)
-    per_day = (obs.groupBy("municipalityno", "referencetime")
-               .agg(F.collect_list(F.struct("sourceid", F.col("elementid").alias("elementId"), "value", "unit",
-                                            F.col("timeoffset").alias("timeOffset"))).alias("_obs")))
+    page = F.pmod(F.xxhash64("elementid", "timeoffset", "value"), F.lit(OBSERVATION_PAGES))
+    per_day = (obs.groupBy("municipalityno", "sourceid", "referencetime", page.alias("_page"))
+               .agg(F.collect_list(F.struct(F.col("elementid").alias("elementId"), "value", "unit",
+                                            F.col("timeoffset").alias("timeOffset"))).alias("observations")))
     stamp = F.date_format("referencetime", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
-    data = F.transform(
-        F.array_distinct(F.transform("_obs", lambda o: o["sourceid"])),
-        lambda sid: F.struct(sid.alias("sourceId"), stamp.alias("referenceTime"),
-                             F.transform(F.filter("_obs", lambda o: o["sourceid"] == sid),
-                                         lambda o: F.struct(o["elementId"].alias("elementId"),
-                                                            o["value"].alias("value"), o["unit"].alias("unit"),
-                                                            o["timeOffset"].alias("timeOffset"))
-                                         ).alias("observations")))
-    landed = per_day.select("municipalityno", F.to_json(F.struct(data.alias("data"))).alias("json"))
-    parsed = landed.select("municipalityno", F.from_json("json", OBSERVATION_DOC).alias("doc")) \
-        .select("municipalityno", "doc.*")
+    data = F.array(F.struct(F.col("sourceid").alias("sourceId"), stamp.alias("referenceTime"), "observations"))
+    docs = per_day.select("municipalityno", F.to_json(F.struct(data.alias("data"))).alias("json"))
+    parsed = fs.read_observations(spark, fs.land(docs, ensure_checkpoint_dir(spark), ["municipalityno"]), multiline=False)
     return finish(rs.flatten_observations(parsed, ["municipalityno"]))
 
 
@@ -226,6 +223,10 @@ def q_region_weekly_lice(spark: SparkSession, d: str) -> DataFrame:
 # dashboard datasets
 # ---------------------------------------------------------------------------
 
+#: row of the locality list that the selection queries click
+SELECTED_ROW = 3
+
+
 @register("metric_over_time_bool", ["A9", "V3"])
 def q_metric_over_time_bool(spark: SparkSession, d: str) -> DataFrame:
     return finish(agg.metric_over_time(sup.fish_table(spark, d), "haspd"))
@@ -239,13 +240,31 @@ def q_metric_over_time_numeric(spark: SparkSession, d: str) -> DataFrame:
 @register("disease_share", ["A10", "A11", "R1", "V2"])
 def q_disease_share(spark: SparkSession, d: str) -> DataFrame:
     fish = flt.select_name(sup.fish_table(spark, d), flt.ALL)
-    return finish(agg.with_share(agg.value_counts(fish, "haspd")))
+    return finish(agg.with_share(agg.value_counts(fish, "haspd", ordered=False)))
 
 
 @register("disease_share_by_locality", ["A10", "A11", "R1", "V2"])
 def q_disease_share_by_locality(spark: SparkSession, d: str) -> DataFrame:
     fish = sup.fish_table(spark, d)
-    return finish(agg.with_share(agg.value_counts(fish, "haspd", by=["name"]), by=["name"]))
+    return finish(agg.with_share(agg.value_counts(fish, "haspd", by=["name"], ordered=False), by=["name"]))
+
+
+@register("locality_selection", ["R12", "R1"])
+def q_locality_selection(spark: SparkSession, d: str) -> DataFrame:
+    """A click on a row of the locality list (R12), then that locality's reports by its name."""
+    fish = sup.fish_table(spark, d)
+    names = fish.select("name").distinct()
+    name = flt.row_at(names, SELECTED_ROW, ["name"]).first()[0]
+    return finish(flt.select_name(fish, name).select("name", "localityweekid", "year", "week", "avgadultfemalelice", "haspd"))
+
+
+@register("metric_series", ["V4", "W10"])
+def q_metric_series(spark: SparkSession, d: str) -> DataFrame:
+    """Chart rows of every metric of the weekly panel: time, value and the metric's threshold line."""
+    comb = combined_table(spark, d)
+    rows = F.inline(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("value"), F.lit(float(t)).alias("threshold"))
+                              for m, t in THRESHOLDS.items()]))
+    return finish(comb.select("municipalityno", "referencetime", rows).where(F.col("value").isNotNull()))
 
 
 @register("locality_points", ["D2", "D7", "P10", "R12", "D4", "V1", "P6"])
@@ -283,7 +302,8 @@ def q_element_catalog(spark: SparkSession, d: str) -> DataFrame:
 def q_element_series_year(spark: SparkSession, d: str) -> DataFrame:
     """Daily precipitation per station for one calendar year (the year is the request parameter)."""
     year = 1997
-    assert flt.year_is_valid(year, lo=1990, hi=2022)
+    if not flt.year_is_valid(year, lo=1990, hi=2022):
+        raise ValueError(f"no observations are requested for {year}")
     obs = flt.date_range(sup.observations(spark, d), "referencetime", year=year)
     return finish(flt.element_series(obs, "sum(precipitation_amount P1D)", keys=["sourceid"]))
 
@@ -386,7 +406,16 @@ def q_sample_members(spark: SparkSession, d: str) -> DataFrame:
 # joins: k nearest stations
 # ---------------------------------------------------------------------------
 
-@register("nearest_stations", ["J5", "S4", "R7"])
+@register("combine_nearest", ["E3", "J5", "R6", "R7", "A1", "D3", "A6", "A7", "A8", "J3", "R9", "J1", "R11"])
+def q_combine_nearest(spark: SparkSession, d: str) -> DataFrame:
+    """Weekly panel of every locality from its five nearest stations, for the 365 days up to the last observation."""
+    obs = sup.observations(spark, d)
+    last = sup.table(spark, d, "lineitem").agg(F.max("l_shipdate").cast("date")).first()[0]
+    panel = pl.combine_nearest(obs, lice_table(spark, d), sup.localities(spark, d), sup.stations(spark, d), as_of=last)
+    return finish(panel)
+
+
+@register("nearest_stations", ["J5", "S4"])
 def q_nearest_stations(spark: SparkSession, d: str) -> DataFrame:
     near = jn.nearest_stations(sup.localities(spark, d), sup.stations(spark, d), k=5)
     return finish(near)
@@ -401,6 +430,7 @@ def _chartable(spark: SparkSession, d: str) -> DataFrame:
     return lice_table(spark, d).select("municipalityno", "year_week", *LICE_COLUMNS).dropna(subset=LICE_COLUMNS)
 
 
+# Columns of the chart, in its order.
 CHART_COLUMNS = ["avgstationarylice", "avgmobilelice", "avgadultfemalelice"]
 
 
@@ -431,11 +461,10 @@ def q_robust_support(spark: SparkSession, d: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 
+# Regressors of the study's model and of the dashboard's.
 M4_REGRESSORS = ["avgadultfemalelice", "avgmobilelice", "avgstationarylice", "mean_air_temperature",
                  "mean_relative_humidity", "mean_wind_speed", "sum_precipitation_amount"]
-M5_REGRESSORS = M4_REGRESSORS + ["avgmobilelice_lag", "avgadultfemalelice_lag", "avgstationarylice_lag",
-                                 "mean_air_temperature_lag", "mean_wind_speed_lag", "mean_relative_humidity_lag",
-                                 "sum_precipitation_amount_lag"]
+M5_REGRESSORS = M4_REGRESSORS + [f"{c}_lag" for c in M4_REGRESSORS]
 DASHBOARD_REGRESSORS = ["seatemperature", "mean_air_temperature", "mean_relative_humidity", "mean_wind_speed",
                         "sum_precipitation_amount"]
 

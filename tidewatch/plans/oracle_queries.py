@@ -342,4 +342,36 @@ FROM weekly_ok w JOIN lice l
   ON l.municipalityno = w.municipalityno AND CAST(l.year AS VARCHAR) || '_' || CAST(l.week AS VARCHAR) = w.wk""",
                                              "weekly", "lice")
 
+SQL["sample_members"] = with_ctes("""
+SELECT name AS key, CAST(to_json({'name': name, 'role': role, 'feather_color': feather_color, 'eye_color': eye_color,
+    'specialty': specialty, 'length_cm': length_cm, 'weight_g': weight_g}) AS VARCHAR) AS record
+FROM roster ORDER BY md5(name || '7'), name LIMIT 3""", "roster")
+
+SQL["locality_selection"] = with_ctes("""
+SELECT name, localityweekid, year, week, round(avgadultfemalelice, 6) AS avgadultfemalelice, haspd
+FROM fish WHERE name = (SELECT DISTINCT name FROM fish ORDER BY name LIMIT 1 OFFSET 3)""", "fish")
+
+
+def _series_sql() -> str:
+    from ..schemas import THRESHOLDS
+    return "\nUNION ALL\n".join(
+        f"SELECT municipalityno, CAST(referencetime AS DATE) AS referencetime, '{m}' AS metric, round({m}, 6) AS value, "
+        f"CAST({t} AS DOUBLE) AS threshold FROM combined WHERE {m} IS NOT NULL" for m, t in THRESHOLDS.items())
+
+
+SQL["metric_series"] = with_ctes(_series_sql(), "combine")
+
+# E3 per locality: the municipality's steps over the observations of the five nearest stations
+_NEAREST = SQL["nearest_stations"].partition("\nSELECT localityno, CAST(rank")
+_near_obs = """obs_year AS (
+  SELECT n.localityno AS municipalityno, o.sourceid, o.referencetime, o.timeoffset, o.elementid, o.value, o.unit
+  FROM obs o JOIN near n ON n.sourceid = o.sourceid, (SELECT CAST(max(l_shipdate) AS DATE) AS last FROM lineitem)
+  WHERE CAST(o.referencetime AS DATE) BETWEEN last - 365 AND last)"""
+_panel = with_ctes("SELECT 1", "loc", "st", "combine")[:-len("SELECT 1")].rstrip()
+_panel = _panel.replace("a1 AS (", f"near AS (SELECT localityno, sourceid FROM ({_NEAREST[1].strip()}{_NEAREST[2]})),\n{_near_obs},\na1 AS (") \
+    .replace("FROM obs GROUP BY ALL", "FROM obs_year GROUP BY ALL") \
+    .replace("joined AS (", "lice_near AS (SELECT l.localityno AS municipalityno, c.* EXCLUDE (municipalityno) FROM loc l JOIN lice c USING (municipalityno)),\njoined AS (") \
+    .replace("FROM weekly_ok w LEFT JOIN lice l", "FROM weekly_ok w LEFT JOIN lice_near l")
+SQL["combine_nearest"] = _panel + "\n" + _COMBINED_SELECT.replace("SELECT municipalityno,", "SELECT municipalityno AS localityno,")
+
 SQL = {name: settled(text) for name, text in SQL.items()}

@@ -2,7 +2,7 @@
 
 E4 (process control) lives in :mod:`tidewatch.operators.robust`, E5 (forecasting
 study) in :mod:`tidewatch.operators.arimax`; both are composed in
-:mod:`tidewatch.plans.studies`.
+:mod:`tidewatch.plans.catalog`.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from ..operators import joins as jn
 from ..operators import reshape as rs
 from ..schemas import ELEMENT_COLUMNS, ELEMENTS, MEAN_ELEMENTS, SUM_ELEMENTS
 
+# Columns of the combined table, in its order.
 COMBINED_COLUMNS = ["referencetime", "mean_air_temperature", "mean_relative_humidity", "mean_wind_speed",
                     "sum_precipitation_amount", "avgadultfemalelice", "avgmobilelice", "avgstationarylice",
                     "seatemperature", "localityname"]
@@ -47,7 +48,10 @@ def daily_wide(observations: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 def weekly_weather(observations: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """E3 middle: A7 means, A8 zero-filled sum, J3 Sunday label, R9 complete weeks only."""
-    wide = daily_wide(observations, by)
+    return _weekly(daily_wide(observations, by), by)
+
+
+def _weekly(wide: DataFrame, by: Sequence[str]) -> DataFrame:
     weekly = agg.weekly_resample(wide, "referencetime", by, mean_cols=MEAN_ELEMENTS, sum_cols=SUM_ELEMENTS,
                                  sunday_flag="_has_sunday")
     # The label is the ISO label of the row stamped on the Sunday itself, i.e. of the Sunday
@@ -62,19 +66,20 @@ def lice_counts(reports: DataFrame, by: Sequence[str] = ("municipalityno",),
     """Every (series, year) with a report gets weeks 1..52 (J4/C1); each week takes its report
     (S2/P2) or nulls; ``year_week`` is the %U Monday (C3); columns lower-cased (P4).
 
-    One aggregation per (series, year) builds a week -> report map (at most 53
-    entries: bounded by the calendar, not by the data), and the spine is
-    generated from it — no second scan of the reports and no join.
+    One aggregation per (series, year) collects the year's reports (one a week, or a few:
+    bounded by the calendar, not by the data), and the spine is generated from it — no second scan of
+    the reports and no join. Several reports of a week give as many rows, as a join would.
     """
     keys = [*by, "year"]
     measures = [c for c in reports.columns if c not in (*keys, "week", *descriptors)]
     per_year = reports.groupBy(*keys).agg(
         *[F.first(d, ignorenulls=True).alias(d) for d in descriptors],
-        F.map_from_entries(F.collect_list(F.struct(F.col("week"), F.struct(*measures)))).alias("_weeks"))
+        F.collect_list(F.struct(F.col("week"), F.struct(*measures).alias("r"))).alias("_weeks"))
     spine = per_year.select(*keys, *descriptors, "_weeks",
                             F.explode(F.sequence(F.lit(1), F.lit(int(n_weeks)))).alias("week"))
-    rep = F.element_at(F.col("_weeks"), F.col("week"))
-    out = spine.select(*keys, *descriptors, "week", *[rep[m].alias(m) for m in measures])
+    mine = F.filter("_weeks", lambda w: w["week"] == F.col("week"))
+    spine = spine.select(*keys, *descriptors, "week", F.explode_outer(mine).alias("_rep"))
+    out = spine.select(*keys, *descriptors, "week", *[F.col("_rep.r")[m].alias(m) for m in measures])
     out = out.withColumn("year_week", cal.monday_sunday_first("year", "week"))
     return rs.lower_columns(out)
 
@@ -90,6 +95,10 @@ def combine(observations: DataFrame, lice: DataFrame, by: Sequence[str] = ("muni
     weekly = weekly_weather(observations, by)
     if drop_empty_columns:
         lice = rs.drop_all_null_columns(lice)
+    return _with_lice(weekly, lice, by, mode)
+
+
+def _with_lice(weekly: DataFrame, lice: DataFrame, by: Sequence[str], mode: str) -> DataFrame:
     lice = lice.withColumn("_label", cal.year_week_label("year", "week", "_")) \
         .select(*by, "_label", *[c for c in ("avgadultfemalelice", "avgmobilelice", "avgstationarylice",
                                             "seatemperature", "localityname") if c in lice.columns])
@@ -102,6 +111,27 @@ def combine(observations: DataFrame, lice: DataFrame, by: Sequence[str] = ("muni
     return out
 
 
+def combine_nearest(observations: DataFrame, lice: DataFrame, sites: DataFrame, stations: DataFrame, k: int = 5,
+                    as_of=None, site_key: str = "localityno", area: str = "municipalityno") -> DataFrame:
+    """E3 per site: J5 nearest ``k`` stations -> R6 the 365 days up to ``as_of`` -> R7 those stations -> weekly panel.
+
+    ``lice`` is the E2 table by ``area``; a site takes its area's reports. Observations are averaged per station
+    and day (A1) before they meet the sites, and each station's days go to the sites that chose it, so
+    the fan-out is the number of (site, station) pairs, k per site.
+    """
+    chosen = jn.nearest_stations(sites, stations, k=k, site_key=site_key).select(site_key, "sourceid")
+    obs = flt.date_range(observations, "referencetime", as_of=as_of)
+    obs = flt.restrict_sources(obs, chosen)
+    daily = agg.mean_by(obs, ["sourceid", "referencetime", "elementid", "unit"], "value", exact=True)
+    per_site = daily.join(chosen, "sourceid")
+    wide = rs.pivot_first(per_site, [site_key, "referencetime"], "elementid", ELEMENTS, value_col="value",
+                          order_cols=["unit", "sourceid"])
+    weekly = _weekly(wide, [site_key])
+    place = sites.select(site_key, area)
+    reports = lice.where(F.col("year").between(F.year(F.lit(as_of)) - 1, F.year(F.lit(as_of)) + 1)).join(place, area)
+    return _with_lice(weekly, reports, [site_key], "script")
+
+
 def year_summary(summary_docs: DataFrame) -> DataFrame:
     """Weekly summary documents -> flat locality-week rows (P1/U1) + %U Monday ``date`` (C3) + P4."""
     flat = rs.flatten_localities(summary_docs)

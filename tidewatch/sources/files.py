@@ -14,7 +14,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,19 +26,26 @@ def read_documents(spark: SparkSession, path: str, schema: T.StructType, multili
     return spark.read.schema(schema).option("multiLine", multiline).json(path)
 
 
-def read_summaries(spark: SparkSession, path: str) -> DataFrame:
+def read_summaries(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
     """``{year, week, localities: [...]}`` documents."""
-    return read_documents(spark, path, SUMMARY_DOC)
+    return read_documents(spark, path, SUMMARY_DOC, multiline)
 
 
-def read_details(spark: SparkSession, path: str) -> DataFrame:
+def read_details(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
     """Detailed locality-week documents."""
-    return read_documents(spark, path, DETAIL_DOC)
+    return read_documents(spark, path, DETAIL_DOC, multiline)
 
 
-def read_observations(spark: SparkSession, path: str) -> DataFrame:
-    """S3: weather observation documents."""
-    return read_documents(spark, path, OBSERVATION_DOC)
+def read_observations(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
+    """S3: weather observation documents; partition folders of the path become columns."""
+    return read_documents(spark, path, OBSERVATION_DOC, multiline)
+
+
+def parse_list_text(column: Column) -> Column:
+    """Array of a CSV cell that holds a list's text, such as ``['Laks', 'Ørret']`` or ``["Laks"]``."""
+    inner = F.regexp_extract(column, r"^\s*\[(.*)\]\s*$", 1)
+    items = F.regexp_extract_all(inner, F.lit(r"'((?:[^'\\\\]|\\\\.)*)'|\"((?:[^\"\\\\]|\\\\.)*)\""), F.lit(0))
+    return F.when(column.isNotNull(), F.transform(items, lambda x: F.substring(x, 2, F.char_length(x) - 2)))
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -67,8 +74,9 @@ def upsert(existing: DataFrame | None, batch: DataFrame, keys: Sequence[str],
     """Keyed append where a row with an existing key replaces the old row.
 
     Both sides carry a batch sequence (existing rows 0, the batch 1, or the
-    caller's own ``seq_col``); per key the highest sequence wins. One shuffle
-    on the key, no driver involvement.
+    caller's own ``seq_col``); per key the highest sequence wins, and of rows with equal
+    sequence the largest in the order of the other columns. One aggregation on the key, combined before its
+    shuffle; no driver involvement.
     """
     b = batch if seq_col in batch.columns else batch.withColumn(seq_col, F.lit(1))
     if existing is None:
@@ -76,8 +84,10 @@ def upsert(existing: DataFrame | None, batch: DataFrame, keys: Sequence[str],
     else:
         e = existing if seq_col in existing.columns else existing.withColumn(seq_col, F.lit(0))
         both = e.unionByName(b, allowMissingColumns=True)
-    w = Window.partitionBy(*keys).orderBy(F.col(seq_col).desc())
-    return both.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn", seq_col)
+    rest = [c for c in both.columns if c not in (*keys, seq_col)]
+    newest = both.groupBy(*keys).agg(F.max(F.struct(seq_col, *rest)).alias("_row"))
+    order = [c for c in both.columns if c != seq_col]
+    return newest.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest]).select(order)
 
 
 def write_version(df: DataFrame, root: str, partition_by: Sequence[str] = ()) -> str:
@@ -90,14 +100,37 @@ def write_version(df: DataFrame, root: str, partition_by: Sequence[str] = ()) ->
     return path
 
 
-def refresh_table(df: DataFrame, schema: T.StructType, path: str) -> DataFrame:
-    """Cast to the entity schema and fully replace the table at ``path``."""
-    typed = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
-    typed.write.mode("overwrite").parquet(path)
-    return typed
+def publish(df: DataFrame, root: str, partition_by: Sequence[str] = ()) -> str:
+    """Write a new version and make it the current one: ``root/_current`` names its folder."""
+    path = write_version(df, root, partition_by)
+    name = df.sparkSession.createDataFrame([(path.rsplit("/", 1)[-1],)], "value string")
+    name.coalesce(1).write.mode("overwrite").text(f"{root.rstrip('/')}/_current")
+    return path
+
+
+def read_published(spark: SparkSession, root: str) -> DataFrame:
+    """The current version of the table at ``root``."""
+    name = spark.read.text(f"{root.rstrip('/')}/_current").first()[0]
+    return spark.read.parquet(f"{root.rstrip('/')}/{name}")
+
+
+def refresh_table(df: DataFrame, schema: T.StructType, root: str) -> DataFrame:
+    """Cast to the entity schema and fully replace the table at ``root`` by a new version, which is returned.
+
+    The version that ``df`` may have been read from stays in place.
+    """
+    publish(df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]), root)
+    return read_published(df.sparkSession, root)
+
+
+def land(docs: DataFrame, root: str, partition_by: Sequence[str] = ()) -> str:
+    """Write the ``json`` text column as landed documents, one per line, in a new folder under ``root``."""
+    path = f"{root.rstrip('/')}/landed-{uuid.uuid4().hex}"
+    docs.select("json", *partition_by).write.partitionBy(*partition_by).text(path)
+    return path
 
 
-def random_table(spark: SparkSession, seed: int, rows: int = 10, cols: int = 5, prefix: str = "pgcf_") -> DataFrame:
+def random_table(spark: SparkSession, seed: int, rows: int = 10, cols: int = 5, prefix: str = "c") -> DataFrame:
     """``rows`` x ``cols`` uniform numbers rounded to 9 digits; a new seed gives a new table."""
     base = spark.range(rows)
     return base.select(*[F.round(F.rand(seed * 1000 + i), 9).alias(f"{prefix}{i + 1}") for i in range(cols)])

@@ -160,12 +160,6 @@ def lice_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "municipalityno", "left")
 
 
-def report_years(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Distinct ISO years present in the reports (drives the week spine)."""
-    o = table(spark, sf_dir, "orders")
-    return o.select(cal.iso_year(cal.to_utc_timestamp_col("o_orderdate")).alias("year")).distinct()
-
-
 def municipalities(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = table(spark, sf_dir, "nation")
     return n.select(F.col("n_nationkey").alias("municipalityno"), F.col("n_name").alias("localityname"))
