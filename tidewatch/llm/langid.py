@@ -27,7 +27,7 @@ SEED = 7
 UNDETERMINED = "und"
 
 #: rows of a matrix product
-_ROWS = 256
+_ROWS = 128
 
 
 @lru_cache(maxsize=1)
@@ -51,15 +51,17 @@ def symbols_of(text: str) -> np.ndarray:
     return np.concatenate([[0], found[keep], [0]]).astype(np.int32) if found.any() else np.zeros(0, np.int32)
 
 
-def ngram_counts(text: str, n: int = NGRAM) -> np.ndarray | None:
-    """Counts of all ``SYMBOLS**n`` n-grams; None for a text without letters."""
+def ngram_counts(text: str, n: int = NGRAM) -> tuple[np.ndarray, np.ndarray] | None:
+    """(n-grams of the text, ascending, as numbers below ``SYMBOLS**n``; their counts); None for a text without letters."""
     s = symbols_of(text)
     if not len(s):
         return None
     gram = np.zeros(max(0, len(s) - n + 1), np.int32)
     for j in range(n):
         gram = gram * SYMBOLS + s[j:len(s) - n + 1 + j]
-    return np.bincount(gram, minlength=SYMBOLS ** n)
+    counts = np.bincount(gram)
+    used = np.flatnonzero(counts)
+    return used, counts[used]
 
 
 def ngram_vectors(grams: np.ndarray, n: int, dimension: int, seed: int) -> np.ndarray:
@@ -91,10 +93,13 @@ class Profiles:
         """The vectors of all n-grams, built once per Python worker (SYMBOLS**n x dimension bytes)."""
         return _all_vectors(self.n, self.dimension, self.seed)
 
-    def cosines(self, counts: np.ndarray) -> np.ndarray:
-        """Cosine of each text (a row of n-gram counts) with each prototype."""
-        used = np.flatnonzero(counts.any(axis=0))
-        texts = counts[:, used].astype(np.float32) @ self.vectors()[used].astype(np.float32)
+    def cosines(self, texts: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """Cosine of each text (its n-gram counts) with each prototype, one row each."""
+        used = np.unique(np.concatenate([grams for grams, _ in texts]))
+        counts = np.zeros((len(texts), len(used)), np.float32)
+        for row, (grams, n) in zip(counts, texts):
+            row[np.searchsorted(used, grams)] = n
+        texts = counts @ self.vectors()[used].astype(np.float32)
         norm = np.linalg.norm(texts, axis=1, keepdims=True)
         return (texts @ self.prototypes.T) / np.maximum(norm, 1e-12)
 
@@ -113,10 +118,7 @@ def _count(n: int):
             for name, raw in zip(batch.column(0).to_pylist(), raws):
                 counts = ngram_counts(raw.decode(), n)
                 if counts is not None:
-                    if name in totals:
-                        totals[name] += counts
-                    else:
-                        totals[name] = counts.astype(np.int64)
+                    totals.setdefault(name, np.zeros(SYMBOLS ** n, np.int64))[counts[0]] += counts[1]
         for name, total in totals.items():
             used = np.flatnonzero(total)
             yield pa.RecordBatch.from_pydict({
@@ -146,7 +148,7 @@ def _predict_rows(profiles: Profiles, texts: list[str]) -> tuple[list[str], list
         rows = [(k, c) for k in range(i, min(i + _ROWS, len(texts)))
                 if (c := ngram_counts(texts[k], profiles.n)) is not None]
         if rows and profiles.languages:
-            cosine = profiles.cosines(np.stack([c for _, c in rows]))
+            cosine = profiles.cosines([c for _, c in rows])
             best = cosine.argmax(axis=1)
             for (k, _), j, row in zip(rows, best, cosine):
                 langs[k], scores[k] = profiles.languages[j], float(min(1.0, max(0.0, row[j])))
