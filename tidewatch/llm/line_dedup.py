@@ -27,7 +27,7 @@ RARITY_BUCKETS = 1 << 16
 # Generators below are outer ones: for the others Spark adds a filter on the array's size, which would
 # compute the array twice. No array here is empty.
 
-#: lines whose texts are fetched by a broadcast of their hashes (16 bytes each); beyond, by a shuffle
+#: lines whose texts are fetched by a broadcast of their hashes (8 bytes each); beyond, by a shuffle
 BROADCAST_ROWS = 200_000
 
 #: rounding guard of t * n
@@ -79,11 +79,12 @@ def _at_least(threshold: float, n: Column) -> Column:
 
 
 def candidate_pairs(lines: DataFrame, sizes: bytes, shingle: int, threshold: float) -> DataFrame:
-    """(a1, a2, b1, b2): pairs of different lines that pass the prefix, length and positional filters.
+    """(a1, b1): 64-bit hashes, a1 < b1, of lines that pass the prefix, length and positional filters.
 
-    ``sizes`` is the result of ``rarity``.
+    ``sizes`` is the result of ``rarity``. Postings are the bulk of what is shuffled: a token, a line's hash, and
+    its length and the token's place in one number.
     """
-    sets = with_shingles(lines.select("h1", "h2", "line"), "line", "tokens", shingle)
+    sets = with_shingles(lines.select("h1", "line"), "line", "tokens", shingle)
     table = F.lit(bytearray(sizes))
     size_of = lambda t: F.ascii(F.substring(table, F.pmod(t, F.lit(len(sizes))).cast("int") + 1, F.lit(1)).cast("string"))
     # 6 bits of rarity above 57 bits of the hash: one number to sort by and to compare
@@ -91,27 +92,30 @@ def candidate_pairs(lines: DataFrame, sizes: bytes, shingle: int, threshold: flo
     n = F.size("tokens")
     prefix = F.posexplode_outer(F.slice(ranked, F.lit(1), (n - _at_least(threshold, n) + 1).cast("int")))
     # copies of a line meet in the partial aggregation before the shuffle
-    postings = sets.select("h1", "h2", n.alias("n"), prefix.alias("at", "token")).distinct()
-    a = postings.select("token", F.col("h1").alias("a1"), F.col("h2").alias("a2"), F.col("n").alias("an"), F.col("at").alias("aat"))
-    b = postings.select("token", F.col("h1").alias("b1"), F.col("h2").alias("b2"), F.col("n").alias("bn"), F.col("at").alias("bat"))
+    postings = sets.select("h1", n.alias("n"), prefix.alias("at", "token")).select(
+        "token", "h1", (F.col("n").cast("long") * (1 << 32) + F.col("at")).alias("place")).distinct()
+
+    def side(name: str) -> DataFrame:
+        return postings.select("token", F.col("h1").alias(f"{name}1"), F.shiftright("place", 32).alias(f"{name}n"),
+                               F.col("place").bitwiseAND(F.lit((1 << 32) - 1)).alias(f"{name}at"))
+    a, b = side("a"), side("b")
     overlap = F.ceil(F.lit(threshold / (1 + threshold)) * (F.col("an") + F.col("bn")) - _EPS)
     return a.join(b, "token").where(
-        ((F.col("a1") < F.col("b1")) | (F.col("a1") == F.col("b1")) & (F.col("a2") < F.col("b2")))
+        (F.col("a1") < F.col("b1"))
         & (F.least("an", "bn") >= _at_least(threshold, F.greatest("an", "bn")))
-        & (F.least(F.col("an") - F.col("aat"), F.col("bn") - F.col("bat")) >= overlap)).select("a1", "a2", "b1", "b2").distinct()
+        & (F.least(F.col("an") - F.col("aat"), F.col("bn") - F.col("bat")) >= overlap)).select("a1", "b1").distinct()
 
 
 def similar_lines(lines: DataFrame, sizes: bytes, shingle: int, threshold: float) -> DataFrame:
     """(h1, h2) of the lines whose first copy comes after that of a similar line."""
     pairs = cut_lineage(candidate_pairs(lines, sizes, shingle, threshold))
-    wanted = cut_lineage(pairs.select(F.col("a1").alias("h1"), F.col("a2").alias("h2"))
-                         .union(pairs.select(F.col("b1").alias("h1"), F.col("b2").alias("h2"))).distinct())
+    wanted = cut_lineage(pairs.select(F.col("a1").alias("h1")).union(pairs.select(F.col("b1").alias("h1"))).distinct())
     few = wanted.count() <= BROADCAST_ROWS
-    first = cut_lineage(lines.join(F.broadcast(wanted) if few else wanted, ["h1", "h2"])
+    first = cut_lineage(lines.join(F.broadcast(wanted) if few else wanted, "h1")
                         .groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "line_no", "line")).alias("first")))
     left = first.select(F.col("h1").alias("a1"), F.col("h2").alias("a2"), F.col("first").alias("x"))
     right = first.select(F.col("h1").alias("b1"), F.col("h2").alias("b2"), F.col("first").alias("y"))
-    sets = pairs.join(left, ["a1", "a2"]).join(right, ["b1", "b2"]).select(
+    sets = pairs.join(left, "a1").join(right, "b1").select(
         "a1", "a2", "b1", "b2", "x.doc_id", "x.line_no", F.col("x.line").alias("x_line"),
         F.col("y.doc_id").alias("y_id"), F.col("y.line_no").alias("y_no"), F.col("y.line").alias("y_line"))
     sets = with_shingles(with_shingles(sets, "x_line", "s", shingle), "y_line", "t", shingle)
