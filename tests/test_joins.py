@@ -46,3 +46,12 @@ def test_join_weekly_left_and_inner(spark):
     left = {r.week: r.lice for r in jn.join_weekly(weekly, lice, ["m"]).collect()}
     assert left == {"2020_2": 0.4, "2020_53": None}
     assert jn.join_weekly(weekly, lice, ["m"], how="inner").count() == 1
+
+
+def test_sites_and_stations_without_coordinates(spark):
+    sites = spark.createDataFrame([(1, 60.0, 5.0), (2, None, 5.0), (3, 61.0, None)], "localityno long, lat double, lon double")
+    stations = spark.createDataFrame([("A", 60.1, 5.0), ("B", None, 5.0)], "sourceid string, lat double, lon double")
+    got = {(r.localityno, r["rank"], r.sourceid) for r in jn.nearest_stations(sites, stations, k=2).collect()}
+    assert got == {(1, 1, "A"), (2, None, None), (3, None, None)}
+    none = jn.nearest_stations(sites, stations.where("false"), k=2).collect()
+    assert sorted(r.localityno for r in none) == [1, 2, 3] and all(r["rank"] is None for r in none)

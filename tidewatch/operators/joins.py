@@ -24,12 +24,10 @@ EARTH_RADIUS_KM = 6371.0088
 def join_weekly(weekly: DataFrame, reports: DataFrame, by: Sequence[str] = (),
                 left_label: str = "week", right_label: str = "year_week", how: str = "left") -> DataFrame:
     """J1 (``how='left'``) / J2 (``how='inner'``): weekly rows meet the report with the same label."""
-    r = reports.withColumnRenamed(right_label, "_rlabel") if right_label != left_label else reports
-    cond = [weekly[c] == r[c] for c in by] + [weekly[left_label] == r["_rlabel" if right_label != left_label else left_label]]
-    out = weekly.join(r, cond, how)
-    for c in by:
-        out = out.drop(r[c])
-    return out
+    names = {right_label: "_r_label", **{c: f"_r_{c}" for c in by}}
+    right = reports.withColumnsRenamed(names)
+    on = [F.col(left_label) == F.col("_r_label"), *[F.col(c) == F.col(names[c]) for c in by]]
+    return weekly.join(right, on, how).drop(*[names[c] for c in by], *(["_r_label"] if left_label == right_label else []))
 
 
 def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
@@ -60,7 +58,10 @@ def nearest_stations(sites: DataFrame, stations: DataFrame, k: int = 5, site_key
 
     Output: (site_key, rank 1..k, station_key, distance_km). Exact: a site is
     settled only when its k-th candidate lies within the distance bound of the
-    searched block, or when the block covers every station cell.
+    searched block, or when the block covers every station cell. Stations without coordinates are
+    nobody's neighbours; a site without coordinates, and every site if there is no station, comes back
+    once with null rank, station and distance. Longitudes are taken as given, within one turn: stations
+    across the 180° meridian are not neighbours.
     """
     st = stations.select(F.col(station_key).alias("_sid"), F.col(lat).alias("_slat"), F.col(lon).alias("_slon")) \
         .where(F.col("_slat").isNotNull() & F.col("_slon").isNotNull())
@@ -72,8 +73,11 @@ def nearest_stations(sites: DataFrame, stations: DataFrame, k: int = 5, site_key
     cell = float(cell_deg)
     st = st.withColumns({"_ci": F.floor(F.col("_slat") / cell), "_cj": F.floor(F.col("_slon") / cell)})
     ext = st.agg(F.min("_ci"), F.max("_ci"), F.min("_cj"), F.max("_cj")).first()
+    nothing = [F.lit(None).cast("int").alias("rank"), F.lit(None).cast(stations.schema[station_key].dataType).alias(station_key),
+               F.lit(None).cast("double").alias("distance_km")]
     if ext[0] is None:
-        return sites.sparkSession.createDataFrame([], f"{site_key} long, rank int, {station_key} string, distance_km double")
+        return sites.select(F.col(site_key), *nothing)
+    unplaced = sites.where(F.col(lat).isNull() | F.col(lon).isNull()).select(F.col(site_key), *nothing)
 
     pending = sites.select(F.col(site_key).alias("_key"), F.col(lat).alias("_lat"), F.col(lon).alias("_lon")) \
         .where(F.col("_lat").isNotNull() & F.col("_lon").isNotNull()) \
@@ -93,7 +97,8 @@ def nearest_stations(sites: DataFrame, stations: DataFrame, k: int = 5, site_key
         cand = probes.join(st, (probes._pci == st._ci) & (probes._pcj == st._cj), "inner") \
             .select("_key", "_sid", haversine_km(F.col("_lat"), F.col("_lon"), F.col("_slat"), F.col("_slon")).alias("_dist"))
         pool = cand if kept is None else kept.unionByName(cand)
-        top = pool.withColumn("_rank", F.row_number().over(rank_w)).where(F.col("_rank") <= k)
+        # the candidate join runs once a round; what is settled follows from its checkpoint
+        top = cut_lineage(pool.withColumn("_rank", F.row_number().over(rank_w)).where(F.col("_rank") <= k))
         bound = pending.select("_key", _outside_block_km(F.col("_lat"), F.col("_lon"), F.col("_ci"), F.col("_cj"), r, cell).alias("_lb"),
                                ((F.col("_ci") - r <= ext[0]) & (F.col("_ci") + r >= ext[1]) &
                                 (F.col("_cj") - r <= ext[2]) & (F.col("_cj") + r >= ext[3])).alias("_covers"))
@@ -102,7 +107,7 @@ def nearest_stations(sites: DataFrame, stations: DataFrame, k: int = 5, site_key
             .withColumn("_settled", F.coalesce(F.col("_covers"), F.lit(False)) |
                         F.coalesce((F.col("_n") >= k) & (F.col("_kth") <= F.col("_lb")), F.lit(False)))
         status = cut_lineage(status.select("_key", "_settled"))
-        top = cut_lineage(top.join(status, "_key"))
+        top = top.join(status, "_key")
         done.append(top.where("_settled").select("_key", "_rank", "_sid", "_dist"))
         still = status.where(~F.col("_settled")).select("_key")
         if still.isEmpty():
@@ -114,4 +119,4 @@ def nearest_stations(sites: DataFrame, stations: DataFrame, k: int = 5, site_key
     for d in done[1:]:
         out = out.unionByName(d)
     return out.select(F.col("_key").alias(site_key), F.col("_rank").cast("int").alias("rank"),
-                      F.col("_sid").alias(station_key), F.col("_dist").alias("distance_km"))
+                      F.col("_sid").alias(station_key), F.col("_dist").alias("distance_km")).unionByName(unplaced)

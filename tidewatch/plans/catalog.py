@@ -517,5 +517,5 @@ def q_dashboard_model(spark: SparkSession, d: str) -> DataFrame:
 
 @register("combine_weekly_notebook", ["E3", "J2", "A6", "A7", "A8", "J3", "R9"])
 def q_combine_weekly_notebook(spark: SparkSession, d: str) -> DataFrame:
-    """Notebook variant of the flagship: inner join (J2), first week kept."""
+    """Notebook variant of the flagship: last write per key, inner join (J2), first week kept."""
     return finish(combined_table(spark, d, "notebook"))

@@ -341,6 +341,16 @@ SELECT w.municipalityno, CAST(w.referencetime AS DATE) AS referencetime,
 FROM weekly_ok w JOIN lice l
   ON l.municipalityno = w.municipalityno AND CAST(l.year AS VARCHAR) || '_' || CAST(l.week AS VARCHAR) = w.wk""",
                                              "weekly", "lice")
+_KEYED = """a1 AS (
+  SELECT municipalityno, referencetime, elementid, '' AS unit, '' AS sourceid,
+         CAST(isoyear(referencetime) AS VARCHAR) || '_' || CAST(weekofyear(referencetime) AS VARCHAR) AS year_week,
+         CAST(avg(CAST(value AS DECIMAL(20,8))) AS DECIMAL(24,12)) AS value
+  FROM (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY municipalityno, referencetime, elementid, timeoffset
+                                                   ORDER BY sourceid DESC, unit DESC, value DESC) AS last FROM obs) WHERE last = 1)
+  GROUP BY ALL),
+d3 AS ("""
+_nb = SQL["combine_weekly_notebook"]
+SQL["combine_weekly_notebook"] = _nb[:_nb.index("a1 AS (")] + _KEYED + _nb[_nb.index("d3 AS (") + len("d3 AS ("):]
 
 SQL["sample_members"] = with_ctes("""
 SELECT name AS key, CAST(to_json({'name': name, 'role': role, 'feather_color': feather_color, 'eye_color': eye_color,

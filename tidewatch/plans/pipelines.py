@@ -25,30 +25,42 @@ COMBINED_COLUMNS = ["referencetime", "mean_air_temperature", "mean_relative_humi
                     "seatemperature", "localityname"]
 
 
-def daily_wide(observations: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+def daily_wide(observations: DataFrame, by: Sequence[str] = (), mode: str = "script") -> DataFrame:
     """E3 first half: long observations -> one row per (by, day) with the four elements as columns.
 
     A1 mean over time offsets, D3 smallest (unit, sourceid) wins, A6 pivot — two
     aggregations, the second keyed by (by, day) only. The ISO labels (C5/C6)
     are functions of the day, so they are computed after aggregating instead of
     being carried as grouping keys through the hot shuffle.
+
+    ``mode='notebook'``: the keyed store keeps one value per (day, element, time offset), the last written:
+    of the largest station, then unit and value. Its values are averaged over the time offsets.
     """
     obs = flt.restrict_sources(observations)
     # the four element ids become a small integer code for the shuffles (narrower rows)
     code = F.array_position(F.array(*[F.lit(e) for e in ELEMENTS]), F.col("elementid")).cast("byte")
     obs = obs.withColumn("_element", code)
+    codes = list(range(1, len(ELEMENTS) + 1))
+    names = dict(zip(codes, ELEMENTS))
+    if mode == "notebook":
+        kept = obs.groupBy(*by, "referencetime", "_element", "timeoffset").agg(
+            F.max(F.struct("sourceid", "unit", "value"))["value"].alias("value"))
+        daily = agg.mean_by(kept, [*by, "referencetime", "_element"], "value", exact=True)
+        return _labelled(rs.pivot_first(daily, [*by, "referencetime"], "_element", codes, value_col="value", names=names))
     keys = [*by, "referencetime", "_element", "unit", "sourceid"]
     daily = agg.mean_by(obs, keys, "value", exact=True)
-    codes = list(range(1, len(ELEMENTS) + 1))
-    wide = rs.pivot_first(daily, [*by, "referencetime"], "_element", codes, value_col="value",
-                          order_cols=["unit", "sourceid"], names=dict(zip(codes, ELEMENTS)))
+    return _labelled(rs.pivot_first(daily, [*by, "referencetime"], "_element", codes, value_col="value",
+                                    order_cols=["unit", "sourceid"], names=names))
+
+
+def _labelled(wide: DataFrame) -> DataFrame:
     ts = F.col("referencetime")
     return wide.withColumn("year_week", cal.year_week_label(cal.iso_year(ts), cal.iso_week(ts), "_"))
 
 
-def weekly_weather(observations: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+def weekly_weather(observations: DataFrame, by: Sequence[str] = (), mode: str = "script") -> DataFrame:
     """E3 middle: A7 means, A8 zero-filled sum, J3 Sunday label, R9 complete weeks only."""
-    return _weekly(daily_wide(observations, by), by)
+    return _weekly(daily_wide(observations, by, mode), by)
 
 
 def _weekly(wide: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -89,10 +101,10 @@ def combine(observations: DataFrame, lice: DataFrame, by: Sequence[str] = ("muni
     """E3 flagship: weekly weather joined to the weekly lice counts, one row per (by, week).
 
     ``mode='script'``: left join (J1) and the first week of every series dropped (R11);
-    ``mode='notebook'``: inner join (J2), first week kept. ``drop_empty_columns``
+    ``mode='notebook'``: last write per key instead of D3, inner join (J2), first week kept. ``drop_empty_columns``
     applies P8 to the lice side first (costs one extra aggregate pass).
     """
-    weekly = weekly_weather(observations, by)
+    weekly = weekly_weather(observations, by, mode)
     if drop_empty_columns:
         lice = rs.drop_all_null_columns(lice)
     return _with_lice(weekly, lice, by, mode)
@@ -119,7 +131,7 @@ def combine_nearest(observations: DataFrame, lice: DataFrame, sites: DataFrame,
     and day (A1) before they meet the sites, and each station's days go to the sites that chose it, so
     the fan-out is the number of (site, station) pairs, k per site.
     """
-    chosen = jn.nearest_stations(sites, stations, k=k, site_key=site_key).select(site_key, "sourceid")
+    chosen = jn.nearest_stations(sites, stations, k=k, site_key=site_key).where(F.col("rank").isNotNull()).select(site_key, "sourceid")
     obs = flt.date_range(observations, "referencetime", as_of=as_of)
     obs = flt.restrict_sources(obs, chosen)
     daily = agg.mean_by(obs, ["sourceid", "referencetime", "elementid", "unit"], "value", exact=True)
