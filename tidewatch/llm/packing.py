@@ -33,6 +33,7 @@ def _encoder(path: str):
 
     The vocabulary and its merge order are read from the file and given to tiktoken, which returns
     the same ids several times faster; its added tokens are matched in the text, as tokenizers does.
+    A text that it gives up on (a run of very many blanks) goes to the tokenizers library itself.
     """
     import json
 
@@ -47,7 +48,19 @@ def _encoder(path: str):
     ranks = {bytes(byte_of[c] for c in word): i for word, i in spec["model"]["vocab"].items() if word not in added}
     pattern = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
     encoding = tiktoken.Encoding("file", pat_str=pattern, mergeable_ranks=ranks, special_tokens=added)
-    return lambda text: encoding.encode(text, allowed_special="all")
+
+    def encode(text: str) -> list[int]:
+        try:
+            return encoding.encode(text, allowed_special="all")
+        except ValueError:
+            return _plain_tokenizer(path).encode(text, add_special_tokens=False).ids
+    return encode
+
+
+@lru_cache(maxsize=2)
+def _plain_tokenizer(path: str):
+    from tokenizers import Tokenizer
+    return Tokenizer.from_file(path)
 
 
 def cuts(tokens: int, capacity: int) -> list[tuple[int, int]]:
