@@ -7,7 +7,7 @@ Equal lines are merged into one before they are paired. Tokens are ordered by ra
 how often their hash bucket occurs in all lines, then by hash. Two lines that are similar
 enough share a token among the first n - ceil(t n) + 1 of each (prefix filter), have lengths
 within a factor t (length filter) and enough tokens left behind the shared one (positional
-filter). Only pairs of lines that pass all three are fetched and their Jaccard similarity verified.
+filter), and what their prefixes share must be enough with all that can follow. Only pairs of lines that pass all three are fetched and their Jaccard similarity verified.
 """
 
 from __future__ import annotations
@@ -78,6 +78,11 @@ def _at_least(threshold: float, n: Column) -> Column:
     return F.ceil(F.lit(threshold) * n - _EPS)
 
 
+def _prefix(threshold: float, n: Column) -> Column:
+    """Number of a line's first tokens one of which a similar line has among its own first ones."""
+    return (n - _at_least(threshold, n) + 1).cast("int")
+
+
 def candidate_pairs(lines: DataFrame, sizes: bytes, shingle: int, threshold: float) -> DataFrame:
     """(a1, b1): 64-bit hashes, a1 < b1, of lines that pass the prefix, length and positional filters.
 
@@ -90,7 +95,7 @@ def candidate_pairs(lines: DataFrame, sizes: bytes, shingle: int, threshold: flo
     # 6 bits of rarity above 57 bits of the hash: one number to sort by and to compare
     ranked = F.sort_array(F.transform("tokens", lambda t: size_of(t).cast("long") * F.lit(1 << 57) + F.shiftrightunsigned(t, 7)))
     n = F.size("tokens")
-    prefix = F.posexplode_outer(F.slice(ranked, F.lit(1), (n - _at_least(threshold, n) + 1).cast("int")))
+    prefix = F.posexplode_outer(F.slice(ranked, F.lit(1), _prefix(threshold, n)))
     # copies of a line meet in the partial aggregation before the shuffle
     postings = sets.select("h1", n.alias("n"), prefix.alias("at", "token")).select(
         "token", "h1", (F.col("n").cast("long") * (1 << 32) + F.col("at")).alias("place")).distinct()
@@ -100,10 +105,16 @@ def candidate_pairs(lines: DataFrame, sizes: bytes, shingle: int, threshold: flo
                                F.col("place").bitwiseAND(F.lit((1 << 32) - 1)).alias(f"{name}at"))
     a, b = side("a"), side("b")
     overlap = F.ceil(F.lit(threshold / (1 + threshold)) * (F.col("an") + F.col("bn")) - _EPS)
-    return a.join(b, "token").where(
+    met = a.join(b, "token").where(
         (F.col("a1") < F.col("b1"))
-        & (F.least("an", "bn") >= _at_least(threshold, F.greatest("an", "bn")))
-        & (F.least(F.col("an") - F.col("aat"), F.col("bn") - F.col("bat")) >= overlap)).select("a1", "b1").distinct()
+        & (F.least("an", "bn") >= _at_least(threshold, F.greatest("an", "bn"))))
+    # Positional filter: from the first shared token on, both lines have enough left.
+    left = F.max(F.least(F.col("an") - F.col("aat"), F.col("bn") - F.col("bat")))
+    # The prefix that ends first, in the order of tokens, has been compared in full: beyond it, that line has
+    # n - prefix tokens left to share. Which one ends first is not known, so the larger rest counts.
+    rest = F.greatest(F.col("an") - _prefix(threshold, F.col("an")), F.col("bn") - _prefix(threshold, F.col("bn")))
+    return met.groupBy("a1", "b1", "an", "bn").agg(F.count("*").alias("shared"), left.alias("left")).where(
+        (F.col("left") >= overlap) & (F.col("shared") + rest >= overlap)).select("a1", "b1")
 
 
 def similar_lines(lines: DataFrame, sizes: bytes, shingle: int, threshold: float) -> DataFrame:
