@@ -7,6 +7,7 @@ rounded to 6 decimals and timestamps cast to dates so the DuckDB oracle in
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,7 +24,7 @@ from ..operators import joins as jn
 from ..operators import reshape as rs
 from ..operators import robust as rb
 from ..operators import series as ser
-from ..schemas import COMBINED_METRICS, LICE_COLUMNS
+from ..schemas import COMBINED_METRICS, LICE_COLUMNS, LICE_COUNTS
 from ..schemas import SUMMARY_DOC, THRESHOLDS
 from ..session import cut_lineage, ensure_checkpoint_dir
 from ..sources import files as fs
@@ -178,6 +179,28 @@ def q_lice_counts(spark: SparkSession, d: str) -> DataFrame:
     return finish(lice.withColumn("specieslist", scl.join_text("specieslist")))
 
 
+@register("lice_csv", ["S5", "S6", "S9", "P8", "P9"])
+def q_lice_csv(spark: SparkSession, d: str) -> DataFrame:
+    """The lice table with a remark column that nobody filled: refreshed as a typed table, the empty column dropped (P8),
+    written as CSV and read back, lists from their text; one row per week and metric column (P9)."""
+    schema = T.StructType([T.StructField("municipalityno", T.IntegerType()), *LICE_COUNTS.fields, T.StructField("remark", T.StringType())])
+    lice = lice_table(spark, d).withColumn("remark", F.lit(None).cast("string"))
+    typed = rs.drop_all_null_columns(fs.refresh_table(lice, schema, _scratch(spark, "lice")))
+    path = _scratch(spark, "csv")
+    fs.write_csv(typed, path)
+    flat = T.StructType([T.StructField(f.name, T.StringType() if isinstance(f.dataType, T.ArrayType) else f.dataType)
+                         for f in typed.schema.fields])
+    back = fs.read_csv(spark, path, flat).withColumn("specieslist", scl.join_text(fs.parse_list_text(F.col("specieslist"))))
+    metrics = rs.metric_columns(back, ["municipalityno", "localityname", "specieslist", "year_week", "week", "year"])
+    rows = F.inline(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("value")) for m in metrics]))
+    return finish(back.select("municipalityno", "localityname", "year_week", "specieslist", rows))
+
+
+def _scratch(spark: SparkSession, kind: str) -> str:
+    """A new folder in the session's shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{kind}-{uuid.uuid4().hex}"
+
+
 @register("lice_null_counts", ["A14"])
 def q_lice_null_counts(spark: SparkSession, d: str) -> DataFrame:
     lice = lice_table(spark, d)
@@ -219,6 +242,16 @@ def q_region_weekly_lice(spark: SparkSession, d: str) -> DataFrame:
                            cal.monday_monday_first("year", "week").alias("date")))
 
 
+@register("lice_series_union", ["U1", "P11", "V6"])
+def q_lice_series_union(spark: SparkSession, d: str) -> DataFrame:
+    """National and regional weekly series in one table: scope is constant in each part, region missing in the first."""
+    fish = _labelled_fish(spark, d)
+    national = agg.group_mean(fish, ["year_week"], ["avgadultfemalelice"], exact=True)
+    regional = agg.group_mean(fish.withColumn("region", scl.region_of_latitude("lat")), ["region", "year_week"],
+                              ["avgadultfemalelice"], drop_all_null=True, exact=True)
+    return finish(rs.union_by_name([rs.with_constants(national, scope="national"), rs.with_constants(regional, scope="regional")]))
+
+
 # ---------------------------------------------------------------------------
 # dashboard datasets
 # ---------------------------------------------------------------------------
@@ -337,13 +370,17 @@ def q_roster_role_means(spark: SparkSession, d: str) -> DataFrame:
 @register("upsert_reports", ["S8", "S7"])
 def q_upsert_reports(spark: SparkSession, d: str) -> DataFrame:
     """Open orders are re-reported in a second batch with a corrected lice count; per key the
-    newer batch wins and keeps its whole row."""
+    newer batch wins and keeps its whole row. The table is published, merged with the batch into a
+    new version, and read back through its pointer."""
     fish = sup.fish_table(spark, d)
     existing = fish.select("localityweekid", "localityno", "year", "week", "avgadultfemalelice")
     batch = fish.where(~F.col("isfallow") & F.col("hasila")) \
         .select("localityweekid", "localityno", "year", "week",
                 (F.col("avgadultfemalelice") + F.lit(0.01)).alias("avgadultfemalelice"))
-    return finish(fs.upsert(existing, batch, ["localityweekid"]))
+    root = _scratch(spark, "reports")
+    fs.publish(existing, root)
+    fs.publish(fs.upsert(fs.read_published(spark, root), batch, ["localityweekid"]), root)
+    return finish(fs.read_published(spark, root))
 
 
 # ---------------------------------------------------------------------------

@@ -352,6 +352,20 @@ d3 AS ("""
 _nb = SQL["combine_weekly_notebook"]
 SQL["combine_weekly_notebook"] = _nb[:_nb.index("a1 AS (")] + _KEYED + _nb[_nb.index("d3 AS (") + len("d3 AS ("):]
 
+SQL["lice_csv"] = with_ctes("\nUNION ALL\n".join(
+    f"SELECT municipalityno, localityname, year_week, array_to_string(specieslist, ',') AS specieslist, "
+    f"'{m}' AS metric, round({m}, 6) AS value FROM lice"
+    for m in ("avgadultfemalelice", "avgmobilelice", "avgstationarylice", "seatemperature")), "lice")
+
+SQL["lice_series_union"] = with_ctes(f"""
+SELECT year_week, round(avg(CAST(avgadultfemalelice AS DECIMAL(20,8))), 6) AS avgadultfemalelice, 'national' AS scope,
+  CAST(NULL AS VARCHAR) AS region
+FROM (SELECT *, CAST(year AS VARCHAR) || '-' || CAST(week AS VARCHAR) AS year_week FROM fish) GROUP BY year_week
+UNION ALL
+SELECT year_week, round(avg(CAST(avgadultfemalelice AS DECIMAL(20,8))), 6) AS avgadultfemalelice, 'regional' AS scope, region
+FROM (SELECT *, {_REGION} AS region, CAST(year AS VARCHAR) || '-' || CAST(week AS VARCHAR) AS year_week FROM fish)
+GROUP BY region, year_week HAVING avg(avgadultfemalelice) IS NOT NULL""", "fish")
+
 SQL["sample_members"] = with_ctes("""
 SELECT name AS key, CAST(to_json({'name': name, 'role': role, 'feather_color': feather_color, 'eye_color': eye_color,
     'specialty': specialty, 'length_cm': length_cm, 'weight_g': weight_g}) AS VARCHAR) AS record
