@@ -1,8 +1,6 @@
 import math
 import random
 
-from pyspark.sql import functions as F
-
 from tidewatch.operators import joins as jn
 
 

@@ -41,7 +41,8 @@ def build_session(master: str | None = None, app: str = "tidewatch",
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark, allow_local_default=True)
+    if is_local(spark):
+        ensure_checkpoint_dir(spark, allow_local_default=True)
     ship_package(spark)
     return spark
 
@@ -72,6 +73,12 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(app)
 
 
+def is_local(spark: SparkSession) -> bool:
+    """Whether driver and executors are one process, so that a scratch folder of the machine is shared by all."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
+
+
 def ensure_checkpoint_dir(spark: SparkSession, allow_local_default: bool = False) -> str:
     """Return the reliable checkpoint folder, taken from the session.
 
