@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir, ship_package
+from ..session import ensure_checkpoint_dir, is_local, ship_package
 
 #: bytes of text that a task turns into numpy arrays at a time
 SLICE_BYTES = 4 << 20
@@ -22,7 +22,7 @@ def prepare(spark: SparkSession) -> None:
 
     A missing ``spark.checkpoint.dir`` is only tolerated on a local master (tests, benchmarks).
     """
-    ensure_checkpoint_dir(spark, allow_local_default=spark.sparkContext.master.startswith("local["))
+    ensure_checkpoint_dir(spark, allow_local_default=is_local(spark))
     ship_package(spark)
 
 
@@ -54,8 +54,3 @@ def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text",
             size += len(raw)
         if run:
             yield batch.slice(first), run
-
-
-def arrow_map(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
-              schema: str) -> DataFrame:
-    return df.mapInArrow(fn, schema)
