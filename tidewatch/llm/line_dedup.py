@@ -1,13 +1,16 @@
 """Line deduplication by an exact set-similarity join, in DataFrame functions only.
 
-A line's tokens are its distinct shingles of ``shingle`` words (fewer words: the whole line). A line is removed when an earlier line, by (doc_id, line number), has a Jaccard similarity of
-``threshold`` or more; equal lines have similarity 1. Lines of fewer than ``min_words`` words stay.
-
-Equal lines are merged into one before they are paired. Tokens are ordered by rarity:
-how often their hash bucket occurs in all lines, then by hash. Two lines that are similar
-enough share a token among the first n - ceil(t n) + 1 of each (prefix filter), have lengths
-within a factor t (length filter) and enough tokens left behind the shared one (positional
-filter), and what their prefixes share must be enough with all that can follow. Only pairs of lines that pass all three are fetched and their Jaccard similarity verified.
+A line's tokens are its distinct shingles of ``shingle`` words (fewer words: the whole line). A line
+is removed when an earlier line, by (doc_id, line number), has a Jaccard similarity of ``threshold``
+or more; equal lines have similarity 1. Lines of fewer than ``min_words`` words stay.
+
+Equal lines are merged into one before they are paired. Tokens are ordered by rarity: how often
+their hash bucket occurs in all lines, then by hash. Two lines that are similar enough share a
+token among the first n - ceil(t n) + 1 of each (prefix filter), have lengths within a factor t
+(length filter) and enough tokens left behind the shared one (positional filter), and what their
+prefixes share must be enough with all that can follow. Only pairs of lines that pass all of these
+are fetched and their Jaccard similarity verified.
+
 """
 
 from __future__ import annotations
