@@ -9,7 +9,8 @@ their hash bucket occurs in all lines, then by hash. Two lines that are similar
 token among the first n - ceil(t n) + 1 of each (prefix filter), have lengths within a factor t
 (length filter) and enough tokens left behind the shared one (positional filter), and what their
 prefixes share must be enough with all that can follow. Only pairs of lines that pass all of these
-are fetched and their Jaccard similarity verified.
+are fetched and their Jaccard similarity verified. Before that, each line is compared with at most
+two leaders, which settles large groups of near copies without their pairs.
 
 """
 
@@ -86,13 +87,31 @@ def _prefix(threshold: float, n: Column) -> Column:
     return (n - _at_least(threshold, n) + 1).cast("int")
 
 
-def candidate_pairs(lines: DataFrame, sizes: bytes, shingle: int, threshold: float) -> DataFrame:
+def leader_pairs(lines: DataFrame, shingle: int) -> DataFrame:
+    """(a1, b1): each line with the first line that has the same smallest, or the same largest, token.
+
+    At most two pairs a line, however many lines are alike.
+    """
+    runs = runs_of_words(lines.select("doc_id", "h1", "line"), "line", "runs", shingle)
+    tokens = runs.select("doc_id", "h1", F.explode_outer("runs").alias("run")).select("doc_id", "h1", F.xxhash64("run").alias("token"))
+    ends = tokens.groupBy("h1").agg(F.min("token").alias("low"), F.max("token").alias("high"), F.min("doc_id").alias("doc_id"))
+    marks = cut_lineage(ends).select("h1", "doc_id", F.posexplode_outer(F.array("low", "high")).alias("end", "token"))
+    leaders = marks.groupBy("end", "token").agg(F.min(F.struct("doc_id", "h1"))["h1"].alias("a1"), F.count("*").alias("lines"))
+    met = marks.join(leaders.where(F.col("lines") > 1), ["end", "token"])
+    return met.where(F.col("a1") != F.col("h1")).select("a1", F.col("h1").alias("b1")).distinct()
+
+
+def candidate_pairs(lines: DataFrame, sizes: bytes, known: DataFrame, shingle: int, threshold: float) -> DataFrame:
     """(a1, b1): 64-bit hashes, a1 < b1, of lines that pass the prefix, length and positional filters.
 
-    ``sizes`` is the result of ``rarity``. Postings are the bulk of what is shuffled: a token, a line's hash, and
-    its length and the token's place in one number.
+    ``sizes`` is the result of ``rarity``; ``known`` (h1) are lines that are known to be removed: two of
+    them need not be compared. Postings are the bulk of what is shuffled: a token, a line's hash, and
+    its length, the token's place and whether the line is known in one number.
     """
-    sets = with_shingles(lines.select("h1", "line"), "line", "tokens", shingle)
+    known = known.select("h1").distinct().withColumn("known", F.lit(1))
+    few = known.count() <= BROADCAST_ROWS
+    flagged = lines.select("h1", "line").join(F.broadcast(known) if few else known, "h1", "left")
+    sets = with_shingles(flagged, "line", "tokens", shingle)
     table = F.lit(bytearray(sizes))
     size_of = lambda t: F.ascii(F.substring(table, F.pmod(t, F.lit(len(sizes))).cast("int") + 1, F.lit(1)).cast("string"))
     # 6 bits of rarity above 57 bits of the hash: one number to sort by and to compare
@@ -100,16 +119,17 @@ def candidate_pairs(lines: DataFrame, sizes: bytes, shingle: int, threshold: flo
     n = F.size("tokens")
     prefix = F.posexplode_outer(F.slice(ranked, F.lit(1), _prefix(threshold, n)))
     # copies of a line meet in the partial aggregation before the shuffle
-    postings = sets.select("h1", n.alias("n"), prefix.alias("at", "token")).select(
-        "token", "h1", (F.col("n").cast("long") * (1 << 32) + F.col("at")).alias("place")).distinct()
+    postings = sets.select("h1", n.alias("n"), F.coalesce("known", F.lit(0)).alias("known"), prefix.alias("at", "token")).select(
+        "token", "h1", (F.col("n").cast("long") * (1 << 32) + F.col("at") * 2 + F.col("known")).alias("place")).distinct()
 
     def side(name: str) -> DataFrame:
         return postings.select("token", F.col("h1").alias(f"{name}1"), F.shiftright("place", 32).alias(f"{name}n"),
-                               F.col("place").bitwiseAND(F.lit((1 << 32) - 1)).alias(f"{name}at"))
+                               F.shiftright(F.col("place").bitwiseAND(F.lit((1 << 32) - 1)), 1).alias(f"{name}at"),
+                               F.col("place").bitwiseAND(F.lit(1)).alias(f"{name}known"))
     a, b = side("a"), side("b")
     overlap = F.ceil(F.lit(threshold / (1 + threshold)) * (F.col("an") + F.col("bn")) - _EPS)
     met = a.join(b, "token").where(
-        (F.col("a1") < F.col("b1"))
+        (F.col("a1") < F.col("b1")) & (F.col("aknown") + F.col("bknown") < 2)
         & (F.least("an", "bn") >= _at_least(threshold, F.greatest("an", "bn"))))
     # Positional filter: from the first shared token on, both lines have enough left.
     left = F.max(F.least(F.col("an") - F.col("aat"), F.col("bn") - F.col("bat")))
@@ -121,8 +141,19 @@ def candidate_pairs(lines: DataFrame, sizes: bytes, shingle: int, threshold: flo
 
 
 def similar_lines(lines: DataFrame, sizes: bytes, shingle: int, threshold: float) -> DataFrame:
-    """(h1, h2) of the lines whose first copy comes after that of a similar line."""
-    pairs = cut_lineage(candidate_pairs(lines, sizes, shingle, threshold))
+    """(h1, h2) of the lines whose first copy comes after that of a similar line.
+
+    In a large group of near copies nearly every line is similar to the group's first one, and is found by being
+    compared with that alone. The complete join then needs no pair of lines that are both found.
+    """
+    found = cut_lineage(_later(leader_pairs(lines, shingle), lines, shingle, threshold))
+    rest = _later(candidate_pairs(lines, sizes, found, shingle, threshold), lines, shingle, threshold)
+    return found.union(rest).distinct()
+
+
+def _later(pairs: DataFrame, lines: DataFrame, shingle: int, threshold: float) -> DataFrame:
+    """(h1, h2) of the later line of each pair (a1, b1) whose Jaccard similarity reaches the threshold."""
+    pairs = cut_lineage(pairs)
     wanted = cut_lineage(pairs.select(F.col("a1").alias("h1")).union(pairs.select(F.col("b1").alias("h1"))).distinct())
     few = wanted.count() <= BROADCAST_ROWS
     first = cut_lineage(lines.join(F.broadcast(wanted) if few else wanted, "h1")
