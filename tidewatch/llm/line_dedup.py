@@ -9,8 +9,8 @@ their hash bucket occurs in all lines, then by hash. Two lines that are similar
 token among the first n - ceil(t n) + 1 of each (prefix filter), have lengths within a factor t
 (length filter) and enough tokens left behind the shared one (positional filter), and what their
 prefixes share must be enough with all that can follow. Only pairs of lines that pass all of these
-are fetched and their Jaccard similarity verified. Before that, each line is compared with at most
-two leaders, which settles large groups of near copies without their pairs.
+are fetched and their Jaccard similarity verified. Before that, each line is compared with a few
+leaders, which settles large groups of near copies without their pairs.
 
 """
 
@@ -34,6 +34,9 @@ RARITY_BUCKETS = 1 << 16
 #: lines whose texts are fetched by a broadcast of their hashes (8 bytes each); beyond, by a shuffle
 BROADCAST_ROWS = 200_000
 
+#: lines that lead the lines with a common smallest or largest token
+LEADERS = 3
+
 #: rounding guard of t * n
 _EPS = 1e-9
 
@@ -88,17 +91,21 @@ def _prefix(threshold: float, n: Column) -> Column:
 
 
 def leader_pairs(lines: DataFrame, shingle: int) -> DataFrame:
-    """(a1, b1): each line with the first line that has the same smallest, or the same largest, token.
+    """(a1, b1): each line with a few earlier ones that have the same smallest, or the same largest, token.
 
-    At most two pairs a line, however many lines are alike.
+    The lines with a token are dealt to ``LEADERS`` groups, whose first lines lead: at most 2 * ``LEADERS`` pairs a
+    line, however many lines are alike.
     """
     runs = runs_of_words(lines.select("doc_id", "h1", "line"), "line", "runs", shingle)
     tokens = runs.select("doc_id", "h1", F.explode_outer("runs").alias("run")).select("doc_id", "h1", F.xxhash64("run").alias("token"))
     ends = tokens.groupBy("h1").agg(F.min("token").alias("low"), F.max("token").alias("high"), F.min("doc_id").alias("doc_id"))
     marks = cut_lineage(ends).select("h1", "doc_id", F.posexplode_outer(F.array("low", "high")).alias("end", "token"))
-    leaders = marks.groupBy("end", "token").agg(F.min(F.struct("doc_id", "h1"))["h1"].alias("a1"), F.count("*").alias("lines"))
-    met = marks.join(leaders.where(F.col("lines") > 1), ["end", "token"])
-    return met.where(F.col("a1") != F.col("h1")).select("a1", F.col("h1").alias("b1")).distinct()
+    dealt = marks.withColumn("group", F.pmod(F.xxhash64("h1"), F.lit(LEADERS)))
+    leaders = dealt.groupBy("end", "token", "group").agg(F.min(F.struct("doc_id", "h1")).alias("first"))
+    leaders = leaders.groupBy("end", "token").agg(F.collect_list("first").alias("firsts"))  # LEADERS at most
+    met = marks.join(leaders, ["end", "token"]).select("h1", "doc_id", F.explode("firsts").alias("first"))
+    earlier = (F.col("first.h1") != F.col("h1")) & (F.col("first.doc_id") <= F.col("doc_id"))
+    return met.where(earlier).select(F.col("first.h1").alias("a1"), F.col("h1").alias("b1")).distinct()
 
 
 def candidate_pairs(lines: DataFrame, sizes: bytes, known: DataFrame, shingle: int, threshold: float) -> DataFrame:
@@ -143,8 +150,8 @@ def candidate_pairs(lines: DataFrame, sizes: bytes, known: DataFrame, shingle: i
 def similar_lines(lines: DataFrame, sizes: bytes, shingle: int, threshold: float) -> DataFrame:
     """(h1, h2) of the lines whose first copy comes after that of a similar line.
 
-    In a large group of near copies nearly every line is similar to the group's first one, and is found by being
-    compared with that alone. The complete join then needs no pair of lines that are both found.
+    In a large group of near copies nearly every line is similar to one of the group's first ones, and is found by
+    being compared with those alone. The complete join then needs no pair of lines that are both found.
     """
     found = cut_lineage(_later(leader_pairs(lines, shingle), lines, shingle, threshold))
     rest = _later(candidate_pairs(lines, sizes, found, shingle, threshold), lines, shingle, threshold)
