@@ -35,7 +35,7 @@ RARITY_BUCKETS = 1 << 16
 BROADCAST_ROWS = 200_000
 
 #: lines that lead the lines with a common smallest or largest token
-LEADERS = 3
+LEADERS = 1
 
 #: rounding guard of t * n
 _EPS = 1e-9
