@@ -92,3 +92,20 @@ def test_texts_and_odd_rows(spark):
 
 def test_empty_table(spark):
     assert line_dedup.dedup_lines(documents(spark, []).select("doc_id", "text")).collect() == []
+
+
+def test_rows_that_share_an_id_or_have_none(spark):
+    same, near = "a line that many rows may have in common", "one two three four five six seven eight nine ten eleven twelve"
+    rows = [(1, f"{same}\nthe last words of document number one"), (None, f"{same}\nonly the first row without an id says this"),
+            (None, "only the second row without an id says this"), (7, f"{same}\nonly the first row of number seven says this"),
+            (7, "only the second row of number seven says this"), (8, "both rows of number eight say this here\nfirst"),
+            (8, "both rows of number eight say this here\nsecond"), (9, near), (9, f"{near} thirteen"), (6, "this row is there two times"),
+            (6, "this row is there two times")]
+    out = [(r.doc_id, r.text, list(r.removed)) for r in line_dedup.dedup_lines(documents(spark, rows).select("doc_id", "text")).collect()]
+    left = {k: sorted(t for d, t, _ in out if d == k) for k in (1, 6, 7, 9, None)}
+    assert left[1] == [rows[0][1]] and left[6] == ["this row is there two times"] * 2
+    assert left[None] == ["only the first row without an id says this", "only the second row without an id says this"]
+    assert left[7] == ["only the first row of number seven says this", "only the second row of number seven says this"]
+    eight = sorted(r for d, _, r in out if d == 8)
+    assert eight == [[], [0]]  # one of the two is the first
+    assert len(left[9]) == 2 and left[9][0] == "" and left[9][1] in (near, f"{near} thirteen")

@@ -2,7 +2,8 @@
 
 A line's tokens are its distinct shingles of ``shingle`` words (fewer words: the whole line). A line
 is removed when an earlier line, by (doc_id, line number), has a Jaccard similarity of ``threshold``
-or more; equal lines have similarity 1. Lines of fewer than ``min_words`` words stay.
+or more; equal lines have similarity 1. Lines of fewer than ``min_words`` words stay. Rows without a
+doc_id, or that share one, are told apart by the hash of their texts, which also orders them.
 
 Equal lines are merged into one before they are paired. Tokens are ordered by rarity: how often
 their hash bucket occurs in all lines, then by hash. Two lines that are similar enough share a
@@ -41,17 +42,22 @@ LEADERS = 1
 _EPS = 1e-9
 
 
+def row_key(doc_id: str, row: str) -> tuple[Column, Column]:
+    """Columns that identify a row of documents: its id, the largest long if it has none, and its text's hash."""
+    return (F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias(doc_id),
+            F.xxhash64(F.col("text").cast("string")).alias(row))
+
+
 def line_table(documents: DataFrame, min_words: int) -> DataFrame:
-    """(doc_id, line_no, line, h1, h2) of every trimmed line with enough words; h1, h2 identify the line.
+    """(doc_id, row, line_no, line, h1, h2) of every trimmed line with enough words; h1, h2 identify the line.
 
-    Words are what spaces separate.
+    Words are what spaces separate. See ``row_key`` for (doc_id, row).
     """
-    rows = documents.select(F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("doc_id"),
-                            F.posexplode_outer(F.split(F.col("text").cast("string"), "\n", -1)).alias("line_no", "line"))
+    rows = documents.select(*row_key("doc_id", "row"), F.posexplode_outer(F.split(F.col("text").cast("string"), "\n", -1)).alias("line_no", "line"))
     lines = rows.withColumn("line", F.trim("line"))
     spaces = F.char_length("line") - F.char_length(F.replace("line", F.lit(" "), F.lit("")))
     return lines.where(spaces >= min_words - 1).select(
-        "doc_id", "line_no", "line", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"))
+        "doc_id", "row", "line_no", "line", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"))
 
 
 def runs_of_words(df: DataFrame, line: str, out: str, size: int) -> DataFrame:
@@ -164,34 +170,34 @@ def _later(pairs: DataFrame, lines: DataFrame, shingle: int, threshold: float) -
     wanted = cut_lineage(pairs.select(F.col("a1").alias("h1")).union(pairs.select(F.col("b1").alias("h1"))).distinct())
     few = wanted.count() <= BROADCAST_ROWS
     first = cut_lineage(lines.join(F.broadcast(wanted) if few else wanted, "h1")
-                        .groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "line_no", "line")).alias("first")))
+                        .groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "line_no", "row", "line")).alias("first")))
     left = first.select(F.col("h1").alias("a1"), F.col("h2").alias("a2"), F.col("first").alias("x"))
     right = first.select(F.col("h1").alias("b1"), F.col("h2").alias("b2"), F.col("first").alias("y"))
     sets = pairs.join(left, "a1").join(right, "b1").select(
-        "a1", "a2", "b1", "b2", "x.doc_id", "x.line_no", F.col("x.line").alias("x_line"),
-        F.col("y.doc_id").alias("y_id"), F.col("y.line_no").alias("y_no"), F.col("y.line").alias("y_line"))
+        "a1", "a2", "b1", "b2", F.struct("x.doc_id", "x.line_no", "x.row").alias("x_at"), F.col("x.line").alias("x_line"),
+        F.struct("y.doc_id", "y.line_no", "y.row").alias("y_at"), F.col("y.line").alias("y_line"))
     sets = with_shingles(with_shingles(sets, "x_line", "s", shingle), "y_line", "t", shingle)
     sets = sets.withColumn("common", F.size(F.array_intersect("s", "t")))
     jaccard = F.col("common") / (F.size("s") + F.size("t") - F.col("common"))
-    later = (F.col("doc_id") > F.col("y_id")) | (F.col("doc_id") == F.col("y_id")) & (F.col("line_no") > F.col("y_no"))
+    later = F.col("x_at") > F.col("y_at")
     return sets.where(jaccard >= threshold - _EPS).select(
         F.when(later, F.col("a1")).otherwise(F.col("b1")).alias("h1"), F.when(later, F.col("a2")).otherwise(F.col("b2")).alias("h2")).distinct()
 
 
 def removed_lines(documents: DataFrame, shingle: int = SHINGLE, threshold: float = THRESHOLD, min_words: int = MIN_WORDS,
                   buckets: int = RARITY_BUCKETS) -> DataFrame:
-    """(doc_id, line_no) of every line that an equal or similar line precedes; line numbers from 0.
+    """(doc_id, row, line_no) of every line that an equal or similar line precedes; line numbers from 0.
 
-    Rows that share a doc_id count as one document, and rows without one as the last document, whose
-    id here is the largest long. Null and empty texts have no lines to remove.
+    Rows that share both a doc_id and a text count as one document; rows without a doc_id come last,
+    with the largest long as their id here. Null and empty texts have no lines to remove.
     """
     lines = line_table(documents, min_words)
     later = similar_lines(lines, rarity(lines, shingle, buckets), shingle, threshold).withColumn("later", F.lit(True))
-    places = cut_lineage(lines.select("doc_id", "line_no", "h1", "h2"))
-    first = places.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "line_no")).alias("first"))
+    places = cut_lineage(lines.select("doc_id", "row", "line_no", "h1", "h2"))
+    first = places.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "line_no", "row")).alias("first"))
     verdict = cut_lineage(first.join(later, ["h1", "h2"], "left"))
-    kept = (F.struct("doc_id", "line_no") == F.col("first")) & F.col("later").isNull()
-    return places.join(verdict, ["h1", "h2"]).where(~kept).select("doc_id", "line_no").distinct()
+    kept = (F.struct("doc_id", "line_no", "row") == F.col("first")) & F.col("later").isNull()
+    return places.join(verdict, ["h1", "h2"]).where(~kept).select("doc_id", "row", "line_no").distinct()
 
 
 def dedup_lines(documents: DataFrame, shingle: int = SHINGLE, threshold: float = THRESHOLD, min_words: int = MIN_WORDS,
@@ -202,9 +208,10 @@ def dedup_lines(documents: DataFrame, shingle: int = SHINGLE, threshold: float =
     """
     gone = removed_lines(documents, shingle, threshold, min_words, buckets)
     # one document's own line numbers
-    gone = gone.groupBy("doc_id").agg(F.sort_array(F.collect_list("line_no")).alias("removed")).withColumnRenamed("doc_id", "_id")
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1))
+    gone = gone.groupBy("doc_id", "row").agg(F.sort_array(F.collect_list("line_no")).alias("removed"))
+    gone = gone.withColumnsRenamed({"doc_id": "_id", "row": "_row"})
+    own_id, own_row = row_key("own_id", "own_row")
     kept = F.array_join(F.filter(F.split("text", "\n", -1), lambda line, i: ~F.array_contains("removed", i)), "\n")
-    out = documents.join(gone, key == F.col("_id"), "left").drop("_id")
+    out = documents.join(gone, (own_id == F.col("_id")) & (own_row == F.col("_row")), "left").drop("_id", "_row")
     return out.withColumn("text", F.when(F.col("removed").isNull(), F.col("text")).otherwise(kept)).withColumn(
         "removed", F.coalesce("removed", F.expr("cast(array() as array<int>)")))
