@@ -61,3 +61,10 @@ def test_empty_tables(spark):
     none = langid.fit(documents(spark, []))
     assert [r.lang_pred for r in langid.predict(documents(spark, [(1, "text")]), none).collect()] == ["und"]
     assert langid.predict(documents(spark, []), none).collect() == []
+
+
+def test_an_input_without_languages_keeps_its_documents(spark):
+    rows = documents(spark, [(1, "the cat", None), (2, "le chat", None), (3, "12 34 !!", None), (4, None, None)])
+    profiles = langid.fit(rows)
+    assert not profiles.languages
+    assert sorted(r.doc_id for r in langid.keep_identified(rows, profiles).collect()) == [1, 2]

@@ -175,12 +175,20 @@ def predict(documents: DataFrame, profiles: Profiles) -> DataFrame:
 
 
 def keep_identified(documents: DataFrame, profiles: Profiles, min_score: float = 0.0) -> DataFrame:
-    """The rows whose language is determined with at least ``min_score``, all columns unchanged."""
+    """The rows whose language is determined with at least ``min_score``, all columns unchanged.
+
+    With the default, only rows without text or without a letter go, whatever the language and its score. If no
+    language was learned, none can be determined, and all rows with a letter are kept.
+    """
     model = documents.sparkSession.sparkContext.broadcast(profiles)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from .common import text_slices
         for batch, raws in text_slices(batches):
-            langs, scores = _predict_rows(model.value, [raw.decode() for raw in raws])
-            yield batch.filter(pa.array([a != UNDETERMINED and s >= min_score for a, s in zip(langs, scores)], pa.bool_()))
+            texts = [raw.decode() for raw in raws]
+            if model.value.languages:
+                kept = [a != UNDETERMINED and s >= min_score for a, s in zip(*_predict_rows(model.value, texts))]
+            else:
+                kept = [ngram_counts(text, model.value.n) is not None for text in texts]
+            yield batch.filter(pa.array(kept, pa.bool_()))
     return documents.mapInArrow(run, documents.schema)
