@@ -119,4 +119,39 @@ SELECT f.path, coalesce(own.license, up.l) AS license,
 FROM f LEFT JOIN own ON own.path = f.path LEFT JOIN up ON up.path = f.path"""
 
 
-SQL = {"op5_secrets": _secrets(), "op6_line_dedup": _LINES, "op8_decontamination": _contamination(), "op10_licenses": _licenses()}
+def _merkle() -> str:
+    def code(value: str, text: str | None = None) -> str:
+        text = text or f"{value}::VARCHAR"
+        return f"CASE WHEN {value} IS NULL THEN '-' ELSE concat(strlen({text}), ':', {text}) END"
+
+    def leaf(text: str) -> str:
+        return f"sha256(concat({code('doc_id')}, {code('source')}, {code('lang')}, {code('n_chars')}, {code('text', text)}))"
+
+    # CRC-32 of a decimal number: its bytes are added in turn, each followed by eight shifts (-1)
+    steps = "flatten([[ascii(c), -1, -1, -1, -1, -1, -1, -1, -1] for c in string_split(coalesce(doc_id::VARCHAR, ''), '') if c <> ''])"
+    crc = f"xor(list_reduce(list_concat([4294967295::BIGINT], {steps}), lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END), 4294967295)"
+    return rf"""
+WITH RECURSIVE d AS (SELECT *, coalesce('=' || source, '') AS tree, {leaf('text')} AS leaf,
+    {leaf("CASE WHEN " + crc + " % 2 = 0 THEN replace(text, chr(10), '') ELSE text END")} AS claim FROM documents),
+p AS (SELECT doc_id, tree, leaf, claim, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY tree) AS n FROM d),
+v AS (SELECT 0 AS lv, tree, i, leaf AS h, n FROM p UNION ALL
+      SELECT lv + 1, tree, i // 3, sha256(string_agg(h, '' ORDER BY i)), (n + 2) // 3 FROM v WHERE n > 1 GROUP BY lv, tree, n, i // 3),
+s AS (SELECT tree, h AS subroot, row_number() OVER (ORDER BY tree) - 1 AS j, count(*) OVER () AS m FROM v WHERE n = 1),
+u AS (SELECT 0 AS lv, j AS i, subroot AS h, m AS n FROM s UNION ALL
+      SELECT lv + 1, i // 3, sha256(string_agg(h, '' ORDER BY i)), (n + 2) // 3 FROM u WHERE n > 1 GROUP BY lv, n, i // 3),
+r AS (SELECT h AS root FROM u WHERE n = 1),
+lo AS (SELECT a.tree, a.lv, a.i, coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (b.i < a.i), '') AS le, coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (b.i > a.i), '') AS ri
+       FROM v a JOIN v b ON a.tree = b.tree AND a.lv = b.lv AND a.i // 3 = b.i // 3 WHERE a.n > 1 GROUP BY 1, 2, 3),
+hi AS (SELECT a.lv, a.i, coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (b.i < a.i), '') AS le, coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (b.i > a.i), '') AS ri
+       FROM u a JOIN u b ON a.lv = b.lv AND a.i // 3 = b.i // 3 WHERE a.n > 1 GROUP BY 1, 2),
+st AS (SELECT p.tree, p.i, lo.lv, lo.le, lo.ri FROM p JOIN lo ON lo.tree = p.tree AND lo.i = p.i // (3 ** lo.lv)::BIGINT
+       UNION ALL SELECT p.tree, p.i, 1000 + hi.lv, hi.le, hi.ri FROM p JOIN s USING (tree) JOIN hi ON hi.i = s.j // (3 ** hi.lv)::BIGINT),
+ls AS (SELECT tree, i, list(struct_pack(le := le, ri := ri) ORDER BY lv) AS steps, string_agg(le || ri, '' ORDER BY lv) AS sib FROM st GROUP BY 1, 2),
+f AS (SELECT tree, i, 1 AS k, claim AS h FROM p UNION ALL
+      SELECT f.tree, f.i, k + 1, sha256(steps[k].le || h || steps[k].ri) FROM f JOIN ls ON ls.tree = f.tree AND ls.i = f.i WHERE k <= len(steps)),
+e AS (SELECT tree, i, arg_max(h, k) AS folded_root FROM f GROUP BY 1, 2)
+SELECT doc_id, leaf, subroot, root, sha256(coalesce(sib, '')) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM p JOIN s USING (tree) JOIN e ON e.tree = p.tree AND e.i = p.i LEFT JOIN ls ON ls.tree = p.tree AND ls.i = p.i, r"""
+
+
+SQL = {"op11_merkle": _merkle(), "op5_secrets": _secrets(), "op6_line_dedup": _LINES, "op8_decontamination": _contamination(), "op10_licenses": _licenses()}

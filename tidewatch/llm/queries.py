@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from . import decontam, html_extract, langid, license_scan, line_dedup, packing, quality, secret_scan, simhash, winnow
+from . import decontam, html_extract, langid, license_scan, line_dedup, merkle, packing, quality, secret_scan, simhash, winnow
 from .common import id_fold, prepare, table
 from .oracle import SQL
 
@@ -87,6 +87,13 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(documents.select(F.expr(DOC_PATH).alias("path"), "text"))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Manifest of all documents; half of them are checked with a copy that has lost its line ends."""
+    tampered = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(2)) == 0
+    claimed = F.when(tampered, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    return merkle.manifest(table(spark, sf_dir, "documents"), claimed)
+
+
 def _prepared(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         prepare(spark)
@@ -97,6 +104,6 @@ def _prepared(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSe
 
 REGISTRY = {fn.__name__: _prepared(fn) for fn in (
     op1_quality, op2_simhash, op3_packing, op4_langid, op5_secrets, op6_line_dedup, op7_html, op8_decontamination,
-    op9_winnowing, op10_licenses)}
+    op9_winnowing, op10_licenses, op11_merkle)}
 
 __all__ = ["REGISTRY", "SQL"]
