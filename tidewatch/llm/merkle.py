@@ -26,6 +26,8 @@ ARITY = 3
 #: levels of a block; a block has at most 3^6 = 729 leaves
 LEVELS = 6
 DIGEST = 32
+#: leaves that take their source's size from one row
+RUN = 1000
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 
 
@@ -222,8 +224,11 @@ def manifest(documents: DataFrame, claimed: Column | None = None, levels: int =
         tree.alias("tree"), F.col("doc_id").cast("long").alias("doc_id"), leaf_digest(columns).alias("digest"),
         leaf_digest(texts).alias("claim"), F.monotonically_increasing_id().alias("_tie")))
     placed = with_ordinal(leaves, ["tree", "doc_id", "digest", "_tie"], "_at")
-    sizes = cut_lineage(placed.groupBy("tree").agg(F.min("_at").alias("_first"), F.count("*").alias("n")))
-    tiers = build(placed.join(sizes, "tree").select(
+    sizes = placed.groupBy("tree").agg(F.min("_at").alias("_first"), F.count("*").alias("n"))
+    # a source's size goes to every run of numbers that the source reaches into, so a hot source is no hot key
+    run = F.sequence(F.expr(f"_first div {RUN}"), F.expr(f"(_first + n - 1) div {RUN}"))
+    sizes = sizes.withColumn("_run", F.explode(run))
+    tiers = build(placed.withColumn("_run", F.expr(f"_at div {RUN}")).join(sizes, ["tree", "_run"]).select(
         "tree", (F.col("_at") - F.col("_first")).alias("idx"), "n", "digest", "doc_id", "claim"), levels)
 
     # the tree over the sources: its leaves are the subroots

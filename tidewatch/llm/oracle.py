@@ -154,4 +154,25 @@ SELECT doc_id, leaf, subroot, root, sha256(coalesce(sib, '')) AS proof_sha256, f
 FROM p JOIN s USING (tree) JOIN e ON e.tree = p.tree AND e.i = p.i LEFT JOIN ls ON ls.tree = p.tree AND ls.i = p.i, r"""
 
 
-SQL = {"op11_merkle": _merkle(), "op5_secrets": _secrets(), "op6_line_dedup": _LINES, "op8_decontamination": _contamination(), "op10_licenses": _licenses()}
+_COLLOCATIONS = r"""
+WITH t AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[.,;:!?\n\x0B\x0C\r]')) AS piece FROM documents),
+p AS (SELECT lang, list_filter(string_split_regex(piece, '[ \t]+'), lambda x: x <> '') AS w FROM t),
+f1 AS (SELECT lang, word, count(*)::HUGEINT AS f FROM (SELECT lang, unnest(w) AS word FROM p) GROUP BY 1, 2),
+f2 AS (SELECT lang, w[i] AS w1, w[i + 1] AS w2, count(*)::HUGEINT AS a FROM (SELECT lang, w, unnest(range(1, len(w))) AS i FROM p) GROUP BY 1, 2, 3),
+f3 AS (SELECT lang, w[i] AS w1, w[i + 1] AS w2, w[i + 2] AS w3, count(*)::HUGEINT AS a
+       FROM (SELECT lang, w, unnest(range(1, len(w) - 1)) AS i FROM p) GROUP BY 1, 2, 3, 4),
+n AS (SELECT lang, sum(f)::BIGINT AS n FROM f1 GROUP BY 1),
+three AS (SELECT c.lang, c.w1, c.w2, c.w3, c.a, x.f AS l1, y.a AS r1, z.a AS l2, u.f AS r2, 1000000 * c.a * c.a // (x.f * y.a) AS s1, 1000000 * c.a * c.a // (z.a * u.f) AS s2
+       FROM f3 c JOIN f1 x ON x.lang = c.lang AND x.word = c.w1 JOIN f1 u ON u.lang = c.lang AND u.word = c.w3
+       JOIN f2 y ON y.lang = c.lang AND y.w1 = c.w2 AND y.w2 = c.w3 JOIN f2 z ON z.lang = c.lang AND z.w1 = c.w1 AND z.w2 = c.w2 WHERE c.a >= 10),
+up AS (SELECT lang, w1, w2, max(a) AS m FROM (SELECT lang, w1, w2, a FROM three UNION ALL SELECT lang, w2, w3, a FROM three) GROUP BY 1, 2, 3),
+two AS (SELECT c.lang, concat(c.w1, ' ', c.w2) AS phrase, c.a, x.f AS l, y.f AS r, 1000000 * c.a * c.a // (x.f * y.f) AS score
+       FROM f2 c JOIN f1 x ON x.lang = c.lang AND x.word = c.w1 JOIN f1 y ON y.lang = c.lang AND y.word = c.w2
+       LEFT JOIN up ON up.lang = c.lang AND up.w1 = c.w1 AND up.w2 = c.w2 WHERE c.a >= 10 AND NOT coalesce(100 * up.m >= 50 * c.a, false)),
+al AS (SELECT * FROM two UNION ALL SELECT lang, concat(w1, ' ', w2, ' ', w3), a, CASE WHEN s1 <= s2 THEN l1 ELSE l2 END, CASE WHEN s1 <= s2 THEN r1 ELSE r2 END, least(s1, s2) FROM three),
+rk AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM al)
+SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score::BIGINT AS score FROM rk JOIN n USING (lang) WHERE rank <= 2000"""
+
+
+SQL = {"op11_merkle": _merkle(), "op12_collocations": _COLLOCATIONS, "op5_secrets": _secrets(), "op6_line_dedup": _LINES, "op8_decontamination": _contamination(), "op10_licenses": _licenses()}

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from . import decontam, html_extract, langid, license_scan, line_dedup, merkle, packing, quality, secret_scan, simhash, winnow
+from . import bpe, collocations, decontam, html_extract, langid, license_scan, line_dedup, merkle, packing, quality, secret_scan, simhash, winnow
 from .common import id_fold, prepare, table
 from .oracle import SQL
 
@@ -94,6 +94,19 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(table(spark, sf_dir, "documents"), claimed)
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document and what they decode to."""
+    import public_tokenizers
+    path = tokenizer_path("byte_bpe_multi_50k.tiktoken")
+    found = bpe.encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+    return found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2("packed", 256).alias("ids_sha256"),
+                        F.sha2(bpe.decode(F.col("ids"), path), 256).alias("decoded_sha256"))
+
+
 def _prepared(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         prepare(spark)
@@ -104,6 +117,7 @@ def _prepared(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSe
 
 REGISTRY = {fn.__name__: _prepared(fn) for fn in (
     op1_quality, op2_simhash, op3_packing, op4_langid, op5_secrets, op6_line_dedup, op7_html, op8_decontamination,
-    op9_winnowing, op10_licenses, op11_merkle)}
+    op9_winnowing, op10_licenses, op11_merkle,
+    op12_collocations, op13_bpe)}
 
 __all__ = ["REGISTRY", "SQL"]
