@@ -1,3 +1,5 @@
+import itertools
+
 import numpy as np
 
 from tidewatch.functions.fdist import f_isf, f_sf, t2_limit
@@ -102,3 +104,104 @@ def test_small_keys_come_back_with_nulls(spark):
     assert len(chart) == 14
     assert all(r.t2 is None and r.t2_limit is None and r.p_value is None for r in chart if r.g == 1)
     assert all(r.t2 is not None for r in chart if r.g == 0)
+
+
+def _estimate(r, p):
+    mean = np.array([r[f"_m{i}"] for i in range(p)])
+    cov = np.array([[r[f"_c{min(i, j)}_{max(i, j)}"] for j in range(p)] for i in range(p)])
+    return mean, cov
+
+
+def _numpy_reweighted(data, pick):
+    """The estimate from a raw support, by its definition."""
+    p = data.shape[1]
+    m, s = data[pick].mean(0), np.cov(data[pick].T, ddof=0).reshape(p, p)
+    d = data - m
+    d2 = np.einsum("ij,jk,ik->i", d, np.linalg.inv(s), d)
+    kept = data[d2 * rb.chi2_isf(0.5, p) / np.median(d2) < rb.chi2_isf(0.025, p)]
+    return len(kept), kept.mean(0), np.cov(kept.T, ddof=0).reshape(p, p)
+
+
+def test_small_keys_equal_the_search_over_all_subsets(spark):
+    rng, rows, expected = np.random.default_rng(5), [], {}
+    for key in range(12):
+        data = np.round(rng.normal(size=(int(rng.integers(8, 13)), 2)) * [3, 0.1] + rng.choice([0, 20], size=(1, 2)), 3)
+        data[:2] += 50
+        h = int(np.ceil((len(data) + 3) / 2))
+        pick = min(itertools.combinations(range(len(data)), h), key=lambda c: np.linalg.det(np.cov(data[list(c)].T, ddof=0)))
+        expected[key] = (np.log(np.linalg.det(np.cov(data[list(pick)].T, ddof=0))), *_numpy_reweighted(data, list(pick)))
+        rows += [(key, float(a), float(b)) for a, b in data]
+    found = rb.min_cov_det(spark.createDataFrame(rows, "g int, a double, b double"), ["a", "b"], ["g"]).collect()
+    assert len(found) == 12
+    for r in found:
+        logdet, n, mean, cov = expected[r.g]
+        got_mean, got_cov = _estimate(r, 2)
+        assert abs(r.raw_logdet - logdet) < 1e-9 and r._n == n and r.converged and r.status == rb.ESTIMATED
+        assert np.allclose(got_mean, mean) and np.allclose(got_cov, cov)
+
+
+def test_degenerate_keys_are_exact_fits_and_spare_the_others(spark):
+    rng = np.random.default_rng(1)
+    zeros = [(0, 0.0, 0.0, 0.0)] * 15 + [(0, *map(float, r)) for r in rng.normal(size=(5, 3))]
+    same = [(1, 2.0, 3.0, 4.0)] * 9
+    plane = [(2, float(a), float(b), float(a + b)) for a, b in rng.normal(size=(30, 2))]
+    good = [(None, *map(float, r)) for r in rng.normal(size=(40, 3))]
+    found = {r.g: r for r in rb.min_cov_det(spark.createDataFrame(zeros + same + plane + good, "g int, a double, b double, c double"),
+                                            ["a", "b", "c"], ["g"]).collect()}
+    assert {g: r.status for g, r in found.items()} == {0: rb.EXACT_FIT, 1: rb.EXACT_FIT, 2: rb.EXACT_FIT, None: rb.ESTIMATED}
+    assert _estimate(found[0], 3)[0].tolist() == [0, 0, 0] and not _estimate(found[0], 3)[1].any()
+    assert _estimate(found[1], 3)[0].tolist() == [2, 3, 4] and found[1].n_support == found[1].h
+    chart = rb.hotelling_t2(spark.createDataFrame(zeros, "g int, a double, b double, c double"), ["a", "b", "c"], ["g"],
+                            center=rb.min_cov_det(spark.createDataFrame(zeros, "g int, a double, b double, c double"), ["a", "b", "c"], ["g"]))
+    assert chart.count() == 20
+
+
+def test_large_keys_by_nested_parts(spark):
+    """Two keys of many parts, a third of their rows one and the same; against concentration from independent starts."""
+    rng, rows, data = np.random.default_rng(3), [], {}
+    for key, n in ((1, 900), (2, 400)):
+        clean = rng.normal(size=(n, 2)) @ np.array([[2.0, 0.5], [0.0, 0.7]])
+        far = rng.normal(loc=15, size=(n // 4, 2))
+        data[key] = np.vstack([clean, far, np.tile(clean[:1], (n // 3, 1))])
+        rows += [(key, float(a), float(b)) for a, b in data[key]]
+    rows += [(3, 7.0, 7.0)] * 300 + [(3, float(a), float(b)) for a, b in rng.normal(size=(220, 2))]
+    rows += [(4, float(a), float(a)) for a in rng.normal(size=400)] + [(4, float(a), float(b)) for a, b in rng.normal(size=(100, 2))]
+    df = spark.createDataFrame(rows, "g int, a double, b double").repartition(5)
+    found = {r.g: r for r in rb.min_cov_det(df, ["a", "b"], ["g"], n_best=3, part_rows=100).collect()}
+    small = {r.g: r for r in rb.min_cov_det(df, ["a", "b"], ["g"], n_best=3, part_rows=10 ** 6).collect()}
+    assert set(found) == {1, 2, 3, 4} and [found[g].status for g in (3, 4)] == [rb.EXACT_FIT] * 2
+    assert _estimate(found[3], 2)[0].tolist() == [7, 7] and found[3].h == found[3].n_support
+    assert found[4].raw_logdet == -np.inf and abs(found[4]._c0_1 - found[4]._c0_0) < 1e-9
+    for key, x in data.items():
+        h, best = _numpy_mcd(x, trials=40)
+        assert found[key].h == found[key].n_support == h and found[key].converged and found[key].status == rb.ESTIMATED
+        # three starts that go on may miss the very lowest of many close minima
+        assert found[key].raw_logdet <= best + 0.01 and small[key].raw_logdet <= best + 0.01
+        if abs(found[key].raw_logdet - small[key].raw_logdet) < 1e-6:  # both have found the same minimum
+            for a, b in zip(_estimate(found[key], 2), _estimate(small[key], 2)):
+                assert np.allclose(a, b, rtol=1e-6)
+            assert found[key]._n == small[key]._n
+
+
+def test_one_series_without_a_key(spark):
+    rng = np.random.default_rng(6)
+    rows = [tuple(map(float, r)) for r in rng.normal(size=(250, 2))]
+    df = spark.createDataFrame(rows, "a double, b double")
+    whole, parts = (rb.min_cov_det(df, ["a", "b"], part_rows=n).first() for n in (300, 60))
+    assert "_all" not in whole.asDict() and abs(whole.raw_logdet - parts.raw_logdet) < 1e-6
+
+
+def test_order_statistic_is_exact(spark):
+    rng = np.random.default_rng(2)
+    values = np.concatenate([rng.normal(size=300) ** 2, np.zeros(40), np.full(25, 0.5), 10.0 ** rng.uniform(-12, 12, 200)])
+    weights = rng.integers(1, 4, len(values))
+    df = spark.createDataFrame([(int(i % 2), float(v), int(w)) for i, (v, w) in enumerate(zip(values, weights))], "g int, v double, w long")
+    for rank in (1, 7, 200, 400):
+        ranks = spark.createDataFrame([(0, rank), (1, rank + 3)], "g int, _rank long")
+        found = [rb.order_statistic(df, ["g"], "v", "w", ranks, last_rows=n).collect() for n in (1, 60, 10 ** 6)]
+        assert sorted(found[0]) == sorted(found[1]) == sorted(found[2]) and len(found[0]) == 2
+        for r in found[0]:
+            own, wt = values[r.g::2], weights[r.g::2]
+            order = np.argsort(own, kind="stable")
+            value = own[order][np.searchsorted(np.cumsum(wt[order]), rank + 3 * r.g)]
+            assert (r.value, r.below, r.equal) == (value, wt[own < value].sum(), wt[own == value].sum())

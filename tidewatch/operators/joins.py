@@ -3,9 +3,9 @@
 * J1/J2: weekly weather joined to the weekly reports on (series key, week label).
 * J3/J6: folded into :func:`tidewatch.operators.aggregates.weekly_resample` (no join).
 * J4: the site x week fan-out as a generator (``explode(sequence)``), not a cross join.
-* J5: exact k-nearest stations with a grid of cells and expanding rings; every
-  round is an equi-join on the cell id, and a site stops expanding once its k-th
-  candidate is closer than anything outside the searched block.
+* J5: exact k-nearest stations with a quadtree whose cells are split where stations are dense; every
+  place goes down the tree with the few cells that can still hold one of its k nearest, so what it
+  looks at depends on k and not on distances.
 """
 
 from __future__ import annotations
@@ -39,84 +39,120 @@ def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colu
     return F.lit(2 * EARTH_RADIUS_KM) * F.asin(F.least(F.lit(1.0), F.sqrt(a)))
 
 
-def _outside_block_km(lat: Column, lon: Column, ci: Column, cj: Column, r: int, cell: float) -> Column:
-    """Lower bound of the distance from (lat, lon) to any point outside the (2r+1)^2 cell block."""
-    south = (ci - r) * cell
-    north = (ci + r + 1) * cell
-    west = (cj - r) * cell
-    east = (cj + r + 1) * cell
-    to_lat = F.least(lat - south, north - lat)
-    to_lon = F.least(lon - west, east - lon)
-    cross = F.asin(F.cos(F.radians(lat)) * F.sin(F.radians(F.least(to_lon, F.lit(90.0)))))
-    return F.lit(EARTH_RADIUS_KM) * F.least(F.radians(to_lat), cross)
+def _wrapped(lon: Column) -> Column:
+    """Longitude in [-180, 180); one that is there already keeps all its digits."""
+    return F.when((lon >= -180.0) & (lon < 180.0), lon).otherwise(F.pmod(lon + 180.0, F.lit(360.0)) - 180.0)
+
+
+def _to_box_km(lat: Column, lon: Column, box: str) -> Column:
+    """Smallest distance from a place to a box of latitudes and longitudes (``<box>_s/_n/_w/_e``), around the globe.
+
+    Beside the box's longitudes the nearest point lies on one of the two meridians that bound it: at the latitude at
+    which the distance along the meridian is smallest, if the box has it, else at an end.
+    """
+    south, north, west, east = (F.col(f"{box}_{c}") for c in "snwe")
+    to_lat = F.greatest(south - lat, lat - north, F.lit(0.0))
+    out = F.when(lon.between(west, east), F.lit(EARTH_RADIUS_KM) * F.radians(to_lat))
+    ways = []
+    for side in (west, east):
+        turn = F.radians(side - lon)
+        foot = F.degrees(F.atan2(F.sin(F.radians(lat)), F.cos(F.radians(lat)) * F.cos(turn)))
+        ways += [haversine_km(lat, lon, end, side) for end in (south, north)]
+        ways.append(F.when(foot.between(south, north), haversine_km(lat, lon, foot, side)))
+    return out.otherwise(F.least(*ways))
+
+
+#: levels of the finest cells (2^30 by 2^30 of them), and levels from a cell to its children
+_DEPTH, _STEP = 30, 2
+_SLACK_KM = 1e-6
+
+
+def station_tree(stations: DataFrame, capacity: int = 64, smallest_deg: float = 0.0) -> tuple[DataFrame, DataFrame]:
+    """Quadtree over ``stations`` (_sid, _slat, _slon): (cells, members).
+
+    cells: level, ci, cj, ``_n`` stations, the box they fill, and ``_split``: cells of more than ``capacity``
+    stations have the 16 cells two levels below as children, unless these would be smaller than ``smallest_deg``.
+    members: each station with the cell without children that it is in. All levels are counted in one
+    aggregation, combined before the shuffle.
+    """
+    last = _DEPTH
+    while last > 0 and smallest_deg and 180.0 / 2 ** last < smallest_deg:
+        last -= _STEP
+    top = 2 ** _DEPTH - 1
+    place = {"_ci": F.greatest(F.lit(0), F.least(F.lit(top), F.floor((F.col("_slat") + 90.0) / 180.0 * 2 ** _DEPTH))),
+             "_cj": F.greatest(F.lit(0), F.least(F.lit(top), F.floor((F.col("_slon") + 180.0) / 360.0 * 2 ** _DEPTH)))}
+    levels = F.explode(F.sequence(F.lit(0), F.lit(last), F.lit(_STEP))).alias("level")
+    at = stations.withColumns(place).select("*", levels).withColumns(
+        {c: F.expr(f"shiftright(cast(_{c} as long), {_DEPTH} - level)") for c in ("ci", "cj")})
+    cells = cut_lineage(at.groupBy("level", "ci", "cj").agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_slat").alias("_b_s"), F.max("_slat").alias("_b_n"),
+        F.min("_slon").alias("_b_w"), F.max("_slon").alias("_b_e"))
+        .withColumn("_split", (F.col("_n") > capacity) & (F.col("level") < last)))
+    split = cells.where("_split").select((F.col("level") + _STEP).alias("level"), F.col("ci").alias("_pi"), F.col("cj").alias("_pj"))
+    up = {"_pi": F.shiftright("ci", _STEP), "_pj": F.shiftright("cj", _STEP)}
+    cells = cut_lineage(cells.withColumns(up).join(split, ["level", "_pi", "_pj"], "left_semi").unionByName(
+        cells.where(F.col("level") == 0).withColumns(up)))
+    ends = cells.where(~F.col("_split")).select("level", "ci", "cj")
+    return cells, at.select("level", "ci", "cj", "_sid", "_slat", "_slon").join(ends, ["level", "ci", "cj"])
 
 
 def nearest_stations(sites: DataFrame, stations: DataFrame, k: int = 5, site_key: str = "localityno",
                      station_key: str = "sourceid", cell_deg: float | None = None,
-                     lat: str = "lat", lon: str = "lon") -> DataFrame:
+                     lat: str = "lat", lon: str = "lon", capacity: int = 64) -> DataFrame:
     """The ``k`` nearest stations of every site, ordered nearest first (ties by station id).
 
-    Output: (site_key, rank 1..k, station_key, distance_km). Exact: a site is
-    settled only when its k-th candidate lies within the distance bound of the
-    searched block, or when the block covers every station cell. Stations without coordinates are
+    Output: (site_key, rank 1..k, station_key, distance_km). Exact. Distances go around the globe: longitudes may be given
+    in any turn, and stations across the 180° meridian are neighbours. Stations without coordinates are
     nobody's neighbours; a site without coordinates, and every site if there is no station, comes back
-    once with null rank, station and distance. Longitudes are taken as given, within one turn: stations
-    across the 180° meridian are not neighbours.
+    once with null rank, station and distance.
+
+    Stations lie in a quadtree whose cells are split while they hold more than ``capacity`` stations (and are larger than
+    ``cell_deg``, if given). All places go down the tree together, one round a level of the tree: the cells that a place
+    still has are replaced by their children; those that together surely hold k stations bound its
+    k-th distance, and cells beyond that bound are left out. Sites at one place are searched once, and of
+    the stations at one place only the k first are kept, so neither makes a cell that can't be split.
     """
-    st = stations.select(F.col(station_key).alias("_sid"), F.col(lat).alias("_slat"), F.col(lon).alias("_slon")) \
-        .where(F.col("_slat").isNotNull() & F.col("_slon").isNotNull())
-    if cell_deg is None:
-        b = st.agg(F.count(F.lit(1)).alias("n"), F.min("_slat"), F.max("_slat"), F.min("_slon"), F.max("_slon")).first()
-        n = max(int(b[0] or 0), 1)
-        area = max(((b[2] or 0) - (b[1] or 0)) * ((b[4] or 0) - (b[3] or 0)), 1e-6)
-        cell_deg = max(math.sqrt(area * max(k, 1) / n), 1e-3)
-    cell = float(cell_deg)
-    st = st.withColumns({"_ci": F.floor(F.col("_slat") / cell), "_cj": F.floor(F.col("_slon") / cell)})
-    ext = st.agg(F.min("_ci"), F.max("_ci"), F.min("_cj"), F.max("_cj")).first()
+    ok = lambda a, b: F.col(a).isNotNull() & F.col(b).isNotNull() & ~F.isnan(a) & ~F.isnan(b)
+    # adding 0 makes -0.0 and 0.0 one value
+    st = stations.select(F.col(station_key).alias("_sid"), F.col(lat).cast("double").alias("_slat"), F.col(lon).cast("double").alias("_slon")) \
+        .where(ok("_slat", "_slon")).withColumns({"_slat": F.col("_slat") + 0.0, "_slon": _wrapped(F.col("_slon")) + 0.0})
+    same_place = Window.partitionBy("_slat", "_slon").orderBy("_sid")
+    st = cut_lineage(st.withColumn("_rank", F.row_number().over(same_place)).where(F.col("_rank") <= k).drop("_rank"))
     nothing = [F.lit(None).cast("int").alias("rank"), F.lit(None).cast(stations.schema[station_key].dataType).alias(station_key),
                F.lit(None).cast("double").alias("distance_km")]
-    if ext[0] is None:
+    if st.isEmpty():
         return sites.select(F.col(site_key), *nothing)
-    unplaced = sites.where(F.col(lat).isNull() | F.col(lon).isNull()).select(F.col(site_key), *nothing)
-
-    pending = sites.select(F.col(site_key).alias("_key"), F.col(lat).alias("_lat"), F.col(lon).alias("_lon")) \
-        .where(F.col("_lat").isNotNull() & F.col("_lon").isNotNull()) \
-        .withColumns({"_ci": F.floor(F.col("_lat") / cell), "_cj": F.floor(F.col("_lon") / cell)})
-    kept = None  # best candidates so far of the pending sites
-    done: list[DataFrame] = []
-    rank_w = Window.partitionBy("_key").orderBy("_dist", "_sid")
-    inner, r = -1, 0  # search radius in cells doubles each round: 0, 1, 2, 4, 8, ...
-    while True:
-        # probe only the annulus inner < max(|di|, |dj|) <= r (cells not searched before)
-        span = F.sequence(F.lit(-r), F.lit(r))
-        probes = pending.select("_key", "_lat", "_lon", "_ci", "_cj", F.explode(span).alias("di")) \
-            .select("*", F.explode(span).alias("dj")) \
-            .where(F.greatest(F.abs("di"), F.abs("dj")) > inner) \
-            .select("_key", "_lat", "_lon", (F.col("_ci") + F.col("di")).alias("_pci"),
-                    (F.col("_cj") + F.col("dj")).alias("_pcj"))
-        cand = probes.join(st, (probes._pci == st._ci) & (probes._pcj == st._cj), "inner") \
-            .select("_key", "_sid", haversine_km(F.col("_lat"), F.col("_lon"), F.col("_slat"), F.col("_slon")).alias("_dist"))
-        pool = cand if kept is None else kept.unionByName(cand)
-        # the candidate join runs once a round; what is settled follows from its checkpoint
-        top = cut_lineage(pool.withColumn("_rank", F.row_number().over(rank_w)).where(F.col("_rank") <= k))
-        bound = pending.select("_key", _outside_block_km(F.col("_lat"), F.col("_lon"), F.col("_ci"), F.col("_cj"), r, cell).alias("_lb"),
-                               ((F.col("_ci") - r <= ext[0]) & (F.col("_ci") + r >= ext[1]) &
-                                (F.col("_cj") - r <= ext[2]) & (F.col("_cj") + r >= ext[3])).alias("_covers"))
-        status = top.groupBy("_key").agg(F.count(F.lit(1)).alias("_n"), F.max("_dist").alias("_kth")) \
-            .join(bound, "_key", "right") \
-            .withColumn("_settled", F.coalesce(F.col("_covers"), F.lit(False)) |
-                        F.coalesce((F.col("_n") >= k) & (F.col("_kth") <= F.col("_lb")), F.lit(False)))
-        status = cut_lineage(status.select("_key", "_settled"))
-        top = top.join(status, "_key")
-        done.append(top.where("_settled").select("_key", "_rank", "_sid", "_dist"))
-        still = status.where(~F.col("_settled")).select("_key")
-        if still.isEmpty():
-            break
-        pending = pending.join(still, "_key", "left_semi")
-        kept = top.where(~F.col("_settled")).select("_key", "_sid", "_dist")
-        inner, r = r, max(1, 2 * r)
-    out = done[0]
-    for d in done[1:]:
-        out = out.unionByName(d)
-    return out.select(F.col("_key").alias(site_key), F.col("_rank").cast("int").alias("rank"),
-                      F.col("_sid").alias(station_key), F.col("_dist").alias("distance_km")).unionByName(unplaced)
+    placed = sites.select(F.col(site_key), F.col(lat).cast("double").alias("_lat"), F.col(lon).cast("double").alias("_lon"))
+    unplaced = placed.where(~ok("_lat", "_lon")).select(F.col(site_key), *nothing)
+    placed = placed.where(ok("_lat", "_lon")).withColumns({"_lat": F.col("_lat") + 0.0, "_lon": _wrapped(F.col("_lon")) + 0.0})
+    cells, members = station_tree(st, capacity, cell_deg or 0.0)
+
+    by = ["_lat", "_lon"]
+    cell = ["level", "ci", "cj"]
+    nearest_first = Window.partitionBy(*by).orderBy("_far", *cell).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    children = cells.select((F.col("level") - _STEP).alias("level"), F.col("_pi").alias("ci"), F.col("_pj").alias("cj"),
+                            F.struct(*cell).alias("_child"), "_n", "_split", *[F.col(f"_b_{c}") for c in "snwe"])
+    root = cells.where(F.col("level") == 0).select("_split").first()[0]
+    left = placed.select(*by).distinct().select(*by, F.lit(0).alias("level"), F.lit(0).cast("long").alias("ci"), F.lit(0).cast("long").alias("cj"),
+                                                F.lit(None).cast("long").alias("_n"), F.lit(None).cast("double").alias("_near"),
+                                                F.lit(None).cast("double").alias("_far"), F.lit(root).alias("_split"))
+    while root:
+        here = [F.col("_lat"), F.col("_lon")]
+        # the farthest point of a box is the one nearest to the place on the other side of the globe
+        antipode = [-F.col("_lat"), _wrapped(F.col("_lon") + 180.0)]
+        opened = left.where("_split").select(*by, *cell).join(children, cell).select(
+            *by, "_child.*", "_n", _to_box_km(*here, "_b").alias("_near"),
+            (F.lit(math.pi * EARTH_RADIUS_KM) - _to_box_km(*antipode, "_b")).alias("_far"), "_split")
+        both = left.where(~F.col("_split")).unionByName(opened)
+        reached = F.sum("_n").over(nearest_first)
+        bound = F.min(F.when(F.col("_reached") >= k, F.col("_far"))).over(Window.partitionBy(*by))
+        left = cut_lineage(both.withColumn("_reached", reached).withColumn("_bound", bound)
+                           .where(F.col("_bound").isNull() | (F.col("_near") <= F.col("_bound") + _SLACK_KM)).drop("_reached", "_bound"))
+        root = not left.where("_split").limit(1).isEmpty()
+    rank = Window.partitionBy(*by).orderBy("_dist", "_sid")
+    found = left.select(*by, *cell).join(members, cell).select(
+        *by, "_sid", haversine_km(F.col("_lat"), F.col("_lon"), F.col("_slat"), F.col("_slon")).alias("_dist")) \
+        .withColumn("_rank", F.row_number().over(rank)).where(F.col("_rank") <= k)
+    return placed.join(found, by).select(
+        site_key, F.col("_rank").cast("int").alias("rank"), F.col("_sid").alias(station_key),
+        F.col("_dist").alias("distance_km")).unionByName(unplaced)

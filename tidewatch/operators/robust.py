@@ -8,13 +8,14 @@ DataFrame jobs:
   ``mapInPandas`` over the one-row-per-key moment table,
 * distances are column expressions after joining that table back.
 
-FAST-MCD (Rousseeuw & Van Driessen, 1999) runs its C-steps for every
-(key, trial) pair at once; each step is an aggregation + join + rank, with the
-lineage cut through the reliable checkpoint folder.
+FAST-MCD (Rousseeuw & Van Driessen, 1999): a key of a few hundred rows is one bounded group of a
+grouped map; larger keys are nested (parts, merged parts, all rows), and their steps over all rows are joins with the
+small table of states and aggregations, with the lineage cut through the reliable checkpoint folder.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Sequence
 
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.fdist import f_isf, f_sf_col
-from ..session import cut_lineage
+from ..session import cut_lineage, stored
 
 
 def _attach(df: DataFrame, small: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -61,11 +62,12 @@ def _inverse_schema(mom: DataFrame, p: int) -> T.StructType:
     return T.StructType(fields)
 
 
-def invert(mom: DataFrame, p: int, pseudo: bool = False) -> DataFrame:
+def invert(mom: DataFrame, p: int, pseudo: bool = False, ridge: float = 0.0) -> DataFrame:
     """Add the inverse ``_i{i}_{j}`` and ``log|S|`` of every key's covariance (batched numpy).
 
     A singular covariance gives a null inverse, or with ``pseudo=True`` its
-    Moore-Penrose pseudo-inverse and ``log|S| = -inf`` (an exact fit, as in C-steps).
+    Moore-Penrose pseudo-inverse and ``log|S| = -inf`` (an exact fit, as in C-steps). With ``ridge`` the
+    inverse of a singular one is that of S plus this part of its size on the diagonal, which tells rows in its plane from others.
     """
     pairs = _pairs(p)
 
@@ -81,15 +83,19 @@ def invert(mom: DataFrame, p: int, pseudo: bool = False) -> DataFrame:
             logdet = np.full(b, np.nan)
             finite = np.isfinite(s).all(axis=(1, 2))
             if finite.any():
-                sign, ld = np.linalg.slogdet(s[finite])
-                good = sign > 0
+                ld = np.array([_logdet(x) for x in s[finite]]) if pseudo else np.linalg.slogdet(s[finite])[1]
+                good = np.isfinite(ld) if pseudo else np.linalg.slogdet(s[finite])[0] > 0
                 idx = np.flatnonzero(finite)[good]
                 if len(idx):
                     inv[idx] = np.linalg.inv(s[idx])
                     logdet[idx] = ld[good]
                 bad = np.flatnonzero(finite)[~good]
                 if pseudo and len(bad):
-                    inv[bad] = np.linalg.pinv(s[bad], hermitian=True)
+                    if ridge:
+                        size = np.trace(s[bad], axis1=1, axis2=2)
+                        inv[bad] = np.linalg.inv(s[bad] + np.where(size > 0, ridge * size, 1.0)[:, None, None] * np.eye(p))
+                    else:
+                        inv[bad] = np.linalg.pinv(s[bad], hermitian=True)
                     logdet[bad] = -np.inf
             out = pdf.copy()
             for i, j in pairs:
@@ -210,95 +216,321 @@ def chi2_isf(q: float, dof: int) -> float:
 # M1: FAST-MCD
 # ---------------------------------------------------------------------------
 
-def _c_step(rows: DataFrame, sel: DataFrame, cols: Sequence[str], keys: Sequence[str], p: int) -> tuple[DataFrame, DataFrame]:
-    """One concentration step for all (key, trial) pairs: moments of the selected rows ->
-    distances of every row -> the h nearest become the new selection.
+ESTIMATED, EXACT_FIT, TOO_FEW = "estimated", "exact fit", "too few rows"
+#: a key's starts are searched exhaustively if there are at most so many subsets
+ALL_SUBSETS = 6000
+#: parts of a large key that are merged for the second phase, and starts that go into it
+MERGED_PARTS, MERGED_STARTS = 5, 50
+#: counting buckets of a round of :func:`order_statistic`
+BUCKETS = 10_000
+#: rows of a key that :func:`order_statistic` puts in order at the end
+LAST_ROWS = 50_000
 
-    The per-(key, trial) inverse table is small and used twice (join + objective), so it is
-    persisted until the new selection and the objective are checkpointed.
+
+def _moments_of(x: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+    """Mean, covariance (divided by the weight) and log determinant (-inf if singular) of weighted rows."""
+    mean = weight @ x / weight.sum()
+    dev = x - mean
+    cov = (dev * weight[:, None]).T @ dev / weight.sum()
+    return mean, cov, _logdet(cov)
+
+
+def _logdet(cov: np.ndarray) -> float:
+    """log |S| by the correlations, so that a rank-deficient S is seen whatever its scale; -inf if singular."""
+    scale = np.sqrt(np.diag(cov))
+    if not (scale > 0).all():
+        return -np.inf
+    sign, value = np.linalg.slogdet(cov / np.outer(scale, scale))
+    return float(value + 2 * np.log(scale).sum()) if sign > 0 and value > -30 else -np.inf
+
+
+def _distances(x: np.ndarray, mean: np.ndarray, cov: np.ndarray) -> np.ndarray:
+    dev = x - mean
+    return np.einsum("ij,jk,ik->i", dev, np.linalg.pinv(cov, hermitian=True), dev)
+
+
+def _nearest(d2: np.ndarray, weight: np.ndarray, h: float) -> np.ndarray:
+    """Weights of the h nearest rows; the last row counts as far as it is needed."""
+    order = np.argsort(d2, kind="stable")
+    before = np.cumsum(weight[order]) - weight[order]
+    taken = np.zeros(len(weight))
+    taken[order] = np.clip(h - before, 0, weight[order])
+    return taken
+
+
+def _steps(x, weight, h, state, steps):
+    """``steps`` concentration steps from (mean, cov, logdet); an exact fit stays. Returns the state and whether it settled."""
+    for _ in range(steps):
+        if state[2] == -np.inf:
+            return state, True
+        old, state = state, _moments_of(x, _nearest(_distances(x, state[0], state[1]), weight, h))
+        if abs(np.exp(state[2]) - np.exp(old[2])) <= 1e-8 + 1e-5 * np.exp(old[2]) and abs(state[2] - old[2]) < 1e-9:
+            return state, True
+    return state, False
+
+
+def _starts(x, weight, h, n_trials, n_best, seed):
+    """Best states of random starts (h rows, or p + 1 rows, in turn) after two steps each."""
+    rng, found = np.random.default_rng(seed), []
+    for trial in range(n_trials):
+        pick = rng.random(len(x))
+        state = _moments_of(x, _nearest(pick, weight, h if trial % 2 == 0 else min(h, x.shape[1] + 1)))
+        if state[2] == -np.inf and trial % 2:  # p + 1 rows need not span the space
+            state = (state[0], np.cov(x.T, aweights=weight, ddof=0).reshape(len(state[0]), -1), 0.0)
+        found.append(_steps(x, weight, h, state, 2)[0])
+    return sorted(found, key=lambda s: s[2])[:n_best]
+
+
+def _every_subset(x, h):
+    """State of the subset of h rows with the smallest determinant."""
+    picks = np.array(list(itertools.combinations(range(len(x)), h)))
+    sub = x[picks]
+    dev = sub - sub.mean(axis=1, keepdims=True)
+    logdets = [_logdet(c) for c in np.einsum("sij,sik->sjk", dev, dev) / h]
+    return _moments_of(x[picks[int(np.argmin(logdets))]], np.ones(h))
+
+
+def _reweighted(x, weight, state, p):
+    """(rows used, mean, covariance, status) of the rows within the 97.5 % distance of the corrected raw estimate."""
+    mean, cov, logdet = state
+    if logdet == -np.inf:
+        return None
+    d2 = _distances(x, mean, cov)
+    order = np.argsort(d2, kind="stable")
+    reached, n = np.cumsum(weight[order]), weight.sum()
+    median = np.mean([d2[order][np.searchsorted(reached, r)] for r in ((n + 1) // 2, n // 2 + 1)])
+    if median <= 0:
+        return None
+    kept = d2 * chi2_isf(0.5, p) / median < chi2_isf(0.025, p)
+    return _moments_of(x[kept], weight[kept])[:2] + (int(weight[kept].sum()),)
+
+
+def _estimate_fields(p: int) -> list[str]:
+    return ["_n long", *[f"_m{i} double" for i in range(p)], *[f"_c{i}_{j} double" for i, j in _pairs(p)],
+            *[f"raw_m{i} double" for i in range(p)], "raw_logdet double", "n_support long", "converged boolean", "status string"]
+
+
+def _state_fields(p: int) -> list[str]:
+    return [*[f"_m{i} double" for i in range(p)], *[f"_c{i}_{j} double" for i, j in _pairs(p)], "_logdet double"]
+
+
+def _state_row(state, p: int) -> list[float]:
+    return [*state[0], *[state[1][i, j] for i, j in _pairs(p)], state[2]]
+
+
+def _sorted_rows(pdf: pd.DataFrame, cols: list[str], weighted: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    pdf = pdf.sort_values(cols)  # the same rows in the same order, however they arrived
+    return pdf[cols].to_numpy(float), pdf["_w"].to_numpy(float) if weighted else np.ones(len(pdf))
+
+
+def _whole_key(cols, by, n_trials, n_best, max_iter, seed):
+    """Estimate of a key whose rows fit one part."""
+    p = len(cols)
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        x, weight = _sorted_rows(pdf, cols)
+        h = int(pdf["_h"].iloc[0])
+        if (weight == 1).all() and math.comb(len(x), h) <= ALL_SUBSETS:
+            state, settled = _every_subset(x, h), True
+        else:
+            ends = [_steps(x, weight, h, s, max_iter) for s in _starts(x, weight, h, n_trials, n_best, seed)]
+            state, settled = min(ends, key=lambda e: e[0][2])
+        final = _reweighted(x, weight, state, p)
+        mean, cov, used = final or (state[0], state[1], h)
+        row = [*pdf[by].iloc[0], used, *mean, *[cov[i, j] for i, j in _pairs(p)], *state[0], state[2], h, settled,
+               ESTIMATED if final else EXACT_FIT]
+        return pd.DataFrame([row], columns=[*by, *[f.split()[0] for f in _estimate_fields(p)]])
+    return run
+
+
+def _part_starts(cols, by, n_trials, n_best, seed):
+    """Best starts of one part of a large key. Equal rows count once: the part is to point to places, and one row that
+    is there very often would be all of it."""
+    p = len(cols)
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        x, weight = _sorted_rows(pdf, cols, weighted=False)
+        h = math.ceil(weight.sum() * pdf["_h"].iloc[0] / pdf["_n"].iloc[0])
+        part = int(pdf["_part"].iloc[0])
+        rows = [[*pdf[by].iloc[0], part * n_best + i, *_state_row(s, p)]
+                for i, s in enumerate(_starts(x, weight, h, n_trials, n_best, seed + part))]
+        return pd.DataFrame(rows, columns=[*by, "_trial", *[f.split()[0] for f in _state_fields(p)]])
+    return run
+
+
+def _merged_starts(cols, by, n_best):
+    """Starts of a large key after two steps on some of its parts together."""
+    p = len(cols)
+
+    def run(rows: pd.DataFrame, starts: pd.DataFrame) -> pd.DataFrame:
+        names = [f.split()[0] for f in _state_fields(p)]
+        if not len(rows) or not len(starts):
+            return pd.DataFrame([], columns=[*by, "_trial", *names])
+        x, weight = _sorted_rows(rows, cols)
+        share = rows["_h"].iloc[0] / rows["_n"].iloc[0]
+        single, counted = [], []
+        for r in starts.sort_values(["_logdet", "_trial"])[names].to_numpy(float):
+            cov = np.zeros((p, p))
+            for (i, j), v in zip(_pairs(p), r[p:-1]):
+                cov[i, j] = cov[j, i] = v
+            single.append(_steps(x, np.ones(len(x)), math.ceil(len(x) * share), (r[:p], cov, r[-1]), 2)[0])
+            counted.append(_steps(x, weight, math.ceil(weight.sum() * share), (r[:p], cov, r[-1]), 2)[0])
+        # with equal rows counted, one that is there often can be most of the merged parts: such a state is of no use
+        found = sorted(single, key=lambda s: s[2])[:n_best - n_best // 2]
+        found += sorted((s for s in counted if s[2] > -np.inf), key=lambda s: s[2])[:n_best // 2]
+        return pd.DataFrame([[*rows[by].iloc[0], i, *_state_row(s, p)] for i, s in enumerate(found)], columns=[*by, "_trial", *names])
+    return run
+
+
+def order_statistic(rows: DataFrame, keys: Sequence[str], value: str, weight: str, rank: DataFrame,
+                    last_rows: int = LAST_ROWS) -> DataFrame:
+    """Exact value at a weighted rank per key: (keys..., value, below, equal), by counting buckets.
+
+    ``rank`` is (keys..., _rank), counted from 1. Each round counts the weight in equal buckets between the bounds that
+    are left and goes on in the bucket of the rank, until that of no key holds more than ``last_rows`` rows (or more than one
+    value); what is left is ordered. ``below`` is the weight before the value, ``equal`` that of the value itself.
+    """
+    keys = list(keys)
+    upto = lambda column: Window.partitionBy(*keys).orderBy(column).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ends = rows.groupBy(*keys).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"), F.count(F.lit(1)).alias("_rows"))
+    state = cut_lineage(rank.join(ends, keys).withColumn("_below", F.lit(0.0)))
+
+    def reached(sums: DataFrame, column: str) -> DataFrame:
+        """The row of each key in which its rank is reached."""
+        summed = sums.withColumn("_upto", F.sum("_equal").over(upto(column))).join(state.select(*keys, "_below", "_rank"), keys)
+        return summed.where((F.col("_below") + F.col("_upto") >= F.col("_rank")) & (F.col("_below") + F.col("_upto") - F.col("_equal") < F.col("_rank"))) \
+            .withColumn("_below", F.col("_below") + F.col("_upto") - F.col("_equal"))
+
+    inside = lambda: rows.join(state.select(*keys, "_lo", "_hi"), keys).where(F.col(value).between(F.col("_lo"), F.col("_hi")))
+    while not state.where((F.col("_lo") < F.col("_hi")) & (F.col("_rows") > last_rows)).limit(1).isEmpty():
+        # a key that is done has one bucket
+        bucket = F.coalesce(F.floor(F.try_divide(F.col(value) - F.col("_lo"), F.col("_hi") - F.col("_lo")) * BUCKETS), F.lit(0))
+        sums = inside().groupBy(*keys, bucket.alias("_bucket")).agg(
+            F.sum(weight).cast("double").alias("_equal"), F.min(value).alias("_lo"), F.max(value).alias("_hi"), F.count(F.lit(1)).alias("_rows"))
+        state = cut_lineage(reached(sums, "_bucket").select(*keys, "_rank", "_lo", "_hi", "_rows", "_below"))
+    sums = inside().groupBy(*keys, F.col(value).alias("value")).agg(F.sum(weight).cast("double").alias("_equal"))
+    return reached(sums, "value").select(*keys, "value", F.col("_below").alias("below"), F.col("_equal").alias("equal"))
+
+
+def _weighted_moments(rows: DataFrame, cols: Sequence[str], keys: Sequence[str], weight: Column) -> DataFrame:
+    """Moments of rows that carry a centre ``_m{i}``: summed around it, so that large means cost no digits."""
+    p = len(cols)
+    dev = [F.col(c) - F.col(f"_m{i}") for i, c in enumerate(cols)]
+    sums = rows.withColumn("_wt", weight).groupBy(*keys).agg(
+        F.sum("_wt").alias("_sw"), *[F.first(f"_m{i}").alias(f"_z{i}") for i in range(p)],
+        *[F.sum(F.col("_wt") * dev[i]).alias(f"_s{i}") for i in range(p)],
+        *[F.sum(F.col("_wt") * dev[i] * dev[j]).alias(f"_s{i}_{j}") for i, j in _pairs(p)])
+    mean = [F.col(f"_s{i}") / F.col("_sw") for i in range(p)]
+    return sums.select(*keys, F.col("_sw").alias("_n"), *[(F.col(f"_z{i}") + mean[i]).alias(f"_m{i}") for i in range(p)],
+                       *[(F.col(f"_s{i}_{j}") / F.col("_sw") - mean[i] * mean[j]).alias(f"_c{i}_{j}") for i, j in _pairs(p)])
+
+
+def _full_step(rows: DataFrame, states: DataFrame, cols: Sequence[str], keys: list[str], by: list[str], first: bool) -> DataFrame:
+    """One concentration step over all rows of the large keys, for every state (keys: by and trial) at once.
+
+    A singular state is an exact fit and stays, but not in the ``first`` step, in which it is only known of a part of the rows.
     """
-    mom = moments(sel, cols, keys, ddof=0)
-    inv = invert(mom, p, pseudo=True).select(*keys, "_logdet", *[f"_m{i}" for i in range(p)],
-                                *[f"_i{i}_{j}" for i, j in _pairs(p)]).persist()
-    # a trial that reached an exact fit (det = 0 for h rows, the minimum) keeps its subset
-    exact = F.col("_logdet") == F.lit(float("-inf"))
-    moving = inv.where(~exact)
-    d = rows.join(moving, list(keys), "inner").withColumn("_d2", quad_form(cols))
-    w = Window.partitionBy(*keys).orderBy("_d2", "_rid")
-    ranked = d.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= F.col("_h"))
-    frozen = sel.join(inv.where(exact).select(*keys), list(keys), "left_semi")
-    new_sel = cut_lineage(ranked.select(*keys, "_rid", *cols).unionByName(frozen.select(*keys, "_rid", *cols)))
-    objective = cut_lineage(inv.select(*keys, "_logdet"))
-    inv.unpersist()
-    return new_sel, objective
+    p = len(cols)
+    known = cut_lineage(invert(states.select(*keys, *[f.split()[0] for f in _state_fields(p)[:-1]]), p, pseudo=True, ridge=1e-9 if first else 0.0))
+    moving = known if first else known.where(F.col("_logdet") > F.lit(float("-inf")))
+    d = rows.join(moving, by).withColumn("_d2", quad_form(cols))
+    last = order_statistic(d.select(*keys, "_d2", "_w"), keys, "_d2", "_w",
+                           moving.select(*keys).join(rows.groupBy(*by).agg(F.first("_h").alias("_rank")), by))
+    taken = F.when(F.col("_d2") < F.col("value"), F.col("_w")).when(
+        F.col("_d2") == F.col("value"), F.col("_w") * (F.col("_h") - F.col("below")) / F.col("equal")).otherwise(0.0)
+    new = invert(_weighted_moments(d.join(last, keys), cols, keys, taken), p, pseudo=True)
+    names = [f.split()[0] for f in _state_fields(p)]
+    if not first:
+        new = new.select(*keys, *names).unionByName(known.where(F.col("_logdet") == F.lit(float("-inf"))).select(*keys, *names))
+    return stored(new.select(*keys, *names))
+
+
+def _large_keys(base: DataFrame, cols: list[str], by: list[str], n_trials: int, n_best: int, max_iter: int, seed: int) -> DataFrame:
+    """Estimates of the keys of several parts: starts in every part, two steps on merged parts, then on all rows."""
+    p, keys = len(cols), [*by, "_trial"]
+    names = [f.split()[0] for f in _state_fields(p)]
+    # a row that is there h times or more is an exact fit by itself
+    heavy = cut_lineage(base.where(F.col("_w") >= F.col("_h")).select(*by, "_h", *cols))
+    base = cut_lineage(base.join(heavy.select(*by), by, "left_anti"))
+    schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema.fields if f.name in by], "_trial long", *_state_fields(p)])
+    best_first = Window.partitionBy(*by).orderBy("_logdet", "_trial")
+    starts = base.groupBy(*by, "_part").applyInPandas(_part_starts(cols, by, max(10, n_trials // MERGED_PARTS), n_best, seed), schema)
+    starts = starts.withColumn("_b", F.row_number().over(best_first)).where(F.col("_b") <= MERGED_STARTS).drop("_b")
+    some = base.where(F.col("_part") < MERGED_PARTS).drop("_part")
+    states = cut_lineage(some.groupBy(*by).cogroup(starts.groupBy(*by)).applyInPandas(_merged_starts(cols, by, n_best), schema))
+    old = None
+    for _ in range(max_iter):
+        states = _full_step(base, states, cols, keys, by, old is None)
+        if old is not None:
+            change = states.join(old.select(*keys, F.col("_logdet").alias("_old")), keys)
+            settled = (F.col("_logdet") == F.col("_old")) | (F.abs(F.col("_logdet") - F.col("_old")) < 1e-9)
+            compared = change.withColumn("converged", settled)
+            if compared.where(~F.col("converged")).limit(1).isEmpty():
+                break
+        else:
+            compared = states.withColumn("converged", F.lit(False))
+        old = states
+    raw = cut_lineage(compared.withColumn("_b", F.row_number().over(best_first)).where(F.col("_b") == 1).select(*by, *names, "converged"))
+    # consistency: the median distance of all rows is the chi-square median
+    inverse = invert(raw.select(*by, *names[:-1]), p, pseudo=True)
+    d = base.join(inverse, by).withColumn("_d2", quad_form(cols))
+    n = base.groupBy(*by).agg(F.first("_n").alias("_n"))
+    middle = [order_statistic(d.select(*by, "_d2", "_w"), by, "_d2", "_w", n.select(*by, F.expr(rank).alias("_rank"))).select(*by, F.col("value").alias(name))
+              for rank, name in (("(_n + 1) div 2", "_a"), ("_n div 2 + 1", "_b"))]
+    median = middle[0].join(middle[1], by).select(*by, ((F.col("_a") + F.col("_b")) / 2).alias("_median"))
+    near = F.try_divide(F.col("_d2") * chi2_isf(0.5, p), F.col("_median")) < chi2_isf(0.025, p)
+    final = _weighted_moments(d.join(median, by).where(near & (F.col("_logdet") > F.lit(float("-inf")))), cols, by, F.col("_w"))
+    raw = raw.join(base.groupBy(*by).agg(F.first("_h").alias("_h")), by)
+    found = raw.join(final.select(*by, *[F.col(c).alias(f"f{c}") for c in ("_n", *names[:-1])]), by, "left")
+    ok = F.col("f_n").isNotNull()
+    single = heavy.select(*by, F.col("_h").cast("long").alias("_n"), *[F.col(c).alias(f"_m{i}") for i, c in enumerate(cols)],
+                          *[F.lit(0.0).alias(f"_c{i}_{j}") for i, j in _pairs(p)], *[F.col(c).alias(f"raw_m{i}") for i, c in enumerate(cols)],
+                          F.lit(float("-inf")).alias("raw_logdet"), F.col("_h").cast("long").alias("n_support"), F.lit(True).alias("converged"),
+                          F.lit(EXACT_FIT).alias("status"))
+    return single.unionByName(found.select(
+        *by, F.when(ok, F.col("f_n")).otherwise(F.col("_h")).cast("long").alias("_n"),
+        *[F.when(ok, F.col(f"f{c}")).otherwise(F.col(c)).alias(c) for c in names[:-1]],
+        *[F.col(f"_m{i}").alias(f"raw_m{i}") for i in range(p)], F.col("_logdet").alias("raw_logdet"),
+        F.col("_h").cast("long").alias("n_support"), "converged", F.when(ok, F.lit(ESTIMATED)).otherwise(F.lit(EXACT_FIT)).alias("status")))
 
 
 def min_cov_det(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), n_trials: int = 30,
-                n_best: int = 10, max_iter: int = 30, seed: int = 0) -> DataFrame:
+                n_best: int = 10, max_iter: int = 30, seed: int = 0, part_rows: int = 300) -> DataFrame:
     """M1: robust location ``_m{i}`` and covariance ``_c{i}_{j}`` per key (reweighted MCD), plus
-    ``_n`` (rows used), raw location ``raw_m{i}``, ``raw_logdet``, ``n_rows``, ``h``, the number of rows of the raw
-    support ``n_support`` (always h) and ``converged``.
-
-    h = ceil((n + p + 1) / 2); ``n_trials`` random h-subsets per key, two C-steps each, the
-    ``n_best`` lowest determinants iterated until none changes or ``max_iter`` steps are done
-    (``converged`` tells which); consistency factor median(d²)/χ²_p(0.5); reweighting with
-    d² < χ²_p(0.975). Rows are told apart by their values and a number among equal ones, so equal rows are drawn
-    independently. A key of at most p rows has no estimate: it is returned with nulls.
+    ``_n`` (rows used), raw location ``raw_m{i}``, ``raw_logdet``, ``n_rows``, ``h``, the weight of the raw
+    support ``n_support`` (always h), ``converged`` and ``status``.
+
+    h = ceil((n + p + 1) / 2). Equal rows are counted together first, so they never make a hot group. Keys of less than two parts of
+    ``part_rows`` different rows are estimated in one task: over all subsets of h rows if these are few, else from
+    ``n_trials`` random starts with two concentration steps each, of which the ``n_best`` go on until the determinant
+    settles (``converged``). Larger keys follow the nested scheme: starts in every part, two steps on merged parts, then
+    steps over all rows as aggregations, with the h-th distance found by counting. Then the
+    consistency factor median(d²)/χ²_p(0.5) and reweighting with d² < χ²_p(0.975).
+
+    A key whose h nearest rows have a singular covariance is an ``exact fit``: it gets their location and
+    covariance. A key of at most p rows has no estimate: it is returned with nulls (``too few rows``).
     """
-    p = len(cols)
-    by = list(by)
-    base = df.select(*by, *cols).dropna(subset=list(cols))
-    equal = Window.partitionBy(*by, *cols).orderBy(F.lit(0))
-    base = base.withColumn("_rid", F.xxhash64(*by, *cols, F.row_number().over(equal)))
-    counts = base.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")) if by else \
-        base.agg(F.count(F.lit(1)).alias("_n"))
-    counts = counts.withColumn("_h", F.ceil((F.col("_n") + p + 1) / 2.0).cast("long"))
-    counts = cut_lineage(counts)
-    base = cut_lineage(_attach(base, counts, by).where(F.col("_n") > p))
-    keys = [*by, "_trial"]
-    trials = F.explode(F.sequence(F.lit(0), F.lit(n_trials - 1))).alias("_trial")
-    rows = cut_lineage(base.select("*", trials))
-    # random h-subsets: hash of (row, trial, seed) ranked within (key, trial)
-    u = F.xxhash64(F.col("_rid"), F.col("_trial"), F.lit(seed))
-    w0 = Window.partitionBy(*keys).orderBy(u, "_rid")
-    sel = cut_lineage(rows.withColumn("_r", F.row_number().over(w0)).where(F.col("_r") <= F.col("_h"))
-                      .select(*keys, "_rid", *cols))
-    obj = None
-    for _ in range(2):
-        sel, obj = _c_step(rows, sel, cols, keys, p)
-    # keep the n_best trials per key with the smallest determinant
-    wb = Window.partitionBy(*by).orderBy(F.col("_logdet").asc_nulls_last(), "_trial") if by else \
-        Window.orderBy(F.col("_logdet").asc_nulls_last(), "_trial")
-    best = cut_lineage(obj.withColumn("_b", F.row_number().over(wb)).where(F.col("_b") <= n_best).select(*keys))
-    rows = cut_lineage(rows.join(best, keys, "left_semi"))
-    sel = sel.join(best, keys, "left_semi")
-    # iterate until every (key, trial) determinant is unchanged within allclose tolerances
-    # (rtol 1e-5, atol 1e-8 on det); exact fits (det = 0) are frozen inside the step
-    prev_obj = obj
-    for _ in range(max_iter):
-        sel, obj = _c_step(rows, sel, cols, keys, p)
-        det_new, det_old = F.exp(F.col("_logdet")), F.exp(F.col("_old"))  # exp(-inf) = 0: exact fit
-        settled = F.abs(det_new - det_old) <= F.lit(1e-8) + F.lit(1e-5) * F.abs(det_old)
-        steps = obj.join(prev_obj.withColumnRenamed("_logdet", "_old"), keys, "inner").withColumn("converged", settled)
-        moved = steps.where(~F.col("converged")).limit(1).count()
-        if moved == 0:
-            break
-        prev_obj = obj
-    win = cut_lineage(steps.withColumn("_b", F.row_number().over(wb)).where(F.col("_b") == 1).select(*keys, "converged"))
-    support = sel.join(win, keys, "left_semi").drop("_trial")
-    raw = moments(support, cols, by, ddof=0)
-    raw = invert(raw, p, pseudo=True)
-    # consistency correction: median of d² over all rows / chi2_p median
-    q50, q975 = chi2_isf(0.5, p), chi2_isf(0.025, p)
-    rawcols = [f"_m{i}" for i in range(p)] + [f"_c{i}_{j}" for i, j in _pairs(p)] + \
-        [f"_i{i}_{j}" for i, j in _pairs(p)]
-    d_all = _attach(base, raw.select(*by, *rawcols), by).withColumn("_d2", quad_form(cols))
-    med = d_all.groupBy(*by).agg(F.median("_d2").alias("_med")) if by else d_all.agg(F.median("_d2").alias("_med"))
-    # corrected covariance = raw * med/q50  ->  corrected d² = raw d² * q50/med
-    flagged = _attach(d_all, med, by) \
-        .withColumn("_keep", F.col("_d2") * F.lit(q50) / F.col("_med") < F.lit(q975))
-    rew = moments(flagged, cols, by, ddof=0, weight=F.col("_keep"))
-    raw_loc = raw.select(*by, *[F.col(f"_m{i}").alias(f"raw_m{i}") for i in range(p)], F.col("_logdet").alias("raw_logdet"),
-                         F.col("_n").alias("n_support"))
-    every = counts.select(*by, F.col("_n").alias("n_rows"), F.col("_h").alias("h"))
-    return _attach(_attach(_attach(every, rew, by), raw_loc, by), win.drop("_trial"), by)
+    p, by, cols = len(cols), list(by), list(cols)
+    keys = by or ["_all"]
+    base = df.select(*by, *[F.col(c).cast("double").alias(c) for c in cols]).dropna(subset=cols)
+    if not by:
+        base = base.withColumn("_all", F.lit(0))
+    base = base.groupBy(*keys, *cols).agg(F.count(F.lit(1)).alias("_w"))
+    base = cut_lineage(base)
+    counts = cut_lineage(base.groupBy(*keys).agg(F.sum("_w").alias("_n"), F.count(F.lit(1)).alias("_different"))
+                         .withColumn("_h", F.ceil((F.col("_n") + p + 1) / 2.0).cast("long"))
+                         .withColumn("_parts", F.greatest(F.lit(1), F.expr(f"_different div {part_rows}"))))
+    # null keys are keys as well
+    same = F.expr(" and ".join(f"l.`{k}` <=> r.`{k}`" for k in keys))
+    joined = base.alias("l").join(counts.alias("r"), same) \
+        .select("l.*", "r._n", "r._h", "r._parts").where(F.col("_n") > p)
+    joined = joined.withColumn("_part", F.pmod(F.xxhash64(*cols, F.lit(seed)), F.col("_parts")))
+    schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema.fields if f.name in keys], *_estimate_fields(p)])
+    found = joined.where(F.col("_parts") == 1).groupBy(*keys).applyInPandas(_whole_key(cols, keys, n_trials, n_best, max_iter, seed), schema)
+    if not counts.where(F.col("_parts") > 1).limit(1).isEmpty():
+        large = cut_lineage(joined.where(F.col("_parts") > 1))
+        found = found.unionByName(_large_keys(large, cols, keys, n_trials, n_best, max_iter, seed))
+    every = counts.select(*keys, F.col("_n").alias("n_rows"), F.col("_h").alias("h"))
+    found = found.withColumnsRenamed({k: f"_k_{k}" for k in keys})
+    out = every.join(found, F.expr(" and ".join(f"`{k}` <=> `_k_{k}`" for k in keys)), "left").drop(*[f"_k_{k}" for k in keys])
+    return out.withColumn("status", F.coalesce("status", F.lit(TOO_FEW))).drop(*([] if by else ["_all"]))

@@ -27,6 +27,7 @@ from ..operators import series as ser
 from ..schemas import COMBINED_METRICS, LICE_COLUMNS, LICE_COUNTS
 from ..schemas import SUMMARY_DOC, THRESHOLDS
 from ..session import cut_lineage, ensure_checkpoint_dir
+from ..sources import commit_log
 from ..sources import files as fs
 from ..sources import supplied as sup
 from . import pipelines as pl
@@ -370,17 +371,18 @@ def q_roster_role_means(spark: SparkSession, d: str) -> DataFrame:
 @register("upsert_reports", ["S8", "S7"])
 def q_upsert_reports(spark: SparkSession, d: str) -> DataFrame:
     """Open orders are re-reported in a second batch with a corrected lice count; per key the
-    newer batch wins and keeps its whole row. The table is published, merged with the batch into a
-    new version, and read back through its pointer."""
+    newer batch wins and keeps its whole row. The table is committed, the batch is merged into the buckets that
+    it touches, and the highest version is read back."""
     fish = sup.fish_table(spark, d)
     existing = fish.select("localityweekid", "localityno", "year", "week", "avgadultfemalelice")
     batch = fish.where(~F.col("isfallow") & F.col("hasila")) \
         .select("localityweekid", "localityno", "year", "week",
                 (F.col("avgadultfemalelice") + F.lit(0.01)).alias("avgadultfemalelice"))
     root = _scratch(spark, "reports")
-    fs.publish(existing, root)
-    fs.publish(fs.upsert(fs.read_published(spark, root), batch, ["localityweekid"]), root)
-    return finish(fs.read_published(spark, root))
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    commit_log.merge(existing, root, ["localityweekid"], buckets)
+    commit_log.merge(batch, root, ["localityweekid"], buckets)
+    return finish(commit_log.read(spark, root))
 
 
 # ---------------------------------------------------------------------------

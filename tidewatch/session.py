@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -103,3 +104,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the reliable checkpoint folder (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written as a table in the shared checkpoint folder and read again.
+
+    A checkpoint keeps the constraints that Spark has found on its columns; in a loop they multiply from
+    round to round and planning takes ever longer. A table has none.
+    """
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

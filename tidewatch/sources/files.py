@@ -2,7 +2,7 @@
 
 * S1-S3 landed JSON documents read with explicit schemas (one scan for all weeks),
 * S5/S6 CSV with header, S7 keyed-table scan, S9 typed full refresh,
-* S8 keyed append = upsert (last write wins), written as a new version folder,
+* S8 keyed append = upsert (last write wins); tables with a commit log: :mod:`.commit_log`,
 * S10 random numeric table.
 
 Network fetching (tokens, REST calls) is not part of the engine: jobs start
@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import DETAIL_DOC, OBSERVATION_DOC, SUMMARY_DOC
+from . import commit_log
 
 
 def read_documents(spark: SparkSession, path: str, schema: T.StructType, multiline: bool = True) -> DataFrame:
@@ -101,17 +102,18 @@ def write_version(df: DataFrame, root: str, partition_by: Sequence[str] = ()) ->
 
 
 def publish(df: DataFrame, root: str, partition_by: Sequence[str] = ()) -> str:
-    """Write a new version and make it the current one: ``root/_current`` names its folder."""
+    """Write a new version and commit it as the whole table (:mod:`.commit_log`); returns its folder."""
     path = write_version(df, root, partition_by)
-    name = df.sparkSession.createDataFrame([(path.rsplit("/", 1)[-1],)], "value string")
-    name.coalesce(1).write.mode("overwrite").text(f"{root.rstrip('/')}/_current")
+    commit_log.replace(df, root, path.rsplit("/", 1)[-1])
     return path
 
 
 def read_published(spark: SparkSession, root: str) -> DataFrame:
-    """The current version of the table at ``root``."""
-    name = spark.read.text(f"{root.rstrip('/')}/_current").first()[0]
-    return spark.read.parquet(f"{root.rstrip('/')}/{name}")
+    """The current version of the table at ``root``; it stays readable whatever is committed meanwhile."""
+    found = commit_log.read(spark, root)
+    if found is None:
+        raise FileNotFoundError(f"no version of {root} has been committed")
+    return found
 
 
 def refresh_table(df: DataFrame, schema: T.StructType, root: str) -> DataFrame:

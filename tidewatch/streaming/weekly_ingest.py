@@ -5,11 +5,10 @@ summary documents landing in a folder are flattened as they arrive (S1 -> P1 ->
 C3 -> P4) and merged into the keyed site-week table with the S8 rule (a row
 with an existing key replaces the old one).
 
-The sink is ``foreachBatch``: every micro-batch ``e`` writes the merged table
-to a new folder ``epoch=<e>`` next to the previous ones (the folder being read
-is never overwritten). A replayed epoch whose folder is already complete is
+The sink is ``foreachBatch``: every micro-batch is merged into a keyed table with a
+commit log (:mod:`tidewatch.sources.commit_log`). A replayed epoch finds itself in the log and is
 skipped, so restarts after executor or driver loss are idempotent. Readers
-take the highest complete epoch (:func:`read_current`).
+take the highest version (:func:`read_current`).
 """
 
 from __future__ import annotations
@@ -21,7 +20,7 @@ from pyspark.sql import types as T
 
 from ..plans.pipelines import year_summary
 from ..schemas import SUMMARY_DOC
-from ..sources.files import upsert
+from ..sources import commit_log
 
 
 def summary_stream(spark: SparkSession, landing: str, schema: T.StructType = SUMMARY_DOC,
@@ -33,45 +32,20 @@ def summary_stream(spark: SparkSession, landing: str, schema: T.StructType = SUM
     return year_summary(reader.json(landing))
 
 
-def _fs(spark: SparkSession, root: str):
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(root)
-    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path, jvm
-
-
-def _complete_epochs(spark: SparkSession, root: str) -> list[int]:
-    fs, path, jvm = _fs(spark, root)
-    if not fs.exists(path):
-        return []
-    out = []
-    for st in fs.listStatus(path):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith("epoch="):
-            if fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-                out.append(int(name.split("=", 1)[1]))
-    return sorted(out)
-
-
 def read_current(spark: SparkSession, root: str) -> DataFrame | None:
-    """The latest complete version of the keyed table (or ``None`` before the first batch)."""
-    epochs = _complete_epochs(spark, root)
-    if not epochs:
-        return None
-    return spark.read.parquet(f"{root.rstrip('/')}/epoch={epochs[-1]:012d}")
+    """The latest version of the keyed table (or ``None`` before the first batch)."""
+    return commit_log.read(spark, root)
+
 
+def upsert_sink(root: str, keys: Sequence[str], buckets: int = 16, bucket_by: Sequence[str] = (), writer: str = "ingest"):
+    """``foreachBatch`` function merging each micro-batch into the keyed table at ``root``.
 
-def upsert_sink(root: str, keys: Sequence[str]):
-    """``foreachBatch`` function merging each micro-batch into the versioned table at ``root``."""
+    The epoch is committed with the rows, so a replayed one changes nothing; only the buckets that a
+    batch touches are rewritten.
+    """
 
     def run(batch: DataFrame, epoch_id: int) -> None:
-        spark = batch.sparkSession
-        done = _complete_epochs(spark, root)
-        if epoch_id in done:  # replay of a finished epoch
-            return
-        prior = [e for e in done if e < epoch_id]
-        current = spark.read.parquet(f"{root.rstrip('/')}/epoch={prior[-1]:012d}") if prior else None
-        merged = upsert(current, batch, keys)
-        merged.write.mode("overwrite").parquet(f"{root.rstrip('/')}/epoch={epoch_id:012d}")
+        commit_log.merge(batch, root, keys, buckets, bucket_by, txn=(writer, epoch_id))
 
     return run
 
