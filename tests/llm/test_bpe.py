@@ -57,12 +57,12 @@ def test_query_equals_tiktoken(spark, plain):
         assert got[r.doc_id].decoded_sha256 == hashlib.sha256((r.text or "").encode()).hexdigest()
 
 
-@pytest.mark.parametrize("chunk_bytes", [1, 1 << 20])
-def test_odd_texts(spark, plain, chunk_bytes):
+@pytest.mark.parametrize("chunk_bytes,task_words", [(1, 1 << 20), (1, 5), (300, 1), (1 << 20, 1 << 20)])
+def test_odd_texts(spark, plain, chunk_bytes, task_words):
     texts = [t for _, t in ODD] + ["a\r\n\tb   c  ", "it's WE'LL 1234 x<|endoftext|>y", "\x00\x7f\u2028\u00a0 x", "日本語 привет \U0001f600\u200d" * 3,
                                     "ab" * 3000, "".join(random.Random(1).choices("abcdefgh", k=5000)), "é" * 127, "é" * 128, "é" * 129, " " * 3000 + "x"]
     docs = documents(spark, list(enumerate(texts)), extra=True).withColumns({c: F.lit(1) for c in ("words", "ids", "keys", "rows", "_t", "_text")})
-    got = bpe.encode(docs, PATH, PATTERN, chunk_bytes=chunk_bytes)
+    got = bpe.encode(docs, PATH, PATTERN, chunk_bytes=chunk_bytes, task_words=task_words)
     rows = got.withColumn("bytes", bpe.decode(F.col("ids"), PATH)).collect()
     assert len(rows) == len(texts)
     for r in rows:

@@ -1,19 +1,21 @@
 """Byte-level BPE: encode texts to token ids by ranked merges, and decode ids to bytes.
 
-Texts are read in chunks of rows. Each chunk's distinct words (matches of the split pattern) become one
-array; Spark higher-order functions fold the ranked merges over the byte arrays of these words, each
-word once a chunk, with the vocabulary as a literal map from bytes to rank. The chunk's ids are then
-the words' ids in the order of the text. Everything is one pass without a shuffle: what a task
-holds is one chunk, and a lost task is only read again.
+Texts are read in chunks of rows. The distinct words (matches of the split pattern) that a chunk brings up for the
+first time in its task become one array; Spark higher-order functions fold the ranked merges over the byte arrays
+of these words, with the vocabulary as a literal map from bytes to rank. The chunk's ids are then the
+words' ids in the order of the text. Everything is one pass without a shuffle: a task holds one chunk and the
+words of the last chunks, up to a bound, and a lost task is only read again.
 
 A literal map is searched from end to end at every access, so the ranks lie in an array of small maps,
-addressed by the CRC-32 of the bytes.
+addressed by the CRC-32 of the bytes. Their keys are the bytes as hexadecimal text, because only JSON makes a
+literal of this size in a moment.
 """
 
 from __future__ import annotations
 
 import base64
 import heapq
+import itertools
 import json
 import zlib
 from collections.abc import Iterator
@@ -24,8 +26,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: bytes of text whose distinct words are encoded together
-CHUNK_BYTES = 32 << 20
+#: bytes of text of a chunk
+CHUNK_BYTES = 4 << 20
+#: words that a task remembers; with more it forgets them and begins anew
+TASK_WORDS = 1 << 20
 #: small maps of the literal
 BUCKETS = 1 << 16
 #: words of more bytes are merged from a heap, which takes n log n steps; the fold takes n squared
@@ -45,12 +49,11 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 def rank_literal(ranks: dict[bytes, int], buckets: int = BUCKETS) -> Column:
-    """The vocabulary as an array of ``buckets`` maps from bytes to rank."""
+    """The vocabulary as an array of ``buckets`` maps from bytes (as hexadecimal text) to rank."""
     maps: list[dict[str, int]] = [{} for _ in range(buckets)]
     for token, rank in ranks.items():
-        maps[zlib.crc32(token) % buckets][token.hex()] = rank
-    return F.transform(F.from_json(F.lit(json.dumps(maps, separators=(",", ":"))), "array<map<string,int>>"),
-                       lambda m: F.transform_keys(m, lambda code, _: F.unhex(code)))
+        maps[zlib.crc32(token) % buckets][token.hex().upper()] = rank
+    return F.from_json(F.lit(json.dumps(maps, separators=(",", ":"))), "array<map<string,int>>")
 
 
 def _fold_sql(buckets: int) -> str:
@@ -62,7 +65,7 @@ def _fold_sql(buckets: int) -> str:
     is in the vocabulary is one id without any merge; an empty one (a place kept for a long word) has no ids.
     """
     def rank(part: str) -> str:
-        return f"coalesce(get(t, int(crc32({part}) % {buckets}))[{part}], {NO_RANK})"
+        return f"coalesce(get(t, int(crc32({part}) % {buckets}))[hex({part})], {NO_RANK})"
 
     def end_after(place: str) -> str:
         """First byte after the part that begins at ``place``."""
@@ -76,9 +79,10 @@ def _fold_sql(buckets: int) -> str:
     with_last = f"if(pv < 1, x, {rank('substring(w, pv, nx - pv)')})"
     merged = f"""named_struct('a', overlay(s.a, '.', mid), 'r', transform(s.r, (x, i) -> case i
         when k - 1 then {with_next} when mid - 1 then {NO_RANK} when pv - 1 then {with_last} else x end))"""
-    step = bind("k", "int(array_position(s.r, array_min(s.r)))", bind("mid", end_after("k"), bind("nx", end_after("mid"), bind(
+    step = bind("k", "int(array_position(s.r, lo))", bind("mid", end_after("k"), bind("nx", end_after("mid"), bind(
         "pv", "k - 1 - length(substring_index(left(s.a, k - 1), 'x', -1))", merged))))
-    fold = f"""aggregate(sequence(2, n), named_struct('a', repeat('x', n), 'r', {first}), (s, j) -> if(array_min(s.r) = {NO_RANK}, s, {step}),
+    round_ = bind("lo", "array_min(s.r)", f"if(lo = {NO_RANK}, s, {step})")
+    fold = f"""aggregate(sequence(2, n), named_struct('a', repeat('x', n), 'r', {first}), (s, j) -> {round_},
         s -> transform(filter(sequence(1, n), i -> substring(s.a, i, 1) = 'x'), i -> {rank(f"substring(w, i, {end_after('i')} - i)")}))"""
     word = bind("whole", rank("w"), f"if(whole < {NO_RANK}, array(whole), {bind('n', 'length(w)', fold)})")
     return f"transform(words, w -> if(length(w) = 0, array(), {word}))"
@@ -119,47 +123,56 @@ def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[word[i:end[i]]] for i in range(n) if not gone[i]]
 
 
-def _split(pattern: str, chunk_bytes: int, columns: list[str]):
-    """Rows -> chunks: the rows' columns as they are, the distinct words, and per row the numbers of its words."""
+def _split(pattern: str, chunk_bytes: int, task_words: int, columns: list[str]):
+    """Rows -> chunks: the rows' columns as they are, the words not seen before, and per row the numbers of its words.
+
+    ``anew`` marks a chunk before which all words were forgotten.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import regex
 
         from .common import text_slices
         find = regex.compile(pattern).findall
+        number: dict[str, int] = {}
         for batch, texts in text_slices(batches, "_text", chunk_bytes):
-            number: dict[str, int] = {}
-            rows = []
+            anew = len(number) >= task_words
+            if anew:
+                number.clear()
+            seen, rows = len(number), []
             for raw in texts:
-                numbers = [number.setdefault(w, len(number)) for w in find(raw.decode())]
-                rows.append(np.array(numbers, "<u4").tobytes())
-            words = [w.encode() for w in number]
+                rows.append(np.array([number.setdefault(w, len(number)) for w in find(raw.decode())], "<u4").tobytes())
+            words = [w.encode() for w in itertools.islice(reversed(number), len(number) - seen)][::-1]
             keys = pa.StructArray.from_arrays([batch.column(batch.schema.get_field_index(c)) for c in columns], columns)
             yield pa.RecordBatch.from_arrays([
                 pa.ListArray.from_arrays([0, len(keys)], keys),
                 pa.array([rows], pa.list_(pa.binary())),
                 pa.array([[b"" if len(w) > FOLD_BYTES else w for w in words]], pa.list_(pa.binary())),
-                pa.array([[w for w in words if len(w) > FOLD_BYTES]], pa.list_(pa.binary()))],
-                ["keys", "rows", "words", "long_words"])
+                pa.array([[w for w in words if len(w) > FOLD_BYTES]], pa.list_(pa.binary())),
+                pa.array([anew])], ["keys", "rows", "words", "long_words", "anew"])
     return run
 
 
 def _join(path: str, columns: list[str]):
-    """Chunks with the ids of their words -> rows with their ids."""
+    """Chunks with the ids of their new words, in the order of their task -> rows with their ids."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = read_ranks(path)
+        nothing = np.zeros(0, np.int32)
+        size, flat = nothing, nothing
         for batch in batches:
             for c in range(batch.num_rows):
                 lists = batch["ids"][c].values
-                long_words = iter(batch["long_words"][c].as_py())
-                size = np.diff(lists.offsets.to_numpy())
-                flat = lists.flatten().to_numpy(zero_copy_only=False).astype("<u4")
-                missing = np.flatnonzero(np.array(pa.compute.list_value_length(lists).to_numpy(zero_copy_only=False)) == 0)
+                new_size = np.diff(lists.offsets.to_numpy())
+                new = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int32)
+                missing = np.flatnonzero(new_size == 0)
                 if len(missing):  # words longer than the fold takes, in the order of the words
-                    parts = np.split(flat, np.cumsum(size)[:-1])
-                    for w in missing:
-                        parts[w] = np.array(merge_long(next(long_words), ranks), "<u4")
-                    size, flat = np.array([len(p) for p in parts]), np.concatenate(parts)
-                start = np.cumsum(size) - size
+                    parts = np.split(new, np.cumsum(new_size)[:-1])
+                    for w, word in zip(missing, batch["long_words"][c].as_py()):
+                        parts[w] = np.array(merge_long(word, ranks), np.int32)
+                    new_size, new = np.array([len(p) for p in parts], np.int32), np.concatenate(parts)
+                if batch["anew"][c].as_py():
+                    size, flat = nothing, nothing
+                size, flat = np.concatenate([size, new_size]), np.concatenate([flat, new])
+                start = np.cumsum(size, dtype=np.int64) - size
                 keys = batch["keys"][c].values
                 rows = batch["rows"][c].values
                 at = 0
@@ -168,8 +181,8 @@ def _join(path: str, columns: list[str]):
                     while at < len(rows) and (total < 1 << 20 or at == first):
                         word = np.frombuffer(rows[at].as_buffer(), "<u4")
                         n = size[word]
-                        where = np.repeat(start[word] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-                        ids.append(flat[where].astype(np.int32))
+                        where = np.repeat(start[word] - (np.cumsum(n, dtype=np.int64) - n), n) + np.arange(n.sum())
+                        ids.append(flat[where])
                         total += len(where)
                         at += 1
                     offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
@@ -181,7 +194,7 @@ def _join(path: str, columns: list[str]):
 
 
 def encode(documents: DataFrame, path: str, pattern: str, keep: list[str] | None = None,
-           chunk_bytes: int = CHUNK_BYTES, buckets: int = BUCKETS) -> DataFrame:
+           chunk_bytes: int = CHUNK_BYTES, buckets: int = BUCKETS, task_words: int = TASK_WORDS) -> DataFrame:
     """``documents``' columns ``keep`` (by default doc_id), ``ids``, the token ids of the whole text, and ``packed``, the
     same as little-endian unsigned 32-bit integers.
 
@@ -195,8 +208,8 @@ def encode(documents: DataFrame, path: str, pattern: str, keep: list[str] | None
     keep = keep or ["doc_id"]
     kept = documents.select(*keep, F.col("text").cast("string").alias("_text"))
     inside = ", ".join(f"`{f.name}`: {f.dataType.simpleString()}" for f in kept.schema.fields[:-1])
-    chunks = kept.mapInArrow(_split(pattern, chunk_bytes, keep),
-                             f"keys array<struct<{inside}>>, rows array<binary>, words array<binary>, long_words array<binary>")
+    chunks = kept.mapInArrow(_split(pattern, chunk_bytes, task_words, keep),
+                             f"keys array<struct<{inside}>>, rows array<binary>, words array<binary>, long_words array<binary>, anew boolean")
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields[:-1])
     return encode_words(chunks, read_ranks(path), buckets).mapInArrow(_join(path, keep), f"{columns}, ids array<int>, packed binary")
 
