@@ -71,3 +71,57 @@ def test_gappy_and_tiny_series_are_answered(spark):
     assert all(got[(2, t)] is None for t in terms)
     check = {r.k: r for r in ax.normal_equations(df, "y", ["x1", "x2"], ["k"], ["t"]).collect()}
     assert check[1].moment < 1e-9 and check[2].moment is None
+
+
+def _css(dy, x, starts, params):
+    """Sum of squares by the recursion, row by row."""
+    *coef, phi, theta = params
+    total = w1 = e1 = 0.0
+    for t in range(len(dy)):
+        w = dy[t] - x[t] @ coef
+        if t in starts:
+            w1 = e1 = 0.0
+        e = w - phi * w1 - theta * e1
+        total, w1, e1 = total + e * e, w, e
+    return total
+
+
+def test_innovations_and_derivatives_follow_the_recursion():
+    rng = np.random.default_rng(3)
+    dy, x = rng.normal(size=150), np.column_stack([np.ones(150), rng.normal(size=(150, 2))])
+    starts, params = np.array([0, 40, 41, 110]), np.array([0.1, -0.4, 0.7, 0.6, -0.8])
+    eps, jac = ax._innovations(dy, x, starts, params)
+    assert abs(eps @ eps - _css(dy, x, set(starts), params)) < 1e-9
+    for i in range(5):
+        up, down = params.copy(), params.copy()
+        up[i] += 1e-6
+        down[i] -= 1e-6
+        slope = (_css(dy, x, set(starts), up) - _css(dy, x, set(starts), down)) / 2e-6
+        assert abs(slope - 2 * jac[:, i] @ eps) < 1e-4 * (1 + abs(slope))
+
+
+def test_likelihood_fit_has_no_score_and_beats_two_stages(spark):
+    rows = _gappy() + [(2, t, *r[2:]) for t, r in enumerate(_gappy(320))] + [(3, 0, 1.0, 2.0, 3.0), (3, 1, 2.0, 1.0, 0.0)]
+    df = spark.createDataFrame(rows, "k int, t int, y double, x1 double, x2 double")
+    args = (df, "y", ["x1", "x2"], ["k"], ["t"])
+    series, checks = ax.innovation_series(*args)
+    found = {r.k: r for r in checks.collect()}
+    _, fit = ax.arimax_fit(*args)
+    _, start = ax.innovation_series(*args, method=ax.TWO_STAGE)
+    fit, start = ({r.k: r for r in f.collect()} for f in (fit, start))
+    for k in (1, 2):
+        assert found[k].status == ax.FITTED and found[k].score < 1e-4
+        assert abs(found[k].css / found[k].nobs - fit[k].sigma2) < 1e-9 * fit[k].sigma2
+        assert found[k].css <= start[k].css * (1 + 1e-12) and fit[k].nobs == start[k].nobs
+    assert found[3].css is None and found[3].status == ax.TOO_FEW
+    assert series.where("k = 1").count() == found[1].nobs
+
+
+def test_confidence_limits_and_sigma2(spark):
+    df = spark.createDataFrame(_gappy(), "k int, t int, y double, x1 double, x2 double")
+    coefs, fit = ax.arimax_fit(df, "y", ["x1", "x2"], ["k"], ["t"], confidence=0.95)
+    n, s2 = fit.first().nobs, fit.first().sigma2
+    for r in coefs.collect():
+        assert abs(r.ci_high - r.coef - 1.959963984540054 * r.std_err) < 1e-9 and abs(r.coef - r.ci_low - 1.959963984540054 * r.std_err) < 1e-9
+        if r.term == "sigma2":
+            assert abs(r.coef - s2) < 1e-12 and abs(r.std_err - s2 * np.sqrt(2 / n)) < 1e-12

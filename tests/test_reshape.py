@@ -2,6 +2,8 @@ import datetime as dt
 import json
 
 
+import pytest
+
 from tidewatch.operators import reshape as rs
 from tidewatch.plans import pipelines as pl
 from tidewatch.schemas import DETAIL_DOC, OBSERVATION_DOC, SUMMARY_DOC
@@ -68,3 +70,14 @@ def test_union_by_name(spark):
     b = spark.createDataFrame([(2, "y")], "x int, z string")
     out = rs.union_by_name([a, b]).orderBy("x").collect()
     assert [(r.x, r.z) for r in out] == [(1, None), (2, "y")]
+
+
+def test_pivot_of_a_duplicate_cell_raises(spark):
+    rows = [("d1", "e", 1.0), ("d1", "f", 2.0), ("d2", "e", None)]
+    df = spark.createDataFrame(rows, "k string, elementid string, value double")
+    got = {r.k: (r.e, r.f) for r in rs.pivot_first(df, ["k"], "elementid", ["e", "f"]).collect()}
+    assert got == {"d1": (1.0, 2.0), "d2": (None, None)}
+    for again in (("d2", "e", None), ("d1", "f", 2.0)):
+        twice = df.unionByName(spark.createDataFrame([again], df.schema))
+        with pytest.raises(Exception, match="duplicate entries for elementid"):
+            rs.pivot_first(twice, ["k"], "elementid", ["e", "f"]).collect()

@@ -2,6 +2,8 @@ import datetime as dt
 
 import numpy as np
 
+import pytest
+
 from tidewatch.operators import series as ser
 
 
@@ -98,3 +100,11 @@ def test_highlight_frame(spark):
     df = spark.createDataFrame([(i,) for i in range(20)], "i int")
     got = [r.i for r in ser.highlight_frame(df, 10, 5, [], ["i"]).where("in_frame").collect()]
     assert sorted(got) == [8, 9, 10, 11]
+
+
+def test_densify_of_a_repeated_time_raises(spark):
+    rows = [(1, dt.datetime(2020, 1, 5)), (2, dt.datetime(2020, 1, 5)), (1, dt.datetime(2020, 1, 19))]
+    df = spark.createDataFrame(rows, "k int, t timestamp")
+    assert ser.densify_weekly(df, "t", ["k"]).count() == 4
+    with pytest.raises(Exception, match="duplicate t"):
+        ser.densify_weekly(df, "t").collect()

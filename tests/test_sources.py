@@ -101,3 +101,22 @@ def test_list_text_of_csv_cells(spark):
     cells = ["['Laks', 'Ørret']", '["Laks"]', "[]", None, "Laks"]
     df = spark.createDataFrame([(c,) for c in cells], "c string")
     assert [r[0] for r in df.select(fs.parse_list_text(F.col("c"))).collect()] == [["Laks", "Ørret"], ["Laks"], [], None, []]
+
+
+def test_broken_documents_go_to_quarantine(spark, scratch):
+    texts = ['{"year": 2020, "week": 3, "localities": []}', '{"year": 2020, "week": 3, "loc', '{"week": 4}', '{"year": "soon", "week": 5}',
+             "no json at all", '{"year": 2021, "week": 1, "localities": [{"localityNo": "seven"}]}', '{"year": 2022, "week": 2, "other": 1}']
+    path = fs.land(spark.createDataFrame([(t, k % 2) for k, t in enumerate(texts)], "json string, part int"), scratch, ["part"])
+    good, rejected = fs.split_documents(spark, path, wi.SUMMARY_DOC, ["year", "week"])
+    assert {(r.year, r.week, r.part) for r in good.collect()} == {(2020, 3, 0), (2022, 2, 0)}
+    got = {r.record: r.reason for r in rejected.collect()}
+    assert len(got) == 5 and got[texts[1]] == got[texts[3]] == got[texts[4]] == got[texts[5]] == fs.BROKEN
+    assert [v for k, v in got.items() if v != fs.BROKEN] == ["without year"]
+    assert all("landed-" in r.file for r in rejected.collect())
+
+
+def test_newest_document_of_a_week(spark):
+    rows = [(2020, 1, 0, "first"), (2020, 1, 2, "third"), (2020, 1, 1, "second"), (2020, 2, 0, "a"), (2020, 2, 0, "b"), (None, 2, 0, "x")]
+    df = spark.createDataFrame(rows, "year int, week int, fetch int, body string").repartition(3)
+    got = {(r.year, r.week): r.body for r in fs.newest_documents(df, ["year", "week"], ["fetch"]).collect()}
+    assert got == {(2020, 1): "third", (2020, 2): "b", (None, 2): "x"}

@@ -106,7 +106,7 @@ def pivot_first(df: DataFrame, keys: Sequence[str], pivot_col: str, values: Sequ
 
     For each pivot value the cell is the ``value_col`` of the row with the
     smallest ``order_cols`` tuple (the "keep first after sorting" rule); with no
-    ``order_cols`` the key must be unique and any row is taken.
+    ``order_cols`` a second row of a cell is an error, found by the same aggregation.
     """
     names = names or {}
     aggs: list[Column] = []
@@ -115,7 +115,9 @@ def pivot_first(df: DataFrame, keys: Sequence[str], pivot_col: str, values: Sequ
         if order_cols:
             cell = F.min_by(F.col(value_col), F.when(is_v, F.struct(*[F.col(c) for c in order_cols])))
         else:
-            cell = F.first(F.when(is_v, F.col(value_col)), ignorenulls=True)
+            only = F.first(F.when(is_v, F.col(value_col)), ignorenulls=True)
+            twice = F.raise_error(F.concat(F.lit(f"duplicate entries for {pivot_col} {v} of "), F.to_json(F.struct(*keys))))
+            cell = F.when(F.count_if(is_v) > 1, twice).otherwise(only)
         aggs.append(cell.alias(str(names.get(v, v))))
     return df.groupBy(*keys).agg(*aggs)
 

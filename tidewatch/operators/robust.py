@@ -6,6 +6,7 @@ DataFrame jobs:
 * moments per key are one grouped aggregation (partial aggregation, no row gathering),
 * the p x p inverses of all keys are computed batch-wise with numpy inside
   ``mapInPandas`` over the one-row-per-key moment table,
+* the tail and the quantile of F are column functions (:mod:`tidewatch.functions.tails`),
 * distances are column expressions after joining that table back.
 
 FAST-MCD (Rousseeuw & Van Driessen, 1999): a key of a few hundred rows is one bounded group of a
@@ -25,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.fdist import f_isf, f_sf_col
+from ..functions import tails
 from ..session import cut_lineage, stored
 
 
@@ -118,19 +119,6 @@ def quad_form(cols: Sequence[str], prefix_m: str = "_m", prefix_i: str = "_i") -
     return total
 
 
-def _limit_udf(alpha: float, p: int):
-    @F.pandas_udf(T.DoubleType())
-    def lim(n: pd.Series) -> pd.Series:
-        cache: dict[float, float] = {}
-        out = []
-        for v in n.to_numpy(dtype=float, na_value=np.nan):
-            if v not in cache:
-                cache[v] = (f_isf(alpha, p, v - p) * p * (v - 1) / (v - p)) if v == v and v > p else float("nan")
-            out.append(cache[v])
-        return pd.Series(out)
-    return lim
-
-
 def hotelling_t2(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), center: DataFrame | None = None,
                  n: int | None = None, alpha: float = 0.01) -> DataFrame:
     """M2 + M3: T² per row, F = (n-p)/(p(n-1))·T², P = upper tail of F(p, n-p),
@@ -150,13 +138,18 @@ def hotelling_t2(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), cen
         inv = invert(center.select(*by, *[f"_m{i}" for i in range(p)], *[f"_c{i}_{j}" for i, j in _pairs(p)]), p)
         inv = _attach(inv, complete.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")), by)
     n_col = F.lit(float(n)) if n is not None else F.col("_n").cast("double")
-    inv = inv.withColumn("_nn", n_col).withColumn("t2_limit", _limit_udf(alpha, p)(F.col("_nn")))
+    inv = inv.withColumn("_nn", n_col)
+    # the quantile is searched once for every number of rows that occurs
+    dof = F.col("_nn") - p
+    limit = tails.f_isf(alpha, F.lit(float(p)), dof) * p * (F.col("_nn") - 1) / dof
+    limits = cut_lineage(inv.select("_nn").where(dof > 1).distinct()).withColumn("t2_limit", limit)
+    inv = inv.join(limits, "_nn", "left")
     keep = [f"_m{i}" for i in range(p)] + [f"_i{i}_{j}" for i, j in _pairs(p)] + ["_nn", "t2_limit"]
     joined = _attach(complete, inv.select(*by, *keep), by)
     enough = F.col("_nn") > p + 1
     out = joined.withColumn("t2", F.when(enough, quad_form(cols))).withColumn("t2_limit", F.when(enough, F.col("t2_limit")))
     out = out.withColumn("f_stat", F.when(enough, F.col("_nn") - p) / (F.lit(float(p)) * (F.col("_nn") - 1)) * F.col("t2"))
-    out = out.withColumn("p_value", f_sf_col(F.col("f_stat"), F.lit(float(p)), F.col("_nn") - p))
+    out = out.withColumn("p_value", tails.f_sf(F.col("f_stat"), F.lit(float(p)), F.col("_nn") - p))
     out = out.withColumn("t2_exceeds", F.col("t2") > F.col("t2_limit")) \
         .withColumn("p_exceeds", F.col("p_value") < F.lit(alpha))
     return out.drop(*keep[:-1])
@@ -330,8 +323,8 @@ def _whole_key(cols, by, n_trials, n_best, max_iter, seed):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         x, weight = _sorted_rows(pdf, cols)
         h = int(pdf["_h"].iloc[0])
-        if (weight == 1).all() and math.comb(len(x), h) <= ALL_SUBSETS:
-            state, settled = _every_subset(x, h), True
+        if math.comb(int(weight.sum()), h) <= ALL_SUBSETS:
+            state, settled = _every_subset(np.repeat(x, weight.astype(int), axis=0), h), True
         else:
             ends = [_steps(x, weight, h, s, max_iter) for s in _starts(x, weight, h, n_trials, n_best, seed)]
             state, settled = min(ends, key=lambda e: e[0][2])

@@ -90,12 +90,14 @@ def densify_weekly(df: DataFrame, ts_col: str, by: Sequence[str] = ()) -> DataFr
 
     One window pass, no self-join: every row keeps itself when it sits on the
     Sunday-midnight grid and emits the grid Sundays strictly between its own
-    time and the next row's time as all-null rows.
+    time and the next row's time as all-null rows. Two rows of a series with one time are an
+    error, seen by the same window.
     """
     w = _w(by, [ts_col])
     ts = F.col(ts_col)
     df = df.withColumn("_next", F.lead(ts_col, 1).over(w))
-    nxt = F.col("_next")
+    twice = F.raise_error(F.concat(F.lit(f"duplicate {ts_col}: "), ts.cast("string")))
+    nxt = F.when(F.col("_next") == ts, twice).otherwise(F.col("_next"))
     sunday = cal.week_ending_timestamp(ts)
     first_after = F.when(sunday > ts, sunday).otherwise(sunday + F.expr("INTERVAL 7 DAYS"))
     gaps = F.when(nxt.isNotNull() & (first_after < nxt),

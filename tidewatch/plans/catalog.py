@@ -10,7 +10,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,6 +19,7 @@ from ..functions import scalar as scl
 from ..operators import aggregates as agg
 from ..operators import arimax as ax
 from ..operators import dedup as dd
+from ..operators import diagnostics as dg
 from ..operators import filters as flt
 from ..operators import joins as jn
 from ..operators import reshape as rs
@@ -137,6 +138,36 @@ def q_summary_flatten(spark: SparkSession, d: str) -> DataFrame:
     return finish(pl.year_summary(fs.read_summaries(spark, path, multiline=False)))
 
 
+#: summary documents by page, as they are landed for the quarantine
+PAGED_DOC = T.StructType([SUMMARY_DOC["year"], SUMMARY_DOC["week"], T.StructField("page", T.LongType()), T.StructField(
+    "localities", T.ArrayType(T.StructType([T.StructField("localityNo", T.LongType()), T.StructField("localityWeekId", T.LongType())])))])
+
+
+@register("documents_quarantine", ["S1", "S2", "S3"])
+def q_documents_quarantine(spark: SparkSession, d: str) -> DataFrame:
+    """Summary documents fetched again and again: a second fetch has fewer localities, a third is cut off, a fourth lacks its
+    year, a fifth has a word for it. What can't be read is counted by its reason; of the rest the newest
+    of each page is kept and counted by week."""
+    fish = sup.fish_table(spark, d)
+    page = F.floor(F.col("localityweekid") / 1000).alias("page")
+    place = F.struct(F.col("localityno").alias("localityNo"), F.col("localityweekid").alias("localityWeekId"))
+    docs = fish.groupBy("year", "week", page).agg(F.collect_list(place).alias("localities"))
+    odd = F.filter("localities", lambda x: x["localityWeekId"] % 2 == 1)
+    fields = ["week", "page", "localities"]
+    whole = F.to_json(F.struct("year", *fields))
+    fetches = [(F.lit(True), whole), (F.col("week") % 5 == 0, F.to_json(F.struct("year", "week", "page", odd.alias("localities")))),
+               (F.col("week") % 7 == 0, F.substring(whole, 1, 30)), (F.col("week") % 11 == 0, F.to_json(F.struct(*fields))),
+               (F.col("week") % 13 == 0, F.to_json(F.struct(F.lit("soon").alias("year"), *fields)))]
+    every = F.explode(F.array(*[F.when(when, F.struct(F.lit(k).alias("fetch"), text.alias("json"))) for k, (when, text) in enumerate(fetches)])).alias("_f")
+    path = fs.land(docs.select(every).where("_f is not null").select("_f.*"), ensure_checkpoint_dir(spark), ["fetch"])
+    good, rejected = fs.split_documents(spark, path, PAGED_DOC, ["year", "week"])
+    kept = fs.newest_documents(good, ["year", "week", "page"], ["fetch"])
+    by_week = kept.groupBy("year", "week").agg(F.count(F.lit(1)).alias("documents"), F.sum(F.size("localities")).alias("localities"))
+    by_reason = rejected.groupBy("reason").agg(F.count(F.lit(1)).alias("documents"))
+    return by_week.select(F.lit("kept").alias("reason"), "year", "week", "documents", "localities").unionByName(
+        by_reason.select("reason", "documents"), allowMissingColumns=True)
+
+
 @register("detail_extract", ["S2", "P2", "P4"])
 def q_detail_extract(spark: SparkSession, d: str) -> DataFrame:
     rep = sup.lice_reports(spark, d)
@@ -488,6 +519,25 @@ def q_control_chart(spark: SparkSession, d: str) -> DataFrame:
                                "t2_exceeds", "p_exceeds"))
 
 
+@register("classical_chart", ["M2", "M3"])
+def q_classical_chart(spark: SparkSession, d: str) -> DataFrame:
+    """Control chart around the classical estimates: T², F, its tail, the limit and both flags."""
+    chart = rb.hotelling_t2(cut_lineage(_chartable(spark, d)), CHART_COLUMNS, BY_MUN, alpha=0.0027)
+    return finish(chart.select("municipalityno", "year_week", "t2", "f_stat", "p_value", "t2_limit", "t2_exceeds", "p_exceeds"))
+
+
+@register("robust_quarters", ["M1"])
+def q_robust_quarters(spark: SparkSession, d: str) -> DataFrame:
+    """M1 per municipality and quarter: keys so small that all subsets are searched, so the estimate is the exact one."""
+    cols = ["avgadultfemalelice", "seatemperature"]
+    rows = lice_table(spark, d).select("municipalityno", "year", F.expr("(week - 1) div 13").cast("int").alias("quarter"), *cols)
+    found = rb.min_cov_det(rows, cols, ["municipalityno", "year", "quarter"])
+    names = {"n_used": "_n", "m0": "_m0", "m1": "_m1", "c00": "_c0_0", "c01": "_c0_1", "c11": "_c1_1"}
+    # which rows an exact fit takes is open, as is the place of the raw estimate if subsets tie
+    return finish(found.select("municipalityno", "year", "quarter", "n_rows", "h", F.exp("raw_logdet").alias("raw_det"), "status",
+                               *[F.when(F.col("status") == rb.ESTIMATED, F.col(c)).alias(name) for name, c in names.items()]))
+
+
 @register("robust_support", ["M1"])
 def q_robust_support(spark: SparkSession, d: str) -> DataFrame:
     """M1 invariants per municipality: rows, h, the support's size, and whether the search converged."""
@@ -544,13 +594,44 @@ def q_arimax_equations(spark: SparkSession, d: str) -> DataFrame:
     return finish(found.withColumn("moment", F.when(F.col("nobs") >= 2 * F.col("n_terms"), F.col("moment"))))
 
 
+@register("arimax_score", ["M4"])
+def q_arimax_score(spark: SparkSession, d: str) -> DataFrame:
+    """Check of the M4 likelihood fit by a fold written apart from it: rows, and where there are two for each term, whether
+    the score vanishes and whether the likelihood is at least that at the two-stage estimate."""
+    panel = cut_lineage(weekly_panel_dense(spark, d))
+    args = (panel, "seatemperature", M4_REGRESSORS, BY_MUN, ["referencetime"])
+    _, checks = ax.innovation_series(*args)
+    _, start = ax.innovation_series(*args, method=ax.TWO_STAGE)
+    both = checks.join(start.select(*BY_MUN, F.col("css").alias("start")), BY_MUN)
+    enough = F.col("nobs") >= 2 * (len(M4_REGRESSORS) + 3)
+    return both.select(*BY_MUN, "nobs", F.when(enough, F.col("score") < 1e-4).alias("score_is_zero"),
+                       F.when(enough, F.col("css") <= F.col("start") * (1 + 1e-9)).alias("not_below_two_stage"))
+
+
+@register("arimax_report", ["M4", "M7", "E5"])
+def q_arimax_report(spark: SparkSession, d: str) -> DataFrame:
+    """Residual part of the M4 report: diagnostics of the fit's innovations."""
+    panel = cut_lineage(weekly_panel_dense(spark, d))
+    series, _ = ax.innovation_series(panel, "seatemperature", M4_REGRESSORS, BY_MUN, ["referencetime"])
+    return finish(dg.residual_diagnostics(series, "innovation", BY_MUN, ["referencetime"], lags=1))
+
+
+@register("series_diagnostics", ["M7"])
+def q_series_diagnostics(spark: SparkSession, d: str) -> DataFrame:
+    """M7 statistics of the weekly changes of the sea temperature, with four lags."""
+    lice = lice_table(spark, d).select("municipalityno", "year", "week", "seatemperature").dropna(subset=["seatemperature"])
+    by_week = Window.partitionBy("municipalityno").orderBy("year", "week", "seatemperature")
+    change = lice.withColumn("change", F.col("seatemperature") - F.lag("seatemperature").over(by_week))
+    return finish(dg.residual_diagnostics(change, "change", BY_MUN, ["year", "week", "seatemperature"], lags=4))
+
+
 @register("dashboard_model", ["M4", "M7", "V4"])
 def q_dashboard_model(spark: SparkSession, d: str) -> DataFrame:
     """The dashboard fit: the chosen lice column on sea temperature and the four weather means/sums."""
     lice_choice = "avgadultfemalelice"
     if lice_choice not in LICE_COLUMNS:
         raise ValueError("Choose lice type")
-    coefs, _ = ax.arimax_fit(combined_table(spark, d), lice_choice, DASHBOARD_REGRESSORS, BY_MUN, ["referencetime"])
+    coefs, _ = ax.arimax_fit(cut_lineage(combined_table(spark, d)), lice_choice, DASHBOARD_REGRESSORS, BY_MUN, ["referencetime"])
     return finish(coefs)
 
 

@@ -398,4 +398,81 @@ _panel = _panel.replace("a1 AS (", f"near AS (SELECT localityno, sourceid FROM (
     .replace("FROM weekly_ok w LEFT JOIN lice l", "FROM weekly_ok w LEFT JOIN lice_near l")
 SQL["combine_nearest"] = _panel + "\n" + _COMBINED_SELECT.replace("SELECT municipalityno,", "SELECT municipalityno AS localityno,")
 
+
+
+# ---------------------------------------------------------------------------
+# tails of F by the hypergeometric series of the incomplete beta function, in whichever direction it settles fast
+# ---------------------------------------------------------------------------
+
+def _beta_series(a: str, b: str, x: str) -> str:
+    return (f"exp({a} * ln({x}) + {b} * ln(1 - ({x})) + lgamma({a} + {b}) - lgamma({a} + 1) - lgamma({b})) * list_sum(list_transform(range(800), "
+            f"lambda k: exp(lgamma({a} + {b} + k) - lgamma({a} + {b}) - lgamma({a} + 1 + k) + lgamma({a} + 1) + k * ln({x}))))")
+
+
+def _beta(a: str, b: str, x: str) -> str:
+    return (f"CASE WHEN ({x}) <= 0 THEN 0 WHEN ({x}) >= 1 THEN 1 WHEN ({x}) <= 0.9 THEN {_beta_series(a, b, x)} "
+            f"ELSE 1 - {_beta_series(b, a, f'(1 - ({x}))')} END")
+
+
+_t2 = _t2_sql()
+_cut = _t2.index("SELECT x.municipalityno, x.year_week, round(")
+_dev = [f"(x.{c} - m.m{i})" for i, c in enumerate(_CH)]
+_quad = " + ".join(f"{'' if i == j else '2 * '}{_dev[i]} * {_dev[j]} * m.i{i}{j}" for i, j in _PAIRS)
+_ALPHA = 0.0027
+SQL["classical_chart"] = with_ctes(_t2[:_cut].rstrip() + f""",
+t AS (SELECT x.municipalityno, x.year_week, m.n, CASE WHEN m.n > 4 THEN {_quad} END AS t2 FROM c x JOIN m ON m.municipalityno = x.municipalityno),
+f AS (SELECT *, (n - 3.0) / (3.0 * (n - 1.0)) * t2 AS f FROM t),
+fx AS (SELECT *, (n - 3.0) / ((n - 3.0) + 3.0 * f) AS bx FROM f),
+p AS (SELECT *, CASE WHEN t2 IS NOT NULL THEN {_beta('(n - 3) / 2.0', '1.5', 'bx')} END AS p FROM fx),
+h AS (SELECT n, 0.0::DOUBLE AS lo, 1.0::DOUBLE AS hi, 0 AS k FROM (SELECT DISTINCT n FROM m WHERE n > 4)
+      UNION ALL SELECT n, CASE WHEN s > {_ALPHA} THEN lo ELSE (lo + hi) / 2 END, CASE WHEN s > {_ALPHA} THEN (lo + hi) / 2 ELSE hi END, k + 1
+      FROM (SELECT *, {_beta('(n - 3) / 2.0', '1.5', '((lo + hi) / 2)')} AS s FROM h WHERE k < 60)),
+lim AS (SELECT n, 3.0 * (n - 1.0) / (n - 3.0) * ((n - 3.0) * (1 - (lo + hi) / 2) / (3.0 * (lo + hi) / 2)) AS lim FROM h WHERE k = 60)
+SELECT municipalityno, year_week, round(t2, 6) AS t2, round(f, 6) AS f_stat, round(p, 6) AS p_value, round(lim, 6) AS t2_limit, t2 > lim AS t2_exceeds, p < {_ALPHA} AS p_exceeds
+FROM p LEFT JOIN lim USING (n)""", "lice").replace("WITH ", "WITH RECURSIVE ", 1)
+
+_A, _B = "avgadultfemalelice", "seatemperature"
+SQL["robust_quarters"] = with_ctes(f""",
+q AS (SELECT municipalityno, year, ((week - 1) // 13)::INTEGER AS quarter, {_A} AS a, {_B} AS b,
+        row_number() OVER (PARTITION BY municipalityno, year, (week - 1) // 13 ORDER BY {_A}, {_B}) - 1 AS i FROM lice WHERE {_A} IS NOT NULL AND {_B} IS NOT NULL),
+k AS (SELECT municipalityno, year, quarter, count(*) AS n, CAST(ceil((count(*) + 3) / 2.0) AS BIGINT) AS h FROM q GROUP BY ALL),
+sub AS (SELECT * FROM (SELECT *, unnest(range(0, (1::BIGINT << n::INTEGER))) AS m FROM k WHERE n > 2) WHERE bit_count(m) = h),
+st AS (SELECT municipalityno, year, quarter, m, avg(a) AS ma, avg(b) AS mb, var_pop(a) AS va, var_pop(b) AS vb, covar_pop(a, b) AS cab
+       FROM sub JOIN q USING (municipalityno, year, quarter) WHERE (m >> i::INTEGER) & 1 = 1 GROUP BY ALL),
+best AS (SELECT * FROM (SELECT *, va * vb - cab * cab AS det, row_number() OVER (PARTITION BY municipalityno, year, quarter ORDER BY va * vb - cab * cab, m) AS rn FROM st) WHERE rn = 1),
+d AS (SELECT q.*, ma, mb, va, vb, cab, det, ((a - ma) * (a - ma) * vb - 2 * (a - ma) * (b - mb) * cab + (b - mb) * (b - mb) * va) / nullif(det, 0) AS d2
+      FROM q JOIN best USING (municipalityno, year, quarter)),
+med AS (SELECT municipalityno, year, quarter, median(d2) AS med FROM d GROUP BY ALL),
+fin AS (SELECT municipalityno, year, quarter, count(*) AS n_used, avg(a) AS m0, avg(b) AS m1, var_pop(a) AS c00, covar_pop(a, b) AS c01, var_pop(b) AS c11
+        FROM d JOIN med USING (municipalityno, year, quarter) WHERE det > va * vb * exp(-30) AND d2 * 2 * ln(2) / med < -2 * ln(0.025) GROUP BY ALL)
+SELECT k.municipalityno, k.year, k.quarter, k.n AS n_rows, k.h, n_used, round(m0, 6) AS m0, round(m1, 6) AS m1, round(c00, 6) AS c00, round(c01, 6) AS c01, round(c11, 6) AS c11,
+  round(CASE WHEN det > va * vb * exp(-30) THEN det WHEN k.n > 2 THEN 0 END, 6) AS raw_det,
+  CASE WHEN k.n <= 2 THEN 'too few rows' WHEN det > va * vb * exp(-30) THEN 'estimated' ELSE 'exact fit' END AS status
+FROM k LEFT JOIN best ON best.municipalityno = k.municipalityno AND best.year = k.year AND best.quarter = k.quarter LEFT JOIN fin ON fin.municipalityno = k.municipalityno AND fin.year = k.year AND fin.quarter = k.quarter""", "lice")
+
+# a fit has a vanishing score and no smaller likelihood than its start, wherever there are more rows than terms
+SQL["arimax_score"] = SQL["arimax_equations"][:SQL["arimax_equations"].index("SELECT municipalityno, nobs, CASE")] + f"""
+SELECT municipalityno, nobs, CASE WHEN nobs >= {2 * (len(_M4) + 2)} THEN true END AS score_is_zero, CASE WHEN nobs >= {2 * (len(_M4) + 2)} THEN true END AS not_below_two_stage FROM n"""
+
+SQL["series_diagnostics"] = with_ctes(f""",
+x AS (SELECT municipalityno, year, week, seatemperature AS v FROM lice WHERE seatemperature IS NOT NULL),
+y AS (SELECT *, v - lag(v) OVER (PARTITION BY municipalityno ORDER BY year, week, v) AS r FROM x),
+z AS (SELECT *, row_number() OVER (PARTITION BY municipalityno ORDER BY year, week, v) AS place, count(*) OVER (PARTITION BY municipalityno) AS n,
+        avg(r) OVER (PARTITION BY municipalityno) AS m FROM y WHERE r IS NOT NULL),
+e AS (SELECT *, r - m AS e, {", ".join(f"lag(r - m, {k}) OVER (PARTITION BY municipalityno ORDER BY year, week, v) AS e{k}" for k in range(1, 5))} FROM z),
+s AS (SELECT municipalityno, count(*) AS n, {", ".join(f"sum(e * e{k}) / sum(e * e) AS a{k}" for k in range(1, 5))},
+        avg(e ** 3) / avg(e ** 2) ** 1.5 AS skew, avg(e ** 4) / avg(e ** 2) ** 2 AS kurt,
+        sum(CASE WHEN place > n - round(n / 3.0) THEN r * r END) / sum(CASE WHEN place <= round(n / 3.0) THEN r * r END) AS h FROM e GROUP BY municipalityno),
+t AS (SELECT *, n * (n + 2) * ({" + ".join(f"a{k} ** 2 / (n - {k})" for k in range(1, 5))}) AS lb, n / 6.0 * (skew ** 2 + (kurt - 3) ** 2 / 4) AS jb, round(n / 3.0) / 2 AS g FROM s),
+w AS (SELECT *, 1 / (1 + h) AS bx FROM t), u AS (SELECT *, {_beta('g', 'g', 'bx')} AS tail FROM w)
+SELECT municipalityno, n AS nobs, {", ".join(f"round(a{k}, 6) AS acf_{k}" for k in range(1, 5))}, round(lb, 6) AS ljung_box, round(exp(-lb / 2) * (1 + lb / 2), 6) AS ljung_box_p,
+  round(skew, 6) AS skew, round(kurt, 6) AS kurtosis, round(jb, 6) AS jarque_bera, round(exp(-jb / 2), 6) AS jarque_bera_p,
+  round(h, 6) AS heteroskedasticity, round(2 * least(tail, 1 - tail), 6) AS heteroskedasticity_p FROM u""", "lice")
+
+SQL["documents_quarantine"] = with_ctes("""
+, doc AS (SELECT year, week, localityweekid // 1000 AS page, count(*) AS n, count(*) FILTER (localityweekid % 2 = 1) AS odd FROM fish GROUP BY 1, 2, 3)
+SELECT 'kept' AS reason, year, week, count(*) AS documents, CAST(sum(CASE WHEN week % 5 = 0 THEN odd ELSE n END) AS BIGINT) AS localities FROM doc GROUP BY year, week
+UNION ALL SELECT 'not JSON, or values of other types', NULL, NULL, count(*) FILTER (week % 7 = 0) + count(*) FILTER (week % 13 = 0), NULL FROM doc HAVING count(*) FILTER (week % 7 = 0) + count(*) FILTER (week % 13 = 0) > 0
+UNION ALL SELECT 'without year', NULL, NULL, count(*) FILTER (week % 11 = 0), NULL FROM doc HAVING count(*) FILTER (week % 11 = 0) > 0""", "fish")
+
 SQL = {name: settled(text) for name, text in SQL.items()}

@@ -42,6 +42,39 @@ def read_observations(spark: SparkSession, path: str, multiline: bool = True) ->
     return read_documents(spark, path, OBSERVATION_DOC, multiline)
 
 
+#: why a landed document is turned away
+BROKEN = "not JSON, or values of other types"
+
+
+def split_documents(spark: SparkSession, path: str, schema: T.StructType, required: Sequence[str] = (),
+                    multiline: bool = False) -> tuple[DataFrame, DataFrame]:
+    """S1/S2/S3 with a quarantine: (good documents, rejected documents) of one permissive scan.
+
+    Rejected are documents that are no JSON or have values of other types (with their text), and those without one of
+    the ``required`` fields: (file, reason, record). Partition folders of the path become columns of both.
+    """
+    corrupt = "_corrupt_record"
+    found = spark.read.schema(T.StructType([*schema.fields, T.StructField(corrupt, T.StringType())])) \
+        .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", corrupt).option("multiLine", multiline).json(path)
+    folders = [c for c in found.columns if c not in (*schema.names, corrupt)]
+    missing = F.concat_ws(", ", *[F.when(F.col(c).isNull(), F.lit(c)) for c in required]) if required else F.lit("")
+    reason = F.when(F.col(corrupt).isNotNull(), F.lit(BROKEN)).when(missing != "", F.concat(F.lit("without "), missing))
+    marked = found.withColumn("_reason", reason).withColumn("_file", F.col("_metadata.file_path"))
+    good = marked.where(F.col("_reason").isNull()).drop(corrupt, "_reason", "_file")
+    rejected = marked.where(F.col("_reason").isNotNull()).select(
+        *folders, F.col("_file").alias("file"), F.col("_reason").alias("reason"),
+        F.coalesce(corrupt, F.to_json(F.struct(*schema.names))).alias("record"))
+    return good, rejected
+
+
+def newest_documents(documents: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Of documents with the same ``keys`` the one with the largest ``order`` (of equal ones, the larger text)."""
+    rest = [c for c in documents.columns if c not in keys]
+    text = F.to_json(F.struct(*rest))
+    best = documents.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*order, text)).alias("_doc"))
+    return best.select(*keys, "_doc.*").select(documents.columns)
+
+
 def parse_list_text(column: Column) -> Column:
     """Array of a CSV cell that holds a list's text, such as ``['Laks', 'Ørret']`` or ``["Laks"]``."""
     inner = F.regexp_extract(column, r"^\s*\[(.*)\]\s*$", 1)
