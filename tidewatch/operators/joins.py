@@ -132,11 +132,14 @@ def nearest_stations(sites: DataFrame, stations: DataFrame, k: int = 5, site_key
     nearest_first = Window.partitionBy(*by).orderBy("_far", *cell).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     children = cells.select((F.col("level") - _STEP).alias("level"), F.col("_pi").alias("ci"), F.col("_pj").alias("cj"),
                             F.struct(*cell).alias("_child"), "_n", "_split", *[F.col(f"_b_{c}") for c in "snwe"])
-    root = cells.where(F.col("level") == 0).select("_split").first()[0]
-    left = placed.select(*by).distinct().select(*by, F.lit(0).alias("level"), F.lit(0).cast("long").alias("ci"), F.lit(0).cast("long").alias("cj"),
-                                                F.lit(None).cast("long").alias("_n"), F.lit(None).cast("double").alias("_near"),
-                                                F.lit(None).cast("double").alias("_far"), F.lit(root).alias("_split"))
-    while root:
+    # down to the deepest cell that has all stations there is nothing to choose
+    root = cells.where(F.col("_n") == st.count()).orderBy(F.desc("level")).select(*cell, "_split").first()
+    left = placed.select(*by).distinct().select(*by, F.lit(root.level).alias("level"), F.lit(root.ci).cast("long").alias("ci"),
+                                                F.lit(root.cj).cast("long").alias("cj"), F.lit(None).cast("long").alias("_n"),
+                                                F.lit(None).cast("double").alias("_near"), F.lit(None).cast("double").alias("_far"),
+                                                F.lit(root["_split"]).alias("_split"))
+    going_on = root["_split"]
+    while going_on:
         here = [F.col("_lat"), F.col("_lon")]
         # the farthest point of a box is the one nearest to the place on the other side of the globe
         antipode = [-F.col("_lat"), _wrapped(F.col("_lon") + 180.0)]
@@ -148,7 +151,7 @@ def nearest_stations(sites: DataFrame, stations: DataFrame, k: int = 5, site_key
         bound = F.min(F.when(F.col("_reached") >= k, F.col("_far"))).over(Window.partitionBy(*by))
         left = cut_lineage(both.withColumn("_reached", reached).withColumn("_bound", bound)
                            .where(F.col("_bound").isNull() | (F.col("_near") <= F.col("_bound") + _SLACK_KM)).drop("_reached", "_bound"))
-        root = not left.where("_split").limit(1).isEmpty()
+        going_on = not left.where("_split").limit(1).isEmpty()
     rank = Window.partitionBy(*by).orderBy("_dist", "_sid")
     found = left.select(*by, *cell).join(members, cell).select(
         *by, "_sid", haversine_km(F.col("_lat"), F.col("_lon"), F.col("_slat"), F.col("_slon")).alias("_dist")) \

@@ -84,7 +84,7 @@ def invert(mom: DataFrame, p: int, pseudo: bool = False, ridge: float = 0.0) ->
             logdet = np.full(b, np.nan)
             finite = np.isfinite(s).all(axis=(1, 2))
             if finite.any():
-                ld = np.array([_logdet(x) for x in s[finite]]) if pseudo else np.linalg.slogdet(s[finite])[1]
+                ld = _logdet(s[finite]) if pseudo else np.linalg.slogdet(s[finite])[1]
                 good = np.isfinite(ld) if pseudo else np.linalg.slogdet(s[finite])[0] > 0
                 idx = np.flatnonzero(finite)[good]
                 if len(idx):
@@ -225,16 +225,16 @@ def _moments_of(x: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarr
     mean = weight @ x / weight.sum()
     dev = x - mean
     cov = (dev * weight[:, None]).T @ dev / weight.sum()
-    return mean, cov, _logdet(cov)
+    return mean, cov, float(_logdet(cov))
 
 
-def _logdet(cov: np.ndarray) -> float:
-    """log |S| by the correlations, so that a rank-deficient S is seen whatever its scale; -inf if singular."""
-    scale = np.sqrt(np.diag(cov))
-    if not (scale > 0).all():
-        return -np.inf
-    sign, value = np.linalg.slogdet(cov / np.outer(scale, scale))
-    return float(value + 2 * np.log(scale).sum()) if sign > 0 and value > -30 else -np.inf
+def _logdet(cov: np.ndarray) -> np.ndarray:
+    """log |S| of one or many S by the correlations, so that a rank-deficient S is seen whatever its scale; -inf if singular."""
+    scale = np.sqrt(np.diagonal(cov, axis1=-2, axis2=-1))
+    safe = np.where(scale > 0, scale, 1.0)
+    sign, value = np.linalg.slogdet(cov / (safe[..., :, None] * safe[..., None, :]))
+    regular = (scale > 0).all(-1) & (sign > 0) & (value > -30)
+    return np.where(regular, value + 2 * np.log(safe).sum(-1), -np.inf)
 
 
 def _distances(x: np.ndarray, mean: np.ndarray, cov: np.ndarray) -> np.ndarray:
@@ -279,8 +279,7 @@ def _every_subset(x, h):
     picks = np.array(list(itertools.combinations(range(len(x)), h)))
     sub = x[picks]
     dev = sub - sub.mean(axis=1, keepdims=True)
-    logdets = [_logdet(c) for c in np.einsum("sij,sik->sjk", dev, dev) / h]
-    return _moments_of(x[picks[int(np.argmin(logdets))]], np.ones(h))
+    return _moments_of(x[picks[int(np.argmin(_logdet(np.einsum("sij,sik->sjk", dev, dev) / h)))]], np.ones(h))
 
 
 def _reweighted(x, weight, state, p):
