@@ -218,10 +218,10 @@ def decode(ids: Column, path: str) -> Column:
     """Bytes of an array of ids: the tokens' pieces, one after the other. Null for null; an id that is not in
     the vocabulary is an error."""
     ranks = read_ranks(path)
+    # a byte is a character up to U+00FF, so that pieces can be joined as text
     pieces = [""] * (max(ranks.values(), default=-1) + 1)
     for token, rank in ranks.items():
-        pieces[rank] = token.hex().upper()
-    table = F.split(F.lit(",".join(pieces)), ",")
+        pieces[rank] = token.decode("latin-1")
+    table = F.from_json(F.lit(json.dumps(pieces)), "array<string>")
     joined = F.transform(F.array(table), lambda t: F.array_join(F.transform(ids, lambda i: F.element_at(t, i + 1)), ""))
-    return F.unhex(F.element_at(joined, 1))
-
+    return F.encode(F.element_at(joined, 1), "ISO-8859-1")
