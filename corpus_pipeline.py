@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.llm import decontam, langid, line_dedup, packing, simhash
-from tidewatch.llm.common import prepare, table
+from tidewatch.llm.common import prepare, table, unused
 from tidewatch.llm.queries import tokenizer_path
 from tidewatch.session import ensure_checkpoint_dir
 
@@ -31,15 +31,16 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     ``n_chars`` follows the text. Documents that had no word to begin with stay.
     """
     prepare(spark)
-    found = line_dedup.dedup_lines(docs)
-    emptied = (F.size("removed") > 0) & ~F.regexp_like(F.col("text"), F.lit(r"\S"))
+    removed = unused(docs.columns, "removed")
+    found = line_dedup.dedup_lines(docs, name=removed)
+    emptied = (F.size(removed) > 0) & ~F.regexp_like(F.col("text"), F.lit(r"\S"))
     kept = found.where(~F.coalesce(emptied, F.lit(False)))
-    length = F.when(F.size("removed") > 0, F.char_length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+    length = F.when(F.size(removed) > 0, F.char_length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
     return kept.withColumn("n_chars", length).select(docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of SimHash near-duplicates, the one with the smallest doc_id."""
+    """One row of each group of SimHash near-duplicates, the one with the smallest doc_id."""
     prepare(spark)
     return simhash.drop_near_duplicates(docs)
 

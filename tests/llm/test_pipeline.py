@@ -1,5 +1,6 @@
 import corpus_pipeline
 import pytest
+from pyspark.sql import functions as F
 
 from tidewatch.llm import langid
 from tidewatch.llm.queries import REGISTRY, SQL
@@ -75,4 +76,17 @@ def test_queries_equal_their_sql(spark, name):
 
 
 def test_every_operator_is_registered():
-    assert {n.split("_")[0] for n in REGISTRY} == {f"op{k}" for k in range(1, 11)}
+    assert {n.split("_")[0] for n in REGISTRY} == {f"op{k}" for k in range(1, 14)}
+
+
+def test_columns_of_any_name_pass_every_stage(spark):
+    names = ["removed", "_removed", "_id", "_row", "_hits", "row", "n", "doc", "score", "fp", "line_no"]
+    rows = [(k, f"line one of text {k} with more words\nthis line is in every text of them all\nshort") for k in range(6)]
+    frame = documents(spark, rows).withColumns({c: F.col("doc_id") + 1 for c in names})
+    columns = frame.columns
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        frame = stage(spark, frame, SF)
+        assert frame.columns == columns
+    got = frame.collect()
+    assert got and all(r[c] == r.doc_id + 1 for r in got for c in names)
+    assert corpus_pipeline.pack(spark, frame, SF).count() >= len(got)

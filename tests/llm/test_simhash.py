@@ -1,6 +1,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 import xxhash
 
 from tidewatch.llm import simhash
@@ -80,3 +81,13 @@ def test_components_of_a_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, k) for k in range(101, 160)]
     got = {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == groups(edges, {n for e in edges for n in e})
+
+
+def test_rows_are_told_apart_by_id_and_text(spark):
+    rows = [(1, "a b c d e f"), (5, "a b c d e f"), (5, "quite another text of its own"), (7, "twice the same row"), (7, "twice the same row"),
+            (None, "no id, and alone"), (None, "a b c d e f"), (None, "no ids here"), (None, "no ids here")]
+    docs = documents(spark, rows, extra=True).withColumns({c: F.lit(1) for c in ("row", "n", "doc", "root", "first", "_row")})
+    kept = simhash.drop_near_duplicates(docs)
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id or 0, r.text) for r in kept.collect()) == sorted([
+        (1, "a b c d e f"), (5, "quite another text of its own"), (7, "twice the same row"), (0, "no id, and alone"), (0, "no ids here")])

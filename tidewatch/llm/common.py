@@ -35,6 +35,14 @@ def id_fold(column: Column, folds: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(column.cast("string"), F.lit("")).cast("binary")), F.lit(folds))
 
 
+def unused(columns: list[str], name: str) -> str:
+    """``name``, with underscores before it if a column has that name."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text",
                 max_bytes: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Cut Arrow batches into runs of rows of about ``max_bytes`` of text; null texts become empty.

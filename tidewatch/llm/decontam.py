@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import unused
+
 #: longest window in words; an item of fewer words is one window
 WINDOW = 13
 
@@ -226,19 +228,19 @@ def contamination(documents: DataFrame, benchmark: DataFrame, window: int = WIND
                    "contaminated boolean, n_near long")
 
 
-def _clean(block, last: bool, names: list[str]):
+def _clean(block, last: bool, names: list[str], hits_name: str):
     """mapInArrow function of ``drop_contaminated``: whole rows in, rows of clean documents out."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from .common import text_slices
         queries = block.value
         for batch, raws in text_slices(batches):
             index = PositionalIndex([words_of(raw) for raw in raws], queries.vocab)
-            ranges = batch.column(batch.schema.get_field_index("_hits")).to_pylist()
+            ranges = batch.column(batch.schema.get_field_index(hits_name)).to_pylist()
             for d, s, n, _, _ in _find(index, queries, 0):
                 ranges[d].append({"start": s, "length": n})
             if not last:
                 hits = pa.array(ranges, pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int32())])))
-                yield batch.set_column(batch.schema.get_field_index("_hits"), "_hits", hits)
+                yield batch.set_column(batch.schema.get_field_index(hits_name), hits_name, hits)
                 continue
             keep = []
             for n_words, spans in zip(index.lengths.tolist(), ranges):
@@ -255,9 +257,10 @@ def drop_contaminated(documents: DataFrame, benchmark: DataFrame, window: int =
                       block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The rows of ``documents`` that are not contaminated, all columns unchanged, without a shuffle."""
     spark, names = documents.sparkSession, documents.columns
-    df = documents.withColumn("_hits", F.expr("cast(array() as array<struct<start:long,length:int>>)"))
+    hits = unused(names, "_hits")
+    df = documents.withColumn(hits, F.expr("cast(array() as array<struct<start:long,length:int>>)"))
     blocks = [spark.sparkContext.broadcast(b) for b in _blocks(benchmark, window, block_bytes)]
     for i, block in enumerate(blocks):
         last = i == len(blocks) - 1
-        df = df.mapInArrow(_clean(block, last, names), documents.schema if last else df.schema)
+        df = df.mapInArrow(_clean(block, last, names, hits), documents.schema if last else df.schema)
     return df

@@ -201,17 +201,19 @@ def removed_lines(documents: DataFrame, shingle: int = SHINGLE, threshold: float
 
 
 def dedup_lines(documents: DataFrame, shingle: int = SHINGLE, threshold: float = THRESHOLD, min_words: int = MIN_WORDS,
-                buckets: int = RARITY_BUCKETS) -> DataFrame:
+                buckets: int = RARITY_BUCKETS, name: str = "removed") -> DataFrame:
     """``documents`` with its texts without the removed lines, and ``removed``: the numbers of these lines.
 
-    A document keeps its row even if no line is left; null texts stay null. See ``removed_lines``.
+    A document keeps its row even if no line is left; null texts stay null. ``name`` is the new column's name; a
+    column of ``documents`` that has it is replaced, others pass through whatever their names. See ``removed_lines``.
     """
     gone = removed_lines(documents, shingle, threshold, min_words, buckets)
     # one document's own line numbers
     gone = gone.groupBy("doc_id", "row").agg(F.sort_array(F.collect_list("line_no")).alias("removed"))
-    gone = gone.withColumnsRenamed({"doc_id": "_id", "row": "_row"})
-    own_id, own_row = row_key("own_id", "own_row")
-    kept = F.array_join(F.filter(F.split("text", "\n", -1), lambda line, i: ~F.array_contains("removed", i)), "\n")
-    out = documents.join(gone, (own_id == F.col("_id")) & (own_row == F.col("_row")), "left").drop("_id", "_row")
-    return out.withColumn("text", F.when(F.col("removed").isNull(), F.col("text")).otherwise(kept)).withColumn(
-        "removed", F.coalesce("removed", F.expr("cast(array() as array<int>)")))
+    rows = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("doc"), *row_key("doc_id", "row"))
+    out = rows.join(gone, ["doc_id", "row"], "left")
+    text = F.col("doc.text")
+    kept = F.array_join(F.filter(F.split(text, "\n", -1), lambda line, i: ~F.array_contains("removed", i)), "\n")
+    text = F.when(F.col("removed").isNull(), text).otherwise(kept).alias("text")
+    return out.select(*[text if c == "text" else F.col("doc").getField(c).alias(c) for c in documents.columns if c != name],
+                      F.coalesce("removed", F.expr("cast(array() as array<int>)")).alias(name))

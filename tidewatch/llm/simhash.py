@@ -64,15 +64,20 @@ def _fingerprints(size: int, seed: int):
         from .common import text_slices
         for batch, raws in text_slices(batches):
             yield pa.RecordBatch.from_pydict({
-                "doc_id": batch.column(0),
+                "doc_id": batch.column(0), "row": batch.column(2),
                 "fp": pa.array([fingerprint(raw, size, seed) for raw in raws], pa.int64())})
     return run
 
 
 def fingerprints(documents: DataFrame, size: int = SHINGLE, seed: int = SEED) -> DataFrame:
-    """(doc_id, fp): fingerprint of every whole text; null or wordless texts have fingerprint 0."""
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(_fingerprints(size, seed), "doc_id long, fp long")
+    """(doc_id, row, fp): fingerprint of every whole text; null or wordless texts have fingerprint 0. row is the text's hash."""
+    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), _row().alias("row"))
+    return rows.mapInArrow(_fingerprints(size, seed), "doc_id long, row long, fp long")
+
+
+def _row() -> Column:
+    """With the doc_id, what tells rows of documents apart."""
+    return F.xxhash64(F.col("text").cast("string"))
 
 
 def _parts(segments: int) -> list[tuple[int, int]]:
@@ -127,6 +132,14 @@ def links(fps: DataFrame, max_distance: int = MAX_DISTANCE, segments: int = SEGM
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def _rooted(rows: DataFrame, max_distance: int, segments: int) -> DataFrame:
+    """(fp, root, first_id) of every distinct fingerprint: its group's smallest fingerprint, its own smallest doc_id."""
+    distinct = cut_lineage(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
+    groups = connected_components(links(distinct.select("fp"), max_distance, segments))
+    return distinct.join(groups, distinct.fp == groups.node, "left").select(
+        "fp", "first_id", F.coalesce("component", "fp").alias("root"))
+
+
 def near_duplicates(documents: DataFrame, size: int = SHINGLE, max_distance: int = MAX_DISTANCE,
                     segments: int = SEGMENTS, seed: int = SEED) -> DataFrame:
     """(doc_id, fp, component_id) of every document row.
@@ -137,10 +150,7 @@ def near_duplicates(documents: DataFrame, size: int = SHINGLE, max_distance: int
     same answer; other columns are ignored; an empty table gives an empty result.
     """
     rows = cut_lineage(fingerprints(documents, size, seed))
-    distinct = cut_lineage(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
-    groups = connected_components(links(distinct.select("fp"), max_distance, segments))
-    of_fp = distinct.join(groups, distinct.fp == groups.node, "left").select(
-        "fp", "first_id", F.coalesce("component", "fp").alias("root"))
+    of_fp = _rooted(rows, max_distance, segments)
     smallest = of_fp.groupBy("root").agg(F.min("first_id").alias("component_id"))
     named = of_fp.join(smallest, "root").select("fp", "component_id")
     return rows.join(named, "fp").select("doc_id", "fp", "component_id")
@@ -148,10 +158,25 @@ def near_duplicates(documents: DataFrame, size: int = SHINGLE, max_distance: int
 
 def drop_near_duplicates(documents: DataFrame, size: int = SHINGLE, max_distance: int = MAX_DISTANCE,
                          segments: int = SEGMENTS) -> DataFrame:
-    """``documents`` with one document of each near-duplicate group, the one with the smallest doc_id.
+    """``documents`` with one row of each near-duplicate group: the smallest doc_id, of its rows the smallest text hash.
 
-    Rows that repeat the kept doc_id stay together; rows without a doc_id stay, as nothing can name them.
+    A row is told apart by its doc_id and its text, so a unique text stays whatever other rows have its id. Of rows
+    that share both, one stays. Rows without a doc_id come last in their group; the one row of a group without
+    ids stays. Columns of any name pass through.
     """
-    found = near_duplicates(documents, size, max_distance, segments)
-    gone = found.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    return documents.join(gone, "doc_id", "left_anti").select(documents.columns)
+    last = F.lit((1 << 63) - 1)
+    rows = cut_lineage(fingerprints(documents, size, SEED).withColumn("doc_id", F.coalesce("doc_id", last)))
+    roots = _rooted(rows, max_distance, segments).select("fp", "root")
+    copies = cut_lineage(rows.groupBy("fp", "doc_id", "row").agg(F.count("*").alias("n")).join(roots, "fp"))
+    first = copies.groupBy("root").agg(F.min(F.struct("doc_id", "row")).alias("first"))
+    # n is 0 for what goes, else the number of rows of which one stays; a single row needs no mark
+    marked = copies.join(first, "root").select(
+        "doc_id", "row", F.when(F.struct("doc_id", "row") == F.col("first"), F.col("n")).otherwise(0).alias("n")).where("n <> 1")
+    marked = cut_lineage(marked.groupBy("doc_id", "row").agg(F.max("n").alias("n")))
+    own = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("doc"),
+                           F.coalesce(F.col("doc_id").cast("long"), last).alias("doc_id"), _row().alias("row"))
+    found = own.join(marked, ["doc_id", "row"], "left")
+    kept = found.where(F.col("n").isNull())
+    if not marked.where("n > 1").isEmpty():
+        kept = kept.unionByName(found.where("n > 1").dropDuplicates(["doc_id", "row"]))
+    return kept.select("doc.*")
