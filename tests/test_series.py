@@ -3,6 +3,7 @@ import datetime as dt
 import numpy as np
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidewatch.operators import series as ser
 
@@ -108,3 +109,42 @@ def test_densify_of_a_repeated_time_raises(spark):
     assert ser.densify_weekly(df, "t", ["k"]).count() == 4
     with pytest.raises(Exception, match="duplicate t"):
         ser.densify_weekly(df, "t").collect()
+
+
+def _long_series(spark):
+    rng = np.random.default_rng(12)
+    rows = []
+    for k, n in ((1, 700), (2, 3), (None, 40)):
+        for t in range(n):
+            blank = 100 < t < 260 or rng.random() < 0.2  # gaps longer than a range
+            rows.append((k, t, None if blank else float(rng.normal()), float(rng.normal()) if rng.random() > 0.1 else None,
+                         dt.datetime(2000, 1, 2) + dt.timedelta(days=7 * t + int(rng.integers(0, 2)) * (t % 3))))
+    return spark.createDataFrame(rows, "k int, t int, a double, b double, ts timestamp").repartition(3)
+
+
+@pytest.mark.parametrize("by", [[], ["k"]])
+def test_ranges_equal_the_plain_window(spark, by):
+    df = _long_series(spark)
+    df = df if by else df.where("k = 1").drop("k")
+    order = ["t"]
+    runs = {
+        "shift": lambda r: ser.shift(df, "a", 3, by, order, range_rows=r),
+        "backfill": lambda r: ser.lag_backfill(df, ["a", "b"], by, order, range_rows=r),
+        "lagged": lambda r: ser.lagged_correlation(df, "a", "b", [0, 1, 4], by, order, range_rows=r),
+        "sliding": lambda r: ser.sliding_correlation(df, "a", "b", 5, by, order, range_rows=r),
+        "frame": lambda r: ser.highlight_frame(df, 10, 5, by, order, range_rows=r),
+        "dense": lambda r: ser.densify_weekly(df, "ts", by, range_rows=r),
+        "smooth": lambda r: ser.gaussian_smooth(df.fillna(0.0, ["a"]), ["a"], by, order, range_rows=r),
+    }
+    plain = lambda row: tuple(round(v, 9) if isinstance(v, float) else v for v in row)
+    for name, run in runs.items():
+        whole = sorted(map(repr, map(plain, run(None).collect())))
+        for rows in (16, 64):
+            assert sorted(map(repr, map(plain, run(rows).collect()))) == whole, (name, rows)
+
+
+def test_a_single_long_series_is_spread(spark):
+    df = spark.range(60_000).select(F.col("id").alias("t"), F.sin("id").alias("a"))
+    out = ser.gaussian_smooth(df, ["a"], [], ["t"], range_rows=4_000)
+    parts = out.groupBy(F.spark_partition_id()).count().collect()
+    assert len(parts) > 1 and sum(r["count"] for r in parts) == 60_000 and max(r["count"] for r in parts) < 50_000

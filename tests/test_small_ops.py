@@ -2,9 +2,11 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from tidewatch.operators import aggregates as agg
 from tidewatch.operators import dedup as dd
 from tidewatch.operators import filters as flt
 from tidewatch.operators import reshape as rs
+from tidewatch.operators.ordinal import column_positions
 from tidewatch.schemas import LICE_COUNTS
 from tidewatch.sources import files as fs
 from tidewatch.functions import scalar as scl
@@ -69,3 +71,18 @@ def test_region_and_bmi_and_round(spark):
     r = v.select(scl.round_half_even("x").alias("e"), F.round("x").alias("u"),
                  scl.body_mass_index("g", "cm").alias("bmi")).first()
     assert (r.e, r.u, round(r.bmi, 6)) == (2.0, 3.0, 12.0)
+
+
+def test_profile_counts_on_the_way(spark):
+    df = spark.createDataFrame([(1, None), (2, "a"), (3, None)], "k int, v string")
+    profile = agg.Profile()
+    first = profile.step(df, "all", ["v", "k"])
+    second = profile.step(first.where("k > 1"), "some")
+    assert second.count() == 2
+    got = [tuple(r) for r in profile.table(spark).collect()]
+    assert got == [("all", 3, 2, "v", 2), ("all", 3, 2, "k", 0), ("some", 2, 2, None, None)]
+
+
+def test_column_positions(spark):
+    df = spark.createDataFrame([(1, None, 2.0), (None, None, 3.0)], "a int, `b c` string, d double")
+    assert [tuple(r) for r in column_positions(df).collect()] == [(0, "a", 1), (1, "b c", 0), (2, "d", 2)]

@@ -6,9 +6,10 @@ Every operator is a single ``groupBy().agg()`` so Spark plans a partial
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -171,3 +172,27 @@ def distinct_values(df: DataFrame, col: str) -> DataFrame:
 def shape(df: DataFrame) -> DataFrame:
     """(rows, columns) as a one-row DataFrame."""
     return df.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("n_cols", F.lit(len(df.columns)).cast("long"))
+
+
+class Profile:
+    """A20 / A14 on the way: rows, columns and nulls of the steps of a plan, counted while the plan runs.
+
+    ``step`` puts a metric into the plan (``DataFrame.observe``), without a pass of its own; ``table`` gives them once the
+    plan has run.
+    """
+
+    def __init__(self) -> None:
+        self._steps: list[tuple[str, list[str], int, Observation]] = []
+
+    def step(self, df: DataFrame, name: str, cols: Sequence[str] = ()) -> DataFrame:
+        seen = Observation(f"{name}-{uuid.uuid4().hex}")
+        self._steps.append((name, list(cols), len(df.columns), seen))
+        return df.observe(seen, F.count(F.lit(1)).alias("_rows"), *[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
+
+    def table(self, spark: SparkSession) -> DataFrame:
+        """(step, n_rows, n_cols, column, n_nulls): a row for each counted column, or one without a column."""
+        rows = []
+        for name, cols, width, seen in self._steps:
+            found = seen.get
+            rows += [(name, found["_rows"], width, c, found[c] if c else None) for c in cols or [None]]
+        return spark.createDataFrame(rows, "step string, n_rows long, n_cols long, column string, n_nulls long")

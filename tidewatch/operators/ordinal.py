@@ -32,3 +32,11 @@ def with_ordinal(df: DataFrame, order_by: Sequence[str], name: str = "ordinal")
     return (tagged.join(F.broadcast(offsets), "_pid")
             .withColumn(name, F.coalesce(F.col("_off"), F.lit(0)) + F.col("_pos"))
             .drop("_pid", "_pos", "_off"))
+
+
+def column_positions(df: DataFrame) -> DataFrame:
+    """P10, columns: (position, column, n_values) of a scanned table, from its schema; the values are counted in one aggregation."""
+    counts = df.agg(*[F.count(F.col(f"`{c}`")).alias(f"_{i}") for i, c in enumerate(df.columns)])
+    rows = F.array(*[F.struct(F.lit(i).cast("long").alias("position"), F.lit(c).alias("column"), F.col(f"_{i}").alias("n_values"))
+                     for i, c in enumerate(df.columns)])
+    return counts.select(F.inline(rows))

@@ -2,8 +2,9 @@
 
 Every operator takes ``by`` (series keys) and ``order_by`` explicitly: frames
 read from storage carry no order. Windows are partitioned by ``by`` so each
-series is processed in one task while the series are spread over the cluster;
-``by=()`` reproduces the single-series behaviour (one task — fine for one site).
+series is processed in one task while the series are spread over the cluster.
+With ``range_rows`` a series is cut into ranges of so many rows with a halo (:mod:`.ranges`), so that a
+single long series, or one that holds most of the rows, is spread as well; results are the same.
 Correlations are computed from guarded moments (``covar_pop`` / ``stddev_pop``
 with ``try_divide``): a bare ``corr`` over a constant window raises under ANSI.
 """
@@ -17,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..functions import calendar as cal
+from . import ranges
 
 
 def _w(by: Sequence[str], order_by: Sequence[str]) -> WindowSpec:
@@ -24,18 +26,25 @@ def _w(by: Sequence[str], order_by: Sequence[str]) -> WindowSpec:
 
 
 def shift(df: DataFrame, col: str, k: int, by: Sequence[str], order_by: Sequence[str],
-          alias: str | None = None) -> DataFrame:
+          alias: str | None = None, range_rows: int | None = None) -> DataFrame:
     """Value ``k`` rows earlier (k >= 0)."""
+    if range_rows:
+        return ranges.over_ranges(df, lambda d, b, o: shift(d, col, k, b, o, alias), by, order_by, k, range_rows)
     return df.withColumn(alias or f"{col}_shift{k}", F.lag(col, k).over(_w(by, order_by)))
 
 
 def lag_backfill(df: DataFrame, cols: Sequence[str], by: Sequence[str], order_by: Sequence[str],
-                 suffix: str = "_lag") -> DataFrame:
+                 suffix: str = "_lag", range_rows: int | None = None) -> DataFrame:
     """``shift(1).bfill()`` — lag by one row, then fill each gap with the next non-null value.
 
     In descending order the next value is the last one seen: a running frame, so one pass over the series.
     """
-    lagged = df.withColumns({f"{c}{suffix}": F.lag(c, 1).over(_w(by, order_by)) for c in cols})
+    names = {c: f"{c}{suffix}" for c in cols}
+    if range_rows:
+        lagged = ranges.over_ranges(df, lambda d, b, o: d.withColumns({n: F.lag(c, 1).over(_w(b, o)) for c, n in names.items()}),
+                                    by, order_by, 1, range_rows)
+        return ranges.next_value(lagged, list(names.values()), by, order_by, range_rows)
+    lagged = df.withColumns({n: F.lag(c, 1).over(_w(by, order_by)) for c, n in names.items()})
     later = Window.partitionBy(*by).orderBy(*[F.col(c).desc() for c in order_by]).rowsBetween(Window.unboundedPreceding, 0)
     return lagged.withColumns({f"{c}{suffix}": F.last(f"{c}{suffix}", ignorenulls=True).over(later) for c in cols})
 
@@ -47,12 +56,14 @@ def _guarded_corr(x: Column, y: Column) -> tuple[Column, Column, Column]:
 
 
 def lagged_correlation(df: DataFrame, x: str, y: str, lags: Sequence[int], by: Sequence[str],
-                       order_by: Sequence[str]) -> DataFrame:
+                       order_by: Sequence[str], range_rows: int | None = None) -> DataFrame:
     """corr(y, x.shift(lag)) for every lag at once: one window pass builds all lagged
     columns, a narrow unpivot makes (lag, x_lagged, y) rows, one aggregation per (by, lag)."""
-    w = _w(by, order_by)
-    lagged = df.select(*by, F.col(y).alias("_y"),
-                       *[F.lag(x, int(k)).over(w).alias(f"_x{k}") for k in lags])
+    def lag_columns(d: DataFrame, b: Sequence[str], o: Sequence[str]) -> DataFrame:
+        return d.withColumns({f"_x{k}": F.lag(x, int(k)).over(_w(b, o)) for k in lags})
+
+    lagged = ranges.over_ranges(df, lag_columns, by, order_by, max(map(abs, lags)), range_rows) if range_rows else lag_columns(df, by, order_by)
+    lagged = lagged.select(*by, F.col(y).alias("_y"), *[f"_x{k}" for k in lags])
     long = lagged.select(*by, "_y", F.inline(F.array(*[
         F.struct(F.lit(int(k)).alias("lag"), F.col(f"_x{k}").alias("_xl")) for k in lags])))
     xv, yv, both = _guarded_corr(F.col("_xl"), F.col("_y"))
@@ -62,10 +73,12 @@ def lagged_correlation(df: DataFrame, x: str, y: str, lags: Sequence[int], by: S
 
 
 def sliding_correlation(df: DataFrame, x: str, y: str, window: int, by: Sequence[str],
-                        order_by: Sequence[str], alias: str = "swc") -> DataFrame:
+                        order_by: Sequence[str], alias: str = "swc", range_rows: int | None = None) -> DataFrame:
     """Centred rolling correlation of width ``window`` (pandas ``rolling(w, center=True).corr``):
     null unless all ``window`` pairs are present inside the series."""
     w = int(window)
+    if range_rows:
+        return ranges.over_ranges(df, lambda d, b, o: sliding_correlation(d, x, y, w, b, o, alias), by, order_by, w, range_rows)
     o = (w - 1) // 2
     frame = _w(by, order_by).rowsBetween(-(w - 1 - o), o)
     xv, yv, both = _guarded_corr(F.col(x), F.col(y))
@@ -76,15 +89,19 @@ def sliding_correlation(df: DataFrame, x: str, y: str, window: int, by: Sequence
 
 
 def highlight_frame(df: DataFrame, center: int, window: int, by: Sequence[str], order_by: Sequence[str],
-                    alias: str = "in_frame") -> DataFrame:
+                    alias: str = "in_frame", range_rows: int | None = None) -> DataFrame:
     """Flag rows with ordinal in ``[max(c - w//2, 0), min(c + w//2, n))``."""
+    if range_rows:
+        placed = ranges.with_place(df, by, order_by, "_j", "_n")
+        inside = (F.col("_j") >= max(center - window // 2, 0)) & (F.col("_j") < center + window // 2)
+        return placed.withColumn(alias, inside).drop("_j", "_n")
     w = _w(by, order_by)
     idx = F.row_number().over(w) - 1
     start, end = max(center - window // 2, 0), center + window // 2
     return df.withColumn(alias, (idx >= F.lit(start)) & (idx < F.lit(end)))
 
 
-def densify_weekly(df: DataFrame, ts_col: str, by: Sequence[str] = ()) -> DataFrame:
+def densify_weekly(df: DataFrame, ts_col: str, by: Sequence[str] = (), range_rows: int | None = None) -> DataFrame:
     """Reindex each series to every Sunday from its first to its last week (``asfreq('W')``);
     missing weeks -> null rows, rows off the Sunday grid vanish.
 
@@ -93,9 +110,9 @@ def densify_weekly(df: DataFrame, ts_col: str, by: Sequence[str] = ()) -> DataFr
     time and the next row's time as all-null rows. Two rows of a series with one time are an
     error, seen by the same window.
     """
-    w = _w(by, [ts_col])
     ts = F.col(ts_col)
-    df = df.withColumn("_next", F.lead(ts_col, 1).over(w))
+    with_next = lambda d, b, o: d.withColumn("_next", F.lead(ts_col, 1).over(_w(b, o)))
+    df = ranges.over_ranges(df, with_next, by, [ts_col], 1, range_rows) if range_rows else with_next(df, by, [ts_col])
     twice = F.raise_error(F.concat(F.lit(f"duplicate {ts_col}: "), ts.cast("string")))
     nxt = F.when(F.col("_next") == ts, twice).otherwise(F.col("_next"))
     sunday = cal.week_ending_timestamp(ts)
@@ -121,7 +138,7 @@ def gaussian_weights(sigma: float = 1.0, truncate: float = 4.0) -> list[float]:
 
 
 def gaussian_smooth(df: DataFrame, cols: Sequence[str], by: Sequence[str], order_by: Sequence[str],
-                    sigma: float = 1.0, suffix: str = "_smooth") -> DataFrame:
+                    sigma: float = 1.0, suffix: str = "_smooth", range_rows: int | None = None) -> DataFrame:
     """1-D Gaussian filter with mirrored edges (``d c b a | a b c d | d c b a``).
 
     Each row is also emitted at the mirrored positions it occupies in the
@@ -133,15 +150,20 @@ def gaussian_smooth(df: DataFrame, cols: Sequence[str], by: Sequence[str], order
     """
     weights = gaussian_weights(sigma)
     r = (len(weights) - 1) // 2
-    ordered = df.withColumn("_j", F.row_number().over(_w(by, order_by)) - 1) \
-        .withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*by) if by else Window.partitionBy()))
+    if range_rows:
+        ordered = ranges.with_place(df, by, order_by, "_j", "_n")
+    else:
+        ordered = df.withColumn("_j", F.row_number().over(_w(by, order_by)) - 1) \
+            .withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*by) if by else Window.partitionBy()))
     j, n = F.col("_j"), F.col("_n")
     wraps = F.ceil(F.lit(float(r)) / (n * 2)).cast("int") + 1
     copies = F.flatten(F.transform(F.sequence(-wraps, wraps),
                                    lambda t: F.array(j + n * 2 * t, F.lit(-1) - j + n * 2 * t)))
     copies = F.array_distinct(F.filter(copies, lambda p: (p >= -r) & (p <= n - 1 + r)))
     padded = ordered.withColumn("_p", F.explode(copies))
-    wp = _w(by, ["_p"])
+    if range_rows:
+        padded = ranges.split(padded, "_p", r, range_rows)
+    wp = _w([*by, ranges.RANGE] if range_rows else by, ["_p"])
     sums = {}
     for c in cols:
         total = None
@@ -151,6 +173,8 @@ def gaussian_smooth(df: DataFrame, cols: Sequence[str], by: Sequence[str], order
             total = term if total is None else total + term
         sums[f"{c}{suffix}"] = total
     out = padded.withColumns(sums).where((F.col("_p") >= 0) & (F.col("_p") < F.col("_n")))
+    if range_rows:
+        out = out.where(ranges.OWN).drop(ranges.RANGE, ranges.OWN)
     return out.drop("_j", "_n", "_p")
 
 

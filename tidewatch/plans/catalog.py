@@ -24,15 +24,17 @@ from ..operators import filters as flt
 from ..operators import joins as jn
 from ..operators import reshape as rs
 from ..operators import robust as rb
+from ..operators.ordinal import column_positions
 from ..operators import series as ser
 from ..schemas import COMBINED_METRICS, LICE_COLUMNS, LICE_COUNTS
 from ..schemas import SUMMARY_DOC, THRESHOLDS
-from ..session import cut_lineage, ensure_checkpoint_dir
+from ..session import cut_lineage, ensure_checkpoint_dir, stored
 from ..sources import commit_log
 from ..sources import files as fs
 from ..sources import supplied as sup
 from . import pipelines as pl
 
+BY_MUN = ["municipalityno"]
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 COVERAGE: dict[str, list[str]] = {}
@@ -358,6 +360,28 @@ def q_fish_table_shape(spark: SparkSession, d: str) -> DataFrame:
     return agg.shape(sup.fish_table(spark, d))
 
 
+@register("panel_profile", ["A20", "A14"])
+def q_panel_profile(spark: SparkSession, d: str) -> DataFrame:
+    """Rows, columns and nulls of the weekly panel's steps, counted by the one job that writes the panel."""
+    profile = agg.Profile()
+    lice = profile.step(lice_table(spark, d), "lice", [*LICE_COLUMNS, "seatemperature"])
+    weekly = profile.step(pl.weekly_weather(sup.observations(spark, d), BY_MUN), "weekly", ["week"])
+    panel = profile.step(pl.with_lice(weekly, lice, BY_MUN), "panel", [*LICE_COLUMNS, "localityname"])
+    stored(panel)
+    return profile.table(spark)
+
+
+@register("column_positions", ["P10"])
+def q_column_positions(spark: SparkSession, d: str) -> DataFrame:
+    return column_positions(sup.fish_table(spark, d))
+
+
+@register("reports_in_years", ["R8"])
+def q_reports_in_years(spark: SparkSession, d: str) -> DataFrame:
+    """Weeks with a lice count in the years that requests are answered for (2000 to 2022), per year."""
+    return flt.year_guard(lice_table(spark, d)).groupBy("year").agg(F.count("avgadultfemalelice").alias("n_weeks"))
+
+
 @register("element_catalog", ["A19"])
 def q_element_catalog(spark: SparkSession, d: str) -> DataFrame:
     return agg.distinct_values(sup.observations(spark, d), "elementid")
@@ -421,7 +445,6 @@ def q_upsert_reports(spark: SparkSession, d: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 
-BY_MUN = ["municipalityno"]
 LAGS = [0, 1, 2, 3, 4]
 
 

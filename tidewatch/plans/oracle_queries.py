@@ -475,4 +475,23 @@ SELECT 'kept' AS reason, year, week, count(*) AS documents, CAST(sum(CASE WHEN w
 UNION ALL SELECT 'not JSON, or values of other types', NULL, NULL, count(*) FILTER (week % 7 = 0) + count(*) FILTER (week % 13 = 0), NULL FROM doc HAVING count(*) FILTER (week % 7 = 0) + count(*) FILTER (week % 13 = 0) > 0
 UNION ALL SELECT 'without year', NULL, NULL, count(*) FILTER (week % 11 = 0), NULL FROM doc HAVING count(*) FILTER (week % 11 = 0) > 0""", "fish")
 
+SQL["reports_in_years"] = with_ctes("""
+SELECT year, count(avgadultfemalelice) AS n_weeks FROM lice WHERE year BETWEEN 2000 AND 2022 GROUP BY year""", "lice")
+
+_FISH_COLUMNS = ["localityno", "localityweekid", "name", "hasreportedlice", "isfallow", "avgadultfemalelice", "hascleanerfishdeployed", "hasmechanicalremoval",
+                 "hassubstancetreatments", "haspd", "hasila", "municipalityno", "municipality", "lat", "lon", "isonland", "infilteredselection",
+                 "hassalmonoids", "isslaughterholdingcage", "year", "week", "date"]
+SQL["column_positions"] = with_ctes("\n" + " UNION ALL ".join(
+    f"SELECT CAST({i} AS BIGINT) AS position, '{c}' AS \"column\", count({c}) AS n_values FROM fish" for i, c in enumerate(_FISH_COLUMNS)), "fish")
+
+
+def _profile(step: str, source: str, width: int, cols: list[str]) -> str:
+    return " UNION ALL ".join(f"SELECT '{step}' AS step, count(*) AS n_rows, CAST({width} AS BIGINT) AS n_cols, '{c}' AS \"column\", count(*) - count({c}) AS n_nulls FROM {source}"
+                              for c in cols)
+
+
+_LICE4 = ["avgadultfemalelice", "avgmobilelice", "avgstationarylice"]
+SQL["panel_profile"] = with_ctes("\n" + _profile("lice", "lice", 10, [*_LICE4, "seatemperature"]) + " UNION ALL " + _profile("weekly", "weekly_ok", 7, ["wk"]).replace(
+    "'wk'", "'week'") + " UNION ALL " + _profile("panel", "combined", 11, [*_LICE4, "localityname"]), "combine")
+
 SQL = {name: settled(text) for name, text in SQL.items()}

@@ -17,6 +17,7 @@ from ..operators import aggregates as agg
 from ..operators import filters as flt
 from ..operators import joins as jn
 from ..operators import reshape as rs
+from ..operators.ordinal import with_ordinal
 from ..schemas import ELEMENT_COLUMNS, ELEMENTS, MEAN_ELEMENTS, SUM_ELEMENTS
 
 # Columns of the combined table, in its order.
@@ -107,10 +108,11 @@ def combine(observations: DataFrame, lice: DataFrame, by: Sequence[str] = ("muni
     weekly = weekly_weather(observations, by, mode)
     if drop_empty_columns:
         lice = rs.drop_all_null_columns(lice)
-    return _with_lice(weekly, lice, by, mode)
+    return with_lice(weekly, lice, by, mode)
 
 
-def _with_lice(weekly: DataFrame, lice: DataFrame, by: Sequence[str], mode: str) -> DataFrame:
+def with_lice(weekly: DataFrame, lice: DataFrame, by: Sequence[str], mode: str = "script") -> DataFrame:
+    """E3 end: weekly weather with the lice counts of its week (J1/J2), in the combined columns; R11 in the script's mode."""
     lice = lice.withColumn("_label", cal.year_week_label("year", "week", "_")) \
         .select(*by, "_label", *[c for c in ("avgadultfemalelice", "avgmobilelice", "avgstationarylice",
                                             "seatemperature", "localityname") if c in lice.columns])
@@ -127,21 +129,26 @@ def combine_nearest(observations: DataFrame, lice: DataFrame, sites: DataFrame,
                     as_of=None, site_key: str = "localityno", area: str = "municipalityno") -> DataFrame:
     """E3 per site: J5 nearest ``k`` stations -> R6 the 365 days up to ``as_of`` -> R7 those stations -> weekly panel.
 
-    ``lice`` is the E2 table by ``area``; a site takes its area's reports. Observations are averaged per station
-    and day (A1) before they meet the sites, and each station's days go to the sites that chose it, so
-    the fan-out is the number of (site, station) pairs, k per site.
+    ``lice`` is the E2 table by ``area``; a site takes its area's reports. Observations are averaged (A1) and pivoted per
+    station and day before they meet the sites, so that one row a station and day goes to each site that chose the
+    station. Stations are ranked by (unit, station) once; D3 then compares numbers, and both pivots stay hash aggregations.
     """
     chosen = jn.nearest_stations(sites, stations, k=k, site_key=site_key).where(F.col("rank").isNotNull()).select(site_key, "sourceid")
     obs = flt.date_range(observations, "referencetime", as_of=as_of)
     obs = flt.restrict_sources(obs, chosen)
+    ranks = with_ordinal(obs.select("unit", "sourceid").distinct(), ["unit", "sourceid"], "_rank")
     daily = agg.mean_by(obs, ["sourceid", "referencetime", "elementid", "unit"], "value", exact=True)
-    per_site = daily.join(chosen, "sourceid")
-    wide = rs.pivot_first(per_site, [site_key, "referencetime"], "elementid", ELEMENTS, value_col="value",
-                          order_cols=["unit", "sourceid"])
+    daily = daily.join(ranks, daily.unit.eqNullSafe(ranks.unit) & daily.sourceid.eqNullSafe(ranks.sourceid)).select(
+        daily.sourceid, "referencetime", "elementid", "value", "_rank")
+    of = {e: F.when(F.col("elementid") == F.lit(e), F.col("_rank")) for e in ELEMENTS}
+    by_station = daily.groupBy("sourceid", "referencetime").agg(
+        *[F.min_by("value", rank).alias(f"_v{i}") for i, rank in enumerate(of.values())], *[F.min(rank).alias(f"_r{i}") for i, rank in enumerate(of.values())])
+    per_site = by_station.join(chosen, "sourceid")
+    wide = per_site.groupBy(site_key, "referencetime").agg(*[F.min_by(f"_v{i}", f"_r{i}").alias(e) for i, e in enumerate(ELEMENTS)])
     weekly = _weekly(wide, [site_key])
     place = sites.select(site_key, area)
     reports = lice.where(F.col("year").between(F.year(F.lit(as_of)) - 1, F.year(F.lit(as_of)) + 1)).join(place, area)
-    return _with_lice(weekly, reports, [site_key], "script")
+    return with_lice(weekly, reports, [site_key], "script")
 
 
 def year_summary(summary_docs: DataFrame) -> DataFrame:
