@@ -118,12 +118,13 @@ def candidate_pairs(lines: DataFrame, sizes: bytes, known: DataFrame, shingle: i
     """(a1, b1): 64-bit hashes, a1 < b1, of lines that pass the prefix, length and positional filters.
 
     ``sizes`` is the result of ``rarity``; ``known`` (h1) are lines that are known to be removed: two of
-    them need not be compared. Postings are the bulk of what is shuffled: a token, a line's hash, and
+    them need not be compared, nor one of them with a line before it, as the later line of a pair is the one that goes.
+    Postings are the bulk of what is shuffled: a token, a line's hash and first document, and
     its length, the token's place and whether the line is known in one number.
     """
     known = known.select("h1").distinct().withColumn("known", F.lit(1))
     few = known.count() <= BROADCAST_ROWS
-    flagged = lines.select("h1", "line").join(F.broadcast(known) if few else known, "h1", "left")
+    flagged = lines.select("h1", "line", "doc_id").join(F.broadcast(known) if few else known, "h1", "left")
     sets = with_shingles(flagged, "line", "tokens", shingle)
     table = F.lit(bytearray(sizes))
     size_of = lambda t: F.ascii(F.substring(table, F.pmod(t, F.lit(len(sizes))).cast("int") + 1, F.lit(1)).cast("string"))
@@ -132,17 +133,20 @@ def candidate_pairs(lines: DataFrame, sizes: bytes, known: DataFrame, shingle: i
     n = F.size("tokens")
     prefix = F.posexplode_outer(F.slice(ranked, F.lit(1), _prefix(threshold, n)))
     # copies of a line meet in the partial aggregation before the shuffle
-    postings = sets.select("h1", n.alias("n"), F.coalesce("known", F.lit(0)).alias("known"), prefix.alias("at", "token")).select(
-        "token", "h1", (F.col("n").cast("long") * (1 << 32) + F.col("at") * 2 + F.col("known")).alias("place")).distinct()
+    postings = sets.select("h1", "doc_id", n.alias("n"), F.coalesce("known", F.lit(0)).alias("known"), prefix.alias("at", "token")).select(
+        "token", "h1", "doc_id", (F.col("n").cast("long") * (1 << 32) + F.col("at") * 2 + F.col("known")).alias("place")) \
+        .groupBy("token", "h1", "place").agg(F.min("doc_id").alias("first"))
 
     def side(name: str) -> DataFrame:
         return postings.select("token", F.col("h1").alias(f"{name}1"), F.shiftright("place", 32).alias(f"{name}n"),
                                F.shiftright(F.col("place").bitwiseAND(F.lit((1 << 32) - 1)), 1).alias(f"{name}at"),
-                               F.col("place").bitwiseAND(F.lit(1)).alias(f"{name}known"))
+                               F.col("place").bitwiseAND(F.lit(1)).alias(f"{name}known"), F.col("first").alias(f"{name}first"))
     a, b = side("a"), side("b")
     overlap = F.ceil(F.lit(threshold / (1 + threshold)) * (F.col("an") + F.col("bn")) - _EPS)
+    undecided = (F.col("aknown") + F.col("bknown") == 0) | ((F.col("aknown") > F.col("bknown")) & (F.col("afirst") <= F.col("bfirst"))) | (
+        (F.col("aknown") < F.col("bknown")) & (F.col("afirst") >= F.col("bfirst")))
     met = a.join(b, "token").where(
-        (F.col("a1") < F.col("b1")) & (F.col("aknown") + F.col("bknown") < 2)
+        (F.col("a1") < F.col("b1")) & undecided
         & (F.least("an", "bn") >= _at_least(threshold, F.greatest("an", "bn"))))
     # Positional filter: from the first shared token on, both lines have enough left.
     left = F.max(F.least(F.col("an") - F.col("aat"), F.col("bn") - F.col("bat")))
