@@ -60,11 +60,11 @@ def _places(text: Column, number: int, rule: Rule) -> Column:
 def unseen_blobs(versions: DataFrame, ledger: DataFrame | None, rule_version: str) -> DataFrame:
     """(blob, text): one copy of every blob that the ledger does not have under this rule version."""
     blobs = versions.select(blob_of(F.col("text")).alias("blob"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    if ledger is not None:
-        known = ledger.where(F.col("rule_version") == rule_version).select("blob")
-        blobs = blobs.join(known, "blob", "left_anti")
-    # copies meet in the partial aggregation before the shuffle
-    return blobs.groupBy("blob").agg(F.first("text").alias("text"))
+    # copies meet in the partial aggregation before the shuffle; the ledger is joined on the same key
+    blobs = blobs.groupBy("blob").agg(F.first("text").alias("text"))
+    if ledger is None:
+        return blobs
+    return blobs.join(ledger.where(F.col("rule_version") == rule_version).select("blob"), "blob", "left_anti")
 
 
 def scan_blobs(blobs: DataFrame, rules: tuple[Rule, ...] = RULES, rule_version: str = RULE_VERSION) -> DataFrame:
