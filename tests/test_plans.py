@@ -45,3 +45,9 @@ def test_flagship_scan_is_column_pruned(plans):
 def test_no_row_at_a_time_python_udfs(plans):
     for name, text in plans.items():
         assert "BatchEvalPython" not in text, name
+
+
+@pytest.mark.parametrize("name", ["combine_weekly", "combine_nearest"])
+def test_weekly_panels_aggregate_by_hash(spark, name):
+    plan = REGISTRY[name](spark, SMOKE)._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan

@@ -113,7 +113,8 @@ def pivot_first(df: DataFrame, keys: Sequence[str], pivot_col: str, values: Sequ
     for v in values:
         is_v = F.col(pivot_col) == F.lit(v)
         if order_cols:
-            cell = F.min_by(F.col(value_col), F.when(is_v, F.struct(*[F.col(c) for c in order_cols])))
+            order = F.col(order_cols[0]) if len(order_cols) == 1 else F.struct(*order_cols)
+            cell = F.min_by(F.col(value_col), F.when(is_v, order))
         else:
             only = F.first(F.when(is_v, F.col(value_col)), ignorenulls=True)
             twice = F.raise_error(F.concat(F.lit(f"duplicate entries for {pivot_col} {v} of "), F.to_json(F.struct(*keys))))

@@ -48,10 +48,18 @@ def daily_wide(observations: DataFrame, by: Sequence[str] = (), mode: str = "scr
             F.max(F.struct("sourceid", "unit", "value"))["value"].alias("value"))
         daily = agg.mean_by(kept, [*by, "referencetime", "_element"], "value", exact=True)
         return _labelled(rs.pivot_first(daily, [*by, "referencetime"], "_element", codes, value_col="value", names=names))
-    keys = [*by, "referencetime", "_element", "unit", "sourceid"]
-    daily = agg.mean_by(obs, keys, "value", exact=True)
+    # D3 compares the place of (unit, station) in their order, a number: keys are narrow and both aggregations hash-based
+    ranks = _ranked(obs)
+    same = obs.unit.eqNullSafe(ranks.unit) & obs.sourceid.eqNullSafe(ranks.sourceid)
+    obs = obs.join(ranks, same).select(*by, "referencetime", "_element", "_rank", "value")
+    daily = agg.mean_by(obs, [*by, "referencetime", "_element", "_rank"], "value", exact=True)
     return _labelled(rs.pivot_first(daily, [*by, "referencetime"], "_element", codes, value_col="value",
-                                    order_cols=["unit", "sourceid"], names=names))
+                                    order_cols=["_rank"], names=names))
+
+
+def _ranked(obs: DataFrame) -> DataFrame:
+    """(unit, sourceid, _rank) of the observations' units and stations, in their order."""
+    return with_ordinal(obs.select("unit", "sourceid").distinct(), ["unit", "sourceid"], "_rank")
 
 
 def _labelled(wide: DataFrame) -> DataFrame:
@@ -136,7 +144,7 @@ def combine_nearest(observations: DataFrame, lice: DataFrame, sites: DataFrame,
     chosen = jn.nearest_stations(sites, stations, k=k, site_key=site_key).where(F.col("rank").isNotNull()).select(site_key, "sourceid")
     obs = flt.date_range(observations, "referencetime", as_of=as_of)
     obs = flt.restrict_sources(obs, chosen)
-    ranks = with_ordinal(obs.select("unit", "sourceid").distinct(), ["unit", "sourceid"], "_rank")
+    ranks = _ranked(obs)
     daily = agg.mean_by(obs, ["sourceid", "referencetime", "elementid", "unit"], "value", exact=True)
     daily = daily.join(ranks, daily.unit.eqNullSafe(ranks.unit) & daily.sourceid.eqNullSafe(ranks.sourceid)).select(
         daily.sourceid, "referencetime", "elementid", "value", "_rank")
