@@ -134,16 +134,18 @@ def nearest_stations(sites: DataFrame, stations: DataFrame, k: int = 5, site_key
                             F.struct(*cell).alias("_child"), "_n", "_split", *[F.col(f"_b_{c}") for c in "snwe"])
     # down to the deepest cell that has all stations there is nothing to choose
     root = cells.where(F.col("_n") == st.count()).orderBy(F.desc("level")).select(*cell, "_split").first()
-    left = placed.select(*by).distinct().select(*by, F.lit(root.level).alias("level"), F.lit(root.ci).cast("long").alias("ci"),
+    left = cut_lineage(placed.select(*by).distinct().select(*by, F.lit(root.level).alias("level"), F.lit(root.ci).cast("long").alias("ci"),
                                                 F.lit(root.cj).cast("long").alias("cj"), F.lit(None).cast("long").alias("_n"),
                                                 F.lit(None).cast("double").alias("_near"), F.lit(None).cast("double").alias("_far"),
-                                                F.lit(root["_split"]).alias("_split"))
+                                                F.lit(root["_split"]).alias("_split")))
+    # all places begin in one cell, whose children (16 at most) go to every task
+    below = F.broadcast(children.where((F.col("level") == root.level) & (F.col("ci") == root.ci) & (F.col("cj") == root.cj)))
     going_on = root["_split"]
     while going_on:
         here = [F.col("_lat"), F.col("_lon")]
         # the farthest point of a box is the one nearest to the place on the other side of the globe
         antipode = [-F.col("_lat"), _wrapped(F.col("_lon") + 180.0)]
-        opened = left.where("_split").select(*by, *cell).join(children, cell).select(
+        opened = left.where("_split").select(*by, *cell).join(below, cell).select(
             *by, "_child.*", "_n", _to_box_km(*here, "_b").alias("_near"),
             (F.lit(math.pi * EARTH_RADIUS_KM) - _to_box_km(*antipode, "_b")).alias("_far"), "_split")
         both = left.where(~F.col("_split")).unionByName(opened)
@@ -152,6 +154,7 @@ def nearest_stations(sites: DataFrame, stations: DataFrame, k: int = 5, site_key
         left = cut_lineage(both.withColumn("_reached", reached).withColumn("_bound", bound)
                            .where(F.col("_bound").isNull() | (F.col("_near") <= F.col("_bound") + _SLACK_KM)).drop("_reached", "_bound"))
         going_on = not left.where("_split").limit(1).isEmpty()
+        below = children
     rank = Window.partitionBy(*by).orderBy("_dist", "_sid")
     found = left.select(*by, *cell).join(members, cell).select(
         *by, "_sid", haversine_km(F.col("_lat"), F.col("_lon"), F.col("_slat"), F.col("_slon")).alias("_dist")) \
