@@ -1,4 +1,4 @@
-"""F-distribution tail and quantile (numpy, vectorised) and the Arrow-batched column wrapper.
+"""F-distribution tail and quantile for driver-side numbers (numpy, vectorised); columns use :mod:`.tails`.
 
 Regularised incomplete beta by Lentz's continued fraction (Press et al.,
 *Numerical Recipes*, §6.4): sf(F; d1, d2) = I_{d2/(d2+d1 F)}(d2/2, d1/2).
@@ -9,10 +9,6 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
 
 _lgamma = np.vectorize(math.lgamma, otypes=[float])
 _TINY = 1e-300
@@ -97,14 +93,3 @@ def t2_limit(n: int, p: int, alpha: float) -> float:
     if n - p <= 0:
         return float("nan")
     return f_isf(alpha, p, n - p) * p * (n - 1) / (n - p)
-
-
-@F.pandas_udf(DoubleType())
-def _f_sf_udf(f: pd.Series, d1: pd.Series, d2: pd.Series) -> pd.Series:
-    return pd.Series(f_sf(f.to_numpy(dtype=float, na_value=np.nan), d1.to_numpy(dtype=float, na_value=np.nan),
-                          d2.to_numpy(dtype=float, na_value=np.nan)))
-
-
-def f_sf_col(f: Column, d1: Column, d2: Column) -> Column:
-    """Column expression: upper tail of F(d1, d2) at ``f`` (Arrow-batched pandas UDF)."""
-    return _f_sf_udf(f.cast("double"), d1.cast("double"), d2.cast("double"))
