@@ -194,16 +194,22 @@ OBSERVATION_PAGES = 4
 def q_observations_flatten(spark: SparkSession, d: str) -> DataFrame:
     """Observation documents rebuilt from the observations, landed as JSON files in a folder for each
     municipality, read and flattened (S3/P3). A document has one page of a station's day: a day's
-    observations are split by a hash, so that documents stay small however dense a station reports."""
-    obs = sup.observations(spark, d)
-    page = F.pmod(F.xxhash64("elementid", "timeoffset", "value"), F.lit(OBSERVATION_PAGES))
-    per_day = (obs.groupBy("municipalityno", "sourceid", "referencetime", page.alias("_page"))
-               .agg(F.collect_list(F.struct(F.col("elementid").alias("elementId"), "value", "unit",
-                                            F.col("timeoffset").alias("timeOffset"))).alias("observations")))
+    readings are split by a hash, so that documents stay small however dense a station reports. The files are compressed."""
+    rows = sup.readings(spark, d)
+    page = F.pmod(F.xxhash64(*sup.READING), F.lit(OBSERVATION_PAGES))
+    # a reading goes through the shuffle as one narrow row; its observations are spelled out behind it
+    station_day = ["municipalityno", "l_suppkey", "l_shipdate", "_page"]
+    per_day = rows.withColumn("_page", page).repartition(*station_day).groupBy(*station_day).agg(
+        F.collect_list(F.struct(*sup.READING)).alias("_readings"))
+    spelled = F.transform("_readings", lambda r: F.transform(sup.elements_of(r.getField), lambda e: F.struct(
+        e["elementid"].alias("elementId"), e["value"].alias("value"), e["unit"].alias("unit"),
+        sup.time_offset_of(r["l_linenumber"]).alias("timeOffset"))))
+    per_day = per_day.select("municipalityno", sup.station_of(F.col("l_suppkey")).alias("sourceid"),
+                             cal.to_utc_timestamp_col("l_shipdate").alias("referencetime"), F.flatten(spelled).alias("observations"))
     stamp = F.date_format("referencetime", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
     data = F.array(F.struct(F.col("sourceid").alias("sourceId"), stamp.alias("referenceTime"), "observations"))
     docs = per_day.select("municipalityno", F.to_json(F.struct(data.alias("data"))).alias("json"))
-    parsed = fs.read_observations(spark, fs.land(docs, ensure_checkpoint_dir(spark), ["municipalityno"]), multiline=False)
+    parsed = fs.read_observations(spark, fs.land(docs, ensure_checkpoint_dir(spark), ["municipalityno"], "gzip"), multiline=False)
     return finish(rs.flatten_observations(parsed, ["municipalityno"]))
 
 

@@ -158,10 +158,15 @@ def refresh_table(df: DataFrame, schema: T.StructType, root: str) -> DataFrame:
     return read_published(df.sparkSession, root)
 
 
-def land(docs: DataFrame, root: str, partition_by: Sequence[str] = ()) -> str:
+#: documents of a compressed file: it is read by one task
+_FILE_DOCUMENTS = 500_000
+
+
+def land(docs: DataFrame, root: str, partition_by: Sequence[str] = (), compression: str = "none") -> str:
     """Write the ``json`` text column as landed documents, one per line, in a new folder under ``root``."""
     path = f"{root.rstrip('/')}/landed-{uuid.uuid4().hex}"
-    docs.select("json", *partition_by).write.partitionBy(*partition_by).text(path)
+    docs.select("json", *partition_by).write.partitionBy(*partition_by) \
+        .option("maxRecordsPerFile", 0 if compression == "none" else _FILE_DOCUMENTS).text(path, compression=compression)
     return path
 
 

@@ -21,6 +21,8 @@ parquet scans. The equivalent DuckDB SQL of each view lives in
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -116,25 +118,46 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     One lineitem yields four element rows; its supplier is the station and the
     supplier's nation the municipality the station serves.
     """
+    j = readings(spark, sf_dir)
+    return (j.select("municipalityno", station_of(F.col("l_suppkey")).alias("sourceid"),
+                     cal.to_utc_timestamp_col("l_shipdate").alias("referencetime"),
+                     time_offset_of(F.col("l_linenumber")).alias("timeoffset"),
+                     F.inline(elements_of(F.col)))
+            .select("municipalityno", "sourceid", "referencetime", "elementid", "value", "unit", "timeoffset"))
+
+
+def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the observations are made of, one row for the four of them: the lineitem's columns and ``municipalityno``."""
     li = table(spark, sf_dir, "lineitem")
     su = table(spark, sf_dir, "supplier")
-    j = li.join(su, li.l_suppkey == su.s_suppkey, "inner")
-    elements = F.array(
+    return li.join(su, li.l_suppkey == su.s_suppkey, "inner").select(
+        F.col("s_nationkey").alias("municipalityno"), "l_suppkey", "l_shipdate", *READING)
+
+
+#: columns of a lineitem that its observations differ in
+READING = ["l_linenumber", "l_quantity", "l_discount", "l_tax", "l_extendedprice"]
+
+
+def station_of(suppkey: F.Column) -> F.Column:
+    return F.concat(F.lit("SN"), suppkey.cast("string"))
+
+
+def time_offset_of(linenumber: F.Column) -> F.Column:
+    return F.concat(F.lit("PT"), linenumber.cast("string"), F.lit("H"))
+
+
+def elements_of(of: Callable[[str], F.Column]) -> F.Column:
+    """The four observations (elementid, value, unit) of a reading, whose columns ``of`` gives by name."""
+    return F.array(
         F.struct(F.lit(ELEMENT_AIR).alias("elementid"),
-                 (F.col("l_quantity") * 0.5 - 5.0).alias("value"), F.lit("degC").alias("unit")),
+                 (of("l_quantity") * 0.5 - 5.0).alias("value"), F.lit("degC").alias("unit")),
         F.struct(F.lit(ELEMENT_HUMIDITY).alias("elementid"),
-                 (F.col("l_discount") * 500.0 + 50.0).alias("value"), F.lit("percent").alias("unit")),
+                 (of("l_discount") * 500.0 + 50.0).alias("value"), F.lit("percent").alias("unit")),
         F.struct(F.lit(ELEMENT_WIND).alias("elementid"),
-                 (F.col("l_tax") * 200.0).alias("value"), F.lit("m/s").alias("unit")),
+                 (of("l_tax") * 200.0).alias("value"), F.lit("m/s").alias("unit")),
         F.struct(F.lit(ELEMENT_PRECIPITATION).alias("elementid"),
-                 (F.col("l_extendedprice") / 1000.0).alias("value"), F.lit("mm").alias("unit")),
+                 (of("l_extendedprice") / 1000.0).alias("value"), F.lit("mm").alias("unit")),
     )
-    return (j.select(F.col("s_nationkey").alias("municipalityno"),
-                     F.concat(F.lit("SN"), F.col("l_suppkey").cast("string")).alias("sourceid"),
-                     cal.to_utc_timestamp_col("l_shipdate").alias("referencetime"),
-                     F.concat(F.lit("PT"), F.col("l_linenumber").cast("string"), F.lit("H")).alias("timeoffset"),
-                     F.inline(elements))
-            .select("municipalityno", "sourceid", "referencetime", "elementid", "value", "unit", "timeoffset"))
 
 
 def lice_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
