@@ -19,6 +19,7 @@ from ..operators import joins as jn
 from ..operators import reshape as rs
 from ..operators.ordinal import with_ordinal
 from ..schemas import ELEMENT_COLUMNS, ELEMENTS, MEAN_ELEMENTS, SUM_ELEMENTS
+from ..session import cut_lineage
 
 # Columns of the combined table, in its order.
 COMBINED_COLUMNS = ["referencetime", "mean_air_temperature", "mean_relative_humidity", "mean_wind_speed",
@@ -48,18 +49,37 @@ def daily_wide(observations: DataFrame, by: Sequence[str] = (), mode: str = "scr
             F.max(F.struct("sourceid", "unit", "value"))["value"].alias("value"))
         daily = agg.mean_by(kept, [*by, "referencetime", "_element"], "value", exact=True)
         return _labelled(rs.pivot_first(daily, [*by, "referencetime"], "_element", codes, value_col="value", names=names))
-    # D3 compares the place of (unit, station) in their order, a number: keys are narrow and both aggregations hash-based
-    ranks = _ranked(obs)
-    same = obs.unit.eqNullSafe(ranks.unit) & obs.sourceid.eqNullSafe(ranks.sourceid)
-    obs = obs.join(ranks, same).select(*by, "referencetime", "_element", "_rank", "value")
-    daily = agg.mean_by(obs, [*by, "referencetime", "_element", "_rank"], "value", exact=True)
+    # D3 compares the place of (unit, station) in their order, a number: keys are narrow and all aggregations hash-based
+    obs = _with_ranks(obs).select(*by, "referencetime", "_element", "_rank", "value").dropna(subset=[*by, "referencetime", "_element"])
+    # the smallest is found first, so that only its observations are averaged: the others never reach a shuffle
+    cell = [*by, "referencetime", "_element"]
+    first = cut_lineage(obs.groupBy(*cell).agg(F.min("_rank").alias("_rank")))
+    daily = agg.mean_by(obs.join(_small(first), [*cell, "_rank"], "left_semi"), [*cell, "_rank"], "value", exact=True)
     return _labelled(rs.pivot_first(daily, [*by, "referencetime"], "_element", codes, value_col="value",
                                     order_cols=["_rank"], names=names))
 
 
-def _ranked(obs: DataFrame) -> DataFrame:
-    """(unit, sourceid, _rank) of the observations' units and stations, in their order."""
-    return with_ordinal(obs.select("unit", "sourceid").distinct(), ["unit", "sourceid"], "_rank")
+#: rows up to which a checkpointed table of numbers and short texts is sent to all tasks; beyond, Spark plans the join
+BROADCAST_ROWS = 1_000_000
+#: bits of a rank that hold the station
+_STATION_BITS = 40
+
+
+def _small(df: DataFrame) -> DataFrame:
+    """A checkpointed table with the hint to broadcast it if it is small."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
+def _with_ranks(obs: DataFrame, among: DataFrame | None = None) -> DataFrame:
+    """``obs`` with ``_rank``, a number in the order of (unit, sourceid); units and stations are numbered apart, those of
+    ``among`` (``obs`` itself by default)."""
+    pairs = cut_lineage((obs if among is None else among).select("unit", "sourceid").distinct())
+    rank = F.lit(0).cast("long")
+    for name, bits in (("unit", _STATION_BITS), ("sourceid", 0)):
+        places = with_ordinal(pairs.select(F.col(name).alias("_name")).distinct(), ["_name"], f"_{name}")
+        obs = obs.join(_small(cut_lineage(places)), obs[name].eqNullSafe(F.col("_name"))).drop("_name")
+        rank = rank + F.shiftleft(f"_{name}", bits)
+    return obs.withColumn("_rank", rank).drop("_unit", "_sourceid")
 
 
 def _labelled(wide: DataFrame) -> DataFrame:
@@ -138,22 +158,26 @@ def combine_nearest(observations: DataFrame, lice: DataFrame, sites: DataFrame,
     """E3 per site: J5 nearest ``k`` stations -> R6 the 365 days up to ``as_of`` -> R7 those stations -> weekly panel.
 
     ``lice`` is the E2 table by ``area``; a site takes its area's reports. Observations are averaged (A1) and pivoted per
-    station and day before they meet the sites, so that one row a station and day goes to each site that chose the
-    station. Stations are ranked by (unit, station) once; D3 then compares numbers, and both pivots stay hash aggregations.
+    station and day before they meet the choices, so that one row a station and day goes to each set of stations that has
+    the station, and the weeks of a set to its sites. Stations are ranked by (unit, station) once; D3 then compares numbers, and both pivots stay hash aggregations.
     """
-    chosen = jn.nearest_stations(sites, stations, k=k, site_key=site_key).where(F.col("rank").isNotNull()).select(site_key, "sourceid")
-    obs = flt.date_range(observations, "referencetime", as_of=as_of)
-    obs = flt.restrict_sources(obs, chosen)
-    ranks = _ranked(obs)
+    found = jn.nearest_stations(sites, stations, k=k, site_key=site_key).where(F.col("rank").isNotNull()).select(site_key, "sourceid")
+    # which station is nearer makes no difference to the panel: sites that chose the same stations share one
+    sets = found.groupBy(site_key).agg(F.array_sort(F.collect_set("sourceid")).alias("_stations")) \
+        .withColumns({"_s1": F.xxhash64("_stations"), "_s2": F.xxhash64(F.lit(1), "_stations")})
+    sets = cut_lineage(sets)
+    by_set = ["_s1", "_s2"]
+    chosen = sets.groupBy(*by_set).agg(F.first("_stations").alias("_stations")).select(*by_set, F.explode("_stations").alias("sourceid"))
+    year = flt.date_range(observations, "referencetime", as_of=as_of)
+    obs = flt.restrict_sources(year, chosen)
     daily = agg.mean_by(obs, ["sourceid", "referencetime", "elementid", "unit"], "value", exact=True)
-    daily = daily.join(ranks, daily.unit.eqNullSafe(ranks.unit) & daily.sourceid.eqNullSafe(ranks.sourceid)).select(
-        daily.sourceid, "referencetime", "elementid", "value", "_rank")
+    daily = _with_ranks(daily, year).select("sourceid", "referencetime", "elementid", "value", "_rank")
     of = {e: F.when(F.col("elementid") == F.lit(e), F.col("_rank")) for e in ELEMENTS}
     by_station = daily.groupBy("sourceid", "referencetime").agg(
         *[F.min_by("value", rank).alias(f"_v{i}") for i, rank in enumerate(of.values())], *[F.min(rank).alias(f"_r{i}") for i, rank in enumerate(of.values())])
-    per_site = by_station.join(chosen, "sourceid")
-    wide = per_site.groupBy(site_key, "referencetime").agg(*[F.min_by(f"_v{i}", f"_r{i}").alias(e) for i, e in enumerate(ELEMENTS)])
-    weekly = _weekly(wide, [site_key])
+    per_set = by_station.join(chosen, "sourceid")
+    wide = per_set.groupBy(*by_set, "referencetime").agg(*[F.min_by(f"_v{i}", f"_r{i}").alias(e) for i, e in enumerate(ELEMENTS)])
+    weekly = _weekly(wide, by_set).join(sets.select(site_key, *by_set), by_set).drop(*by_set)
     place = sites.select(site_key, area)
     reports = lice.where(F.col("year").between(F.year(F.lit(as_of)) - 1, F.year(F.lit(as_of)) + 1)).join(place, area)
     return with_lice(weekly, reports, [site_key], "script")
