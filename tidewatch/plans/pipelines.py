@@ -167,7 +167,7 @@ def combine_nearest(observations: DataFrame, lice: DataFrame, sites: DataFrame,
         .withColumns({"_s1": F.xxhash64("_stations"), "_s2": F.xxhash64(F.lit(1), "_stations")})
     sets = cut_lineage(sets)
     by_set = ["_s1", "_s2"]
-    chosen = sets.groupBy(*by_set).agg(F.first("_stations").alias("_stations")).select(*by_set, F.explode("_stations").alias("sourceid"))
+    chosen = sets.select(*by_set, F.explode("_stations").alias("sourceid")).distinct()
     year = flt.date_range(observations, "referencetime", as_of=as_of)
     obs = flt.restrict_sources(year, chosen)
     daily = agg.mean_by(obs, ["sourceid", "referencetime", "elementid", "unit"], "value", exact=True)
