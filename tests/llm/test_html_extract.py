@@ -182,3 +182,26 @@ def test_differencing_of_the_given_pages_without_their_marks(spark):
     expected = brute_difference(rows)
     assert found == {k: "\n".join(x) for k, x in expected.items()}
     assert any(len(x) < len(hx.page_lines(page)[0]) for (_, _, page), x in zip(rows, expected.values()))
+
+
+def test_differencing_of_marked_articles(spark):
+    def page(article, menu=("Home", "Send to a friend"), tag="article"):
+        return f"<nav>{''.join(f'<a>{x}</a><br>' for x in menu)}</nav><{tag}>{''.join(f'<p>{x}</p>' for x in article)}</{tag}><footer>All rights</footer>"
+    rows = [(1, "http://a.example/x/1", page(["alpha", "Send to a friend", "a shared paragraph", "All rights"])),
+            (2, "http://a.example/x/2", page(["beta", "Send to a friend", "a shared paragraph", "All rights"])),
+            (3, "http://b.example/x/1", page(["gamma", "Home"])),  # only one page has it in its article
+            (4, "http://b.example/x/2", page(["delta", "Send to a friend"], menu=["Home"])),  # not outside this article
+            (5, "http://c.example/x/1", page(["same text", "Home"])), (6, "http://c.example/x/2", page(["same text", "Home"])),  # copies
+            (7, "http://d.example/x/1", page(["epsilon", "Home", "end"], tag="main")), (8, "http://d.example/x/1?q=2", page(["epsilon", "Home", "end"])),
+            (9, "http://d.example/x/3", page(["zeta", "Home"])), (10, "http://d.example/x/4", unmarked(["eta"]))]
+    assert hx.page_blocks(rows[0][2]) == (["alpha", "Send to a friend", "a shared paragraph", "All rights"], True, [1, 3])
+    expected = {1: ["alpha", "a shared paragraph"], 2: ["beta", "a shared paragraph"], 3: ["gamma", "Home"], 4: ["delta", "Send to a friend"],
+                5: ["same text", "Home"], 6: ["same text", "Home"], 7: ["epsilon", "end"], 8: ["epsilon", "end"], 9: ["zeta"],
+                10: ["Top line of the site", "eta", "All rights reserved"]}
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    for partitions in ("1", "5"):
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        try:
+            assert {r.page_id: r.text.split("\n") for r in hx.main_text(pages(spark, rows)).collect()} == expected
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", before)

@@ -1,16 +1,17 @@
-"""Main text of web pages: structure first, then nearest-URL page differencing.
+"""Main text of web pages: text blocks by structure, and nearest-URL page differencing of every page.
 
 A page is read as text blocks in page order. Blocks in menus, headers, footers, sidebars, notices,
 adverts, forms, scripts, styles and reader comments (by element, role, class or id) are left out.
-If the page marks its article (``article``, else ``main``), its blocks are the text.
+If the page marks its article (``article``, else ``main``), its blocks are the candidates for the text, else all that are left.
 
-For a page that marks none, templates are found by differencing. Pages of a host with equal lines count as
+Templates are found by differencing. Pages of a host with equal lines count as
 one page, which is put in the order of the URL paths within the host. Neighbours that share nearly all
 lines of both (of the shorter one, if their paths are equal) are copies of one article, not two articles in one
 template; a run of such copies is passed over, and each of its pages is paired with the last page before
 the run or the first one after it: first with the one that shares the longer path prefix, and with the
 other if that is a copy, too, or has all lines of the page. The two pages' lines are aligned by a longest
-common subsequence, and lines that both share are deleted. Pages for which neither will do are left
+common subsequence, and lines that both share are deleted. In a marked article, where neighbours also share paragraphs, a
+shared line is deleted if both pages have it outside their articles, too, in a menu or a footer, say. Pages for which neither will do are left
 whole, as where all pages of a host share nearly everything: then a short article in a large template and
 a copy of an article cannot be told apart.
 
@@ -102,8 +103,14 @@ def tag_ends(html: str):
 
 def page_lines(html: str) -> tuple[list[str], bool]:
     """(text lines of a page in order, whether they are the marked article)."""
+    lines, marked, _ = page_blocks(html)
+    return lines, marked
+
+
+def page_blocks(html: str) -> tuple[list[str], bool, list[int]]:
+    """``page_lines`` and the numbers of the lines of a marked article that the page has outside it, too."""
     low = html.lower()
-    lines: list[tuple[str, int]] = []  # level 0: unmarked, 1: in main, 2: in article
+    lines: list[tuple[str, int]] = []  # level -1: left out, 0: unmarked, 1: in main, 2: in article
     parts: list[str] = []
     article = main = 0
     zone, depth, strict = "", 0, False  # the element that opened the zone, its nesting
@@ -114,31 +121,29 @@ def page_lines(html: str) -> tuple[list[str], bool]:
         text = " ".join(_html.unescape("".join(parts)).split())
         parts.clear()
         if text:
-            lines.append((text, 2 if article else 1 if main else 0))
+            lines.append((text, -1 if zone else 2 if article else 1 if main else 0))
 
     while True:
         if at > last:  # no tag can end any more; an open comment goes
-            if not zone:
-                parts.append(html[at:].partition("<!--")[0])
+            parts.append(html[at:].partition("<!--")[0])
             break
         tag = _TAG.search(html, at)
         if tag and tag[2] and tag.start() > last:  # no tag: it cannot end
             still_open = _OPEN.search(html, tag.end())
             tag = still_open and _TAG.match(html, still_open.start())
         if tag is None or tag.start() > at:
-            if not zone:
-                parts.append(html[at:tag.start() if tag else len(html)])
+            parts.append(html[at:tag.start() if tag else len(html)])
         if tag is None:
             break
         at = tag.end()
         name = (tag[2] or "").lower()
         if not name:
-            if not zone and tag[0].startswith("<![CDATA["):
+            if tag[0].startswith("<![CDATA["):
                 parts.append(_html.escape(tag[0][9:].removesuffix("]]>")))
             continue
         end = tag_end(at)
         closing, attributes, at = tag[1], html[at:end], end + 1
-        if name not in _INLINE and not zone:
+        if name not in _INLINE or name == zone:
             if name in ("td", "th"):
                 parts.append(" ")
             else:
@@ -147,6 +152,7 @@ def page_lines(html: str) -> tuple[list[str], bool]:
             if zone and name == zone:
                 depth -= 1
                 if not depth:
+                    close()
                     zone = ""
             elif not zone and name == "article":
                 article = max(0, article - 1)
@@ -161,6 +167,7 @@ def page_lines(html: str) -> tuple[list[str], bool]:
             continue
         if zone:
             if name in ("article", "main") and not strict and zone not in _ZONES:
+                close()
                 zone = ""  # a class that names a layout, not a part
             else:
                 depth += name == zone
@@ -175,8 +182,10 @@ def page_lines(html: str) -> tuple[list[str], bool]:
         elif name == "main" or "role" in attributes and re.search(r"role\s*=\s*[\"']?main\b", attributes):
             main += name == "main"
     close()
-    best = max((level for _, level in lines), default=0)
-    return [text for text, level in lines if level == best], best > 0
+    best = max((level for _, level in lines if level >= 0), default=0)
+    outside = {text for text, level in lines if level < best} if best else set()
+    kept = [text for text, level in lines if level == best]
+    return kept, best > 0, [i for i, text in enumerate(kept) if text in outside]
 
 
 def common_lines(a: list[int], b: list[int]) -> list[int]:
@@ -213,17 +222,19 @@ def split_url(url: str) -> tuple[str, str]:
 def _line_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     from .common import text_slices
     for batch, raws in text_slices(batches, "html"):
-        host, path, hashes, marked = [], [], [], []
+        host, path, hashes, marked, outside = [], [], [], [], []
         for url, raw in zip(batch.column(2).to_pylist(), raws):
             a, b = split_url(url or "")
-            lines, known = page_lines(raw.decode())
+            lines, known, outer = page_blocks(raw.decode())
             host.append(a)
             path.append(b)
             marked.append(known)
+            outside.append(outer)
             hashes.append([xxhash.xxh64_intdigest(x) - (1 << 63) for x in lines])
         yield pa.RecordBatch.from_pydict({
             "k1": batch.column(0), "k2": batch.column(1), "host": pa.array(host, pa.string()), "path": pa.array(path, pa.string()),
-            "marked": pa.array(marked, pa.bool_()), "lines": pa.array(hashes, pa.list_(pa.int64()))})
+            "marked": pa.array(marked, pa.bool_()), "lines": pa.array(hashes, pa.list_(pa.int64())),
+            "outside": pa.array(outside, pa.list_(pa.int32()))})
 
 
 def _are_copies(a_path: str, a: list[int], b_path: str, b: list[int], shared: int, copy_share: float) -> bool:
@@ -239,7 +250,7 @@ def _run_starts(copy_share: float):
             for row in zip(*[batch.column(i).to_pylist() for i in range(7)]):
                 part, rank, place, host, path, marked, lines = row
                 if not rank:
-                    joined = (before and before[0] == part and before[3] == host and not marked and not before[5]
+                    joined = (before and before[0] == part and before[3] == host and marked == before[5]
                               and _are_copies(path, lines, before[4], before[6], len(common_lines(lines, before[6])), copy_share))
                     at.append(place)
                     starts.append(not joined)
@@ -254,14 +265,17 @@ def _difference(copy_share: float):
     A run's pages wait in memory for the page after it: the line hashes of one range at most.
     """
     def answer(page, near):
-        _, _, l1, l2, host, path, marked, lines, _ = page
-        if marked:
+        _, _, l1, l2, host, path, marked, lines, _, outside = page
+        if marked and not outside:
             return None
-        near = [p for p in near if p and p[4] == host]
+        near = [p for p in near if p and p[4] == host and (p[6] or not marked)]
         for other in sorted(near, key=lambda p: -len(commonprefix([p[5], path]))):  # the preceding page of equals
             shared = common_lines(lines, other[7])
             if len(shared) < len(lines) and not _are_copies(path, lines, other[5], other[7], len(shared), copy_share):
-                return (host, l1, l2, shared) if shared else None
+                if marked:  # its neighbour is, too
+                    there = {other[7][i] for i in other[9]}
+                    shared = [i for i in shared if i in set(outside) and lines[i] in there]
+                return (host, l1, l2, marked, shared) if shared else None
         return None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -271,10 +285,11 @@ def _difference(copy_share: float):
             found = [x for x in found if x]
             return pa.RecordBatch.from_pydict({
                 "host": pa.array([x[0] for x in found], pa.string()), "l1": pa.array([x[1] for x in found], pa.int64()),
-                "l2": pa.array([x[2] for x in found], pa.int64()), "gone": pa.array([x[3] for x in found], pa.list_(pa.int32()))})
+                "l2": pa.array([x[2] for x in found], pa.int64()), "marked": pa.array([x[3] for x in found], pa.bool_()),
+                "gone": pa.array([x[4] for x in found], pa.list_(pa.int32()))})
         for batch in batches:
             found = []
-            for row in zip(*[batch.column(i).to_pylist() for i in range(9)]):
+            for row in zip(*[batch.column(i).to_pylist() for i in range(10)]):
                 if row[0] != part:
                     found += [answer(page, (left, None)) for page in same]
                     part, left, same = row[0], None, []
@@ -309,13 +324,16 @@ def _keyed(pages: DataFrame) -> DataFrame:
 
 
 def template_lines(pages: DataFrame, copy_share: float = COPY_SHARE) -> DataFrame:
-    """(k1, k2, gone): numbers of the lines that a page without a marked article shares with its nearest page that is no copy."""
+    """(k1, k2, gone): numbers of the lines that a page shares with its nearest page that is no copy; of the lines of a marked
+    article only those that both pages have outside their articles, too."""
     spark = pages.sparkSession
     rows = _keyed(pages).select("k1", "k2", "url", "html").mapInArrow(
-        _line_hashes, "k1 long, k2 long, host string, path string, marked boolean, lines array<long>").where(F.size("lines") > 0)
-    rows = cut_lineage(rows.withColumn("l1", F.xxhash64("lines")).withColumn("l2", F.xxhash64(F.lit(1), "lines")))
+        _line_hashes, "k1 long, k2 long, host string, path string, marked boolean, lines array<long>, outside array<int>").where(F.size("lines") > 0)
+    same = lambda *seed: F.when(F.size("outside") == 0, F.xxhash64(*seed, "lines")).otherwise(F.xxhash64(*seed, "lines", "outside"))
+    rows = cut_lineage(rows.withColumn("l1", same()).withColumn("l2", same(F.lit(1))))
     # pages with equal lines are one, under the first of their paths
-    single = rows.groupBy("host", "marked", "l1", "l2").agg(F.min("path").alias("path"), F.first("lines").alias("lines"))
+    single = rows.groupBy("host", "marked", "l1", "l2").agg(F.min("path").alias("path"), F.first("lines").alias("lines"),
+                                                            F.first("outside").alias("outside"))
     order = ["host", "path", "marked", "l1", "l2"]
     # kept as they are, the sorted ranges are the order of all pages; at is the place in it
     ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -343,11 +361,12 @@ def template_lines(pages: DataFrame, copy_share: float = COPY_SHARE) -> DataFram
             sent.append((after, part, 1))
         after = by_range[part].low if part in by_range else after
     found = cut_lineage(_with_pages_across(placed.join(starts, "at"), sent, ranges)
-                        .select("part", "rank", "l1", "l2", "host", "path", "marked", "lines", "starts")
-                        .mapInArrow(_difference(copy_share), "host string, l1 long, l2 long, gone array<int>"))
+                        .select("part", "rank", "l1", "l2", "host", "path", "marked", "lines", "starts", "outside")
+                        .mapInArrow(_difference(copy_share), "host string, l1 long, l2 long, marked boolean, gone array<int>"))
     few = found.count() <= BROADCAST_ROWS
-    return (rows.where(~F.col("marked")).select("k1", "k2", "host", "l1", "l2").distinct()
-            .join(F.broadcast(found) if few else found, ["host", "l1", "l2"]).select("k1", "k2", "gone"))
+    found = found.select("host", "l1", "l2", "marked", "gone")
+    return (rows.select("k1", "k2", "host", "l1", "l2", "marked").distinct()
+            .join(F.broadcast(found) if few else found, ["host", "l1", "l2", "marked"]).select("k1", "k2", "gone"))
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
