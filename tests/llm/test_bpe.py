@@ -100,5 +100,27 @@ def test_any_ids_decode_and_keep_columns(spark, scratch):
         bpe.read_ranks(path)
 
 
+@pytest.mark.parametrize("most,task_words", [(3, 1 << 20), (1000, 1 << 20), (1000, 1)])
+def test_frequent_words_are_encoded_once(spark, plain, most, task_words):
+    rnd = random.Random(5)
+    often = ["the", " often", " repeated", " wörter", " " * 70, "x" * 80]
+    texts = ["".join(rnd.choices(often, k=30)) + " " + "".join(rnd.choices("abcdefgh", k=12)) for _ in range(60)] + [None, ""]
+    docs = documents(spark, list(enumerate(texts))).repartition(3)
+    common = bpe.common_words(docs.select(F.col("text").alias("_text")), bpe.read_ranks(PATH), PATTERN, most, 4000)
+    assert 0 < len(common.words) <= most and common.sizes.sum() == len(common.ids)
+    assert all(0 < len(w.encode()) <= bpe.FOLD_BYTES for w in common.words)
+    ids = np.split(common.ids, np.cumsum(common.sizes)[:-1])
+    assert [list(i) for i in ids] == [plain(w) for w in common.words]
+    got = bpe.encode(docs, PATH, PATTERN, chunk_bytes=500, task_words=task_words, most_common=most, counted_bytes=4000)
+    # no frequent word is left to the fold of a task
+    folded = got.sparkSession.sparkContext.broadcast(common.words)
+    split = docs.select("doc_id", F.col("text").alias("_text")).mapInArrow(
+        bpe._split(PATTERN, 500, task_words, ["doc_id"], folded),
+        "keys array<struct<doc_id: bigint>>, rows array<binary>, words array<binary>, long_words array<binary>, anew boolean")
+    left = {bytes(w).decode() for r in split.select("words").collect() for w in r.words}
+    assert left and not left & set(common.words)
+    assert {r.doc_id: r.ids for r in got.collect()} == {k: plain(t) for k, t in enumerate(texts)}
+
+
 def test_empty_table(spark):
     assert bpe.encode(documents(spark, []), PATH, PATTERN).collect() == []

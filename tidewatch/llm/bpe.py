@@ -3,9 +3,13 @@
 Texts are read in chunks of rows. The distinct words (matches of the split pattern) that a chunk brings up for the
 first time in its task become one array; Spark higher-order functions fold the ranked merges over the byte arrays
 of these words, with the vocabulary as a literal map from bytes to rank. The chunk's ids are then the
-words' ids in the order of the text. Everything is one pass without a shuffle: a task holds one chunk and the
+words' ids in the order of the text. This is one pass without a shuffle: a task holds one chunk and the
 words of the last chunks, up to a bound, and a lost task is only read again.
 
+Words that are frequent in the corpus would be folded anew in every task. Before the pass, a part of the rows is
+counted to find such words; they are folded once, up to a bound, and sent to all tasks. Which words these
+are changes no result: a task folds every other word of its texts by itself.
+
 A literal map is searched from end to end at every access, so the ranks lie in an array of small maps,
 addressed by the CRC-32 of the bytes. Their keys are the bytes as hexadecimal text, because only JSON makes a
 literal of this size in a moment.
@@ -18,18 +22,29 @@ import heapq
 import itertools
 import json
 import zlib
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 #: bytes of text of a chunk
 CHUNK_BYTES = 4 << 20
 #: words that a task remembers; with more it forgets them and begins anew
 TASK_WORDS = 1 << 20
+#: bytes of text that are counted to find frequent words; a corpus of no more has none sent
+COUNTED_BYTES = 128 << 20
+#: frequent words that are sent to all tasks
+COMMON_WORDS = 500_000
+#: groups in which the frequent words are folded
+COMMON_GROUPS = 64
 #: small maps of the literal
 BUCKETS = 1 << 16
 #: words of more bytes are merged from a heap, which takes n log n steps; the fold takes n squared
@@ -38,6 +53,14 @@ FOLD_BYTES = 64
 NO_RANK = 2 ** 31 - 1
 
 
+class Common(NamedTuple):
+    """Frequent words, how many ids each has, and these ids one word after the other."""
+
+    words: list[str]
+    sizes: np.ndarray
+    ids: np.ndarray
+
+
 @lru_cache(maxsize=4)
 def read_ranks(path: str) -> dict[bytes, int]:
     """Ranks of a vocabulary file: a base64 token and its rank (which is its id) a line."""
@@ -123,24 +146,75 @@ def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[word[i:end[i]]] for i in range(n) if not gone[i]]
 
 
-def _split(pattern: str, chunk_bytes: int, task_words: int, columns: list[str]):
+def _count(pattern: str, chunk_bytes: int):
+    """Rows -> (word, n) of every chunk, without words that are too long for the fold."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import regex
+
+        from .common import text_slices
+        find = regex.compile(pattern).findall
+        for _, texts in text_slices(batches, "_text", chunk_bytes):
+            counts = Counter(itertools.chain.from_iterable(find(raw.decode()) for raw in texts))
+            found = [(w, n) for w, n in ((w.encode(), n) for w, n in counts.items()) if 0 < len(w) <= FOLD_BYTES]
+            yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in found], pa.binary()), pa.array([n for _, n in found], pa.int64())], ["word", "n"])
+    return run
+
+
+def common_words(texts: DataFrame, ranks: dict[bytes, int], pattern: str, most: int, counted_bytes: int,
+                 chunk_bytes: int = CHUNK_BYTES, buckets: int = BUCKETS) -> Common:
+    """At most ``most`` frequent words of ``texts`` (_text) with their ids.
+
+    They are looked for in the texts whose hash falls into a part of about ``counted_bytes``. A corpus of no
+    more than that has none. The driver receives the chosen words with their ids, and the counts of counts.
+    """
+    nothing = Common([], np.zeros(0, np.int32), np.zeros(0, np.int32))
+    size = texts.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
+    if most <= 0 or size <= counted_bytes:
+        return nothing
+    part = texts.where(F.pmod(F.xxhash64("_text"), F.lit(-(-size // max(1, counted_bytes)))) == 0)
+    counts = cut_lineage(part.mapInArrow(_count(pattern, chunk_bytes), "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")))
+    # the least count with which no more than ``most`` words are taken; a word that occurs once is not frequent
+    least, taken = None, 0
+    for row in sorted(counts.where("n > 1").groupBy("n").agg(F.count("*").alias("words")).collect(), reverse=True):
+        if taken + row.words > most:
+            break
+        least, taken = row.n, taken + row.words
+    if least is None:
+        return nothing
+    grouped = counts.where(F.col("n") >= least).groupBy(F.pmod(F.xxhash64("word"), F.lit(COMMON_GROUPS)).alias("group")).agg(
+        F.collect_list("word").alias("words"))
+    words, sizes, flat = [], [nothing.sizes], [nothing.ids]
+    for row in encode_words(grouped.select("words"), ranks, buckets).select(
+            "words", F.transform("ids", F.size).alias("sizes"), F.flatten("ids").alias("ids")).toArrow().to_batches():
+        words += [w.decode() for w in row["words"].flatten().to_pylist()]
+        sizes.append(row["sizes"].flatten().to_numpy(zero_copy_only=False).astype(np.int32))
+        flat.append(row["ids"].flatten().to_numpy(zero_copy_only=False).astype(np.int32))
+    return Common(words, np.concatenate(sizes), np.concatenate(flat))
+
+
+def _split(pattern: str, chunk_bytes: int, task_words: int, columns: list[str], known: Broadcast):
     """Rows -> chunks: the rows' columns as they are, the words not seen before, and per row the numbers of its words.
 
-    ``anew`` marks a chunk before which all words were forgotten.
+    The first numbers are those of the ``known`` words. ``anew`` marks a chunk before which all others were forgotten.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import regex
 
         from .common import text_slices
         find = regex.compile(pattern).findall
-        number: dict[str, int] = {}
+        common = len(known.value)
+        number: defaultdict[str, int] = defaultdict()
+        number.default_factory = number.__len__  # a new word gets the next number
+        number.update((w, k) for k, w in enumerate(known.value))
         for batch, texts in text_slices(batches, "_text", chunk_bytes):
-            anew = len(number) >= task_words
+            anew = len(number) - common >= task_words
             if anew:
                 number.clear()
+                number.update((w, k) for k, w in enumerate(known.value))
             seen, rows = len(number), []
             for raw in texts:
-                rows.append(np.array([number.setdefault(w, len(number)) for w in find(raw.decode())], "<u4").tobytes())
+                found = find(raw.decode())
+                rows.append(np.fromiter(map(number.__getitem__, found), "<u4", len(found)).tobytes())
             words = [w.encode() for w in itertools.islice(reversed(number), len(number) - seen)][::-1]
             keys = pa.StructArray.from_arrays([batch.column(batch.schema.get_field_index(c)) for c in columns], columns)
             yield pa.RecordBatch.from_arrays([
@@ -152,12 +226,11 @@ def _split(pattern: str, chunk_bytes: int, task_words: int, columns: list[str]):
     return run
 
 
-def _join(path: str, columns: list[str]):
+def _join(path: str, columns: list[str], known: Broadcast):
     """Chunks with the ids of their new words, in the order of their task -> rows with their ids."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = read_ranks(path)
-        nothing = np.zeros(0, np.int32)
-        size, flat = nothing, nothing
+        size, flat = known.value
         for batch in batches:
             for c in range(batch.num_rows):
                 lists = batch["ids"][c].values
@@ -170,7 +243,7 @@ def _join(path: str, columns: list[str]):
                         parts[w] = np.array(merge_long(word, ranks), np.int32)
                     new_size, new = np.array([len(p) for p in parts], np.int32), np.concatenate(parts)
                 if batch["anew"][c].as_py():
-                    size, flat = nothing, nothing
+                    size, flat = known.value
                 size, flat = np.concatenate([size, new_size]), np.concatenate([flat, new])
                 start = np.cumsum(size, dtype=np.int64) - size
                 keys = batch["keys"][c].values
@@ -194,7 +267,8 @@ def _join(path: str, columns: list[str]):
 
 
 def encode(documents: DataFrame, path: str, pattern: str, keep: list[str] | None = None,
-           chunk_bytes: int = CHUNK_BYTES, buckets: int = BUCKETS, task_words: int = TASK_WORDS) -> DataFrame:
+           chunk_bytes: int = CHUNK_BYTES, buckets: int = BUCKETS, task_words: int = TASK_WORDS,
+           most_common: int = COMMON_WORDS, counted_bytes: int = COUNTED_BYTES) -> DataFrame:
     """``documents``' columns ``keep`` (by default doc_id), ``ids``, the token ids of the whole text, and ``packed``, the
     same as little-endian unsigned 32-bit integers.
 
@@ -204,14 +278,18 @@ def encode(documents: DataFrame, path: str, pattern: str, keep: list[str] | None
     empty table has no rows; columns outside ``keep`` are ignored. ``path`` is read on the
     driver and on the workers. A single very long text is a chunk of its own, so memory follows the longest
     text; words of more than ``FOLD_BYTES`` bytes are merged in the task, the same way, from a heap.
+    Up to ``most_common`` frequent words, see ``common_words``, are encoded beforehand.
     """
     keep = keep or ["doc_id"]
     kept = documents.select(*keep, F.col("text").cast("string").alias("_text"))
     inside = ", ".join(f"`{f.name}`: {f.dataType.simpleString()}" for f in kept.schema.fields[:-1])
-    chunks = kept.mapInArrow(_split(pattern, chunk_bytes, task_words, keep),
+    ranks = read_ranks(path)
+    common = common_words(kept.select("_text"), ranks, pattern, most_common, counted_bytes, chunk_bytes, buckets)
+    send = documents.sparkSession.sparkContext.broadcast
+    chunks = kept.mapInArrow(_split(pattern, chunk_bytes, task_words, keep, send(common.words)),
                              f"keys array<struct<{inside}>>, rows array<binary>, words array<binary>, long_words array<binary>, anew boolean")
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields[:-1])
-    return encode_words(chunks, read_ranks(path), buckets).mapInArrow(_join(path, keep), f"{columns}, ids array<int>, packed binary")
+    return encode_words(chunks, ranks, buckets).mapInArrow(_join(path, keep, send((common.sizes, common.ids))), f"{columns}, ids array<int>, packed binary")
 
 
 def decode(ids: Column, path: str) -> Column:
