@@ -40,7 +40,7 @@ CHUNK_BYTES = 4 << 20
 #: words that a task remembers; with more it forgets them and begins anew
 TASK_WORDS = 1 << 20
 #: bytes of text that are counted to find frequent words; a corpus of no more has none sent
-COUNTED_BYTES = 128 << 20
+COUNTED_BYTES = 64 << 20
 #: frequent words that are sent to all tasks
 COMMON_WORDS = 500_000
 #: groups in which the frequent words are folded
