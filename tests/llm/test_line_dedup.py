@@ -109,3 +109,36 @@ def test_rows_that_share_an_id_or_have_none(spark):
     eight = sorted(r for d, _, r in out if d == 8)
     assert eight == [[], [0]]  # one of the two is the first
     assert len(left[9]) == 2 and left[9][0] == "" and left[9][1] in (near, f"{near} thirteen")
+
+
+def prefix_sets(docs, sizes=None):
+    lines = line_dedup.line_table(docs, 5)
+    return line_dedup.different_lines(line_dedup.prefixes(lines, sizes or line_dedup.rarity(lines, 5, 1 << 16), 5, 0.8))
+
+
+def test_postings_are_shuffled_once(spark):
+    sets = prefix_sets(documents(spark, variants(6)))
+    pairs = line_dedup.candidate_pairs(sets, spark.createDataFrame([], "h1 long"), 0.8)
+    assert pairs.count() > 0
+    pairs.collect()
+    plan = pairs._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    # a reused exchange is printed with the exchange that it stands for
+    assert "ReusedExchange" in plan and plan.count("hashpartitioning(token#") - plan.count("ReusedExchange") == 1
+
+
+def test_lines_are_merged_and_common_tokens_come_last(spark):
+    rng = random.Random(8)
+    tail = " ".join(f"t{i}" for i in range(14))
+    docs = [(k, " ".join(rng.choice("abcdefgh") + str(rng.randrange(10 ** 6)) for _ in range(rng.randint(30, 40))) + " " + tail) for k in range(200)]
+    docs += [(1000 + k, docs[k][1]) for k in range(40)]
+    by_hash, rarest = (prefix_sets(documents(spark, docs), sizes).collect() for sizes in (bytes(1), None))
+
+    def most(sets):
+        counts = {}
+        for r in sets:
+            for t in r.prefix:
+                counts[t] = counts.get(t, 0) + 1
+        return max(counts.values())
+    assert len(rarest) == 200 and sorted(r.copies for r in rarest) == [1] * 160 + [2] * 40
+    assert all(r.doc_id < 200 and len(r.prefix) == r.n - -(-r.n * 4 // 5) + 1 for r in rarest)
+    assert most(by_hash) > 20 and most(rarest) == 1

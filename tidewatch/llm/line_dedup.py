@@ -10,9 +10,8 @@ their hash bucket occurs in all lines, then by hash. Two lines that are similar
 token among the first n - ceil(t n) + 1 of each (prefix filter), have lengths within a factor t
 (length filter) and enough tokens left behind the shared one (positional filter), and what their
 prefixes share must be enough with all that can follow. Only pairs of lines that pass all of these
-are fetched and their Jaccard similarity verified. Before that, each line is compared with a few
+are fetched and their Jaccard similarity verified. Before that, each line is compared with one or two
 leaders, which settles large groups of near copies without their pairs.
-
 """
 
 from __future__ import annotations
@@ -20,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, stored
 
 SHINGLE = 5
 MIN_WORDS = 5
@@ -35,9 +34,6 @@ RARITY_BUCKETS = 1 << 16
 #: lines whose texts are fetched by a broadcast of their hashes (8 bytes each); beyond, by a shuffle
 BROADCAST_ROWS = 200_000
 
-#: lines that lead the lines with a common smallest or largest token
-LEADERS = 1
-
 #: rounding guard of t * n
 _EPS = 1e-9
 
@@ -55,22 +51,29 @@ def line_table(documents: DataFrame, min_words: int) -> DataFrame:
     """
     rows = documents.select(*row_key("doc_id", "row"), F.posexplode_outer(F.split(F.col("text").cast("string"), "\n", -1)).alias("line_no", "line"))
     lines = rows.withColumn("line", F.trim("line"))
-    spaces = F.char_length("line") - F.char_length(F.replace("line", F.lit(" "), F.lit("")))
-    return lines.where(spaces >= min_words - 1).select(
+    # what precedes the last of min_words - 1 spaces is the whole line if it has fewer
+    enough = F.octet_length(F.substring_index("line", " ", min_words - 1)) < F.octet_length("line") if min_words > 1 else F.col("line").isNotNull()
+    return lines.where(enough).select(
         "doc_id", "row", "line_no", "line", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"))
 
 
-def runs_of_words(df: DataFrame, line: str, out: str, size: int) -> DataFrame:
-    """Add ``out``: the runs of ``size`` words as an array of structs; of a shorter line, one run filled with nulls."""
-    words = df.withColumn("_words", F.split(line, " ", -1))
-    last = F.greatest(F.size("_words") - (size - 1), F.lit(1))
-    return words.withColumn(out, F.arrays_zip(*[F.slice("_words", F.lit(k + 1), last).alias(f"w{k}") for k in range(size)])).drop("_words")
+def _places(words: Column, size: int) -> Column:
+    """Where the runs of ``size`` words begin; a line of fewer words is one run."""
+    return F.sequence(F.lit(0), F.greatest(F.size(words) - size, F.lit(0)))
+
+
+def _hash_at(words: Column, at: Column, size: int) -> Column:
+    return F.xxhash64(*[F.get(words, at + k) for k in range(size)])
+
 
+def _shingles(line: Column, size: int) -> Column:
+    """The distinct 64-bit hashes of the line's runs of ``size`` words; of a line of fewer words, the hash of them all.
 
-def with_shingles(df: DataFrame, line: str, out: str, size: int) -> DataFrame:
-    """Add ``out``: the distinct 64-bit hashes of the line's runs of ``size`` words."""
-    runs = runs_of_words(df, line, "_runs", size)
-    return runs.withColumn(out, F.array_distinct(F.transform("_runs", lambda run: F.xxhash64(run)))).drop("_runs")
+    One expression with its words bound inside, so that no optimizer rule can copy the split into the loop.
+    """
+    def hashes(words: Column) -> Column:
+        return F.array_distinct(F.transform(_places(words, size), lambda i: _hash_at(words, i, size)))
+    return F.get(F.transform(F.array(F.split(line, " ", -1)), hashes), F.lit(0))
 
 
 def rarity(lines: DataFrame, shingle: int, buckets: int) -> bytes:
@@ -78,8 +81,10 @@ def rarity(lines: DataFrame, shingle: int, buckets: int) -> bytes:
 
     The driver receives ``buckets`` numbers at most, whatever the size of the table.
     """
-    tokens = runs_of_words(lines.select("line"), "line", "runs", shingle).select(F.explode_outer("runs").alias("run"))
-    counted = tokens.groupBy(F.pmod(F.xxhash64("run"), F.lit(buckets)).cast("int").alias("bucket")).agg(
+    words, at = F.col("words"), F.col("at")
+    # one row a run, so that the hash is compiled with the rest of the stage; functions of arrays are interpreted
+    places = lines.select(F.split("line", " ", -1).alias("words")).select("words", F.explode_outer(_places(words, shingle)).alias("at"))
+    counted = places.groupBy(F.pmod(_hash_at(words, at, shingle), F.lit(buckets)).cast("int").alias("bucket")).agg(
         F.ceil(F.log2(1 + F.count("*"))).cast("int").alias("size"))
     sizes = bytearray([0]) * buckets
     for row in counted.collect():
@@ -96,60 +101,71 @@ def _prefix(threshold: float, n: Column) -> Column:
     return (n - _at_least(threshold, n) + 1).cast("int")
 
 
-def leader_pairs(lines: DataFrame, shingle: int) -> DataFrame:
-    """(a1, b1): each line with a few earlier ones that have the same smallest, or the same largest, token.
+def prefixes(lines: DataFrame, sizes: bytes, shingle: int, threshold: float) -> DataFrame:
+    """``lines`` with n, low, high, prefix instead of line: the number of its tokens, the smallest and largest of them, and its rarest ones.
+
+    ``sizes`` is the result of ``rarity``.
+    """
+    sets = lines.withColumn("tokens", _shingles(F.col("line"), shingle))
+    table = F.from_json(F.lit(str(list(sizes))), "array<tinyint>")
+    size_of = lambda t: F.coalesce(F.get(table, F.pmod(t, F.lit(len(sizes))).cast("int")), F.lit(0).cast("tinyint"))
+    # 6 bits of rarity above 57 bits of the hash: one number to sort by and to compare
+    ranked = F.sort_array(F.transform("tokens", lambda t: F.shiftleft(size_of(t).cast("long"), 57) + F.shiftrightunsigned(t, 7)))
+    n = F.size("tokens")
+    return sets.select(*[c for c in lines.columns if c != "line"], n.alias("n"), F.array_min("tokens").alias("low"),
+                       F.array_max("tokens").alias("high"), F.slice(ranked, F.lit(1), _prefix(threshold, n)).alias("prefix"))
+
+
+def different_lines(sets: DataFrame) -> DataFrame:
+    """``prefixes`` of each different line (h1, h2) once, with its first place (doc_id, line_no, row) and the number of copies.
+
+    Lines are merged when their texts are no longer there: prefixes are a fraction of the text to shuffle.
+    """
+    rest = [c for c in sets.columns if c not in ("h1", "h2", "doc_id", "line_no", "row")]
+    merged = sets.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "line_no", "row", *rest)).alias("first"), F.count("*").alias("copies"))
+    return merged.select("h1", "h2", "first.*", "copies")
+
+
+def leader_pairs(sets: DataFrame) -> DataFrame:
+    """(a1, b1): each line with the first line that has the same smallest, or the same largest, token.
 
-    The lines with a token are dealt to ``LEADERS`` groups, whose first lines lead: at most 2 * ``LEADERS`` pairs a
-    line, however many lines are alike.
+    At most two pairs a line, however many lines are alike. ``sets`` is the result of ``different_lines``.
     """
-    runs = runs_of_words(lines.select("doc_id", "h1", "line"), "line", "runs", shingle)
-    tokens = runs.select("doc_id", "h1", F.explode_outer("runs").alias("run")).select("doc_id", "h1", F.xxhash64("run").alias("token"))
-    ends = tokens.groupBy("h1").agg(F.min("token").alias("low"), F.max("token").alias("high"), F.min("doc_id").alias("doc_id"))
-    marks = cut_lineage(ends).select("h1", "doc_id", F.posexplode_outer(F.array("low", "high")).alias("end", "token"))
-    dealt = marks.withColumn("group", F.pmod(F.xxhash64("h1"), F.lit(LEADERS)))
-    leaders = dealt.groupBy("end", "token", "group").agg(F.min(F.struct("doc_id", "h1")).alias("first"))
-    leaders = leaders.groupBy("end", "token").agg(F.collect_list("first").alias("firsts"))  # LEADERS at most
-    met = marks.join(leaders, ["end", "token"]).select("h1", "doc_id", F.explode("firsts").alias("first"))
-    earlier = (F.col("first.h1") != F.col("h1")) & (F.col("first.doc_id") <= F.col("doc_id"))
-    return met.where(earlier).select(F.col("first.h1").alias("a1"), F.col("h1").alias("b1")).distinct()
-
-
-def candidate_pairs(lines: DataFrame, sizes: bytes, known: DataFrame, shingle: int, threshold: float) -> DataFrame:
+    marks = sets.select("h1", "doc_id", F.posexplode_outer(F.array("low", "high")).alias("end", "token"))
+    # most tokens are those of a single line, which meets nobody
+    shared = marks.groupBy("end", "token").agg(F.min("doc_id").alias("earliest"), F.count("*").alias("lines")).where("lines > 1").drop("lines")
+    met = cut_lineage(marks.join(shared, ["end", "token"]))
+    leaders = met.where("doc_id = earliest").groupBy("end", "token").agg(F.min("h1").alias("a1"))
+    return met.join(leaders, ["end", "token"]).where("a1 <> h1").select("a1", F.col("h1").alias("b1")).distinct()
+
+
+def candidate_pairs(sets: DataFrame, known: DataFrame, threshold: float) -> DataFrame:
     """(a1, b1): 64-bit hashes, a1 < b1, of lines that pass the prefix, length and positional filters.
 
-    ``sizes`` is the result of ``rarity``; ``known`` (h1) are lines that are known to be removed: two of
+    ``sets`` is the result of ``different_lines``; ``known`` (h1) are lines that are known to be removed: two of
     them need not be compared, nor one of them with a line before it, as the later line of a pair is the one that goes.
-    Postings are the bulk of what is shuffled: a token, a line's hash and first document, and
-    its length, the token's place and whether the line is known in one number.
+    Postings are the bulk of what is shuffled, once for both sides of the join: a token, a line's hash and first
+    document, and its length, the token's place and whether the line is known in one number.
     """
     known = known.select("h1").distinct().withColumn("known", F.lit(1))
     few = known.count() <= BROADCAST_ROWS
-    flagged = lines.select("h1", "line", "doc_id").join(F.broadcast(known) if few else known, "h1", "left")
-    sets = with_shingles(flagged, "line", "tokens", shingle)
-    table = F.lit(bytearray(sizes))
-    size_of = lambda t: F.ascii(F.substring(table, F.pmod(t, F.lit(len(sizes))).cast("int") + 1, F.lit(1)).cast("string"))
-    # 6 bits of rarity above 57 bits of the hash: one number to sort by and to compare
-    ranked = F.sort_array(F.transform("tokens", lambda t: size_of(t).cast("long") * F.lit(1 << 57) + F.shiftrightunsigned(t, 7)))
-    n = F.size("tokens")
-    prefix = F.posexplode_outer(F.slice(ranked, F.lit(1), _prefix(threshold, n)))
-    # copies of a line meet in the partial aggregation before the shuffle
-    postings = sets.select("h1", "doc_id", n.alias("n"), F.coalesce("known", F.lit(0)).alias("known"), prefix.alias("at", "token")).select(
-        "token", "h1", "doc_id", (F.col("n").cast("long") * (1 << 32) + F.col("at") * 2 + F.col("known")).alias("place")) \
-        .groupBy("token", "h1", "place").agg(F.min("doc_id").alias("first"))
-
-    def side(name: str) -> DataFrame:
-        return postings.select("token", F.col("h1").alias(f"{name}1"), F.shiftright("place", 32).alias(f"{name}n"),
-                               F.shiftright(F.col("place").bitwiseAND(F.lit((1 << 32) - 1)), 1).alias(f"{name}at"),
-                               F.col("place").bitwiseAND(F.lit(1)).alias(f"{name}known"), F.col("first").alias(f"{name}first"))
-    a, b = side("a"), side("b")
+    flagged = sets.select("h1", "doc_id", "n", "prefix").join(F.broadcast(known) if few else known, "h1", "left")
+    postings = flagged.select("h1", "doc_id", "n", F.coalesce("known", F.lit(0)).alias("known"), F.posexplode_outer("prefix").alias("at", "token")).select(
+        "token", "h1", "doc_id", (F.col("n").cast("long") * (1 << 32) + F.col("at") * 2 + F.col("known")).alias("place")).repartition("token")
+
+    def parts(name: str) -> list[Column]:
+        place = F.col(f"{name}.place")
+        return [F.shiftright(place, 32).cast("int"), F.shiftright(place.bitwiseAND(F.lit((1 << 32) - 1)), 1).cast("int"), place.bitwiseAND(F.lit(1))]
+    (an, aat, aknown), (bn, bat, bknown) = parts("a"), parts("b")
+    undecided = (aknown + bknown == 0) | ((aknown > bknown) & (F.col("a.doc_id") <= F.col("b.doc_id"))) | (
+        (aknown < bknown) & (F.col("a.doc_id") >= F.col("b.doc_id")))
+    # both sides are the same shuffled rows as they are; columns computed here would be a shuffle of each side
+    met = postings.alias("a").join(postings.alias("b"), F.col("a.token") == F.col("b.token")).where(
+        (F.col("a.h1") < F.col("b.h1")) & undecided & (F.least(an, bn) >= _at_least(threshold, F.greatest(an, bn))))
+    met = met.select(F.col("a.h1").alias("a1"), F.col("b.h1").alias("b1"), an.alias("an"), bn.alias("bn"), F.least(an - aat, bn - bat).alias("left"))
     overlap = F.ceil(F.lit(threshold / (1 + threshold)) * (F.col("an") + F.col("bn")) - _EPS)
-    undecided = (F.col("aknown") + F.col("bknown") == 0) | ((F.col("aknown") > F.col("bknown")) & (F.col("afirst") <= F.col("bfirst"))) | (
-        (F.col("aknown") < F.col("bknown")) & (F.col("afirst") >= F.col("bfirst")))
-    met = a.join(b, "token").where(
-        (F.col("a1") < F.col("b1")) & undecided
-        & (F.least("an", "bn") >= _at_least(threshold, F.greatest("an", "bn"))))
     # Positional filter: from the first shared token on, both lines have enough left.
-    left = F.max(F.least(F.col("an") - F.col("aat"), F.col("bn") - F.col("bat")))
+    left = F.max("left")
     # The prefix that ends first, in the order of tokens, has been compared in full: beyond it, that line has
     # n - prefix tokens left to share. Which one ends first is not known, so the larger rest counts.
     rest = F.greatest(F.col("an") - _prefix(threshold, F.col("an")), F.col("bn") - _prefix(threshold, F.col("bn")))
@@ -157,14 +173,14 @@ def candidate_pairs(lines: DataFrame, sizes: bytes, known: DataFrame, shingle: i
         (F.col("left") >= overlap) & (F.col("shared") + rest >= overlap)).select("a1", "b1")
 
 
-def similar_lines(lines: DataFrame, sizes: bytes, shingle: int, threshold: float) -> DataFrame:
-    """(h1, h2) of the lines whose first copy comes after that of a similar line.
+def similar_lines(lines: DataFrame, sets: DataFrame, shingle: int, threshold: float) -> DataFrame:
+    """(h1, h2) of the lines whose first copy comes after that of a similar line; ``sets`` is the result of ``different_lines``.
 
     In a large group of near copies nearly every line is similar to one of the group's first ones, and is found by
     being compared with those alone. The complete join then needs no pair of lines that are both found.
     """
-    found = cut_lineage(_later(leader_pairs(lines, shingle), lines, shingle, threshold))
-    rest = _later(candidate_pairs(lines, sizes, found, shingle, threshold), lines, shingle, threshold)
+    found = cut_lineage(_later(leader_pairs(sets), lines, shingle, threshold))
+    rest = _later(candidate_pairs(sets, found, threshold), lines, shingle, threshold)
     return found.union(rest).distinct()
 
 
@@ -180,11 +196,13 @@ def _later(pairs: DataFrame, lines: DataFrame, shingle: int, threshold: float) -
     sets = pairs.join(left, "a1").join(right, "b1").select(
         "a1", "a2", "b1", "b2", F.struct("x.doc_id", "x.line_no", "x.row").alias("x_at"), F.col("x.line").alias("x_line"),
         F.struct("y.doc_id", "y.line_no", "y.row").alias("y_at"), F.col("y.line").alias("y_line"))
-    sets = with_shingles(with_shingles(sets, "x_line", "s", shingle), "y_line", "t", shingle)
-    sets = sets.withColumn("common", F.size(F.array_intersect("s", "t")))
-    jaccard = F.col("common") / (F.size("s") + F.size("t") - F.col("common"))
+    both = F.struct(_shingles(F.col("x_line"), shingle).alias("s"), _shingles(F.col("y_line"), shingle).alias("t"))
+    counts = lambda p: F.struct(F.size(F.array_intersect(p["s"], p["t"])).alias("common"), (F.size(p["s"]) + F.size(p["t"])).alias("all"))
+    enough = lambda c: c["common"] / (c["all"] - c["common"]) >= threshold - _EPS
+    # bound step by step, as Spark would copy columns into the filter
+    similar = F.get(F.transform(F.transform(F.array(both), counts), enough), F.lit(0))
     later = F.col("x_at") > F.col("y_at")
-    return sets.where(jaccard >= threshold - _EPS).select(
+    return sets.where(similar).select(
         F.when(later, F.col("a1")).otherwise(F.col("b1")).alias("h1"), F.when(later, F.col("a2")).otherwise(F.col("b2")).alias("h2")).distinct()
 
 
@@ -196,11 +214,13 @@ def removed_lines(documents: DataFrame, shingle: int = SHINGLE, threshold: float
     with the largest long as their id here. Null and empty texts have no lines to remove.
     """
     lines = line_table(documents, min_words)
-    later = similar_lines(lines, rarity(lines, shingle, buckets), shingle, threshold).withColumn("later", F.lit(True))
-    places = cut_lineage(lines.select("doc_id", "row", "line_no", "h1", "h2"))
-    first = places.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "line_no", "row")).alias("first"))
-    verdict = cut_lineage(first.join(later, ["h1", "h2"], "left"))
+    different = stored(different_lines(prefixes(lines, rarity(lines, shingle, buckets), shingle, threshold)))
+    later = similar_lines(lines, different, shingle, threshold).withColumn("later", F.lit(True))
+    first = different.select("h1", "h2", F.struct("doc_id", "line_no", "row").alias("first"), "copies")
+    # only lines that go or have copies can lose a place
+    verdict = cut_lineage(first.join(later, ["h1", "h2"], "left").where("later or copies > 1"))
     kept = (F.struct("doc_id", "line_no", "row") == F.col("first")) & F.col("later").isNull()
+    places = lines.select("doc_id", "row", "line_no", "h1", "h2")
     return places.join(verdict, ["h1", "h2"]).where(~kept).select("doc_id", "row", "line_no").distinct()
 
 
