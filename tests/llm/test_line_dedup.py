@@ -1,6 +1,9 @@
+import pathlib
 import random
+import time
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidewatch.llm import line_dedup
 
@@ -142,3 +145,49 @@ def test_lines_are_merged_and_common_tokens_come_last(spark):
     assert len(rarest) == 200 and sorted(r.copies for r in rarest) == [1] * 160 + [2] * 40
     assert all(r.doc_id < 200 and len(r.prefix) == r.n - -(-r.n * 4 // 5) + 1 for r in rarest)
     assert most(by_hash) > 20 and most(rarest) == 1
+
+
+def test_lines_with_a_common_phrase_are_no_candidates(spark):
+    rng = random.Random(9)
+    word = lambda: rng.choice("abcdefgh") + str(rng.randrange(10 ** 6))
+    phrase = [word() for _ in range(8)]
+    docs = [(k, " ".join([*phrase, *(word() for _ in range(rng.randint(4, 6)))])) for k in range(150)]
+    near = [(1000 + k, f"{docs[k][1]} {word()}") for k in range(30)]
+    sets = prefix_sets(documents(spark, docs + near), bytes(1))  # without rarities, the phrase is in the prefixes
+    known = spark.createDataFrame([], "h1 long")
+    place = {r.h1: r.doc_id for r in sets.collect()}
+    pairs = {frozenset((place[r.a1], place[r.b1])) for r in line_dedup.candidate_pairs(sets, known, 0.8).collect()}
+    similar = {frozenset((k, 1000 + k)) for k in range(30)}
+    late = {k - 1000 for k, _ in brute(docs + near)}
+    assert late == set(range(30)) and similar <= pairs and len(pairs) < 200
+    leaders = {frozenset((place[r.a1], place[r.b1])) for r in line_dedup.leader_pairs(sets, 0.8).collect()}
+    assert len(leaders) < 60
+
+
+@pytest.mark.parametrize("threshold", [0.5, 0.8, 1.0])
+def test_parities_pass_all_similar_lines(spark, threshold):
+    rng = random.Random(10)
+    some = lambda n: [rng.getrandbits(64) - (1 << 63) for _ in range(n)]
+    rows = []
+    for _ in range(400):
+        a = some(rng.choice([1, 2, 5, 20, 60, 300]))
+        b = [*a[rng.randrange(len(a) // 3 + 1):], *some(rng.randrange(len(a) // 4 + 2))]
+        rows.append((a, b, len(set(a) & set(b)) >= threshold * len(set(a) | set(b)) - 1e-9))
+    frame = spark.createDataFrame(rows, "a array<long>, b array<long>, similar boolean")
+    passed = line_dedup._near(threshold, F.size("a"), line_dedup._parity(F.col("a")), F.size("b"), line_dedup._parity(F.col("b")))
+    found = [(r.similar, r.passed) for r in frame.select("similar", passed.alias("passed")).collect()]
+    assert (True, True) in found and (True, False) not in found and (False, False) in found
+
+
+def test_shuffle_files_go_with_their_queries(spark):
+    folders = [d.getPath() for d in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+    files = lambda: {p.name for d in folders for p in pathlib.Path(d).rglob("shuffle_*")}
+    before, key = files(), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    setting = spark.conf.get(key, None)
+    docs = documents(spark, variants(11))
+    gone = line_dedup.removed_lines(docs)  # what is left to run is lazy
+    until = time.time() + 20
+    while files() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not files() - before and spark.conf.get(key, None) == setting
+    assert {(r.doc_id, r.line_no) for r in gone.collect()} == brute(variants(11))

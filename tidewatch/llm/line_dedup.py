@@ -8,10 +8,11 @@ doc_id, or that share one, are told apart by the hash of their texts, which also
 Equal lines are merged into one before they are paired. Tokens are ordered by rarity: how often
 their hash bucket occurs in all lines, then by hash. Two lines that are similar enough share a
 token among the first n - ceil(t n) + 1 of each (prefix filter), have lengths within a factor t
-(length filter) and enough tokens left behind the shared one (positional filter), and what their
-prefixes share must be enough with all that can follow. Only pairs of lines that pass all of these
-are fetched and their Jaccard similarity verified. Before that, each line is compared with one or two
-leaders, which settles large groups of near copies without their pairs.
+(length filter) and enough tokens left behind the shared one (positional filter), differ in few bits
+of 64 parities of their tokens (parity filter), and what their prefixes share must be enough with all
+that can follow. Only pairs of lines that pass all of these are fetched and their Jaccard similarity
+verified. Before that, each line is compared with one or two leaders, which settles large groups of
+near copies without their pairs.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage, stored
+from ..session import cut_lineage, shuffles_freed, stored
 
 SHINGLE = 5
 MIN_WORDS = 5
@@ -101,8 +102,29 @@ def _prefix(threshold: float, n: Column) -> Column:
     return (n - _at_least(threshold, n) + 1).cast("int")
 
 
+def _overlap(threshold: float, an: Column, bn: Column) -> Column:
+    """Number of tokens that two lines of an and bn tokens share at least if they are similar."""
+    return F.ceil(F.lit(threshold / (1 + threshold)) * (an + bn) - _EPS)
+
+
+def _parity(tokens: Column) -> Column:
+    """64 bits of a set of tokens: a bit is set if an odd number of them falls on it, by their first 6 bits."""
+    return F.aggregate(tokens, F.lit(0).cast("long"), lambda bits, t: bits.bitwiseXOR(
+        F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(t, 58).cast("int"))))
+
+
+def _near(threshold: float, an: Column, aparity: Column, bn: Column, bparity: Column) -> Column:
+    """Whether two lines can be similar by the parities of their tokens.
+
+    Tokens of both lines cancel out and any other one turns one bit, so the lines have at least as many
+    tokens that they do not share as bits in which they differ.
+    """
+    return F.bit_count(aparity.bitwiseXOR(bparity)) <= an + bn - 2 * _overlap(threshold, an, bn)
+
+
 def prefixes(lines: DataFrame, sizes: bytes, shingle: int, threshold: float) -> DataFrame:
-    """``lines`` with n, low, high, prefix instead of line: the number of its tokens, the smallest and largest of them, and its rarest ones.
+    """``lines`` with n, low, high, parity, prefix instead of line: the number of its tokens, the smallest and largest of them, the parity
+    of all (``_parity``), and its rarest ones.
 
     ``sizes`` is the result of ``rarity``.
     """
@@ -113,7 +135,7 @@ def prefixes(lines: DataFrame, sizes: bytes, shingle: int, threshold: float) ->
     ranked = F.sort_array(F.transform("tokens", lambda t: F.shiftleft(size_of(t).cast("long"), 57) + F.shiftrightunsigned(t, 7)))
     n = F.size("tokens")
     return sets.select(*[c for c in lines.columns if c != "line"], n.alias("n"), F.array_min("tokens").alias("low"),
-                       F.array_max("tokens").alias("high"), F.slice(ranked, F.lit(1), _prefix(threshold, n)).alias("prefix"))
+                       F.array_max("tokens").alias("high"), _parity(F.col("tokens")).alias("parity"), F.slice(ranked, F.lit(1), _prefix(threshold, n)).alias("prefix"))
 
 
 def different_lines(sets: DataFrame) -> DataFrame:
@@ -126,32 +148,36 @@ def different_lines(sets: DataFrame) -> DataFrame:
     return merged.select("h1", "h2", "first.*", "copies")
 
 
-def leader_pairs(sets: DataFrame) -> DataFrame:
-    """(a1, b1): each line with the first line that has the same smallest, or the same largest, token.
+def leader_pairs(sets: DataFrame, threshold: float) -> DataFrame:
+    """(a1, b1): each line with the first line that has the same smallest, or the same largest, token, if the parity filter passes them.
 
     At most two pairs a line, however many lines are alike. ``sets`` is the result of ``different_lines``.
     """
-    marks = sets.select("h1", "doc_id", F.posexplode_outer(F.array("low", "high")).alias("end", "token"))
+    marks = sets.select("h1", "doc_id", "n", "parity", F.posexplode_outer(F.array("low", "high")).alias("end", "token"))
     # most tokens are those of a single line, which meets nobody
     shared = marks.groupBy("end", "token").agg(F.min("doc_id").alias("earliest"), F.count("*").alias("lines")).where("lines > 1").drop("lines")
     met = cut_lineage(marks.join(shared, ["end", "token"]))
-    leaders = met.where("doc_id = earliest").groupBy("end", "token").agg(F.min("h1").alias("a1"))
-    return met.join(leaders, ["end", "token"]).where("a1 <> h1").select("a1", F.col("h1").alias("b1")).distinct()
+    leaders = met.where("doc_id = earliest").groupBy("end", "token").agg(F.min(F.struct("h1", "n", "parity")).alias("a"))
+    near = _near(threshold, F.col("a.n"), F.col("a.parity"), F.col("n"), F.col("parity"))
+    return met.join(leaders, ["end", "token"]).where((F.col("a.h1") != F.col("h1")) & near).select(
+        F.col("a.h1").alias("a1"), F.col("h1").alias("b1")).distinct()
 
 
 def candidate_pairs(sets: DataFrame, known: DataFrame, threshold: float) -> DataFrame:
-    """(a1, b1): 64-bit hashes, a1 < b1, of lines that pass the prefix, length and positional filters.
+    """(a1, b1): 64-bit hashes, a1 < b1, of lines that pass the prefix, length, parity and positional filters.
 
     ``sets`` is the result of ``different_lines``; ``known`` (h1) are lines that are known to be removed: two of
     them need not be compared, nor one of them with a line before it, as the later line of a pair is the one that goes.
-    Postings are the bulk of what is shuffled, once for both sides of the join: a token, a line's hash and first
-    document, and its length, the token's place and whether the line is known in one number.
+    Postings are the bulk of what is shuffled, once for both sides of the join: a token, a line's hash, first
+    document and parity, and its length, the token's place and whether the line is known in one number.
+    The parity filter belongs to the join: pairs that only have a common phrase grow with the square of
+    the lines that have it, and end there.
     """
     known = known.select("h1").distinct().withColumn("known", F.lit(1))
     few = known.count() <= BROADCAST_ROWS
-    flagged = sets.select("h1", "doc_id", "n", "prefix").join(F.broadcast(known) if few else known, "h1", "left")
-    postings = flagged.select("h1", "doc_id", "n", F.coalesce("known", F.lit(0)).alias("known"), F.posexplode_outer("prefix").alias("at", "token")).select(
-        "token", "h1", "doc_id", (F.col("n").cast("long") * (1 << 32) + F.col("at") * 2 + F.col("known")).alias("place")).repartition("token")
+    flagged = sets.select("h1", "doc_id", "n", "parity", "prefix").join(F.broadcast(known) if few else known, "h1", "left")
+    postings = flagged.select("h1", "doc_id", "n", "parity", F.coalesce("known", F.lit(0)).alias("known"), F.posexplode_outer("prefix").alias("at", "token")).select(
+        "token", "h1", "doc_id", "parity", (F.col("n").cast("long") * (1 << 32) + F.col("at") * 2 + F.col("known")).alias("place")).repartition("token")
 
     def parts(name: str) -> list[Column]:
         place = F.col(f"{name}.place")
@@ -161,9 +187,10 @@ def candidate_pairs(sets: DataFrame, known: DataFrame, threshold: float) -> Data
         (aknown < bknown) & (F.col("a.doc_id") >= F.col("b.doc_id")))
     # both sides are the same shuffled rows as they are; columns computed here would be a shuffle of each side
     met = postings.alias("a").join(postings.alias("b"), F.col("a.token") == F.col("b.token")).where(
-        (F.col("a.h1") < F.col("b.h1")) & undecided & (F.least(an, bn) >= _at_least(threshold, F.greatest(an, bn))))
+        (F.col("a.h1") < F.col("b.h1")) & undecided & (F.least(an, bn) >= _at_least(threshold, F.greatest(an, bn)))
+        & _near(threshold, an, F.col("a.parity"), bn, F.col("b.parity")))
     met = met.select(F.col("a.h1").alias("a1"), F.col("b.h1").alias("b1"), an.alias("an"), bn.alias("bn"), F.least(an - aat, bn - bat).alias("left"))
-    overlap = F.ceil(F.lit(threshold / (1 + threshold)) * (F.col("an") + F.col("bn")) - _EPS)
+    overlap = _overlap(threshold, F.col("an"), F.col("bn"))
     # Positional filter: from the first shared token on, both lines have enough left.
     left = F.max("left")
     # The prefix that ends first, in the order of tokens, has been compared in full: beyond it, that line has
@@ -179,7 +206,7 @@ def similar_lines(lines: DataFrame, sets: DataFrame, shingle: int, threshold: fl
     In a large group of near copies nearly every line is similar to one of the group's first ones, and is found by
     being compared with those alone. The complete join then needs no pair of lines that are both found.
     """
-    found = cut_lineage(_later(leader_pairs(sets), lines, shingle, threshold))
+    found = cut_lineage(_later(leader_pairs(sets, threshold), lines, shingle, threshold))
     rest = _later(candidate_pairs(sets, found, threshold), lines, shingle, threshold)
     return found.union(rest).distinct()
 
@@ -214,11 +241,12 @@ def removed_lines(documents: DataFrame, shingle: int = SHINGLE, threshold: float
     with the largest long as their id here. Null and empty texts have no lines to remove.
     """
     lines = line_table(documents, min_words)
-    different = stored(different_lines(prefixes(lines, rarity(lines, shingle, buckets), shingle, threshold)))
-    later = similar_lines(lines, different, shingle, threshold).withColumn("later", F.lit(True))
-    first = different.select("h1", "h2", F.struct("doc_id", "line_no", "row").alias("first"), "copies")
-    # only lines that go or have copies can lose a place
-    verdict = cut_lineage(first.join(later, ["h1", "h2"], "left").where("later or copies > 1"))
+    with shuffles_freed(documents.sparkSession):  # only what is stored is read again
+        different = stored(different_lines(prefixes(lines, rarity(lines, shingle, buckets), shingle, threshold)))
+        later = similar_lines(lines, different, shingle, threshold).withColumn("later", F.lit(True))
+        first = different.select("h1", "h2", F.struct("doc_id", "line_no", "row").alias("first"), "copies")
+        # only lines that go or have copies can lose a place
+        verdict = cut_lineage(first.join(later, ["h1", "h2"], "left").where("later or copies > 1"))
     kept = (F.struct("doc_id", "line_no", "row") == F.col("first")) & F.col("later").isNull()
     places = lines.select("doc_id", "row", "line_no", "h1", "h2")
     return places.join(verdict, ["h1", "h2"]).where(~kept).select("doc_id", "row", "line_no").distinct()

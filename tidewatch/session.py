@@ -11,6 +11,8 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -115,3 +117,25 @@ def stored(df: DataFrame) -> DataFrame:
     path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+#: setting of Spark 4.1; other versions take no notice of it
+_FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Queries that run inside delete their shuffle files when they end.
+
+    Else these stay until the driver happens to collect its garbage. It fits queries whose result is stored
+    or collected; what is read again from a query's own shuffle would be computed again.
+    """
+    before = spark.conf.get(_FREE_SHUFFLES, None)
+    spark.conf.set(_FREE_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_FREE_SHUFFLES)
+        else:
+            spark.conf.set(_FREE_SHUFFLES, before)
