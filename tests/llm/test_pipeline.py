@@ -1,3 +1,6 @@
+import pathlib
+import time
+
 import corpus_pipeline
 import pytest
 from pyspark.sql import functions as F
@@ -90,3 +93,16 @@ def test_columns_of_any_name_pass_every_stage(spark):
     got = frame.collect()
     assert got and all(r[c] == r.doc_id + 1 for r in got for c in names)
     assert corpus_pipeline.pack(spark, frame, SF).count() >= len(got)
+
+
+def test_line_dedup_frees_the_shuffle_files_of_its_queries(spark):
+    folders = [d.getPath() for d in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+    files = lambda: {p.name for d in folders for p in pathlib.Path(d).rglob("shuffle_*")}
+    rows = [(k, f"line one of text {k} with more words\nthis line is in every text of them all") for k in range(6)]
+    before = files()
+    frame = corpus_pipeline.line_dedup_stage(spark, documents(spark, rows), SF)
+    until = time.time() + 20
+    while files() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not files() - before
+    assert {r.doc_id: r.text for r in frame.collect()} == {k: t if k == 0 else t.split("\n")[0] for k, t in rows}
